@@ -1 +1 @@
-
+"""Sources and sinks: source reads, staging, target snapshots, history, reports."""
