@@ -31,7 +31,7 @@ from tidemark.operators.shape import cast_partition_column, derived_columns, exc
 from tidemark.plans.jobs import build_extract, readiness_report, run_batch, run_check, run_load
 from tidemark.session import fresh_path
 from tidemark.sources.readers import read_source, stage
-from tidemark.sources.target import create_target, recreate_target, write_snapshot
+from tidemark.sources.target import create_target, publish_snapshot, recreate_target, write_snapshot
 from tidemark.spec import ExtraColumn, SearchColumn, TableRef
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,7 +136,8 @@ select * from (values
   (1, 'ID', 'bigint'), (2, 'INSERT_DTTM', 'timestamp_ntz'), (3, 'UPDATE_DTTM', 'timestamp_ntz'),
   (4, 'LST_MOD_USER', 'string'), (5, 'MSTR_LOAD_ID', 'int'), (6, 'ACTIVE_FLAG', 'smallint'),
   (7, 'o_orderkey', 'bigint'), (8, 'o_custkey', 'bigint'), (9, 'o_orderstatus', 'string'),
-  (10, 'o_totalprice', 'double'), (11, 'o_orderdate', 'timestamp_ntz'), (12, 'price2', 'decimal(18,2)')
+  (10, 'o_totalprice', 'double'), (11, 'o_orderdate', 'timestamp_ntz'), (12, 'price2', 'decimal(18,2)'),
+  (13, 'o_orderdate_month', 'date')
 ) v(position, column_name, data_type)""")
 def q_create_target(spark, sf):
     spec = fx.orders_spec(excluded_columns=("o_orderpriority",), partition_column="o_orderdate",
@@ -572,6 +573,23 @@ def q_run_load(spark, sf):
                          F.lit(res.delete_cnt).cast("long").alias("delete_cnt"), "target_rows", "rows_with_load_id")
 
 
+@query("partition_scoped_load", f"""
+with {S_SQL}, {T_SQL}, {TH_SQL}, {ST_SQL}, {_merge_sql('TH', CHANGED_SQL)}
+select {_merged_business_sql()},
+  case when action in ('INSERT', 'UPDATE') then 7 else mstr_load_id end as mstr_load_id,
+  cast(date_trunc('month', case when action in ('INSERT', 'UPDATE') then s_o_orderdate else o_orderdate end)
+       as date) as o_orderdate_month
+from j""")
+def q_partition_scoped_load(spark, sf):
+    """A load that reads and re-points only the months its window touches."""
+    table = _unique_table("orders_pt")
+    publish_snapshot(spark, table, fx.target_t(spark, sf, housekeeping=True), "o_orderdate", "month")
+    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate", partition_scoped=True)
+    run_load(spark, spec, fx.W_START, fx.W_END, load_id=fx.RUN_LOAD_ID, now=fx.RUN_TS, user=fx.RUN_USER,
+             source_df=fx.source_s(spark, sf))
+    return spark.table(table).select(*BUSINESS, "mstr_load_id", "o_orderdate_month")
+
+
 @query("run_check", f"""
 with {S_SQL}, {T_SQL}, {ST_SQL}, {_merge_sql('T', CHANGED_SQL)},
 NT as (select case when action in ('INSERT', 'UPDATE') then s_o_orderkey else o_orderkey end as o_orderkey,

@@ -98,8 +98,13 @@ def _projection(target_schema: StructType, staged_cols: Sequence[str], extras: d
 def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
                  check_columns: Sequence[str] = (), extra_columns: Sequence[ExtraColumn] = (), *,
                  stamp: Stamp | None = None, plan: str = "auto", staged_rows: int | None = None,
-                 broadcast_max_bytes: int | None = None, salt_buckets: int | None = None) -> DataFrame:
-    """D1 (check columns given) / D2 (none: every match updates)."""
+                 broadcast_max_bytes: int | None = None, salt_buckets: int | None = None,
+                 id_base: int | None = None) -> DataFrame:
+    """D1 (check columns given) / D2 (none: every match updates).
+
+    ``id_base``: the largest id already used (default: ``max(ID)`` of ``target``;
+    pass it when ``target`` is only a slice of the table).
+    """
     if not keys:
         raise SpecError("merge needs at least one key column")
     staged = _align(staged, target.schema)
@@ -156,7 +161,8 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     new_id = None
     if has_id:
         id_name = resolve_name(tschema, "ID")
-        inserts = assign_ids(inserts, max_id(target, id_name), tkeys, id_col="__new_id",
+        base = id_base if id_base is not None else max_id(target, id_name)
+        inserts = assign_ids(inserts, base, tkeys, id_col="__new_id",
                              expected_rows=staged_rows)
         new_id = F.col("source.__new_id")
     ins_out = inserts.alias("source").select(*_projection(

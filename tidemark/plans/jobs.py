@@ -26,8 +26,9 @@ from tidemark.operators.shape import cast_partition_column, exclude_columns, ren
 from tidemark.plans.strategy import plan_merge
 from tidemark.sources.history import HistoryRecord, append_history, format_ts, history_frame
 from tidemark.sources.readers import read_source, stage
-from tidemark.sources.target import (create_target, partition_column_name, publish_snapshot,
-                                     write_snapshot)
+from tidemark.operators.surrogate import max_id
+from tidemark.sources.target import (create_target, partition_column_name, partition_value, publish_partitions,
+                                     publish_snapshot, write_snapshot)
 from tidemark.spec import JobSpec, SpecError, has_column, resolve_name, validate_spec
 
 
@@ -110,21 +111,34 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
             target = target_df
         else:
             target = create_target(spark, spec, source.schema, target_table)
+        pname, scope, id_base = None, None, None
         if spec.partition_column:
             pname = partition_column_name(target_name(resolve_name(source.schema, spec.partition_column)),
                                           spec.partition_granularity)
-            if has_column(target.schema, pname):
-                target = target.drop(resolve_name(target.schema, pname))
+        has_ids = any(f.name.upper() == "ID" for f in target.schema.fields)
+        if spec.scoped_by_partition and target_table and has_column(target.schema, pname):
+            # Only the partitions the delta touches (a handful of values: read
+            # from the staged copy) are read, merged and re-pointed.
+            pv = partition_value(F.col(target_name(resolve_name(source.schema, spec.partition_column))),
+                                 spec.partition_granularity)
+            scope = [r[0] for r in staged.select(pv.alias("p")).distinct().collect()]
+            if has_ids:
+                id_base = max_id(target, resolve_name(target.schema, "ID"))
+            target = target.where(F.col(resolve_name(target.schema, pname)).isin(scope))
+        if pname and has_column(target.schema, pname):
+            target = target.drop(resolve_name(target.schema, pname))
         stamp = Stamp(load_id, now, user)
         chosen = plan_merge(spark, staged, plan, staged_rows=staged_cnt,
-                            needs_ids=any(f.name.upper() == "ID" for f in target.schema.fields),
+                            needs_ids=has_ids,
                             broadcast_max_bytes=broadcast_max_bytes).name
         merged = merge_upsert(target, staged, spec.keys, spec.check_columns, spec.extra_columns,
-                              stamp=stamp, plan=chosen, staged_rows=staged_cnt)
+                              stamp=stamp, plan=chosen, staged_rows=staged_cnt, id_base=id_base)
         observed, obs = observe_counts(merged)
         out = business_view(observed)
         part = target_name(spec.partition_column) if spec.partition_column else None
-        if target_table and target_df is None:
+        if target_table and target_df is None and scope is not None:
+            snapshot = publish_partitions(spark, target_table, out, part, spec.partition_granularity)
+        elif target_table and target_df is None:
             snapshot = publish_snapshot(spark, target_table, out, part, spec.partition_granularity)
         elif output_path:
             snapshot = write_snapshot(out, output_path, part, spec.partition_granularity)

@@ -28,7 +28,10 @@ HOUSEKEEPING_FIELDS = [
 
 
 def target_schema(spec: JobSpec, source_schema: T.StructType) -> T.StructType:
-    """A3: housekeeping + source columns (excluded dropped, reserved renamed) + extras."""
+    """A3: housekeeping + source columns (excluded dropped, reserved renamed) + extras.
+
+    A partitioned target also carries the partition value column (A5).
+    """
     excluded = {c.lower() for c in spec.excluded_columns}
     part = spec.partition_column.lower() if spec.partition_column else None
     fields = list(HOUSEKEEPING_FIELDS)
@@ -39,18 +42,28 @@ def target_schema(spec: JobSpec, source_schema: T.StructType) -> T.StructType:
         fields.append(T.StructField(target_name(f.name), dt, True))
     for e in spec.extra_columns:
         fields.append(T.StructField(target_name(e.name), T._parse_datatype_string(e.data_type), True))
+    if spec.partition_column:
+        pname = partition_column_name(target_name(resolve_name(source_schema, spec.partition_column)),
+                                      spec.partition_granularity)
+        fields.append(T.StructField(pname, T.DateType(), True))
     return T.StructType(fields)
 
 
+def _empty_writer(spark: SparkSession, spec: JobSpec, source_schema: T.StructType, path: str | None):
+    schema = target_schema(spec, source_schema)
+    w = spark.createDataFrame([], schema).write.format("parquet")
+    if spec.partition_column:
+        w = w.partitionBy(schema.fields[-1].name)
+    if path:
+        w = w.option("path", path)
+    return w
+
+
 def create_target(spark: SparkSession, spec: JobSpec, source_schema: T.StructType, table: str,
                   path: str | None = None) -> DataFrame:
     """A3: create the empty target table when it does not exist; return it."""
     if not spark.catalog.tableExists(table):
-        empty = spark.createDataFrame([], target_schema(spec, source_schema))
-        w = empty.write.format("parquet")
-        if path:
-            w = w.option("path", path)
-        w.saveAsTable(table)
+        _empty_writer(spark, spec, source_schema, path).saveAsTable(table)
     return spark.table(table)
 
 
@@ -58,11 +71,7 @@ def recreate_target(spark: SparkSession, spec: JobSpec, source_schema: T.StructT
                     path: str | None = None) -> DataFrame:
     """A4: with ``spec.recreate`` drop and rebuild an existing target; else keep it."""
     if spec.recreate and spark.catalog.tableExists(table):
-        empty = spark.createDataFrame([], target_schema(spec, source_schema))
-        w = empty.write.format("parquet").mode("overwrite")
-        if path:
-            w = w.option("path", path)
-        w.saveAsTable(table)
+        _empty_writer(spark, spec, source_schema, path).mode("overwrite").saveAsTable(table)
         spark.catalog.refreshTable(table)
         return spark.table(table)
     return create_target(spark, spec, source_schema, table, path)
@@ -112,6 +121,31 @@ def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_c
     return path
 
 
+def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition_column: str,
+                       granularity: str = "month") -> str:
+    """Write only the partitions ``df`` covers and re-point those partitions of ``table``.
+
+    ``df`` must hold every row of each partition it touches (the merged rows
+    of the touched partitions).  Untouched partitions are neither read nor
+    rewritten; each touched one moves to its new directory in one catalog
+    call, so readers see the old or the new partition, never a half-written one.
+    """
+    path = fresh_path(spark, table.replace(".", "_") + "-partitions")
+    write_snapshot(df, path, partition_column, granularity)
+    pname = partition_column_name(resolve_name(df.schema, partition_column), granularity)
+    written = spark.read.parquet(path).select(pname).distinct()  # partition directories only
+    existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for (value,) in written.collect():
+        spec = f"{pname}=date'{value.isoformat()}'"
+        location = f"{path.rstrip('/')}/{pname}={value.isoformat()}"
+        if f"{pname}={value.isoformat()}" in existing:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{location}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+    return path
+
+
 def write_diffs(report: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Persist a comparison report (parquet, or csv with a header)."""
     w = report.coalesce(1).write.mode("errorifexists")

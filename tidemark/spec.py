@@ -81,6 +81,10 @@ class JobSpec:
     check_grace_hours: int = 5
     default_start: dt.datetime | None = None
     partition_granularity: str = "month"
+    # True: a row never changes partition, so a load may read and rewrite only
+    # the partitions its delta touches.  None: true when the partition column
+    # is one of the keys.
+    partition_scoped: bool | None = None
 
     def with_(self, **changes: Any) -> "JobSpec":
         return replace(self, **changes)
@@ -91,6 +95,14 @@ class JobSpec:
         sc = self.search_column
         return bool(sc and (sc.is_utc or "utc" in sc.name.lower()))
 
+    @property
+    def scoped_by_partition(self) -> bool:
+        if not self.partition_column:
+            return False
+        if self.partition_scoped is not None:
+            return self.partition_scoped
+        return self.partition_column.lower() in {k.lower() for k in self.keys}
+
     @classmethod
     def from_config(cls, cfg: Mapping[str, Any], name: str | None = None) -> "JobSpec":
         """Build a spec from a job file dict (upper-case keys)."""
