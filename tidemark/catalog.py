@@ -590,6 +590,27 @@ def q_partition_scoped_load(spark, sf):
     return spark.table(table).select(*BUSINESS, "mstr_load_id", "o_orderdate_month")
 
 
+@query("incremental_stream_load", f"""
+with {S_SQL}, {T_SQL}, {TH_SQL}, ST as (select * from S), {_merge_sql('TH', CHANGED_SQL)}
+select {_merged_business_sql()},
+  case when action in ('INSERT', 'UPDATE') then 7 else mstr_load_id end as mstr_load_id,
+  action in ('INSERT') as inserted
+from j""")
+def q_incremental_stream_load(spark, sf):
+    """The orders file as a stream; each micro-batch merged into the target (foreachBatch)."""
+    from tidemark.streaming import file_stream, start_incremental_load
+    table = _unique_table("orders_st")
+    fx.target_t(spark, sf, housekeeping=True).write.format("parquet") \
+        .option("path", fresh_path(spark, "orders_st")).saveAsTable(table)
+    stream = fx.shape_s(file_stream(spark, sf, glob="orders.parquet"))
+    q = start_incremental_load(spark, fx.orders_spec(target=TableRef(name=table)), stream, target_table=table,
+                               load_id_base=fx.RUN_LOAD_ID, user=fx.RUN_USER, clock=lambda: fx.RUN_TS)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.table(table).select(*BUSINESS, "mstr_load_id", (F.col("LST_MOD_USER") == "loader").alias("inserted"))
+
+
 @query("run_check", f"""
 with {S_SQL}, {T_SQL}, {ST_SQL}, {_merge_sql('T', CHANGED_SQL)},
 NT as (select case when action in ('INSERT', 'UPDATE') then s_o_orderkey else o_orderkey end as o_orderkey,

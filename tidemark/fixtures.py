@@ -29,7 +29,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def source_s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
+    return shape_s(read_table(spark, sf_dir, "orders"))
+
+
+def shape_s(o: DataFrame) -> DataFrame:
+    """S from an ``orders`` frame (batch or stream)."""
     k = F.col("o_orderkey")
     return o.select(
         "o_orderkey", "o_custkey",
