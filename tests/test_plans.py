@@ -46,3 +46,18 @@ def test_ids_single_partition_only_over_bucket_sizes(spark):
     block = [b for b in p.split("\n\n") if "SinglePartition" in b][0]
     inputs = [ln for ln in block.splitlines() if ln.startswith("Input")][0]
     assert inputs.startswith("Input [2]:") and "__b" in inputs and "__n" in inputs
+
+
+def test_scoped_load_reads_only_touched_partitions(spark):
+    import uuid
+    from tidemark.plans.jobs import scope_to_partitions
+    from tidemark.sources.target import publish_snapshot
+    from tidemark.spec import TableRef
+    table = f"tm_scope_{uuid.uuid4().hex[:8]}"
+    publish_snapshot(spark, table, fx.target_t(spark, SF_SMALL, housekeeping=True), "o_orderdate", "month")
+    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate", partition_scoped=True)
+    staged = period_filter(fx.source_s(spark, SF_SMALL), "o_orderdate", W)
+    sliced, scope = scope_to_partitions(spark.table(table), staged, spec, staged.schema)
+    assert 0 < len(scope) <= 12
+    scan = [ln for ln in plan_of(sliced).splitlines() if ln.startswith("PartitionFilters")][0]
+    assert "o_orderdate_month" in scan and ("IN (" in scan or "In(" in scan or "INSET" in scan.upper())

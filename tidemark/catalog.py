@@ -21,18 +21,18 @@ from tidemark.constants import ACTION_COL
 from tidemark.functions.period import Period, ntz, resolve_check_period, resolve_load_period
 from tidemark.functions.predicates import changed
 from tidemark.functions.udf import register_sql_function
-from tidemark.operators.compare import TablePair, compare_tables, empty_table_check, findings_frame, key_diffs, \
-    type_diffs
+from tidemark.operators.compare import (FINDING_SCHEMA, TablePair, compare_tables, empty_table_check,
+                                       findings_frame, key_diffs, type_diffs)
 from tidemark.operators.filters import period_filter, window_filter
 from tidemark.operators.merge import Stamp, action_counts, change_counts, merge_upsert
-from tidemark.operators.quality import duplicate_keys, profile_table, row_count
+from tidemark.operators.quality import constraint_violations, duplicate_keys, profile_table, row_count
 from tidemark.operators.reconcile import missing_in_source, missing_in_target, reconcile
 from tidemark.operators.shape import cast_partition_column, derived_columns, exclude_columns, rename_reserved
 from tidemark.plans.jobs import build_extract, readiness_report, run_batch, run_check, run_load
 from tidemark.session import fresh_path
 from tidemark.sources.readers import read_source, stage
-from tidemark.sources.target import create_target, publish_snapshot, recreate_target, write_snapshot
-from tidemark.spec import ExtraColumn, SearchColumn, TableRef
+from tidemark.sources.target import create_target, publish_snapshot, recreate_target, write_diffs, write_snapshot
+from tidemark.spec import ExtraColumn, JobSpec, SearchColumn, TableRef
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -421,6 +421,18 @@ def q_duplicate_keys(spark, sf):
     return duplicate_keys(fx.read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query("constraint_violations", """
+select 'primary_key' as "constraint", l_orderkey, l_linenumber, l_shipdate, count(*) as n from lineitem
+group by l_orderkey, l_linenumber, l_shipdate having count(*) > 1
+union all
+select 'unique_index', l_orderkey, null, l_shipdate, count(*) from lineitem
+group by l_orderkey, l_shipdate having count(*) > 1""")
+def q_constraint_violations(spark, sf):
+    spec = JobSpec("LINEITEM", TableRef(name="lineitem"), TableRef(name="lineitem_t"), ("l_orderkey",),
+                   SearchColumn("l_shipdate"), extra_key_columns=("l_linenumber",), partition_column="l_shipdate")
+    return constraint_violations(fx.read_table(spark, sf, "lineitem"), spec)
+
+
 RECONCILE_W_SQL = f"""
 with {S_SQL}, {T_SQL},
 ms as (select count(*) as c from T t where t.{W_SQL}
@@ -524,6 +536,18 @@ def q_compare_tables(spark, sf):
     return compare_tables(spark, pairs).select("pair", "kind", "column_name")
 
 
+@query("write_diffs", """
+select * from (values
+  ('orders', 'type_mismatch', 'o_custkey', 'src=bigint tgt=string'),
+  ('orders', 'missing_in_target', 'o_orderpriority', 'target has no column o_orderpriority')
+) v(pair, kind, column_name, detail)""")
+def q_write_diffs(spark, sf):
+    s, t = _altered_pair(spark, sf)
+    pairs = [TablePair("orders", lambda: s, lambda: t, ["o_orderkey"], ["o_orderkey"], "orders_s", "orders_t")]
+    path = write_diffs(compare_tables(spark, pairs), fresh_path(spark, "diffs"), fmt="csv")
+    return spark.read.schema(FINDING_SCHEMA).option("header", "true").csv(path)
+
+
 # --- A6 / H. jobs ------------------------------------------------------------------------------
 
 def _load_w(spark: SparkSession, sf: str):

@@ -100,12 +100,13 @@ def resolve_load_period(spec: JobSpec, start: dt.datetime | None, end: dt.dateti
 
 
 def resolve_check_period(spec: JobSpec, start: dt.datetime | None, end: dt.datetime | None, *,
-                         now: dt.datetime, earliest: dt.datetime = NO_EARLIEST_OVERRIDE,
+                         now: dt.datetime, earliest: dt.datetime | None = NO_EARLIEST_OVERRIDE,
                          source: DataFrame | None = None, session_zone: str = "UTC") -> Period:
     """C5 -> C4 -> C1 -> C2, in the order the check applies them (no C3)."""
     if spec.search_column is None:
         return Period(start, end, None, None)
-    if earliest != NO_EARLIEST_OVERRIDE and source is not None:
+    # NULL compares unknown in the original check, so it does not override.
+    if earliest is not None and earliest != NO_EARLIEST_OVERRIDE and source is not None:
         start = source_min(source, spec.search_column.name)
     if end is not None:
         end = end + dt.timedelta(hours=spec.check_grace_hours)

@@ -63,3 +63,19 @@ def constraint_keys(spec: JobSpec) -> dict[str, list[str]]:
     add(ux, spec.partition_column)
     add(ux, spec.search_column.name if spec.search_column else None)
     return {"primary_key": [target_name(c) for c in pk], "unique_index": [target_name(c) for c in ux]}
+
+
+def constraint_violations(df: DataFrame, spec: JobSpec) -> DataFrame:
+    """E5 on a target: duplicates under the primary key and under the unique index.
+
+    One row per duplicated key value: ``constraint``, the key columns (NULL
+    where a column is not part of that constraint) and ``n``.
+    """
+    frames = []
+    for name, cols in constraint_keys(spec).items():
+        d = duplicate_keys(df, cols)
+        frames.append(d.select(F.lit(name).alias("constraint"), *d.columns))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out

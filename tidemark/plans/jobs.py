@@ -74,6 +74,21 @@ def build_extract(source: DataFrame, spec: JobSpec, period: Period | None, apply
     return rename_reserved(df)
 
 
+def scope_to_partitions(target: DataFrame, staged: DataFrame, spec: JobSpec,
+                        source_schema: T.StructType) -> tuple[DataFrame, list]:
+    """The target partitions a delta touches, as a partition-pruned slice.
+
+    The touched values come from the staged copy (one per partition, so a
+    handful); the filter is on the partition column itself, so the scan
+    lists and reads only those directories (``PartitionFilters``).
+    """
+    col = target_name(resolve_name(source_schema, spec.partition_column))
+    pname = resolve_name(target.schema, partition_column_name(col, spec.partition_granularity))
+    pv = partition_value(F.col(col), spec.partition_granularity)
+    scope = [r[0] for r in staged.select(pv.alias("p")).distinct().collect()]
+    return target.where(F.col(pname).isin(scope)), scope
+
+
 def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = None,
              end: dt.datetime | None = None, *, load_id: int, now: dt.datetime | None = None,
              user: str | None = None, source_df: DataFrame | None = None, target_df: DataFrame | None = None,
@@ -117,14 +132,9 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
                                           spec.partition_granularity)
         has_ids = any(f.name.upper() == "ID" for f in target.schema.fields)
         if spec.scoped_by_partition and target_table and has_column(target.schema, pname):
-            # Only the partitions the delta touches (a handful of values: read
-            # from the staged copy) are read, merged and re-pointed.
-            pv = partition_value(F.col(target_name(resolve_name(source.schema, spec.partition_column))),
-                                 spec.partition_granularity)
-            scope = [r[0] for r in staged.select(pv.alias("p")).distinct().collect()]
             if has_ids:
                 id_base = max_id(target, resolve_name(target.schema, "ID"))
-            target = target.where(F.col(resolve_name(target.schema, pname)).isin(scope))
+            target, scope = scope_to_partitions(target, staged, spec, source.schema)
         if pname and has_column(target.schema, pname):
             target = target.drop(resolve_name(target.schema, pname))
         stamp = Stamp(load_id, now, user)
