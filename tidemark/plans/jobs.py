@@ -147,7 +147,7 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
         out = business_view(observed)
         part = target_name(spec.partition_column) if spec.partition_column else None
         if target_table and target_df is None and scope is not None:
-            snapshot = publish_partitions(spark, target_table, out, part, spec.partition_granularity)
+            snapshot = publish_partitions(spark, target_table, out, part, spec.partition_granularity, scope)
         elif target_table and target_df is None:
             snapshot = publish_snapshot(spark, target_table, out, part, spec.partition_granularity)
         elif output_path:

@@ -122,26 +122,31 @@ def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_c
 
 
 def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition_column: str,
-                       granularity: str = "month") -> str:
+                       granularity: str = "month", values: list | None = None) -> str:
     """Write only the partitions ``df`` covers and re-point those partitions of ``table``.
 
     ``df`` must hold every row of each partition it touches (the merged rows
-    of the touched partitions).  Untouched partitions are neither read nor
-    rewritten; each touched one moves to its new directory in one catalog
-    call, so readers see the old or the new partition, never a half-written one.
+    of the touched partitions); ``values`` lists those partitions when known.
+    Untouched partitions are neither read nor rewritten; each touched one
+    moves to its new directory in one catalog call, so readers see the old
+    or the new partition, never a half-written one.
     """
-    path = fresh_path(spark, table.replace(".", "_") + "-partitions")
+    path = fresh_path(spark, table.replace(".", "_") + "-partitions").rstrip("/")
     write_snapshot(df, path, partition_column, granularity)
     pname = partition_column_name(resolve_name(df.schema, partition_column), granularity)
-    written = spark.read.parquet(path).select(pname).distinct()  # partition directories only
+    if values is None:
+        values = [r[0] for r in spark.read.parquet(path).select(pname).distinct().collect()]
     existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    for (value,) in written.collect():
-        spec = f"{pname}=date'{value.isoformat()}'"
-        location = f"{path.rstrip('/')}/{pname}={value.isoformat()}"
-        if f"{pname}={value.isoformat()}" in existing:
+    new_parts = []
+    for value in values:
+        v = value.isoformat()
+        spec, location = f"{pname}=date'{v}'", f"{path}/{pname}={v}"
+        if f"{pname}={v}" in existing:
             spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{location}'")
         else:
-            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{location}'")
+            new_parts.append(f"PARTITION ({spec}) LOCATION '{location}'")
+    if new_parts:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(new_parts))
     spark.catalog.refreshTable(table)
     return path
 

@@ -27,6 +27,7 @@ from tidemark.spec import JobSpec
 def already_loaded(spark: SparkSession, history_table: str, job: str, load_id: int) -> bool:
     if not spark.catalog.tableExists(history_table):
         return False
+    spark.catalog.refreshTable(history_table)
     done = spark.table(history_table).where(
         (F.col("job") == job) & (F.col("load_id") == load_id) & (F.col("status") == "FINISHED")
         & F.col("error").isNull())
@@ -49,6 +50,11 @@ def start_incremental_load(spark: SparkSession, spec: JobSpec, source_stream: Da
         # The batch is the delta: no window filter, bounds recorded as the run time.
         run_load(batch.sparkSession, spec, now, now, load_id=load_id, now=now, user=user, source_df=batch,
                  target_table=target_table, history_table=history_table, apply_window=False, plan=plan)
+        # The stream runs in a cloned session; the caller's session caches
+        # relations of its own, so point it at the new snapshot as well.
+        for t in (target_table, history_table):
+            if t and spark.catalog.tableExists(t):
+                spark.catalog.refreshTable(t)
 
     writer = source_stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
