@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import fresh_path
 from tidemark.spec import TableRef
@@ -39,8 +40,9 @@ def stage(df: DataFrame, how: str = "table") -> tuple[DataFrame, int]:
         staged = df.checkpoint(eager=True)
     elif how == "table":
         path = fresh_path(spark, "staged")
-        df.write.mode("errorifexists").parquet(path)
-        staged = spark.read.parquet(path)
+        obs = Observation("staged_rows")
+        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
+        return spark.read.parquet(path), int(obs.get["n"])  # counted in the write's own pass
     elif how == "none":
         staged = df
     else:

@@ -7,9 +7,10 @@ and the catalog table is re-pointed at it; readers keep a consistent view.
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,54 +89,71 @@ def partition_column_name(column: str, granularity: str = "month") -> str:
 
 def write_snapshot(df: DataFrame, path: str, partition_column: str | None = None,
                    granularity: str = "month", mode: str = "errorifexists") -> str:
-    """A5: write ``df`` to ``path``, partitioned on a truncated datetime column.
+    """A5: write ``df`` to ``path``, partitioned on a truncated datetime column."""
+    _write_partitioned(df, path, partition_column, granularity, mode)
+    return path
+
+
+def _write_partitioned(df: DataFrame, path: str, partition_column: str | None, granularity: str,
+                       mode: str = "errorifexists") -> list | None:
+    """Write, and return the partition values written (observed in the same pass).
 
     ``rebalance`` lets AQE even out task sizes by partition value: a month
     holding a third of all rows is split over many tasks instead of one,
-    and tiny months are coalesced.
+    and tiny months are coalesced.  The set of partition values is bounded by
+    the number of partitions, so it is gathered as an observed metric.
     """
-    w_df = df
-    parts: list[str] = []
-    if partition_column:
-        c = resolve_name(df.schema, partition_column)
-        pname = partition_column_name(c, granularity)
-        w_df = df.withColumn(pname, partition_value(F.col(c), granularity)).hint("rebalance", pname)
-        parts = [pname]
-    writer = w_df.write.mode(mode).format("parquet")
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.save(path)
-    return path
+    if not partition_column:
+        df.write.mode(mode).format("parquet").save(path)
+        return None
+    c = resolve_name(df.schema, partition_column)
+    pname = partition_column_name(c, granularity)
+    obs = Observation(f"partitions-{uuid.uuid4().hex[:8]}")
+    w_df = (df.withColumn(pname, partition_value(F.col(c), granularity))
+              .observe(obs, F.collect_set(pname).alias("values"))
+              .hint("rebalance", pname))
+    w_df.write.mode(mode).format("parquet").partitionBy(pname).save(path)
+    return sorted(obs.get["values"])
+
+
+def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
 def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_column: str | None = None,
                      granularity: str = "month") -> str:
-    """Write a new snapshot of ``table`` and re-point the catalog table at it."""
-    path = fresh_path(spark, table.replace(".", "_") + "-snapshot")
-    write_snapshot(df, path, partition_column, granularity)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """Write a new full snapshot of ``table`` and point the catalog at it.
+
+    An existing table with the same columns is switched in one catalog call
+    per location (the table's, or each partition's), so readers see the old
+    or the new data.  A new table, or one whose columns changed, is created
+    afresh.
+    """
+    path = fresh_path(spark, table.replace(".", "_") + "-snapshot").rstrip("/")
+    values = _write_partitioned(df, path, partition_column, granularity)
+    pname = partition_column_name(resolve_name(df.schema, partition_column), granularity) if partition_column else None
+    if spark.catalog.tableExists(table):
+        current = spark.table(table).schema
+        new_names = [f.name.lower() for f in df.schema.fields] + ([pname.lower()] if pname else [])
+        same = sorted(f.name.lower() for f in current.fields) == sorted(new_names)
+        parts = _partition_columns(spark, table)
+        if same and not pname and not parts:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return path
+        if same and pname and [c.lower() for c in parts] == [pname.lower()]:
+            _repoint_partitions(spark, table, path, pname, values)
+            return path
+        spark.sql(f"DROP TABLE {table}")
     spark.catalog.createTable(table, path=path, source="parquet")
-    if partition_column:
+    if pname:
         spark.sql(f"MSCK REPAIR TABLE {table}")
     spark.catalog.refreshTable(table)
     return path
 
 
-def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition_column: str,
-                       granularity: str = "month", values: list | None = None) -> str:
-    """Write only the partitions ``df`` covers and re-point those partitions of ``table``.
-
-    ``df`` must hold every row of each partition it touches (the merged rows
-    of the touched partitions); ``values`` lists those partitions when known.
-    Untouched partitions are neither read nor rewritten; each touched one
-    moves to its new directory in one catalog call, so readers see the old
-    or the new partition, never a half-written one.
-    """
-    path = fresh_path(spark, table.replace(".", "_") + "-partitions").rstrip("/")
-    write_snapshot(df, path, partition_column, granularity)
-    pname = partition_column_name(resolve_name(df.schema, partition_column), granularity)
-    if values is None:
-        values = [r[0] for r in spark.read.parquet(path).select(pname).distinct().collect()]
+def _repoint_partitions(spark: SparkSession, table: str, path: str, pname: str, values: list) -> None:
+    """Point each listed partition of ``table`` at ``path/pname=value`` (adding new ones)."""
     existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     new_parts = []
     for value in values:
@@ -148,6 +166,23 @@ def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition
     if new_parts:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(new_parts))
     spark.catalog.refreshTable(table)
+
+
+def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition_column: str,
+                       granularity: str = "month", values: list | None = None) -> str:
+    """Write only the partitions ``df`` covers and re-point those partitions of ``table``.
+
+    ``df`` must hold every row of each partition it touches (the merged rows
+    of the touched partitions); ``values`` lists those partitions when known.
+    Untouched partitions are neither read nor rewritten; each touched one
+    moves to its new directory in one catalog call, so readers see the old
+    or the new partition, never a half-written one.
+    """
+    path = fresh_path(spark, table.replace(".", "_") + "-partitions").rstrip("/")
+    written = _write_partitioned(df, path, partition_column, granularity)
+    pname = partition_column_name(resolve_name(df.schema, partition_column), granularity)
+    values = written if values is None else values
+    _repoint_partitions(spark, table, path, pname, values)
     return path
 
 
