@@ -22,6 +22,7 @@ Plans (chosen by ``plan_merge`` from a checked size of the staged side):
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 from typing import Callable, Sequence
@@ -193,9 +194,12 @@ def action_counts(merged: DataFrame) -> DataFrame:
     return merged.groupBy(F.col(ACTION_COL).alias("action")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def observe_counts(merged: DataFrame, name: str = "merge_counts") -> tuple[DataFrame, Observation]:
-    """E3 inside the write's own pass: no second job over the merged rows."""
-    obs = Observation(name)
+def observe_counts(merged: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
+    """E3 inside the write's own pass: no second job over the merged rows.
+
+    Observation names are unique per call: loads may run concurrently (H3).
+    """
+    obs = Observation(name or f"merge-counts-{uuid.uuid4().hex[:12]}")
     a = F.col(ACTION_COL)
     observed = merged.observe(
         obs,

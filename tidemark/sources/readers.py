@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +42,7 @@ def stage(df: DataFrame, how: str = "table") -> tuple[DataFrame, int]:
         staged = df.checkpoint(eager=True)
     elif how == "table":
         path = fresh_path(spark, "staged")
-        obs = Observation("staged_rows")
+        obs = Observation(f"staged-rows-{uuid.uuid4().hex[:12]}")  # unique: jobs may run concurrently
         df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
         return spark.read.parquet(path), int(obs.get["n"])  # counted in the write's own pass
     elif how == "none":
