@@ -37,12 +37,15 @@ def assign_ids(df: DataFrame, base: int | Column, order_by: Sequence[str], *, id
     sizes = b.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select(
         "__b", (F.sum("__n").over(Window.orderBy("__b")) - F.col("__n")).alias("__off"))
-    order = [F.col(c).asc_nulls_first() for c in list(order_by) + [c for c in cols if c not in order_by]]
-    numbered = (b.join(F.broadcast(offsets), "__b")
+    # Keys first; one content hash breaks ties (only rows with equal keys,
+    # i.e. NULL keys, need it), so the sort compares at most one extra long.
+    order = [F.col(c).asc_nulls_first() for c in order_by] + [F.col("__h")]
+    numbered = (b.withColumn("__h", F.xxhash64(*[F.col(c) for c in cols], F.lit("tiebreak")))
+                 .join(F.broadcast(offsets), "__b")
                  .withColumn("__rn", F.row_number().over(Window.partitionBy("__b").orderBy(*order))))
     base_col = base if isinstance(base, Column) else F.lit(base)
     return (numbered.withColumn(id_col, (base_col + F.col("__off") + F.col("__rn")).cast("long"))
-                    .drop("__b", "__off", "__rn"))
+                    .drop("__b", "__off", "__rn", "__h"))
 
 
 def max_id(target: DataFrame, id_col: str = "ID") -> int:

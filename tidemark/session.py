@@ -14,6 +14,20 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings the jobs are written for.  On a cluster, also size
+# spark.sql.shuffle.partitions to the largest shuffle (AQE coalesces it down).
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.timestampType": "TIMESTAMP_NTZ",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "tidemark",
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """A session configured the way the library expects (tests, bench, CLI)."""
@@ -22,13 +36,9 @@ def build_session(master: str | None = None, app: str = "tidemark",
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.timestampType", "TIMESTAMP_NTZ")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in RECOMMENDED_CONF.items():
+        builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in conf.items():

@@ -27,6 +27,24 @@ def read_source(spark: SparkSession, ref: TableRef) -> DataFrame:
     raise ValueError(f"table reference has neither name nor path: {ref}")
 
 
+def jdbc_source(url: str, table: str, *, partition_column: str | None = None, lower=None, upper=None,
+                num_partitions: int | None = None, fetch_size: int = 10_000, **props: str) -> TableRef:
+    """A1 for a remote table: a parallel JDBC read.
+
+    With ``partition_column`` (an indexed numeric/date column, e.g. the search
+    column with the window bounds as ``lower``/``upper``) Spark issues
+    ``num_partitions`` range queries at once instead of one.  Filters applied
+    to the frame afterwards (the window, B8) are pushed into those queries.
+    """
+    opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **props}
+    if partition_column:
+        if lower is None or upper is None or not num_partitions:
+            raise ValueError("a partitioned JDBC read needs lower, upper and num_partitions")
+        opts.update(partitionColumn=partition_column, lowerBound=str(lower), upperBound=str(upper),
+                    numPartitions=str(num_partitions))
+    return TableRef(format="jdbc", options=opts)
+
+
 def stage(df: DataFrame, how: str = "table") -> tuple[DataFrame, int]:
     """A2: materialise the extract once so the merge and the counts see the same rows.
 
