@@ -106,3 +106,11 @@ def test_jdbc_source_options():
     assert ref.options["partitionColumn"] == "UPDATE_DTTM" and ref.options["dbtable"] == "MWH.T1"
     with pytest.raises(ValueError):
         jdbc_source("jdbc:x", "t", partition_column="c")
+
+
+def test_check_without_search_column(spark):
+    spec = fx.orders_spec(search_column=None)
+    chk = run_check(spark, spec, None, None, load_id=2, now=D(2030, 1, 1),
+                    source_df=fx.source_s(spark, SF_SMALL), target_df=fx.target_t(spark, SF_SMALL))
+    assert chk.trg_miss > 0 and chk.src_miss > 0
+    assert chk.min_miss_dttm is None and chk.message is None

@@ -195,8 +195,10 @@ def run_check(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = No
         r = reconcile(source, target, spec.keys, col, period if col else None).first()
         src_miss, trg_miss, min_miss = int(r["src_miss"]), int(r["trg_miss"]), r["min_miss_dttm"]
         if trg_miss > 0:
-            message = MISSING_MESSAGE.format(job=base["job"], dttm=format_ts(min_miss),
-                                             start=base["period_start"], end=base["period_end"])
+            parts = (format_ts(min_miss), base["period_start"], base["period_end"])
+            # Text joined with a NULL date is NULL (no search column: no dates).
+            message = None if None in parts else MISSING_MESSAGE.format(
+                job=base["job"], dttm=parts[0], start=parts[1], end=parts[2])
     except Exception as e:
         error, exc = f"{type(e).__name__}: {str(e).splitlines()[0][:500]}", e
     records.append(HistoryRecord(status="FINISHED", event_dttm=now, insert_cnt=src_miss, update_cnt=trg_miss,
