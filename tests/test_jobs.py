@@ -114,3 +114,20 @@ def test_check_without_search_column(spark):
                     source_df=fx.source_s(spark, SF_SMALL), target_df=fx.target_t(spark, SF_SMALL))
     assert chk.trg_miss > 0 and chk.src_miss > 0
     assert chk.min_miss_dttm is None and chk.message is None
+
+
+def test_ids_continue_from_history(spark):
+    hist = f"tm_h_{uuid.uuid4().hex[:8]}"
+    table = _table(spark, fx.target_t(spark, SF_SMALL, housekeeping=True), "ids_t")
+    spec = fx.orders_spec(target=TableRef(name=table))
+    src = fx.source_s(spark, SF_SMALL)
+    base = spark.table(table).agg({"id": "max"}).first()[0]
+    r1 = run_load(spark, spec, fx.W_START, fx.W_END, load_id=1, now=D(2030, 1, 1), source_df=src,
+                  history_table=hist)
+    fin = spark.table(hist).where("status = 'FINISHED'").first()
+    assert fin.max_id == base + r1.insert_cnt
+    r2 = run_load(spark, spec, D(1997, 1, 1), D(1997, 12, 31), load_id=2, now=D(2030, 1, 2), source_df=src,
+                  history_table=hist)
+    ids = spark.table(table).where("MSTR_LOAD_ID = 2 and INSERT_DTTM = timestamp'2030-01-02'")
+    got = ids.agg({"id": "min"}).first()[0], ids.agg({"id": "max"}).first()[0]
+    assert r2.insert_cnt > 0 and got == (fin.max_id + 1, fin.max_id + r2.insert_cnt)

@@ -24,7 +24,7 @@ from tidemark.operators.quality import duplicate_keys
 from tidemark.operators.reconcile import reconcile
 from tidemark.operators.shape import cast_partition_column, exclude_columns, rename_reserved, target_name
 from tidemark.plans.strategy import plan_merge
-from tidemark.sources.history import HistoryRecord, append_history, format_ts, history_frame
+from tidemark.sources.history import HistoryRecord, append_history, format_ts, history_frame, last_max_id
 from tidemark.sources.readers import read_source, stage
 from tidemark.operators.surrogate import max_id
 from tidemark.sources.target import (create_target, partition_column_name, partition_value, publish_partitions,
@@ -113,7 +113,7 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
                 eff_start=period.eff_start, eff_end=period.eff_end)
     records = [HistoryRecord(status="START", event_dttm=now, **base)]
     staged_cnt = ins = upd = 0
-    chosen, snapshot, error, exc = "", None, None, None
+    chosen, snapshot, error, exc, id_base = "", None, None, None, None
     try:
         extract = build_extract(source, spec, period, apply_window)
         staged, staged_cnt = stage(extract, staging)
@@ -126,14 +126,18 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
             target = target_df
         else:
             target = create_target(spark, spec, source.schema, target_table)
-        pname, scope, id_base = None, None, None
+        pname, scope = None, None
         if spec.partition_column:
             pname = partition_column_name(target_name(resolve_name(source.schema, spec.partition_column)),
                                           spec.partition_granularity)
         has_ids = any(f.name.upper() == "ID" for f in target.schema.fields)
-        if spec.scoped_by_partition and target_table and has_column(target.schema, pname):
-            if has_ids:
+        if has_ids:
+            # Largest id so far: recorded by the last successful load, else one
+            # aggregate over the target's ID column.
+            id_base = last_max_id(spark, history_table, spec.name)
+            if id_base is None:
                 id_base = max_id(target, resolve_name(target.schema, "ID"))
+        if spec.scoped_by_partition and target_table and has_column(target.schema, pname):
             target, scope = scope_to_partitions(target, staged, spec, source.schema)
         if pname and has_column(target.schema, pname):
             target = target.drop(resolve_name(target.schema, pname))
@@ -158,8 +162,9 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
         ins, upd = int(m["insert_cnt"]), int(m["update_cnt"])
     except Exception as e:  # recorded, then raised again
         error, exc = f"{type(e).__name__}: {str(e).splitlines()[0][:500]}", e
+    new_max = id_base + ins if (id_base is not None and error is None) else None
     records.append(HistoryRecord(status="FINISHED", event_dttm=now, staged_cnt=staged_cnt, insert_cnt=ins,
-                                 update_cnt=upd, delete_cnt=0, error=error, **base))
+                                 update_cnt=upd, delete_cnt=0, error=error, max_id=new_max, **base))
     hist = append_history(spark, records, path=history_path, table=history_table)
     if exc is not None and raise_errors:
         raise exc

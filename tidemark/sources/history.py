@@ -25,6 +25,7 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("delete_cnt", T.LongType(), True),
     T.StructField("error", T.StringType(), True),
     T.StructField("message", T.StringType(), True),
+    T.StructField("max_id", T.LongType(), True),
 ])
 
 
@@ -51,6 +52,7 @@ class HistoryRecord:
     delete_cnt: int | None = 0
     error: str | None = None
     message: str | None = ""
+    max_id: int | None = None
 
 
 def history_frame(spark: SparkSession, records: list[HistoryRecord]) -> DataFrame:
@@ -67,3 +69,20 @@ def append_history(spark: SparkSession, records: list[HistoryRecord], path: str
     elif path:
         df.coalesce(1).write.mode("append").parquet(path)
     return df
+
+
+def last_max_id(spark: SparkSession, history_table: str | None, job: str) -> int | None:
+    """The largest id recorded by a successful load of ``job`` (None if unknown).
+
+    Ids are dense, so a load records ``id_base + inserts``; the next load of
+    the same target starts there instead of scanning the target's ID column.
+    """
+    if not history_table or not spark.catalog.tableExists(history_table):
+        return None
+    h = spark.table(history_table)
+    if "max_id" not in h.columns:
+        return None
+    from pyspark.sql import functions as F
+    row = h.where((F.col("job") == job) & (F.col("status") == "FINISHED") & F.col("error").isNull()) \
+           .agg(F.max("max_id").alias("m")).first()
+    return None if row is None or row["m"] is None else int(row["m"])
