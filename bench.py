@@ -1,7 +1,7 @@
 """Headline timings: prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3; the median is reported after one warm-up run).
+BENCH_RUNS (default 5; the median is reported after one warm-up run).
 Each query runs to completion through the ``noop`` sink (no collect).
 """
 
@@ -73,7 +73,7 @@ def scoped_month_load(spark, sf):
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(f"local[{cpus}]", app="tidemark-bench", shuffle_partitions=int(cpus) * 2,
                           **{"spark.driver.memory": "8g"})
     timings = {}
