@@ -348,9 +348,10 @@ def q_merge_actions(spark, sf):
 
 @query("change_counts", f"""
 with {S_SQL}, {T_SQL}, {ST_SQL}, {_merge_sql('T', CHANGED_SQL)}
-select count_if(action = 'INSERT') as insert_cnt, count_if(action = 'UPDATE') as update_cnt,
-       cast(0 as bigint) as delete_cnt, count_if(action = 'UNCHANGED') as unchanged_cnt,
-       count_if(action = 'TARGET_ONLY') as target_only_cnt from j""")
+select cast(count_if(action = 'INSERT') as bigint) as insert_cnt,
+       cast(count_if(action = 'UPDATE') as bigint) as update_cnt,
+       cast(0 as bigint) as delete_cnt, cast(count_if(action = 'UNCHANGED') as bigint) as unchanged_cnt,
+       cast(count_if(action = 'TARGET_ONLY') as bigint) as target_only_cnt from j""")
 def q_change_counts(spark, sf):
     m = merge_upsert(fx.target_t(spark, sf), _staged(spark, sf), ["o_orderkey"],
                      ["o_orderstatus", "o_totalprice"], stamp=STAMP)

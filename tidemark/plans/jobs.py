@@ -24,7 +24,7 @@ from tidemark.operators.quality import duplicate_keys
 from tidemark.operators.reconcile import reconcile
 from tidemark.operators.shape import cast_partition_column, exclude_columns, rename_reserved, target_name
 from tidemark.plans.strategy import plan_merge
-from tidemark.sources.history import HistoryRecord, append_history, format_ts, history_frame, last_max_id
+from tidemark.sources.history import HistoryRecord, append_history, format_ts, last_max_id
 from tidemark.sources.readers import read_source, stage
 from tidemark.operators.surrogate import max_id
 from tidemark.sources.target import (create_target, partition_column_name, partition_value, publish_partitions,
@@ -317,5 +317,5 @@ READINESS_SCHEMA = T.StructType([
 ])
 
 
-__all__ = ["run_load", "run_check", "run_batch", "readiness_report", "build_extract", "LoadResult",
-           "CheckResult", "DuplicateKeyError", "history_frame"]
+__all__ = ["run_load", "run_check", "run_batch", "readiness_report", "build_extract", "scope_to_partitions",
+           "LoadResult", "CheckResult", "DuplicateKeyError"]
