@@ -119,3 +119,20 @@ def test_merge_into_reaches_the_catalog(spark):
     s = spark.createDataFrame([(1, 2, "b")], "k long, c long, v string")
     with pytest.raises(Exception, match="MERGE INTO"):
         merge_into_table(s, name, ["k"], ["c"], stamp=STAMP)
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_case_insensitive_collation(spark, plan):
+    from tidemark.operators.quality import duplicate_keys
+    from tidemark.operators.reconcile import missing_in_target, reconcile
+    s = spark.createDataFrame([("abc", "X"), ("new", "y"), ("Q", "z")], "k string, v string")
+    t = spark.createDataFrame([("ABC", "x", -1), ("q", "Z2", -1)], "k string, v string, mstr_load_id int")
+    m = merge_upsert(t, s, ["k"], ["v"], stamp=STAMP, plan=plan, collation="UNICODE_CI")
+    got = sorted((r["k"], r[ACTION_COL]) for r in m.collect())
+    assert got == [("ABC", "UNCHANGED"), ("Q", "UPDATE"), ("new", "INSERT")]
+    byte_wise = merge_upsert(t, s, ["k"], ["v"], stamp=STAMP, plan=plan)
+    assert byte_wise.where(F.col(ACTION_COL) == "INSERT").count() == 3
+    r = reconcile(s, t, ["k"], collation="UNICODE_CI").first()
+    assert (r.src_miss, r.trg_miss) == (0, 1)
+    assert [x.k for x in missing_in_target(s, t, ["k"], collation="UNICODE_CI").collect()] == ["new"]
+    assert duplicate_keys(spark.createDataFrame([("a",), ("A",)], "k string"), ["k"], "UNICODE_CI").count() == 1

@@ -29,7 +29,7 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tidemark.constants import ACTION_COL, INSERT, TARGET_ONLY, UNCHANGED, UPDATE
 from tidemark.functions.period import ntz
@@ -100,11 +100,12 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
                  check_columns: Sequence[str] = (), extra_columns: Sequence[ExtraColumn] = (), *,
                  stamp: Stamp | None = None, plan: str = "auto", staged_rows: int | None = None,
                  broadcast_max_bytes: int | None = None, salt_buckets: int | None = None,
-                 id_base: int | None = None) -> DataFrame:
+                 id_base: int | None = None, collation: str | None = None) -> DataFrame:
     """D1 (check columns given) / D2 (none: every match updates).
 
     ``id_base``: the largest id already used (default: ``max(ID)`` of ``target``;
-    pass it when ``target`` is only a slice of the table).
+    pass it when ``target`` is only a slice of the table).  ``collation``:
+    string keys and check columns compare under it (e.g. ``UNICODE_CI``).
     """
     if not keys:
         raise SpecError("merge needs at least one key column")
@@ -125,7 +126,9 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     tschema = target.schema
     tcols = {f.name: f.dataType for f in tschema.fields}
     scols = list(staged.columns)
-    upd = changed(checks)
+    strings = {f.name for f in tschema.fields if isinstance(f.dataType, StringType)}
+    upd = changed(checks, collation=collation, strings=strings)
+    on = keys_equal(tkeys, collation=collation, strings=strings)
 
     if choice.name == "full_outer":
         n = salt_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -135,7 +138,7 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
         t = target.withColumn("__tp", F.lit(True)).withColumn(
             "__salt", F.when(any_null(target, tkeys),
                              F.pmod(F.xxhash64(*target.columns), F.lit(n))).otherwise(0))
-        cond = keys_equal(tkeys) & (F.col("target.__salt") == F.col("source.__salt"))
+        cond = on & (F.col("target.__salt") == F.col("source.__salt"))
         j = t.alias("target").join(s.alias("source"), cond, "full_outer")
         action = (F.when(F.col("target.__tp").isNull(), F.lit(INSERT))
                    .when(F.col("source.__sp").isNull(), F.lit(TARGET_ONLY))
@@ -147,18 +150,18 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     bcast = choice.name == "broadcast"
     side = F.broadcast if bcast else (lambda df: df)
     s = staged.withColumn("__sp", F.lit(True))
-    kept = target.alias("target").join(side(s).alias("source"), keys_equal(tkeys), "left")
+    kept = target.alias("target").join(side(s).alias("source"), on, "left")
     kept_action = (F.when(F.col("source.__sp").isNull(), F.lit(TARGET_ONLY))
                     .when(upd, F.lit(UPDATE)).otherwise(F.lit(UNCHANGED)))
     kept_out = kept.select(*_projection(tschema, scols, extras, kept_action,
                                         lambda c: F.col(f"source.{c}"), lambda c: F.col(f"target.{c}"),
                                         stamp, None))
     if bcast:
-        matched = (target.select(*tkeys).join(F.broadcast(staged.select(*tkeys)), tkeys, "left_semi")
-                   .distinct())
-        inserts = staged.join(F.broadcast(matched), tkeys, "left_anti")
+        matched = (target.select(*tkeys).alias("target")
+                   .join(F.broadcast(staged.select(*tkeys)).alias("source"), on, "left_semi").distinct())
+        inserts = staged.alias("source").join(F.broadcast(matched).alias("target"), on, "left_anti")
     else:
-        inserts = staged.join(target.select(*tkeys), tkeys, "left_anti")
+        inserts = staged.alias("source").join(target.select(*tkeys).alias("target"), on, "left_anti")
     new_id = None
     if has_id:
         id_name = resolve_name(tschema, "ID")

@@ -6,6 +6,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark.functions.period import month_span
 from tidemark.operators.shape import target_name
@@ -32,17 +33,20 @@ def profile_table(df: DataFrame, search_column: str | None = None) -> DataFrame:
     return prof.withColumn("month_cnt", month_span(F.col("min_value"), F.col("max_value")).cast("int"))
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def duplicate_keys(df: DataFrame, keys: Sequence[str], collation: str | None = None) -> DataFrame:
     """E5: keys that occur more than once, with their row counts.
 
     The count is combined map-side, so a hot key costs one row per task.
+    With ``collation``, string keys that are equal under it count as one key.
     """
     cols = [resolve_name(df.schema, k) for k in keys]
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    grp = [F.collate(F.col(c), collation).alias(c) if collation and c in strings else F.col(c) for c in cols]
+    return df.groupBy(*grp).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def has_duplicates(df: DataFrame, keys: Sequence[str]) -> bool:
-    return not duplicate_keys(df, keys).isEmpty()
+def has_duplicates(df: DataFrame, keys: Sequence[str], collation: str | None = None) -> bool:
+    return not duplicate_keys(df, keys, collation).isEmpty()
 
 
 def constraint_keys(spec: JobSpec) -> dict[str, list[str]]:

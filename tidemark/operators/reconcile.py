@@ -17,6 +17,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark.functions.period import Period
 from tidemark.operators.filters import period_filter
@@ -40,37 +41,49 @@ def _sides(source: DataFrame, target: DataFrame, keys: Sequence[str], search_col
     return source, target, skeys, tkeys, s_search, t_search
 
 
-def _anti(left: DataFrame, lkeys: list[str], right: DataFrame, rkeys: list[str]) -> DataFrame:
-    probe = right.select(*[F.col(r).alias(f"__k{i}") for i, r in enumerate(rkeys)]).distinct()
-    cond = [left[lk] == probe[f"__k{i}"] for i, lk in enumerate(lkeys)]
+def _key(df: DataFrame, name: str, collation: str | None):
+    """A key column, under ``collation`` when it is a string."""
+    col = F.col(name)
+    if collation and isinstance(df.schema[name].dataType, StringType):
+        return F.collate(col, collation)
+    return col
+
+
+def _anti(left: DataFrame, lkeys: list[str], right: DataFrame, rkeys: list[str],
+          collation: str | None = None) -> DataFrame:
+    probe = right.select(*[_key(right, r, collation).alias(f"__k{i}") for i, r in enumerate(rkeys)]).distinct()
+    cond = [_key(left, lk, collation) == probe[f"__k{i}"] for i, lk in enumerate(lkeys)]
     return left.join(probe, cond, "left_anti")
 
 
 def missing_in_source(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                      search_column: str | None = None, period: Period | None = None) -> DataFrame:
+                      search_column: str | None = None, period: Period | None = None,
+                      collation: str | None = None) -> DataFrame:
     """D3: target rows (in the window) with no source row (in the window)."""
     source, target, skeys, tkeys, _, t_search = _sides(source, target, keys, search_column, period)
     out = tkeys + ([t_search] if t_search and t_search not in tkeys else [])
-    return _anti(target, tkeys, source, skeys).select(*out)
+    return _anti(target, tkeys, source, skeys, collation).select(*out)
 
 
 def missing_in_target(source: DataFrame, target: DataFrame, keys: Sequence[str],
-                      search_column: str | None = None, period: Period | None = None) -> DataFrame:
+                      search_column: str | None = None, period: Period | None = None,
+                      collation: str | None = None) -> DataFrame:
     """Source rows (in the window) with no target row (in the window)."""
     source, target, skeys, tkeys, s_search, _ = _sides(source, target, keys, search_column, period)
     out = skeys + ([s_search] if s_search and s_search not in skeys else [])
-    return _anti(source, skeys, target, tkeys).select(*out)
+    return _anti(source, skeys, target, tkeys, collation).select(*out)
 
 
 def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str],
-              search_column: str | None = None, period: Period | None = None) -> DataFrame:
+              search_column: str | None = None, period: Period | None = None,
+              collation: str | None = None) -> DataFrame:
     """One row -- src_miss, trg_miss, min_miss_dttm (NULL without a search column)."""
     source, target, skeys, tkeys, s_search, _ = _sides(source, target, keys, search_column, period)
     kcols = [f"__k{i}" for i in range(len(skeys))]
     min_expr = F.min(F.col(s_search).cast("timestamp_ntz")) if s_search else F.lit(None).cast("timestamp_ntz")
-    s = (source.groupBy(*[F.col(c).alias(k) for c, k in zip(skeys, kcols)])
+    s = (source.groupBy(*[_key(source, c, collation).alias(k) for c, k in zip(skeys, kcols)])
                .agg(F.count(F.lit(1)).alias("__sn"), min_expr.alias("__smin")))
-    t = (target.groupBy(*[F.col(c).alias(k) for c, k in zip(tkeys, kcols)])
+    t = (target.groupBy(*[_key(target, c, collation).alias(k) for c, k in zip(tkeys, kcols)])
                .agg(F.count(F.lit(1)).alias("__tn")))
     cond = [s[k] == t[k] for k in kcols]
     j = s.join(t, cond, "full_outer")

@@ -118,7 +118,7 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
         extract = build_extract(source, spec, period, apply_window)
         staged, staged_cnt = stage(extract, staging)
         tkeys = [target_name(k) for k in spec.keys]
-        dups = duplicate_keys(staged, tkeys)
+        dups = duplicate_keys(staged, tkeys, spec.collation)
         if not dups.isEmpty():
             raise DuplicateKeyError(f"{spec.name}: staged extract repeats key(s) {tkeys}, "
                                     f"e.g. {dups.first().asDict()}")
@@ -146,7 +146,8 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
                             needs_ids=has_ids,
                             broadcast_max_bytes=broadcast_max_bytes).name
         merged = merge_upsert(target, staged, spec.keys, spec.check_columns, spec.extra_columns,
-                              stamp=stamp, plan=chosen, staged_rows=staged_cnt, id_base=id_base)
+                              stamp=stamp, plan=chosen, staged_rows=staged_cnt, id_base=id_base,
+                              collation=spec.collation)
         observed, obs = observe_counts(merged)
         out = business_view(observed)
         part = target_name(spec.partition_column) if spec.partition_column else None
@@ -197,7 +198,7 @@ def run_check(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = No
         if apply_residual:
             source = residual_filter(source, spec.search_condition)
         col = spec.search_column.name if spec.search_column else None
-        r = reconcile(source, target, spec.keys, col, period if col else None).first()
+        r = reconcile(source, target, spec.keys, col, period if col else None, spec.collation).first()
         src_miss, trg_miss, min_miss = int(r["src_miss"]), int(r["trg_miss"]), r["min_miss_dttm"]
         if trg_miss > 0:
             parts = (format_ts(min_miss), base["period_start"], base["period_end"])

@@ -85,6 +85,9 @@ class JobSpec:
     # the partitions its delta touches.  None: true when the partition column
     # is one of the keys.
     partition_scoped: bool | None = None
+    # String keys and check columns compare under this collation (e.g.
+    # "UNICODE_CI" for case-insensitive matching); None compares bytes.
+    collation: str | None = None
 
     def with_(self, **changes: Any) -> "JobSpec":
         return replace(self, **changes)
