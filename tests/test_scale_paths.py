@@ -73,3 +73,19 @@ def test_user_functions_in_extra_columns(spark):
                                ExtraColumn("n", "bigint", "tm_t_len(source.v)")])
     rows = {r.k: (r.c, r.n) for r in out.collect()}
     assert rows == {1: ("A", 3), 2: (None, None)}
+
+
+def test_full_snapshot_drops_partitions_emptied_by_moves(spark):
+    table = f"tm_mv_{uuid.uuid4().hex[:8]}"
+    tgt = spark.createDataFrame([(1, D(2024, 1, 5), "a"), (2, D(2024, 2, 5), "b")], "k long, d timestamp_ntz, v string")
+    publish_snapshot(spark, table, tgt, "d", "month")
+    # key k only: the partition column is not in the key, so a row may move months
+    spec = JobSpec("MV", TableRef(name="src"), TableRef(name=table), ("k",), SearchColumn("d"),
+                   check_columns=("d",), partition_column="d")
+    assert not spec.scoped_by_partition
+    src = _src(spark, [(1, D(2024, 3, 1), "a")])  # row 1 moves from January to March
+    run_load(spark, spec, D(2024, 1, 1), D(2024, 12, 31), load_id=3, now=D(2030, 1, 1), user="u", source_df=src)
+    rows = sorted((r.k, str(r.d_month)) for r in spark.table(table).collect())
+    assert rows == [(1, "2024-03-01"), (2, "2024-02-01")]
+    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    assert parts == {"d_month=2024-02-01", "d_month=2024-03-01"}

@@ -141,7 +141,7 @@ def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_c
             spark.catalog.refreshTable(table)
             return path
         if same and pname and [c.lower() for c in parts] == [pname.lower()]:
-            _repoint_partitions(spark, table, path, pname, values)
+            _repoint_partitions(spark, table, path, pname, values, drop_others=True)
             return path
         spark.sql(f"DROP TABLE {table}")
     spark.catalog.createTable(table, path=path, source="parquet")
@@ -151,9 +151,20 @@ def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_c
     return path
 
 
-def _repoint_partitions(spark: SparkSession, table: str, path: str, pname: str, values: list) -> None:
-    """Point each listed partition of ``table`` at ``path/pname=value`` (adding new ones)."""
+def _repoint_partitions(spark: SparkSession, table: str, path: str, pname: str, values: list,
+                        drop_others: bool = False) -> None:
+    """Point each listed partition of ``table`` at ``path/pname=value`` (adding new ones).
+
+    ``drop_others`` (a full snapshot): partitions the snapshot no longer has,
+    because an update moved all their rows elsewhere, are dropped from the
+    table so their old rows cannot show up twice.
+    """
     existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    if drop_others:
+        keep = {f"{pname}={v.isoformat()}" for v in values}
+        for gone in sorted(existing - keep):
+            v = gone.split("=", 1)[1]
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({pname}=date'{v}')")
     new_parts = []
     for value in values:
         v = value.isoformat()
