@@ -112,6 +112,7 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
                 period_start=format_ts(period.start), period_end=format_ts(period.end),
                 eff_start=period.eff_start, eff_end=period.eff_end)
     records = [HistoryRecord(status="START", event_dttm=now, **base)]
+    spark.sparkContext.setJobDescription(f"load {spec.name} #{load_id}")
     staged_cnt = ins = upd = 0
     chosen, snapshot, error, exc, id_base = "", None, None, None, None
     try:
@@ -167,6 +168,7 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
     records.append(HistoryRecord(status="FINISHED", event_dttm=now, staged_cnt=staged_cnt, insert_cnt=ins,
                                  update_cnt=upd, delete_cnt=0, error=error, max_id=new_max, **base))
     hist = append_history(spark, records, path=history_path, table=history_table)
+    spark.sparkContext.setJobDescription(None)
     if exc is not None and raise_errors:
         raise exc
     return LoadResult(period, staged_cnt, ins, upd, 0, chosen, snapshot, hist, error)
@@ -192,6 +194,7 @@ def run_check(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = No
                 target_table=spec.target.label, period_start=format_ts(period.start),
                 period_end=format_ts(period.end), eff_start=period.eff_start, eff_end=period.eff_end)
     records = [HistoryRecord(status="START", event_dttm=now, **base)]
+    spark.sparkContext.setJobDescription(f"check {spec.name} #{load_id}")
     src_miss = trg_miss = 0
     min_miss, message, error, exc = None, "", None, None
     try:
@@ -210,6 +213,7 @@ def run_check(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = No
     records.append(HistoryRecord(status="FINISHED", event_dttm=now, insert_cnt=src_miss, update_cnt=trg_miss,
                                  delete_cnt=0, error=error, message=message, **base))
     hist = append_history(spark, records, path=history_path, table=history_table)
+    spark.sparkContext.setJobDescription(None)
     if exc is not None and raise_errors:
         raise exc
     return CheckResult(period, src_miss, trg_miss, min_miss, message, hist, error)
