@@ -615,6 +615,19 @@ def q_partition_scoped_load(spark, sf):
     return spark.table(table).select(*BUSINESS, "mstr_load_id", "o_orderdate_month")
 
 
+@query("partitioned_target_load", ORACLE_SQL["partition_scoped_load"])
+def q_partitioned_target_load(spark, sf):
+    """A month-partitioned target keyed without the month: the load finds the partitions
+    it can change (the window's months plus those holding matched keys) and
+    re-points only those."""
+    table = _unique_table("orders_pk")
+    publish_snapshot(spark, table, fx.target_t(spark, sf, housekeeping=True), "o_orderdate", "month")
+    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate")
+    run_load(spark, spec, fx.W_START, fx.W_END, load_id=fx.RUN_LOAD_ID, now=fx.RUN_TS, user=fx.RUN_USER,
+             source_df=fx.source_s(spark, sf))
+    return spark.table(table).select(*BUSINESS, "mstr_load_id", "o_orderdate_month")
+
+
 @query("incremental_stream_load", f"""
 with {S_SQL}, {T_SQL}, {TH_SQL}, ST as (select * from S), {_merge_sql('TH', CHANGED_SQL)}
 select {_merged_business_sql()},

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.constants import MISSING_MESSAGE, NO_EARLIEST_OVERRIDE
 from tidemark.functions.period import Period, month_span, resolve_check_period, resolve_load_period
+from tidemark.functions.predicates import keys_equal
 from tidemark.operators.filters import period_filter, residual_filter
 from tidemark.operators.merge import Stamp, business_view, merge_upsert, observe_counts
 from tidemark.operators.quality import duplicate_keys
@@ -74,19 +75,34 @@ def build_extract(source: DataFrame, spec: JobSpec, period: Period | None, apply
     return rename_reserved(df)
 
 
-def scope_to_partitions(target: DataFrame, staged: DataFrame, spec: JobSpec,
-                        source_schema: T.StructType) -> tuple[DataFrame, list]:
-    """The target partitions a delta touches, as a partition-pruned slice.
+def scope_to_partitions(target: DataFrame, staged: DataFrame, spec: JobSpec, source_schema: T.StructType, *,
+                        matched_too: bool = True, broadcast: bool = True) -> tuple[DataFrame, list]:
+    """The target partitions a load can change, as a partition-pruned slice.
 
-    The touched values come from the staged copy (one per partition, so a
-    handful); the filter is on the partition column itself, so the scan
-    lists and reads only those directories (``PartitionFilters``).
+    A partition changes only if a staged row belongs to it (insert, or the
+    new home of an updated row) or it holds a target row whose key a staged
+    row matches (update; the row may move out).  The second set comes from a
+    semi join of the target's key and partition columns with the staged keys
+    (broadcast when the delta is small), so no target row is shuffled.
+    ``matched_too=False`` skips it when rows never change partition.  The
+    values are one per partition, so few; the slice filters on the partition
+    column, so the scan lists and reads only those directories.
     """
     col = target_name(resolve_name(source_schema, spec.partition_column))
     pname = resolve_name(target.schema, partition_column_name(col, spec.partition_granularity))
-    pv = partition_value(F.col(col), spec.partition_granularity)
-    scope = [r[0] for r in staged.select(pv.alias("p")).distinct().collect()]
-    return target.where(F.col(pname).isin(scope)), scope
+    parts = staged.select(partition_value(F.col(col), spec.partition_granularity).alias("p"))
+    if matched_too:
+        tkeys = [resolve_name(target.schema, target_name(k)) for k in spec.keys]
+        strings = {f.name for f in target.schema.fields if isinstance(f.dataType, T.StringType)}
+        probe = staged.select(*tkeys)
+        probe = F.broadcast(probe) if broadcast else probe
+        hit = (target.select(*tkeys, pname).alias("target")
+               .join(probe.alias("source"), keys_equal(tkeys, collation=spec.collation, strings=strings),
+                     "left_semi")
+               .select(F.col(pname).alias("p")))
+        parts = parts.unionByName(hit)
+    scope = [r[0] for r in parts.distinct().collect()]
+    return target.where(F.col(pname).isin([v for v in scope if v is not None])), scope
 
 
 def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = None,
@@ -138,14 +154,21 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
             id_base = last_max_id(spark, history_table, spec.name)
             if id_base is None:
                 id_base = max_id(target, resolve_name(target.schema, "ID"))
-        if spec.scoped_by_partition and target_table and has_column(target.schema, pname):
-            target, scope = scope_to_partitions(target, staged, spec, source.schema)
+        chosen = plan_merge(spark, staged, plan, staged_rows=staged_cnt, needs_ids=has_ids,
+                            broadcast_max_bytes=broadcast_max_bytes).name
+        if pname and target_table and target_df is None and has_column(target.schema, pname):
+            # Partitioned target: merge and re-point only the partitions the
+            # load can change (no NULL partition values; those republish all).
+            sliced, scope = scope_to_partitions(target, staged, spec, source.schema,
+                                                matched_too=not spec.scoped_by_partition,
+                                                broadcast=chosen == "broadcast")
+            if None in scope:
+                scope = None
+            else:
+                target = sliced
         if pname and has_column(target.schema, pname):
             target = target.drop(resolve_name(target.schema, pname))
         stamp = Stamp(load_id, now, user)
-        chosen = plan_merge(spark, staged, plan, staged_rows=staged_cnt,
-                            needs_ids=has_ids,
-                            broadcast_max_bytes=broadcast_max_bytes).name
         merged = merge_upsert(target, staged, spec.keys, spec.check_columns, spec.extra_columns,
                               stamp=stamp, plan=chosen, staged_rows=staged_cnt, id_base=id_base,
                               collation=spec.collation)

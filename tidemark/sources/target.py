@@ -140,8 +140,8 @@ def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_c
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.catalog.refreshTable(table)
             return path
-        if same and pname and [c.lower() for c in parts] == [pname.lower()]:
-            _repoint_partitions(spark, table, path, pname, values, drop_others=True)
+        if same and pname and [c.lower() for c in parts] == [pname.lower()] \
+                and _repoint_partitions(spark, table, path, pname, values, drop_others=True):
             return path
         spark.sql(f"DROP TABLE {table}")
     spark.catalog.createTable(table, path=path, source="parquet")
@@ -152,19 +152,24 @@ def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_c
 
 
 def _repoint_partitions(spark: SparkSession, table: str, path: str, pname: str, values: list,
-                        drop_others: bool = False) -> None:
+                        drop_others: bool = False, scope: list | None = None) -> bool:
     """Point each listed partition of ``table`` at ``path/pname=value`` (adding new ones).
 
-    ``drop_others`` (a full snapshot): partitions the snapshot no longer has,
-    because an update moved all their rows elsewhere, are dropped from the
-    table so their old rows cannot show up twice.
+    Partitions that should exist no more -- any not in ``values`` with
+    ``drop_others`` (a full snapshot), or those in ``scope`` that were not
+    written -- lost all their rows to updates that moved them, and are
+    dropped so their old rows cannot show up twice.  Returns False, changing
+    nothing, when NULL partition values are involved (the caller republishes).
     """
     existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    if drop_others:
-        keep = {f"{pname}={v.isoformat()}" for v in values}
-        for gone in sorted(existing - keep):
-            v = gone.split("=", 1)[1]
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({pname}=date'{v}')")
+    default = f"{pname}=__HIVE_DEFAULT_PARTITION__"
+    if None in values or (scope is not None and None in scope) or (drop_others and default in existing):
+        return False
+    keep = {f"{pname}={v.isoformat()}" for v in values}
+    gone = (existing - keep) if drop_others else \
+        ({f"{pname}={v.isoformat()}" for v in (scope or [])} & existing) - keep
+    for g in sorted(gone):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({pname}=date'{g.split('=', 1)[1]}')")
     new_parts = []
     for value in values:
         v = value.isoformat()
@@ -176,23 +181,24 @@ def _repoint_partitions(spark: SparkSession, table: str, path: str, pname: str,
     if new_parts:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(new_parts))
     spark.catalog.refreshTable(table)
+    return True
 
 
 def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition_column: str,
-                       granularity: str = "month", values: list | None = None) -> str:
-    """Write only the partitions ``df`` covers and re-point those partitions of ``table``.
-
-    ``df`` must hold every row of each partition it touches (the merged rows
-    of the touched partitions); ``values`` lists those partitions when known.
-    Untouched partitions are neither read nor rewritten; each touched one
-    moves to its new directory in one catalog call, so readers see the old
-    or the new partition, never a half-written one.
+                       granularity: str = "month", scope: list | None = None) -> str:
+    """Write only the partitions in ``scope`` and re-point them in ``table``.
+
+    ``df`` must hold every row of the scoped partitions (the merged rows of
+    the partitions a load can change).  Partitions outside the scope are
+    neither read nor rewritten; each scoped one moves to its new directory in
+    one catalog call, so readers see the old or the new partition, never a
+    half-written one.  A scoped partition left without rows is dropped.
     """
     path = fresh_path(spark, table.replace(".", "_") + "-partitions").rstrip("/")
     written = _write_partitioned(df, path, partition_column, granularity)
     pname = partition_column_name(resolve_name(df.schema, partition_column), granularity)
-    values = written if values is None else values
-    _repoint_partitions(spark, table, path, pname, values)
+    if not _repoint_partitions(spark, table, path, pname, written, scope=scope):
+        raise ValueError(f"{table}: NULL partition values need a full snapshot")
     return path
 
 
