@@ -57,7 +57,7 @@ def test_scoped_load_reads_only_touched_partitions(spark):
     publish_snapshot(spark, table, fx.target_t(spark, SF_SMALL, housekeeping=True), "o_orderdate", "month")
     spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate", partition_scoped=True)
     staged = period_filter(fx.source_s(spark, SF_SMALL), "o_orderdate", W)
-    sliced, scope = scope_to_partitions(spark.table(table), staged, spec, staged.schema)
+    sliced, scope = scope_to_partitions(spark.table(table), staged, spec, staged.schema, broadcast=True)
     assert 0 < len(scope) <= 12
     scan = [ln for ln in plan_of(sliced).splitlines() if ln.startswith("PartitionFilters")][0]
     assert "o_orderdate_month" in scan and ("IN (" in scan or "In(" in scan or "INSET" in scan.upper())

@@ -76,14 +76,15 @@ def build_extract(source: DataFrame, spec: JobSpec, period: Period | None, apply
 
 
 def scope_to_partitions(target: DataFrame, staged: DataFrame, spec: JobSpec, source_schema: T.StructType, *,
-                        matched_too: bool = True, broadcast: bool = True) -> tuple[DataFrame, list]:
+                        matched_too: bool = True, broadcast: bool = False) -> tuple[DataFrame, list]:
     """The target partitions a load can change, as a partition-pruned slice.
 
     A partition changes only if a staged row belongs to it (insert, or the
     new home of an updated row) or it holds a target row whose key a staged
     row matches (update; the row may move out).  The second set comes from a
     semi join of the target's key and partition columns with the staged keys
-    (broadcast when the delta is small), so no target row is shuffled.
+    (broadcast when the caller has checked the delta is small; run_load passes
+    its merge-plan decision), so no target row is shuffled.
     ``matched_too=False`` skips it when rows never change partition.  The
     values are one per partition, so few; the slice filters on the partition
     column, so the scan lists and reads only those directories.
