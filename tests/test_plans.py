@@ -61,3 +61,17 @@ def test_scoped_load_reads_only_touched_partitions(spark):
     assert 0 < len(scope) <= 12
     scan = [ln for ln in plan_of(sliced).splitlines() if ln.startswith("PartitionFilters")][0]
     assert "o_orderdate_month" in scan and ("IN (" in scan or "In(" in scan or "INSET" in scan.upper())
+
+
+def test_window_prunes_partitions_of_a_partitioned_target(spark):
+    import datetime as dt
+    import uuid
+    from tidemark.sources.target import prune_to_window, publish_snapshot
+    table = f"tm_pw_{uuid.uuid4().hex[:8]}"
+    publish_snapshot(spark, table, fx.target_t(spark, SF_SMALL), "o_orderdate", "month")
+    t = prune_to_window(spark.table(table), "o_orderdate", "O_ORDERDATE", dt.datetime(1996, 1, 1),
+                        dt.datetime(1996, 3, 15, 5))
+    scan = [ln for ln in plan_of(t).splitlines() if ln.startswith("PartitionFilters")][0]
+    assert "o_orderdate_month" in scan and "1996-01-01" in scan and "1996-03-01" in scan
+    months = {r[0].isoformat() for r in t.select("o_orderdate_month").distinct().collect()}
+    assert months <= {"1996-01-01", "1996-02-01", "1996-03-01"}

@@ -678,6 +678,22 @@ def q_run_check(spark, sf):
         "message")
 
 
+@query("run_check_partitioned", ORACLE_SQL["run_check"])
+def q_run_check_partitioned(spark, sf):
+    """The same check against a month-partitioned target (the window prunes its partitions)."""
+    table = _unique_table("orders_pc")
+    publish_snapshot(spark, table, fx.target_t(spark, sf, housekeeping=True), "o_orderdate", "month")
+    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate")
+    run_load(spark, spec, fx.W_START, fx.W_END, load_id=fx.RUN_LOAD_ID, now=fx.RUN_TS, user=fx.RUN_USER,
+             source_df=fx.source_s(spark, sf))
+    r = run_check(spark, spec, fx.W_START, fx.W_END, load_id=fx.RUN_LOAD_ID + 1, now=fx.RUN_TS,
+                  source_df=fx.source_s(spark, sf), target_df=spark.table(table))
+    return r.history.where("status = 'FINISHED'").select(
+        F.col("insert_cnt").alias("src_miss"), F.col("update_cnt").alias("trg_miss"),
+        (ntz(r.min_miss_dttm) if r.min_miss_dttm else F.lit(None).cast("timestamp_ntz")).alias("min_miss_dttm"),
+        "message")
+
+
 @query("run_batch", f"""
 with {S_SQL}, {T_SQL}, {ST_SQL}
 select 'MERGE_ORDERS' as job, 'FINISHED' as status, (select count(*) from ST) as staged_cnt,

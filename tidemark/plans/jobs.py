@@ -28,8 +28,8 @@ from tidemark.plans.strategy import plan_merge
 from tidemark.sources.history import HistoryRecord, append_history, format_ts, last_max_id
 from tidemark.sources.readers import read_source, stage
 from tidemark.operators.surrogate import max_id
-from tidemark.sources.target import (create_target, partition_column_name, partition_value, publish_partitions,
-                                     publish_snapshot, write_snapshot)
+from tidemark.sources.target import (create_target, partition_column_name, partition_value, prune_to_window,
+                                     publish_partitions, publish_snapshot, write_snapshot)
 from tidemark.spec import JobSpec, SpecError, has_column, resolve_name, validate_spec
 
 
@@ -225,6 +225,8 @@ def run_check(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = No
         if apply_residual:
             source = residual_filter(source, spec.search_condition)
         col = spec.search_column.name if spec.search_column else None
+        target = prune_to_window(target, spec.partition_column, col, period.eff_start, period.eff_end,
+                                 spec.partition_granularity)
         r = reconcile(source, target, spec.keys, col, period if col else None, spec.collation).first()
         src_miss, trg_miss, min_miss = int(r["src_miss"]), int(r["trg_miss"]), r["min_miss_dttm"]
         if trg_miss > 0:

@@ -86,6 +86,27 @@ def partition_column_name(column: str, granularity: str = "month") -> str:
     return f"{column}_{granularity}"
 
 
+def prune_to_window(target: DataFrame, partition_column: str | None, search_column: str | None,
+                    start, end, granularity: str = "month") -> DataFrame:
+    """Add the partition-column form of a window filter on the search column.
+
+    A window on the search column does not prune partitions keyed by its
+    truncated value; the same window on the partition column does
+    (``PartitionFilters``).  Only when the partition column is the search column.
+    """
+    if not (partition_column and search_column and start is not None and end is not None):
+        return target
+    if partition_column.lower() != search_column.lower():
+        return target
+    col = target_name(partition_column)
+    pname = partition_column_name(col, granularity)
+    if pname.lower() not in {c.lower() for c in target.columns}:
+        return target
+    lo = partition_value(F.lit(start.isoformat(sep=" ")), granularity)
+    hi = partition_value(F.lit(end.isoformat(sep=" ")), granularity)
+    return target.where(F.col(resolve_name(target.schema, pname)).between(lo, hi))
+
+
 def write_snapshot(df: DataFrame, path: str, partition_column: str | None = None,
                    granularity: str = "month", mode: str = "errorifexists") -> str:
     """A5: write ``df`` to ``path``, partitioned on a truncated datetime column."""
