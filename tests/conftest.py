@@ -13,7 +13,10 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", app="tidemark-tests", shuffle_partitions=8)
+    import tempfile
+    # managed tables (e.g. history) go to a fresh scratch warehouse, not the repo
+    s = build_session("local[*]", app="tidemark-tests", shuffle_partitions=8,
+                      **{"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tidemark-wh-")})
     yield s
     s.stop()
 

@@ -61,8 +61,13 @@ def _empty_writer(spark: SparkSession, spec: JobSpec, source_schema: T.StructTyp
 
 def create_target(spark: SparkSession, spec: JobSpec, source_schema: T.StructType, table: str,
                   path: str | None = None) -> DataFrame:
-    """A3: create the empty target table when it does not exist; return it."""
+    """A3: create the empty target table when it does not exist; return it.
+
+    The table is external, under ``path`` or else the shared folder, so a
+    later snapshot switch never depends on the warehouse directory.
+    """
     if not spark.catalog.tableExists(table):
+        path = path or fresh_path(spark, table.replace(".", "_") + "-created")
         _empty_writer(spark, spec, source_schema, path).saveAsTable(table)
     return spark.table(table)
 
