@@ -8,26 +8,27 @@ writes the history records.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.constants import MISSING_MESSAGE, NO_EARLIEST_OVERRIDE
+from tidemark.constants import ACTION_COL, INSERT, MISSING_MESSAGE, NO_EARLIEST_OVERRIDE, UPDATE
 from tidemark.functions.period import Period, month_span, resolve_check_period, resolve_load_period
 from tidemark.functions.predicates import keys_equal
 from tidemark.operators.filters import period_filter, residual_filter
-from tidemark.operators.merge import Stamp, business_view, merge_upsert, observe_counts
+from tidemark.operators.merge import Stamp, merge_upsert
 from tidemark.operators.quality import duplicate_keys
 from tidemark.operators.reconcile import reconcile
 from tidemark.operators.shape import cast_partition_column, exclude_columns, rename_reserved, target_name
+from tidemark.operators.surrogate import max_id
 from tidemark.plans.strategy import plan_merge
 from tidemark.sources.history import HistoryRecord, append_history, format_ts, last_max_id
 from tidemark.sources.readers import read_source, stage
-from tidemark.operators.surrogate import max_id
 from tidemark.sources.target import (create_target, partition_column_name, partition_value, prune_to_window,
                                      publish_partitions, publish_snapshot, write_snapshot)
 from tidemark.spec import JobSpec, SpecError, has_column, resolve_name, validate_spec
@@ -173,17 +174,20 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
         merged = merge_upsert(target, staged, spec.keys, spec.check_columns, spec.extra_columns,
                               stamp=stamp, plan=chosen, staged_rows=staged_cnt, id_base=id_base,
                               collation=spec.collation)
-        observed, obs = observe_counts(merged)
-        out = business_view(observed)
+        # E3 counts, taken in the stage that writes (once per row, even on re-runs).
+        obs = Observation(f"merge-counts-{uuid.uuid4().hex[:12]}")
+        counts = (obs, [F.count_if(F.col(ACTION_COL) == INSERT).alias("insert_cnt"),
+                        F.count_if(F.col(ACTION_COL) == UPDATE).alias("update_cnt")])
         part = target_name(spec.partition_column) if spec.partition_column else None
+        gran = spec.partition_granularity
         if target_table and target_df is None and scope is not None:
-            snapshot = publish_partitions(spark, target_table, out, part, spec.partition_granularity, scope)
+            snapshot = publish_partitions(spark, target_table, merged, part, gran, scope, counts, [ACTION_COL])
         elif target_table and target_df is None:
-            snapshot = publish_snapshot(spark, target_table, out, part, spec.partition_granularity)
+            snapshot = publish_snapshot(spark, target_table, merged, part, gran, counts, [ACTION_COL])
         elif output_path:
-            snapshot = write_snapshot(out, output_path, part, spec.partition_granularity)
+            snapshot = write_snapshot(merged, output_path, part, gran, observe=counts, drop=[ACTION_COL])
         else:
-            out.write.format("noop").mode("overwrite").save()
+            merged.observe(counts[0], *counts[1]).drop(ACTION_COL).write.format("noop").mode("overwrite").save()
         m = obs.get
         ins, upd = int(m["insert_cnt"]), int(m["update_cnt"])
     except Exception as e:  # recorded, then raised again

@@ -8,6 +8,7 @@ and the catalog table is re-pointed at it; readers keep a consistent view.
 from __future__ import annotations
 
 import uuid
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -112,33 +113,47 @@ def prune_to_window(target: DataFrame, partition_column: str | None, search_colu
     return target.where(F.col(resolve_name(target.schema, pname)).between(lo, hi))
 
 
+Observe = tuple  # (Observation, [aggregate Column, ...]) measured in the write's final stage
+
+
 def write_snapshot(df: DataFrame, path: str, partition_column: str | None = None,
-                   granularity: str = "month", mode: str = "errorifexists") -> str:
+                   granularity: str = "month", mode: str = "errorifexists",
+                   observe: Observe | None = None, drop: Sequence[str] = ()) -> str:
     """A5: write ``df`` to ``path``, partitioned on a truncated datetime column."""
-    _write_partitioned(df, path, partition_column, granularity, mode)
+    _write_partitioned(df, path, partition_column, granularity, mode, observe, drop)
     return path
 
 
 def _write_partitioned(df: DataFrame, path: str, partition_column: str | None, granularity: str,
-                       mode: str = "errorifexists") -> list | None:
+                       mode: str = "errorifexists", observe: Observe | None = None,
+                       drop: Sequence[str] = ()) -> list | None:
     """Write, and return the partition values written (observed in the same pass).
 
     ``rebalance`` lets AQE even out task sizes by partition value: a month
     holding a third of all rows is split over many tasks instead of one,
-    and tiny months are coalesced.  The set of partition values is bounded by
-    the number of partitions, so it is gathered as an observed metric.
+    and tiny months are coalesced.  Metrics (the caller's ``observe`` and the
+    set of partition values, bounded by the partition count) are taken above
+    that exchange, in the stage that writes: a stage re-run after a lost
+    executor cannot count a row twice.  ``drop`` columns are removed after
+    the metrics are taken.
     """
-    if not partition_column:
-        df.write.mode(mode).format("parquet").save(path)
-        return None
-    c = resolve_name(df.schema, partition_column)
-    pname = partition_column_name(c, granularity)
-    obs = Observation(f"partitions-{uuid.uuid4().hex[:8]}")
-    w_df = (df.withColumn(pname, partition_value(F.col(c), granularity))
-              .observe(obs, F.collect_set(pname).alias("values"))
-              .hint("rebalance", pname))
-    w_df.write.mode(mode).format("parquet").partitionBy(pname).save(path)
-    return sorted(obs.get["values"])
+    w = df
+    pname = None
+    if partition_column:
+        c = resolve_name(df.schema, partition_column)
+        pname = partition_column_name(c, granularity)
+        w = w.withColumn(pname, partition_value(F.col(c), granularity)).hint("rebalance", pname)
+    pobs = None
+    if pname:
+        pobs = Observation(f"partitions-{uuid.uuid4().hex[:12]}")
+        w = w.observe(pobs, F.collect_set(pname).alias("values"))
+    if observe is not None:
+        w = w.observe(observe[0], *observe[1])
+    if drop:
+        w = w.drop(*drop)
+    writer = w.write.mode(mode).format("parquet")
+    (writer.partitionBy(pname) if pname else writer).save(path)
+    return sorted(pobs.get["values"]) if pobs is not None else None
 
 
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -146,7 +161,7 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_column: str | None = None,
-                     granularity: str = "month") -> str:
+                     granularity: str = "month", observe: Observe | None = None, drop: Sequence[str] = ()) -> str:
     """Write a new full snapshot of ``table`` and point the catalog at it.
 
     An existing table with the same columns is switched in one catalog call
@@ -155,11 +170,13 @@ def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_c
     afresh.
     """
     path = fresh_path(spark, table.replace(".", "_") + "-snapshot").rstrip("/")
-    values = _write_partitioned(df, path, partition_column, granularity)
+    values = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop)
     pname = partition_column_name(resolve_name(df.schema, partition_column), granularity) if partition_column else None
     if spark.catalog.tableExists(table):
         current = spark.table(table).schema
-        new_names = [f.name.lower() for f in df.schema.fields] + ([pname.lower()] if pname else [])
+        dropped = {d.lower() for d in drop}
+        new_names = [f.name.lower() for f in df.schema.fields if f.name.lower() not in dropped] \
+            + ([pname.lower()] if pname else [])
         same = sorted(f.name.lower() for f in current.fields) == sorted(new_names)
         parts = _partition_columns(spark, table)
         if same and not pname and not parts:
@@ -211,7 +228,8 @@ def _repoint_partitions(spark: SparkSession, table: str, path: str, pname: str,
 
 
 def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition_column: str,
-                       granularity: str = "month", scope: list | None = None) -> str:
+                       granularity: str = "month", scope: list | None = None, observe: Observe | None = None,
+                       drop: Sequence[str] = ()) -> str:
     """Write only the partitions in ``scope`` and re-point them in ``table``.
 
     ``df`` must hold every row of the scoped partitions (the merged rows of
@@ -221,7 +239,7 @@ def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition
     half-written one.  A scoped partition left without rows is dropped.
     """
     path = fresh_path(spark, table.replace(".", "_") + "-partitions").rstrip("/")
-    written = _write_partitioned(df, path, partition_column, granularity)
+    written = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop)
     pname = partition_column_name(resolve_name(df.schema, partition_column), granularity)
     if not _repoint_partitions(spark, table, path, pname, written, scope=scope):
         raise ValueError(f"{table}: NULL partition values need a full snapshot")
