@@ -103,7 +103,8 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
                  id_base: int | None = None, collation: str | None = None) -> DataFrame:
     """D1 (check columns given) / D2 (none: every match updates).
 
-    ``id_base``: the largest id already used (default: ``max(ID)`` of ``target``;
+    Staged keys must be unique (``run_load`` checks them with E5 first): a
+    repeated key would match one target row twice.  ``id_base``: the largest id already used (default: ``max(ID)`` of ``target``;
     pass it when ``target`` is only a slice of the table).  ``collation``:
     string keys and check columns compare under it (e.g. ``UNICODE_CI``).
     """
