@@ -41,3 +41,19 @@ def test_empty_tables_and_failing_pair(spark):
              TablePair("empty", lambda: empty, lambda: empty, ["k"], ["k"])]
     rows = {(r.pair, r.kind) for r in compare_tables(spark, pairs).collect()}
     assert rows == {("bad", "error"), ("empty", "empty_table")}
+
+
+def test_pairs_from_specs(spark):
+    import uuid
+    from tidemark import fixtures as fx
+    from tidemark.operators.compare import pairs_from_specs
+    from tidemark.session import fresh_path
+    from tidemark.spec import TableRef
+    name = f"tm_cmp_{uuid.uuid4().hex[:8]}"
+    fx.target_t(spark, "/root/testdata/sf0.001").drop("o_orderpriority") \
+        .write.format("parquet").option("path", fresh_path(spark, "cmp")).saveAsTable(name)
+    ok = fx.orders_spec(source=TableRef(path="/root/testdata/sf0.001/orders.parquet"), target=TableRef(name=name))
+    bad = fx.orders_spec(name="BAD", source=TableRef(path="/root/testdata/sf0.001/orders.parquet"),
+                         target=TableRef(name="tm_no_such_table"))
+    rows = {(r.pair, r.kind, r.column_name) for r in compare_tables(spark, pairs_from_specs(spark, [ok, bad])).collect()}
+    assert rows == {("MERGE_ORDERS", "missing_in_target", "o_orderpriority"), ("BAD", "error", None)}

@@ -100,3 +100,14 @@ def compare_tables(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame
         except Exception as e:  # isolate the pair, report, go on
             out.append(Finding(p.name, "error", None, f"{type(e).__name__}: {str(e).splitlines()[0][:300]}"))
     return findings_frame(spark, out)
+
+
+def pairs_from_specs(spark: SparkSession, specs: Sequence) -> list[TablePair]:
+    """F4 input from job specs: source vs target, target keys = the target's primary key list."""
+    from tidemark.operators.quality import constraint_keys
+    from tidemark.sources.readers import read_source
+
+    def pair(spec) -> TablePair:
+        return TablePair(spec.name, lambda: read_source(spark, spec.source), lambda: read_source(spark, spec.target),
+                         list(spec.keys), constraint_keys(spec)["primary_key"], spec.source.label, spec.target.label)
+    return [pair(s) for s in specs]
