@@ -131,3 +131,15 @@ def test_ids_continue_from_history(spark):
     ids = spark.table(table).where("MSTR_LOAD_ID = 2 and INSERT_DTTM = timestamp'2030-01-02'")
     got = ids.agg({"id": "min"}).first()[0], ids.agg({"id": "max"}).first()[0]
     assert r2.insert_cnt > 0 and got == (fin.max_id + 1, fin.max_id + r2.insert_cnt)
+
+
+def test_history_appends_into_an_older_table(spark):
+    from tidemark.sources.history import HISTORY_SCHEMA, HistoryRecord, append_history
+    name = f"tm_oldh_{uuid.uuid4().hex[:8]}"
+    old = [f for f in HISTORY_SCHEMA.fields if f.name != "max_id"]
+    from pyspark.sql.types import StructType
+    spark.createDataFrame([], StructType(old)).write.format("parquet") \
+        .option("path", fresh_path(spark, "oldh")).saveAsTable(name)
+    append_history(spark, [HistoryRecord(1, "START", D(2030, 1, 1), "J", "s", "t", max_id=5)], table=name)
+    append_history(spark, [HistoryRecord(1, "FINISHED", D(2030, 1, 1), "J", "s", "t")], table=name)
+    assert sorted(r.status for r in spark.table(name).collect()) == ["FINISHED", "START"]

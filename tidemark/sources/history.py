@@ -6,6 +6,7 @@ import datetime as dt
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HISTORY_SCHEMA = T.StructType([
@@ -64,7 +65,14 @@ def append_history(spark: SparkSession, records: list[HistoryRecord], path: str
                    table: str | None = None) -> DataFrame:
     """Append records to a history table or path; return them as a frame."""
     df = history_frame(spark, records)
-    if table:
+    if table and spark.catalog.tableExists(table):
+        # Append by name into the table's own columns (an older table may
+        # lack newer ones, e.g. max_id).
+        cols = spark.table(table).columns
+        lower = {c.lower(): c for c in df.columns}
+        df.select(*[F.col(lower[c.lower()]) if c.lower() in lower else F.lit(None).alias(c) for c in cols]) \
+          .write.insertInto(table)
+    elif table:
         df.write.mode("append").format("parquet").saveAsTable(table)
     elif path:
         df.coalesce(1).write.mode("append").parquet(path)
@@ -82,7 +90,6 @@ def last_max_id(spark: SparkSession, history_table: str | None, job: str) -> int
     h = spark.table(history_table)
     if "max_id" not in h.columns:
         return None
-    from pyspark.sql import functions as F
     row = h.where((F.col("job") == job) & (F.col("status") == "FINISHED") & F.col("error").isNull()) \
            .agg(F.max("max_id").alias("m")).first()
     return None if row is None or row["m"] is None else int(row["m"])
