@@ -26,10 +26,11 @@ def test_broadcast_merge_never_shuffles_target(spark):
     assert "LeftOuter" in p and "LeftSemi" in p and "LeftAnti" in p
 
 
-def test_full_outer_merge_salts_null_keys(spark):
+def test_full_outer_merge_keeps_null_keys_out_of_the_join(spark):
     s, t = period_filter(fx.source_s(spark, SF_SMALL), "o_orderdate", W), fx.target_t(spark, SF_SMALL)
     p = plan_of(merge_upsert(t, s, ["o_orderkey"], ["o_totalprice"], stamp=STAMP, plan="full_outer"))
-    assert "FullOuter" in p and "__salt" in p
+    assert "FullOuter" in p and "Union" in p
+    assert "PushedFilters: [IsNull(o_orderkey)" in p or "IsNull(o_orderkey)" in p
 
 
 def test_reconcile_has_no_anti_join_and_one_pass(spark):

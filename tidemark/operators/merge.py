@@ -12,11 +12,13 @@ Plans (chosen by ``plan_merge`` from a checked size of the staged side):
   the matched keys (bounded by the staged row count), and
   ``staged LEFT ANTI broadcast(matched keys)`` the inserts.  The target is
   scanned but never shuffled.
-* ``full_outer`` -- the delta is large: one shuffled full outer join.  NULL
-  keys, which can never match, are spread over ``salt_buckets`` partitions so
-  they cannot pile up in one task (AQE does not split full outer joins).
+* ``full_outer`` -- the delta is large: one shuffled full outer join.  Rows
+  with a NULL key can never match, so they bypass the join (kept or
+  inserted as they are) and cannot pile up in one task, which AQE would not
+  split for a full outer join.
 * ``split`` -- the delta is large and the target has an ``ID``: as broadcast,
-  but with shuffled joins and inserts as ``staged LEFT ANTI target keys``.
+  but with shuffled joins and inserts as ``staged LEFT ANTI target keys``;
+  NULL keys bypass the joins the same way.
 """
 
 from __future__ import annotations
@@ -99,8 +101,7 @@ def _projection(target_schema: StructType, staged_cols: Sequence[str], extras: d
 def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
                  check_columns: Sequence[str] = (), extra_columns: Sequence[ExtraColumn] = (), *,
                  stamp: Stamp | None = None, plan: str = "auto", staged_rows: int | None = None,
-                 broadcast_max_bytes: int | None = None, salt_buckets: int | None = None,
-                 id_base: int | None = None, collation: str | None = None) -> DataFrame:
+                 broadcast_max_bytes: int | None = None, id_base: int | None = None, collation: str | None = None) -> DataFrame:
     """D1 (check columns given) / D2 (none: every match updates).
 
     Staged keys must be unique (``run_load`` checks them with E5 first): a
@@ -131,38 +132,44 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     upd = changed(checks, collation=collation, strings=strings)
     on = keys_equal(tkeys, collation=collation, strings=strings)
 
-    if choice.name == "full_outer":
-        n = salt_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        any_null = lambda df, ks: reduce(lambda a, b: a | b, [F.col(k).isNull() for k in ks])
-        s = staged.withColumn("__sp", F.lit(True)).withColumn(
-            "__salt", F.when(any_null(staged, tkeys), F.pmod(F.xxhash64(*scols), F.lit(n))).otherwise(0))
-        t = target.withColumn("__tp", F.lit(True)).withColumn(
-            "__salt", F.when(any_null(target, tkeys),
-                             F.pmod(F.xxhash64(*target.columns), F.lit(n))).otherwise(0))
-        cond = on & (F.col("target.__salt") == F.col("source.__salt"))
-        j = t.alias("target").join(s.alias("source"), cond, "full_outer")
-        action = (F.when(F.col("target.__tp").isNull(), F.lit(INSERT))
-                   .when(F.col("source.__sp").isNull(), F.lit(TARGET_ONLY))
-                   .when(upd, F.lit(UPDATE)).otherwise(F.lit(UNCHANGED)))
-        return j.select(*_projection(tschema, scols, extras, action,
-                                     lambda c: F.col(f"source.{c}"), lambda c: F.col(f"target.{c}"),
-                                     stamp, None))
-
-    bcast = choice.name == "broadcast"
-    side = F.broadcast if bcast else (lambda df: df)
     s = staged.withColumn("__sp", F.lit(True))
-    kept = target.alias("target").join(side(s).alias("source"), on, "left")
-    kept_action = (F.when(F.col("source.__sp").isNull(), F.lit(TARGET_ONLY))
-                    .when(upd, F.lit(UPDATE)).otherwise(F.lit(UNCHANGED)))
-    kept_out = kept.select(*_projection(tschema, scols, extras, kept_action,
-                                        lambda c: F.col(f"source.{c}"), lambda c: F.col(f"target.{c}"),
-                                        stamp, None))
-    if bcast:
+    src = lambda c: F.col(f"source.{c}")
+    tgt = lambda c: F.col(f"target.{c}")
+    no_src = lambda c: F.lit(None).cast(tcols[c])
+
+    if choice.name == "broadcast":
+        # The target is scanned, never shuffled; NULL keys need no care here.
+        kept = target.alias("target").join(F.broadcast(s).alias("source"), on, "left")
         matched = (target.select(*tkeys).alias("target")
                    .join(F.broadcast(staged.select(*tkeys)).alias("source"), on, "left_semi").distinct())
         inserts = staged.alias("source").join(F.broadcast(matched).alias("target"), on, "left_anti")
+        parts = [kept.select(*_projection(tschema, scols, extras, _kept_action(upd), src, tgt, stamp, None))]
     else:
-        inserts = staged.alias("source").join(target.select(*tkeys).alias("target"), on, "left_anti")
+        # Shuffled joins see only rows whose keys are all non-NULL.  NULL-keyed
+        # rows can never match, so they skip the join: target ones are kept
+        # as they are, staged ones are inserts.  A third of all rows with a
+        # NULL key therefore never lands in one join task.  (On parquet the
+        # IS NULL side skips every row group whose statistics show no NULLs.)
+        keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in tkeys])
+        t_keyed, t_null = target.where(keyed), target.where(~keyed)
+        s_keyed, s_null = s.where(keyed), staged.where(~keyed)
+        t_only = t_null.alias("target").select(*_projection(
+            tschema, scols, extras, F.lit(TARGET_ONLY), no_src, tgt, stamp, None))
+        if choice.name == "full_outer":
+            j = t_keyed.withColumn("__tp", F.lit(True)).alias("target").join(s_keyed.alias("source"), on,
+                                                                             "full_outer")
+            action = (F.when(F.col("target.__tp").isNull(), F.lit(INSERT))
+                       .when(F.col("source.__sp").isNull(), F.lit(TARGET_ONLY))
+                       .when(upd, F.lit(UPDATE)).otherwise(F.lit(UNCHANGED)))
+            ins_null = s_null.alias("source").select(*_projection(
+                tschema, scols, extras, F.lit(INSERT), src, no_src, stamp, None))
+            return j.select(*_projection(tschema, scols, extras, action, src, tgt, stamp, None)) \
+                .unionByName(t_only).unionByName(ins_null)
+        # split: as broadcast, with shuffled joins (ids need the insert set alone)
+        kept = t_keyed.alias("target").join(s_keyed.alias("source"), on, "left")
+        inserts = staged.alias("source").join(t_keyed.select(*tkeys).alias("target"), on, "left_anti")
+        parts = [kept.select(*_projection(tschema, scols, extras, _kept_action(upd), src, tgt, stamp, None)),
+                 t_only]
     new_id = None
     if has_id:
         id_name = resolve_name(tschema, "ID")
@@ -171,9 +178,17 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
                              expected_rows=staged_rows)
         new_id = F.col("source.__new_id")
     ins_out = inserts.alias("source").select(*_projection(
-        tschema, scols, extras, F.lit(INSERT), lambda c: F.col(f"source.{c}"),
-        lambda c: F.lit(None).cast(tcols[c]), stamp, new_id))
-    return kept_out.unionByName(ins_out)
+        tschema, scols, extras, F.lit(INSERT), src, no_src, stamp, new_id))
+    out = parts[0]
+    for p in parts[1:] + [ins_out]:
+        out = out.unionByName(p)
+    return out
+
+
+def _kept_action(upd: Column) -> Column:
+    """Action of a target row after a left join with the staged rows."""
+    return (F.when(F.col("source.__sp").isNull(), F.lit(TARGET_ONLY))
+             .when(upd, F.lit(UPDATE)).otherwise(F.lit(UNCHANGED)))
 
 
 def business_view(merged: DataFrame) -> DataFrame:
