@@ -472,6 +472,16 @@ def q_assign_ids(spark, sf):
                    F.count_distinct("id").alias("n_ids"))
 
 
+@query("assign_ids_shuffled", ORACLE_SQL["assign_ids"])
+def q_assign_ids_shuffled(spark, sf):
+    """G1 through the shuffled plan (the one a delta too large to broadcast takes)."""
+    m = merge_upsert(fx.target_t(spark, sf, housekeeping=True), _staged(spark, sf), ["o_orderkey"],
+                     ["o_orderstatus", "o_totalprice"], stamp=STAMP, plan="split")
+    ins = m.where(F.col(ACTION_COL) == "INSERT")
+    return ins.agg(F.min("id").alias("min_id"), F.max("id").alias("max_id"),
+                   F.count_distinct("id").alias("n_ids"))
+
+
 # --- F. table comparison -------------------------------------------------------------------
 
 def _altered_pair(spark: SparkSession, sf: str):
