@@ -100,10 +100,10 @@ def test_readiness_report_rows(spark):
 
 def test_jdbc_source_options():
     from tidemark.sources.readers import jdbc_source
-    ref = jdbc_source("jdbc:sqlserver://db", "MWH.T1", partition_column="UPDATE_DTTM",
+    ref = jdbc_source("jdbc:sqlserver://db", "sales.T1", partition_column="UPDATE_DTTM",
                       lower="2024-01-01 00:00:00", upper="2024-01-02 00:00:00", num_partitions=16)
     assert ref.format == "jdbc" and ref.options["numPartitions"] == "16"
-    assert ref.options["partitionColumn"] == "UPDATE_DTTM" and ref.options["dbtable"] == "MWH.T1"
+    assert ref.options["partitionColumn"] == "UPDATE_DTTM" and ref.options["dbtable"] == "sales.T1"
     with pytest.raises(ValueError):
         jdbc_source("jdbc:x", "t", partition_column="c")
 
