@@ -143,3 +143,16 @@ def test_history_appends_into_an_older_table(spark):
     append_history(spark, [HistoryRecord(1, "START", D(2030, 1, 1), "J", "s", "t", max_id=5)], table=name)
     append_history(spark, [HistoryRecord(1, "FINISHED", D(2030, 1, 1), "J", "s", "t")], table=name)
     assert sorted(r.status for r in spark.table(name).collect()) == ["FINISHED", "START"]
+
+
+def test_load_to_an_output_path_and_checkpoint_staging(spark):
+    from tidemark.sources.readers import stage
+    src = fx.source_s(spark, SF_SMALL)
+    staged, n = stage(src.where("o_orderkey < 100"), "checkpoint")
+    assert n == src.where("o_orderkey < 100").count() == staged.count()
+    out = fresh_path(spark, "out")
+    res = run_load(spark, fx.orders_spec(partition_column="o_orderdate"), fx.W_START, fx.W_END, load_id=4,
+                   now=D(2030, 1, 1), source_df=src, target_df=fx.target_t(spark, SF_SMALL), output_path=out)
+    back = spark.read.parquet(out)
+    assert res.snapshot == out and "o_orderdate_month" in back.columns and "_action" not in back.columns
+    assert back.where("mstr_load_id = 4").count() == res.insert_cnt + res.update_cnt > 0
