@@ -156,3 +156,15 @@ def test_load_to_an_output_path_and_checkpoint_staging(spark):
     back = spark.read.parquet(out)
     assert res.snapshot == out and "o_orderdate_month" in back.columns and "_action" not in back.columns
     assert back.where("mstr_load_id = 4").count() == res.insert_cnt + res.update_cnt > 0
+
+
+def test_check_ignores_residual_unless_asked(spark):
+    src = fx.source_s(spark, SF_SMALL)
+    table = _table(spark, fx.target_t(spark, SF_SMALL, housekeeping=True), "resid_t")
+    spec = fx.orders_spec(target=TableRef(name=table), search_condition="and o_orderstatus is not null")
+    run_load(spark, spec, fx.W_START, fx.W_END, load_id=1, now=D(2030, 1, 1), source_df=src)
+    default = run_check(spark, spec, fx.W_START, fx.W_END, load_id=2, now=D(2030, 1, 1), source_df=src,
+                        target_df=spark.table(table))
+    applied = run_check(spark, spec, fx.W_START, fx.W_END, load_id=3, now=D(2030, 1, 1), source_df=src,
+                        target_df=spark.table(table), apply_residual=True)
+    assert default.trg_miss > 0 and applied.trg_miss == 0
