@@ -1,0 +1 @@
+"""Operations of a training-data pipeline.  Nothing else in the library imports this subpackage."""

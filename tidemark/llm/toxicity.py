@@ -82,8 +82,7 @@ def symbols(text: str) -> np.ndarray:
     after = np.append(s[1:], BREAK)
     s[(s == _PAUSE) & ((after == SPACE) | (after == BREAK))] = BREAK
     s = s[s < _PAUSE]
-    if len(s) < 3:
-        return s
+    s = np.concatenate([[SPACE], s, [SPACE]]).astype(np.uint8)  # a text's ends are words' edges
     gap = (s == SPACE) | (s == BREAK)
     s = s[~(gap & np.append(False, gap[:-1]) & (s == SPACE))]  # white space in a row counts once
     gap = np.concatenate([[True], (s == SPACE) | (s == BREAK), [True]])
@@ -114,6 +113,11 @@ def along(s: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return out
 
 
+def with_letter(s: np.ndarray, at: int) -> np.ndarray:
+    """The symbols with a letter put in shortly after ``at``; which and where follows from ``at``."""
+    return np.insert(s, min(at + 2 + at % 3, len(s)), 1 + (at * 7 + 3) % 26)
+
+
 def windows(s: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """f of the window at each symbol: of the subsequences that start at it or at the STARTS - 1 symbols after."""
     if not len(s):
@@ -317,12 +321,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", ro
                         half = len(f) // 2
                         picks |= {half, half + int(f[half:].argmax())}
                     for i in picks:
-                        feature = phi(s[i:i + STARTS + SPAN - 1], STARTS)
-                        x = np.zeros(len(codes))
-                        for c, v in feature.items():
-                            if lookup[c] >= 0:
-                                x[lookup[c]] = v
-                        out.append((key, int(y), i, float(f[i]), (feats @ x).astype(np.float32).tobytes()))
+                        pieces = [s[i:i + STARTS + SPAN - 1]]
+                        if y:  # the same insult with a letter put in
+                            pieces.append(with_letter(s, i)[i:i + STARTS + SPAN - 1])
+                        for piece in pieces:
+                            x = np.zeros(len(codes))
+                            for c, v in phi(piece, STARTS).items():
+                                if lookup[c] >= 0:
+                                    x[lookup[c]] = v
+                            out.append((key, int(y), i, float(f[i]), (feats @ x).astype(np.float32).tobytes()))
                 yield pd.DataFrame(out, columns=["id", "y", "at", "f", "k"])
 
         got = sample.mapInPandas(witness, "id string, y int, at int, f double, k binary").toPandas()
@@ -337,8 +344,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", ro
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            f = [float(w.max()) if len(w) else 0.0 for w in (windows(symbols(t), final) for t in b["_text"])]
-            yield pd.DataFrame({"y": b["_label"].astype("int32"), "f": f})
+            out = []
+            for text, y in zip(b["_text"], b["_label"]):
+                s = symbols(text)
+                f = windows(s, final)
+                out.append((int(y), float(f.max()) if len(f) else 0.0))
+                if y and len(f):
+                    out.append((1, float(windows(with_letter(s, int(f.argmax())), final).max())))
+            yield pd.DataFrame(out, columns=["y", "f"])
 
     got = sample.mapInPandas(judge, "y int, f double").toPandas().sort_values(["f", "y"], kind="stable")
     slope, offset = _platt(got["f"].to_numpy(), got["y"].to_numpy(dtype=float))
