@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark import catalog
 from tidemark.fixtures import TABLES
 from conftest import SF_SMALL
 
@@ -23,10 +24,15 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL)
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_entry_registers_every_query():
+    assert set(catalog.QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("key", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, key):
     df = entry.queries()[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
