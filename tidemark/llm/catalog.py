@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing, quality, shards, toxicity
+from tidemark.llm import decontaminate, mixing, near_duplicates, quality, secrets, shards, tokens, toxicity
 
 QUERIES = {
+    "op1_blob_ledger_secrets": secrets.op1_blob_ledger_secrets,
     "op2_curriculum_mix": mixing.op2_curriculum_mix,
+    "op3_bottom_k_near_duplicates": near_duplicates.op3_bottom_k_near_duplicates,
+    "op4_offset_mapped_tokens": tokens.op4_offset_mapped_tokens,
+    "op5_pigeonhole_leaks": decontaminate.op5_pigeonhole_leaks,
     "op6_boosted_tree_quality": quality.op6_boosted_tree_quality,
     "op7_subsequence_kernel_toxicity": toxicity.op7_subsequence_kernel_toxicity,
     "op9_hash_tree_shards": shards.op9_hash_tree_shards,

@@ -69,3 +69,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, *, rows: int
     known = staged(known, "labelled-sample")
     texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
     return texts.join(F.broadcast(known), "_id")
+
+
+#: Rows of a join side that may be broadcast; the side is counted first.
+BROADCAST_ROWS = 500_000
+
+
+def join_counted(big: DataFrame, small: DataFrame, condition, how: str = "inner") -> DataFrame:
+    """Join with a staged side of narrow rows: broadcast if its count allows, else shuffled.
+
+    Shuffled, the small side is the one hashed, so that the big side's texts
+    are dealt out once and not sorted.
+    """
+    hint = "broadcast" if small.count() <= BROADCAST_ROWS else "shuffle_hash"
+    return big.join(small.hint(hint), condition, how)
