@@ -74,9 +74,10 @@ def _sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFr
                 "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
                 "sketch": [s[:K] for s in sets]})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"),
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), text_of(text_col).alias("text"),
                        F.xxhash64(text_of(text_col)).alias("text_hash"))
-    return rows.mapInPandas(run, "id long, text_hash long, n long, digest binary, sketch array<long>")
+    found = rows.mapInPandas(run, "id string, text_hash long, n long, digest binary, sketch array<long>")
+    return found.withColumn("id", F.col("id").cast("long"))
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
