@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import held_out, staged, table, text_of
 
-ORDER = 4
-CONTEXT_SHARE = 1e-5
+ORDER = 5
+CONTEXT_SHARE = 5e-6
 WORD_SHARE = 2e-6
 MARK = 0xFF
 FOLDS = 10
-#: Distinct words that a task counts before it hands them on, and bytes that are looked up at once.
-FLUSH_WORDS, CHUNK_BYTES = 400_000, 1 << 21
+#: Distinct words, and gram counts, that a task gathers before it hands them on, and bytes that are looked up at once.
+FLUSH_WORDS, FLUSH_GRAMS, CHUNK_BYTES = 400_000, 3_000_000, 1 << 21
 SMOOTH = 0.1
 
 
@@ -78,8 +78,15 @@ def training_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, code, n), written out: counts of words ('' counts the ends) and of byte grams (word is null)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: Counter = Counter()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def hand_on() -> pd.DataFrame:
+        def gram_rows() -> pd.DataFrame:
+            codes, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate([n for _, n in held]), minlength=len(codes)).astype(np.int64)
+            held.clear()
+            return pd.DataFrame({"word": pd.Series([None] * len(codes), dtype=object), "code": codes, "n": n})
+
+        def word_rows() -> pd.DataFrame:
             out = pd.DataFrame({"word": [w.decode() for w in words], "code": np.zeros(len(words), dtype=np.int64),
                                 "n": np.fromiter(words.values(), dtype=np.int64, count=len(words))})
             words.clear()
@@ -88,14 +95,17 @@ def training_counts(docs: DataFrame, text_col: str) -> DataFrame:
         for b in batches:
             raws = [t.encode("utf-8", "replace").lower() for t in b["text"]]
             for part in chunks(raws):
-                codes, n = grams(part)
-                yield pd.DataFrame({"word": pd.Series([None] * len(codes), dtype=object), "code": codes, "n": n})
+                held.append(grams(part))
+                if sum(len(c) for c, _ in held) > FLUSH_GRAMS:
+                    yield gram_rows()
                 for r in part:
                     words.update(r.split())
                 words[b""] += len(part)
                 if len(words) > FLUSH_WORDS:
-                    yield hand_on()
-        yield hand_on()
+                    yield word_rows()
+        yield word_rows()
+        if held:
+            yield gram_rows()
 
     found = docs.select(text_of(text_col).alias("text")).mapInPandas(run, "word string, code long, n long")
     return staged(found.groupBy("word", "code").agg(F.sum("n").alias("n")), "training-counts")
