@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, mixing, near_duplicates, quality, secrets, shards, tokens, toxicity
+from tidemark.llm import decontaminate, fingerprints, language_model, mixing, near_duplicates, quality, secrets, shards, tokens, toxicity
 
 QUERIES = {
     "op1_blob_ledger_secrets": secrets.op1_blob_ledger_secrets,
@@ -12,7 +12,9 @@ QUERIES = {
     "op5_pigeonhole_leaks": decontaminate.op5_pigeonhole_leaks,
     "op6_boosted_tree_quality": quality.op6_boosted_tree_quality,
     "op7_subsequence_kernel_toxicity": toxicity.op7_subsequence_kernel_toxicity,
+    "op8_i_match_fingerprints": fingerprints.op8_i_match_fingerprints,
     "op9_hash_tree_shards": shards.op9_hash_tree_shards,
+    "op10_partial_matching_scores": language_model.op10_partial_matching_scores,
 }
 ORACLE_SQL = {
     "op2_curriculum_mix": mixing.OP2_SQL,
