@@ -205,17 +205,18 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, errors: float = ERRORS, lea
 def without_leaks(docs: DataFrame, items: DataFrame, *, errors: float = ERRORS, least: int = LEAST, text_col: str = "text",
                   item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that hold an item, judged as in ``find_leaks``; all columns as they are."""
-    out = docs
-    for block in blocks(items.distinct(), item_id_col, item_text_col):
-        sent = docs.sparkSession.sparkContext.broadcast([(None if i is None else str(i), t) for i, t in block])
-
-        @F.pandas_udf(T.BooleanType())
-        def clean(batches: Iterator[pd.Series], sent=sent) -> Iterator[pd.Series]:
+    def clean(sent):
+        def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             ready = Block(sent.value, errors, least)
             for texts in batches:
                 yield pd.Series([not ready.find(t) for t in texts], dtype=bool)
 
-        out = out.where(clean(text_of(text_col)))
+        return F.pandas_udf(judge, T.BooleanType())
+
+    out = docs
+    for block in blocks(items.distinct(), item_id_col, item_text_col):
+        sent = docs.sparkSession.sparkContext.broadcast([(None if i is None else str(i), t) for i, t in block])
+        out = out.where(clean(sent)(text_of(text_col)))
     return out
 
 
