@@ -11,12 +11,15 @@
    a pair right at the threshold with a probability of about 1e-6.
 3. Candidates pass if the similarity estimated from the sketch of their union
    is near the threshold, and are confirmed on their full sets.
-4. In a first round each list gives only pairs with its first class; the links
-   found merge most groups of near copies.  The second round takes all
-   remaining pairs of a list that lie in different components; so a large
-   group of copies never yields the pairs within it, and no link that could
-   join two components is left out.  Lists of many components are cut by a
-   second retained value first, which any pair alike enough has to share too.
+4. In a first round each list gives only pairs with its hub, the class most of
+   whose values are shared; the links found merge most groups of near copies.
+   The second round takes the classes that still share a list across
+   components, and joins them on the rarest values of their full sets.  A value
+   at place i in the order of a set of n leaves n - i values that can be common,
+   which has to suffice for the partner's size, and likewise for the partner:
+   so classes alike to a hub but with too many values of their own drop out,
+   and a large group of copies never yields the pairs within it, while no link
+   that could join two components is left out.
 """
 
 from __future__ import annotations
@@ -39,8 +42,6 @@ K = 48
 OVERLAP = 24
 #: Standard deviations that an estimate may fall below the threshold.
 SLACK = 4.5
-#: Components in a list from which it is cut by a second value.
-LONG_LIST = 100
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -111,13 +112,9 @@ def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.where(share >= least).select("a", "b", "n_a", "n_b")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, id_col: str,
-               text_col: str) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are alike enough, written out."""
     pairs = staged(_promising(pairs, classes, percent), "promising")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = staged(classes.select("node", "digest", "first_id").join(nodes, "node"), "wanted")
-    sets = staged(_full_sets(docs, wanted, width, id_col, text_col).dropDuplicates(["node"]), "sets")
     side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
     return staged(pairs.join(side("b"), "b").join(side("a"), "a")
@@ -130,55 +127,61 @@ def _overlap(n: Column, percent: int) -> Column:
     return F.when(n * 100 < K * percent, exact).otherwise(F.least(exact, F.lit(OVERLAP)))
 
 
-def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """(node, n, take, values): a class's values that others retain too, rarest first; the first ``take`` are its prefix."""
-    posts = classes.select("node", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
+def _ranked(posts: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``keys`` of ``posts`` (node, ..., value), once a node, and values: those that other nodes have too, rarest first."""
     often = staged(posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "value-counts")
-    kept = (posts.join(often, "value").groupBy("node", "n", "size")
-            .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values")))  # at most K
-    alone = F.col("size") - F.size("values")
-    take = (F.col("size") - _overlap(F.col("n"), percent) + 1 - alone).cast("int")
-    return kept.select("node", "n", take.alias("take"), F.col("values.value").alias("values")).where("take > 0")
+    return (posts.join(often, "value").groupBy(*keys)
+            .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))
+            .withColumn("values", F.col("values.value")))
 
 
-def _across(lists: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of each list (``key``) that lie in different components and have similar sizes."""
-    groups = staged(lists.groupBy("key", "c").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "list-components")
-    x, y = groups.alias("x"), groups.alias("y")
-    met = (x.join(y, F.col("x.key") == F.col("y.key"))
-           .where((F.col("x.c") < F.col("y.c")) & (F.col("x.lo") * percent <= F.col("y.hi") * 100)
-                  & (F.col("y.lo") * percent <= F.col("x.hi") * 100))
-           .select(F.col("x.key").alias("key"), F.col("x.c").alias("cx"), F.col("y.c").alias("cy")))
-    a = lists.select("key", F.col("c").alias("cx"), F.col("node").alias("a"), F.col("n").alias("na"))
-    b = lists.select("key", F.col("c").alias("cy"), F.col("node").alias("b"), F.col("n").alias("nb"))
-    return (met.join(a, ["key", "cx"]).join(b, ["key", "cy"]).where(_similar_sizes(F.col("na"), F.col("nb"), percent))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+def _lists(classes: DataFrame, percent: int) -> DataFrame:
+    """(value, node, n, shared): the classes in each inverted list of the values in their prefixes."""
+    posts = classes.select("node", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
+    kept = _ranked(posts, ["node", "n", "size"])  # at most K values a node
+    alone = F.col("size") - F.size("values")
+    take = (F.col("size") - _overlap(F.col("n"), percent) + 1 - alone).cast("int")
+    return kept.withColumn("take", take).where("take > 0").select(
+        "node", "n", F.size("values").alias("shared"), F.explode(F.slice("values", F.lit(1), F.col("take"))).alias("value"))
+
+
+def _across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of the nodes in ``placed`` (node, c) in different components that their full sets allow."""
+    posts = sets.join(placed, "node").select("node", "c", F.size("set").alias("n"), F.explode("set").alias("value"))
+    kept = _ranked(posts, ["node", "c", "n"])
+    alone = F.col("n") - F.size("values")
+    take = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone).cast("int")
+    rows = kept.withColumn("alone", alone).withColumn("take", take).where("take > 0").select(
+        "node", "c", "n", "alone", F.posexplode(F.slice("values", F.lit(1), F.col("take"))).alias("at", "value"))
+    rows = staged(rows.select("value", "node", "c", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left")), "full-prefixes")
+    mixed = staged(rows.groupBy("value").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("value"), "mixed-values")
+    rows = rows.join(mixed, "value")
+    x, y = rows.alias("x"), rows.alias("y")
+    need = (F.col("x.n") + F.col("y.n")) * percent  # 100 + percent times the values that have to be common
+    return (x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c"))
+                   & (F.col("x.left") * (100 + percent) >= need) & (F.col("y.left") * (100 + percent) >= need))
+            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
 
 
 def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Confirmed links between classes that connect every component."""
-    prefixes = staged(_prefixes(classes, percent), "prefixes")
-    posts = prefixes.select("node", "n", F.explode(F.slice("values", F.lit(1), F.col("take"))).alias("value"))
-    hubs = staged(posts.groupBy("value").agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("m"))
-                  .where("m > 1").select("value", "hub.*").withColumnsRenamed({"node": "a", "n": "na"}), "hubs")
-    stars = (posts.join(hubs, "value").where((F.col("node") != F.col("a")) & _similar_sizes(F.col("n"), F.col("na"), percent))
+    posts = staged(_lists(classes, percent), "lists")
+    hubs = staged(posts.groupBy("value").agg(F.max(F.struct("shared", "node", "n")).alias("hub"), F.count(F.lit(1)).alias("m"))
+                  .where("m > 1").select("value", F.col("hub.node").alias("a"), F.col("hub.n").alias("na")), "hubs")
+    met = posts.join(hubs, "value")
+    nodes = met.select("node").distinct()
+    wanted = staged(classes.select("node", "digest", "first_id").join(nodes, "node"), "wanted")
+    sets = staged(_full_sets(docs, wanted, width, id_col, text_col).dropDuplicates(["node"]), "sets")
+    stars = (met.where((F.col("node") != F.col("a")) & _similar_sizes(F.col("n"), F.col("na"), percent))
              .select("a", F.col("node").alias("b")).distinct())
-    first = _confirmed(stars, classes, docs, width, percent, id_col, text_col)
+    first = _confirmed(stars, classes, sets, percent)
     merged = staged(components(first), "first-components")
 
-    placed = (posts.join(hubs.select("value"), "value").join(merged, "node", "left")
-              .select("value", "node", "n", F.coalesce("component", "node").alias("c")))
-    placed = staged(placed, "placed")
-    counts = staged(placed.groupBy("value").agg(F.count_distinct("c").alias("m")).where("m > 1"), "mixed-lists")
-    mixed = placed.join(counts, "value")
-    short = _across(mixed.where(F.col("m") <= LONG_LIST).withColumn("key", F.col("value")), percent)
-    # A pair that shares `value` shares (overlap - 1) others: a prefix as long, of the rest, holds one of them.
-    inner = prefixes.select("node", "take", "values")
-    long = (mixed.where(F.col("m") > LONG_LIST).join(inner, "node")
-            .withColumn("second", F.explode(F.slice(F.array_remove("values", F.col("value")), F.lit(1), F.col("take"))))
-            .select("node", "n", "c", F.xxhash64(F.least("value", "second"), F.greatest("value", "second")).alias("key")))
-    rest = short.unionByName(_across(long, percent)).distinct()
-    second = _confirmed(rest, classes, docs, width, percent, id_col, text_col)
+    placed = staged(posts.join(hubs.select("value"), "value").join(merged, "node", "left")
+                    .select("value", "node", F.coalesce("component", "node").alias("c")), "placed")
+    mixed = staged(placed.groupBy("value").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("value"), "mixed-lists")
+    still = staged(placed.join(mixed, "value").select("node", "c").distinct(), "still-apart")
+    second = _confirmed(_across(still, sets, percent), classes, sets, percent)
     return first.unionByName(second)
 
 
