@@ -38,7 +38,7 @@ WORD_SHARE = 2e-6
 MARK = 0xFF
 FOLDS = 10
 #: Distinct words, and gram counts, that a task gathers before it hands them on, and bytes that are looked up at once.
-FLUSH_WORDS, FLUSH_GRAMS, CHUNK_BYTES = 400_000, 3_000_000, 1 << 21
+FLUSH_WORDS, FLUSH_GRAMS, CHUNK_BYTES = 200_000, 2_000_000, 1 << 20
 SMOOTH = 0.1
 
 
@@ -218,34 +218,39 @@ def score_documents(docs: DataFrame, *, folds: int = FOLDS, id_col: str = "doc_i
         log10 = {w: float(np.log10(n + SMOOTH)) for w, n in often.items()}
         get = log10.get
         for b in batches:
-            raws = [t.encode("utf-8", "replace").lower() for t in b["text"]]
-            scores = ready.score(raws)
-            row, word, times = [], [], []
-            parts, known, n_tokens = [], [], []
-            for i, r in enumerate(raws):
-                found = Counter(r.split())
-                found[b""] = 1
-                part, have = 0.0, 0
-                for w, n in found.items():
-                    v = get(w)
-                    if v is None:
-                        row.append(i)
-                        word.append(w)
-                        times.append(n)
-                    else:
-                        part += n * v
-                        have += n
-                parts.append(part)
-                known.append(have)
-                n_tokens.append(sum(found.values()))
-            ids, gone, hashes = b["id"], b["no_id"], b["text_hash"]
-            # The row of the document itself goes with a word that no text has, of its own, so that it deals out evenly.
-            yield pd.DataFrame({"id": ids, "no_id": gone, "text_hash": hashes, "word": [f" {h}" for h in hashes], "times": 0, "part": parts,
-                                "known": known, "n_tokens": n_tokens, "score": scores, "copies": 1})
-            row = np.array(row, dtype=np.int64)
-            yield pd.DataFrame({"id": ids.take(row).to_numpy(), "no_id": gone.take(row).to_numpy(), "text_hash": hashes.take(row).to_numpy(),
-                                "word": [w.decode() for w in word], "times": np.array(times, dtype=np.int64), "part": 0.0,
-                                "known": 0, "n_tokens": 0, "score": -np.inf, "copies": 0})
+            done = 0
+            for raws in chunks([t.encode("utf-8", "replace").lower() for t in b["text"]]):
+                own = b.iloc[done:done + len(raws)]
+                done += len(raws)
+                yield from rows_of(own, raws, ready, get)
+
+    def rows_of(own: pd.DataFrame, raws: list[bytes], ready: Trie, get) -> Iterator[pd.DataFrame]:
+        row, word, times = [], [], []
+        parts, known, n_tokens = [], [], []
+        for i, r in enumerate(raws):
+            found = Counter(r.split())
+            found[b""] = 1
+            part, have = 0.0, 0
+            for w, n in found.items():
+                v = get(w)
+                if v is None:
+                    row.append(i)
+                    word.append(w)
+                    times.append(n)
+                else:
+                    part += n * v
+                    have += n
+            parts.append(part)
+            known.append(have)
+            n_tokens.append(sum(found.values()))
+        ids, gone, hashes = (own[c].to_numpy() for c in ("id", "no_id", "text_hash"))
+        # The row of the document itself goes with a word that no text has, of its own, so that it deals out evenly.
+        yield pd.DataFrame({"id": ids, "no_id": gone, "text_hash": hashes, "word": [f" {h}" for h in hashes], "times": 0,
+                            "part": parts, "known": known, "n_tokens": n_tokens, "score": ready.score(raws), "copies": 1})
+        row = np.array(row, dtype=np.int64)
+        yield pd.DataFrame({"id": ids[row], "no_id": gone[row], "text_hash": hashes[row], "word": [w.decode() for w in word],
+                            "times": np.array(times, dtype=np.int64), "part": 0.0, "known": 0, "n_tokens": 0, "score": -np.inf,
+                            "copies": 0})
 
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNull().alias("no_id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
                         text_of(text_col).alias("text"))
