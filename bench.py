@@ -61,7 +61,8 @@ def scoped_month_load(spark, sf):
     from tidemark.spec import TableRef
     table = f"tm_bench_{uuid.uuid4().hex[:8]}"
     publish_snapshot(spark, table, fx.target_t(spark, sf, housekeeping=True), "o_orderdate", "month")
-    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate", partition_scoped=True)
+    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate",
+                          keys=("o_orderkey", "o_orderdate"), partition_scoped=True)
     src = fx.source_s(spark, sf)
 
     def run():

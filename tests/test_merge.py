@@ -108,19 +108,6 @@ def test_plans_agree_and_merge_is_idempotent(spark, src, tgt):
     assert twice.where(F.col(ACTION_COL).isin("INSERT", "UPDATE")).count() == 0
 
 
-def test_merge_into_reaches_the_catalog(spark):
-    """Row-level MERGE is built correctly; the session catalog's parquet tables refuse it."""
-    import uuid
-    from tidemark.operators.merge import merge_into_table
-    from tidemark.session import fresh_path
-    name = f"tm_mi_{uuid.uuid4().hex[:8]}"
-    spark.createDataFrame([(1, 1, "a", -1)], "k long, c long, v string, MSTR_LOAD_ID int") \
-        .write.format("parquet").option("path", fresh_path(spark, "mi")).saveAsTable(name)
-    s = spark.createDataFrame([(1, 2, "b")], "k long, c long, v string")
-    with pytest.raises(Exception, match="MERGE INTO"):
-        merge_into_table(s, name, ["k"], ["c"], stamp=STAMP)
-
-
 @pytest.mark.parametrize("plan", PLANS)
 def test_case_insensitive_collation(spark, plan):
     from tidemark.operators.quality import duplicate_keys
@@ -136,3 +123,20 @@ def test_case_insensitive_collation(spark, plan):
     assert (r.src_miss, r.trg_miss) == (0, 1)
     assert [x.k for x in missing_in_target(s, t, ["k"], collation="UNICODE_CI").collect()] == ["new"]
     assert duplicate_keys(spark.createDataFrame([("a",), ("A",)], "k string"), ["k"], "UNICODE_CI").count() == 1
+
+
+@pytest.mark.parametrize("plan", PLANS)
+@pytest.mark.parametrize("extras", ["none", "expression", "function"])
+def test_extra_columns_in_every_plan(spark, plan, extras):
+    from tidemark.functions.udf import register_sql_function
+    from tidemark.spec import ExtraColumn
+    register_sql_function(spark, "tm_m_up", "a STRING", "STRING", "upper(a)")
+    value = {"expression": "upper(source.v)", "function": "tm_m_up(source.v)"}.get(extras)
+    s = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (None, "m")], "k long, v string")
+    t = spark.createDataFrame([(1, "x", "old"), (3, "y", "kept"), (None, "z", "null key")], "k long, v string, code string")
+    m = merge_upsert(t, s, ["k"], ["v"], [ExtraColumn("code", "string", value)] if value else [], plan=plan)
+    got = sorted(((r["k"], r["v"], r["code"], r[ACTION_COL]) for r in m.collect()), key=repr)
+    up = (lambda x, old: x.upper()) if value else (lambda x, old: old)
+    assert got == sorted([(1, "a", up("a", "old"), "UPDATE"), (2, "b", up("b", None), "INSERT"), (3, "y", "kept", "TARGET_ONLY"),
+                          (None, "z", "null key", "TARGET_ONLY"), (None, "n", up("n", None), "INSERT"),
+                          (None, "m", up("m", None), "INSERT")], key=repr)

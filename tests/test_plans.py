@@ -56,7 +56,8 @@ def test_scoped_load_reads_only_touched_partitions(spark):
     from tidemark.spec import TableRef
     table = f"tm_scope_{uuid.uuid4().hex[:8]}"
     publish_snapshot(spark, table, fx.target_t(spark, SF_SMALL, housekeeping=True), "o_orderdate", "month")
-    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate", partition_scoped=True)
+    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate",
+                          keys=("o_orderkey", "o_orderdate"), partition_scoped=True)
     staged = period_filter(fx.source_s(spark, SF_SMALL), "o_orderdate", W)
     sliced, scope = scope_to_partitions(spark.table(table), staged, spec, staged.schema, broadcast=True)
     assert 0 < len(scope) <= 12

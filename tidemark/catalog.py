@@ -25,9 +25,9 @@ from tidemark.operators.compare import (FINDING_SCHEMA, TablePair, compare_table
                                        findings_frame, key_diffs, type_diffs)
 from tidemark.operators.filters import period_filter, window_filter
 from tidemark.operators.merge import Stamp, action_counts, change_counts, merge_upsert
-from tidemark.operators.quality import constraint_violations, duplicate_keys, profile_table, row_count
+from tidemark.operators.quality import constraint_keys, constraint_violations, duplicate_keys, profile_table, row_count
 from tidemark.operators.reconcile import missing_in_source, missing_in_target, reconcile
-from tidemark.operators.shape import cast_partition_column, derived_columns, exclude_columns, rename_reserved
+from tidemark.operators.shape import cast_partition_column, exclude_columns, rename_reserved
 from tidemark.plans.jobs import build_extract, readiness_report, run_batch, run_check, run_load
 from tidemark.session import fresh_path
 from tidemark.sources.readers import read_source, stage
@@ -131,25 +131,22 @@ def q_staged_extract(spark, sf):
     return staged
 
 
-@query("create_target", """
-select * from (values
-  (1, 'ID', 'bigint'), (2, 'INSERT_DTTM', 'timestamp_ntz'), (3, 'UPDATE_DTTM', 'timestamp_ntz'),
-  (4, 'LST_MOD_USER', 'string'), (5, 'MSTR_LOAD_ID', 'int'), (6, 'ACTIVE_FLAG', 'smallint'),
-  (7, 'o_orderkey', 'bigint'), (8, 'o_custkey', 'bigint'), (9, 'o_orderstatus', 'string'),
-  (10, 'o_totalprice', 'double'), (11, 'o_orderdate', 'timestamp_ntz'), (12, 'price2', 'decimal(18,2)'),
-  (13, 'o_orderdate_month', 'date')
-) v(position, column_name, data_type)""")
+@query("create_target", f"""
+with {S_SQL}, {ST_SQL}
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, cast(o_totalprice * 2 as decimal(18,2)) as price2,
+       cast(date_trunc('month', o_orderdate) as date) as o_orderdate_month, 7 as "MSTR_LOAD_ID", 'loader' as "LST_MOD_USER",
+       cast(1 as smallint) as "ACTIVE_FLAG", timestamp '2030-01-01 00:00:00' as "INSERT_DTTM"
+from ST""")
 def q_create_target(spark, sf):
-    spec = fx.orders_spec(excluded_columns=("o_orderpriority",), partition_column="o_orderdate",
+    """A target made from the spec, and the first load into it."""
+    table = _unique_table("create")
+    spec = fx.orders_spec(target=TableRef(name=table), excluded_columns=("o_orderpriority",), partition_column="o_orderdate",
                           extra_columns=(ExtraColumn("price2", "decimal(18,2)", "source.o_totalprice * 2"),))
     src = fx.source_s(spark, sf)
-    t = create_target(spark, spec, src.schema, _unique_table("create"), fresh_path(spark, "create"))
-    return _schema_frame(spark, t.schema)
-
-
-def _schema_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(schema.fields)]
-    return spark.createDataFrame(rows, "position int, column_name string, data_type string")
+    create_target(spark, spec, src.schema, table)
+    run_load(spark, spec, fx.W_START, fx.W_END, load_id=fx.RUN_LOAD_ID, now=fx.RUN_TS, user=fx.RUN_USER, source_df=src)
+    return spark.table(table).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "price2",
+                                     "o_orderdate_month", "MSTR_LOAD_ID", "LST_MOD_USER", "ACTIVE_FLAG", "INSERT_DTTM")
 
 
 @query("recreate_target", f"""
@@ -225,13 +222,18 @@ def q_changed_rows(spark, sf):
     return j.where(changed(["o_orderstatus", "o_totalprice"])).select(F.col("source.o_orderkey"))
 
 
+def _with_extra(spark, sf, extra: ExtraColumn, plan: str = "auto") -> DataFrame:
+    """The rows that a merge without check columns writes, with an extra column: every staged row."""
+    target = fx.target_t(spark, sf).withColumn(extra.name, F.lit(None).cast(extra.data_type))
+    merged = merge_upsert(target, _staged(spark, sf), ["o_orderkey"], extra_columns=[extra], plan=plan)
+    return merged.where(F.col(ACTION_COL).isin("INSERT", "UPDATE")).select("o_orderkey", extra.name)
+
+
 @query("derived_columns", f"""
 with {S_SQL}
 select o_orderkey, cast(o_totalprice * 2 as decimal(18,2)) as price2 from S where {W_SQL}""")
 def q_derived_columns(spark, sf):
-    st = _staged(spark, sf).select("o_orderkey", "o_totalprice")
-    out = derived_columns(st, [ExtraColumn("price2", "decimal(18,2)", "source.o_totalprice * 2")])
-    return out.select("o_orderkey", "price2")
+    return _with_extra(spark, sf, ExtraColumn("price2", "decimal(18,2)", "source.o_totalprice * 2"))
 
 
 @query("derived_udf", f"""
@@ -241,10 +243,26 @@ from S where {W_SQL}""")
 def q_derived_udf(spark, sf):
     register_sql_function(spark, "tm_status_code", "status STRING, priority STRING", "STRING",
                           "concat(coalesce(status, '?'), '-', substr(priority, 1, 1))")
-    st = _staged(spark, sf).select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    out = derived_columns(st, [ExtraColumn(
-        "status_code", "string", "tm_status_code(source.o_orderstatus, source.o_orderpriority)")])
-    return out.select("o_orderkey", "status_code")
+    return _with_extra(spark, sf, ExtraColumn(
+        "status_code", "string", "tm_status_code(source.o_orderstatus, source.o_orderpriority)"))
+
+
+def _extra_in_plan(plan: str):
+    def run(spark, sf):
+        extra = ExtraColumn("price2", "decimal(18,2)", "source.o_totalprice * 2")
+        target = fx.target_t(spark, sf).withColumn("price2", F.lit(-1).cast("decimal(18,2)"))
+        return merge_upsert(target, _staged(spark, sf), ["o_orderkey"], ["o_orderstatus", "o_totalprice"], [extra], plan=plan) \
+            .select("o_orderkey", "price2", ACTION_COL)
+    return run
+
+
+for _plan in ("broadcast", "full_outer", "split"):
+    query(f"merge_extra_columns_{_plan}", f"""
+with {S_SQL}, {T_SQL}, {ST_SQL}, {_merge_sql('T', CHANGED_SQL)}
+select case when action = 'INSERT' then s_o_orderkey else o_orderkey end as o_orderkey,
+       case when action in ('INSERT', 'UPDATE') then cast(s_o_totalprice * 2 as decimal(18,2))
+            else cast(-1 as decimal(18,2)) end as price2, action as _action
+from j""")(_extra_in_plan(_plan))
 
 
 @query("stamp_housekeeping", f"""
@@ -491,26 +509,46 @@ def _altered_pair(spark: SparkSession, sf: str):
     return s, t
 
 
-@query("type_diffs", """
-select * from (values
+def _with_counts(findings: DataFrame, s: DataFrame, t: DataFrame) -> DataFrame:
+    """The findings beside the row counts of both tables (one row, so the join multiplies nothing)."""
+    counts = s.agg(F.count(F.lit(1)).alias("src_rows")).crossJoin(t.agg(F.count(F.lit(1)).alias("tgt_rows")))
+    return findings.crossJoin(F.broadcast(counts))
+
+
+def _saved(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    name = _unique_table(label)
+    df.write.format("parquet").option("path", fresh_path(spark, label)).saveAsTable(name)
+    return spark.table(name)
+
+
+COUNTS_SQL = "(select count(*) from S) as src_rows, (select count(*) from T) as tgt_rows"
+
+
+@query("type_diffs", f"""
+with {S_SQL}, {T_SQL}
+select v.*, {COUNTS_SQL} from (values
   ('orders', 'type_mismatch', 'o_custkey', 'src=bigint tgt=string'),
   ('orders', 'missing_in_target', 'o_orderpriority', 'target has no column o_orderpriority')
 ) v(pair, kind, column_name, detail)""")
 def q_type_diffs(spark, sf):
     s, t = _altered_pair(spark, sf)
-    return findings_frame(spark, type_diffs("orders", s.schema, t.schema))
+    s, t = _saved(spark, s, "types_s"), _saved(spark, t, "types_t")
+    return _with_counts(findings_frame(spark, type_diffs("orders", s.schema, t.schema)), s, t)
 
 
-@query("key_diffs", """
-select * from (values
-  ('orders_narrow', 'key_mismatch', cast(null as varchar), 'src_pk=(o_orderkey, o_custkey) tgt_pk=(o_orderkey)')
+@query("key_diffs", f"""
+with {S_SQL}, {T_SQL}
+select v.*, {COUNTS_SQL} from (values
+  ('orders_narrow', 'key_mismatch', cast(null as varchar),
+   'keys of the source: o_orderkey, o_custkey; of the target: o_orderkey')
 ) v(pair, kind, column_name, detail)""")
 def q_key_diffs(spark, sf):
-    s, t = _altered_pair(spark, sf)
-    assert "o_custkey" in s.columns and "o_orderkey" in t.columns
-    found = key_diffs("orders_same", ["o_orderkey", "o_custkey"], ["O_CUSTKEY", "O_ORDERKEY", "o_orderdate"])
-    found += key_diffs("orders_narrow", ["o_orderkey", "o_custkey"], ["o_orderkey"])
-    return findings_frame(spark, found)
+    """Keys as job specs give them for two catalog tables."""
+    s, t = _saved(spark, fx.source_s(spark, sf), "keys_s"), _saved(spark, fx.target_t(spark, sf), "keys_t")
+    wide = fx.orders_spec(keys=("o_orderkey", "o_custkey"))
+    found = key_diffs("orders_same", wide.keys, [k.upper() for k in constraint_keys(wide)["unique_index"]])
+    found += key_diffs("orders_narrow", wide.keys, constraint_keys(fx.orders_spec())["primary_key"])
+    return _with_counts(findings_frame(spark, found), s, t)
 
 
 @query("empty_tables", """
@@ -619,7 +657,8 @@ def q_partition_scoped_load(spark, sf):
     """A load that reads and re-points only the months its window touches."""
     table = _unique_table("orders_pt")
     publish_snapshot(spark, table, fx.target_t(spark, sf, housekeeping=True), "o_orderdate", "month")
-    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate", partition_scoped=True)
+    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate",
+                          keys=("o_orderkey", "o_orderdate"), partition_scoped=True)
     run_load(spark, spec, fx.W_START, fx.W_END, load_id=fx.RUN_LOAD_ID, now=fx.RUN_TS, user=fx.RUN_USER,
              source_df=fx.source_s(spark, sf))
     return spark.table(table).select(*BUSINESS, "mstr_load_id", "o_orderdate_month")
@@ -652,7 +691,8 @@ def q_incremental_stream_load(spark, sf):
         .option("path", fresh_path(spark, "orders_st")).saveAsTable(table)
     stream = fx.shape_s(file_stream(spark, sf, glob="orders.parquet"))
     q = start_incremental_load(spark, fx.orders_spec(target=TableRef(name=table)), stream, target_table=table,
-                               load_id_base=fx.RUN_LOAD_ID, user=fx.RUN_USER, clock=lambda: fx.RUN_TS)
+                               history_table=_unique_table("hist"), load_id_base=fx.RUN_LOAD_ID, user=fx.RUN_USER,
+                               clock=lambda: fx.RUN_TS)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -760,3 +800,49 @@ def q_readiness_report(spark, sf):
 
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
+
+
+# --- loads at their limits -------------------------------------------------------------------
+
+@query("null_partition_load", f"""
+with {S_SQL}, {T_SQL}, {TH_SQL},
+D as (select * replace (case when o_orderkey % 3 = 0 then null else o_orderdate end as o_orderdate) from S)
+select coalesce(D.o_orderkey, t.o_orderkey) as o_orderkey,
+       case when D.o_orderkey is not null then D.o_orderdate else t.o_orderdate end as o_orderdate,
+       cast(date_trunc('month', case when D.o_orderkey is not null then D.o_orderdate else t.o_orderdate end) as date) as o_orderdate_month
+from TH t full outer join D on D.o_orderkey = t.o_orderkey""")
+def q_null_partition_load(spark, sf):
+    """Rows that get no date move to, or arrive in, the NULL partition of a table that had none."""
+    table = _unique_table("orders_np")
+    publish_snapshot(spark, table, fx.target_t(spark, sf, housekeeping=True), "o_orderdate", "month")
+    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate", search_column=None, check_columns=())
+    undated = fx.source_s(spark, sf).withColumn("o_orderdate", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate")))
+    run_load(spark, spec, load_id=fx.RUN_LOAD_ID, now=fx.RUN_TS, user=fx.RUN_USER, source_df=undated)
+    return spark.table(table).select("o_orderkey", "o_orderdate", "o_orderdate_month")
+
+
+@query("assign_ids_two_jobs", f"""
+with {S_SQL}, {T_SQL},
+ins as (select count(*) as c from S where not exists (select 1 from T t where t.o_orderkey = S.o_orderkey)),
+mx as (select max(o_orderkey) + 1 as m, count(*) as n from T)
+select mx.n + ins.c as n_rows, mx.n + ins.c as n_ids, mx.m + ins.c as max_id from mx, ins""")
+def q_assign_ids_two_jobs(spark, sf):
+    """Two jobs load halves of the source into one target: no id is given twice."""
+    table, history = _unique_table("orders_2j"), _unique_table("hist_2j")
+    fx.target_t(spark, sf, housekeeping=True).write.format("parquet").option("path", fresh_path(spark, "orders_2j")).saveAsTable(table)
+    src = fx.source_s(spark, sf)
+    for n, half in enumerate((src.where("o_orderkey % 2 = 0"), src.where("o_orderkey % 2 = 1"))):
+        run_load(spark, fx.orders_spec(name=f"JOB{n}", target=TableRef(name=table), search_column=None), load_id=n, now=fx.RUN_TS,
+                 user=fx.RUN_USER, source_df=half, history_table=history)
+    return spark.table(table).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"), F.max("id").alias("max_id"))
+
+
+@query("utc_window_from_config", """
+select count(*) as n from events where ts between timestamp '2024-01-10 05:00:00' and timestamp '2024-01-11 05:00:00'""")
+def q_utc_window_from_config(spark, sf):
+    """The window of a job file whose column is in UTC and whose load server's zone is named."""
+    spec = JobSpec.from_config({
+        "SOURCE_TABLE": "events", "TARGET_TABLE": "events_t", "SOURCE_TABLE_PRIMARY_KEY": ["event_id"],
+        "SOURCE_TABLE_SEARCH_COLUMN": {"column_name": "ts", "is_utc": True}, "LOAD_TIME_ZONE": "America/New_York"})
+    period = resolve_load_period(spec, dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11), now=dt.datetime(2024, 1, 12))
+    return build_extract(fx.read_table(spark, sf, "events"), spec, period).agg(F.count(F.lit(1)).alias("n"))

@@ -3,7 +3,7 @@
 Fixed values: housekeeping column names (in table order), their defaults, the
 prefix given to source columns that collide with them, the default period
 start, the check-window grace, the "no earliest override" sentinel and the
-history text formats.
+message of a check.
 """
 
 from __future__ import annotations
@@ -20,12 +20,10 @@ HOUSEKEEPING_COLUMNS = (
     "ACTIVE_FLAG",
 )
 RESERVED_PREFIX = "S_"
-DEFAULT_LOAD_ID = -1
-DEFAULT_ACTIVE_FLAG = 1
+ACTIVE = 1
 DEFAULT_PERIOD_START = _dt.datetime(2000, 1, 1)
 NO_EARLIEST_OVERRIDE = _dt.datetime(1990, 1, 1)
 CHECK_GRACE_HOURS = 5
-HISTORY_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MISSING_MESSAGE = "{job} : MIN DTTM MISSING FROM TARGET : {dttm} in SEARCH date range {start} and {end}"
 # ---------------------------------------------------------------------------
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.constants import DEFAULT_PERIOD_START, NO_EARLIEST_OVERRIDE
-from tidemark.spec import JobSpec, resolve_name
+from tidemark.spec import JobSpec, SpecError, resolve_name
 
 
 @dataclass(frozen=True)
@@ -76,6 +76,9 @@ def _shift(spec: JobSpec, start: dt.datetime, end: dt.datetime, now: dt.datetime
     if spec.utc_zone:
         # A named zone converts each bound by its own offset (no DST error).
         return to_utc(start, zone), to_utc(end, zone), utc_shift_hours(now, zone)
+    if zone.upper() in ("UTC", "ETC/UTC", "GMT", "Z"):
+        raise SpecError(f"{spec.name}: the search column is in UTC, but neither utc_zone nor utc_shift_hours says "
+                        "where the load's own clock stands")
     h = utc_shift_hours(now, zone)
     return start + dt.timedelta(hours=h), end + dt.timedelta(hours=h), h
 

@@ -73,7 +73,7 @@ def key_diffs(pair: str, src_keys: Sequence[str], tgt_keys: Sequence[str]) -> li
     if all(target_name(k).lower() in tset for k in src_keys):
         return []
     return [Finding(pair, "key_mismatch", None,
-                    f"src_pk=({', '.join(src_keys)}) tgt_pk=({', '.join(tgt_keys)})")]
+                    f"keys of the source: {', '.join(src_keys)}; of the target: {', '.join(tgt_keys)}")]
 
 
 def empty_table_check(pair: str, df: DataFrame, label: str) -> list[Finding]:
@@ -98,7 +98,7 @@ def compare_tables(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame
         try:
             out.extend(compare_pair(p))
         except Exception as e:  # isolate the pair, report, go on
-            out.append(Finding(p.name, "error", None, f"{type(e).__name__}: {str(e).splitlines()[0][:300]}"))
+            out.append(Finding(p.name, "error", None, f"{type(e).__name__}: {e}"))
     return findings_frame(spark, out)
 
 

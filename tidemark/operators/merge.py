@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from tidemark.constants import ACTION_COL, INSERT, TARGET_ONLY, UNCHANGED, UPDATE
+from tidemark.constants import ACTION_COL, ACTIVE, INSERT, TARGET_ONLY, UNCHANGED, UPDATE
 from tidemark.functions.period import ntz
 from tidemark.functions.predicates import changed, keys_equal
 from tidemark.operators.shape import extra_column_exprs, target_name
@@ -86,7 +86,7 @@ def _projection(target_schema: StructType, staged_cols: Sequence[str], extras: d
         elif stamp is not None and up == "MSTR_LOAD_ID":
             v = F.when(is_new, F.lit(stamp.load_id)).otherwise(t(name))
         elif stamp is not None and up == "ACTIVE_FLAG":
-            v = F.when(is_ins, F.lit(1)).otherwise(t(name))
+            v = F.when(is_ins, F.lit(ACTIVE)).otherwise(t(name))
         elif name in staged_set:
             v = F.when(is_new, s(name)).otherwise(t(name))
         elif name.lower() in extra_lower:
@@ -101,13 +101,17 @@ def _projection(target_schema: StructType, staged_cols: Sequence[str], extras: d
 def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
                  check_columns: Sequence[str] = (), extra_columns: Sequence[ExtraColumn] = (), *,
                  stamp: Stamp | None = None, plan: str = "auto", staged_rows: int | None = None,
-                 broadcast_max_bytes: int | None = None, id_base: int | None = None, collation: str | None = None) -> DataFrame:
+                 broadcast_max_bytes: int | None = None, id_base: int | None = None, collation: str | None = None,
+                 matched: DataFrame | None = None, keep_inserts: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """D1 (check columns given) / D2 (none: every match updates).
 
     Staged keys must be unique (``run_load`` checks them with E5 first): a
     repeated key would match one target row twice.  ``id_base``: the largest id already used (default: ``max(ID)`` of ``target``;
     pass it when ``target`` is only a slice of the table).  ``collation``:
     string keys and check columns compare under it (e.g. ``UNICODE_CI``).
+    ``matched``: the target's keys that staged rows match, if the caller has
+    them already.  ``keep_inserts`` materialises the insert set, which the ids
+    read twice.
     """
     if not keys:
         raise SpecError("merge needs at least one key column")
@@ -140,9 +144,10 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     if choice.name == "broadcast":
         # The target is scanned, never shuffled; NULL keys need no care here.
         kept = target.alias("target").join(F.broadcast(s).alias("source"), on, "left")
-        matched = (target.select(*tkeys).alias("target")
-                   .join(F.broadcast(staged.select(*tkeys)).alias("source"), on, "left_semi").distinct())
-        inserts = staged.alias("source").join(F.broadcast(matched).alias("target"), on, "left_anti")
+        if matched is None:
+            matched = target.select(*tkeys).alias("target").join(
+                F.broadcast(staged.select(*tkeys)).alias("source"), on, "left_semi")
+        inserts = staged.alias("source").join(F.broadcast(matched.select(*tkeys).distinct()).alias("target"), on, "left_anti")
         parts = [kept.select(*_projection(tschema, scols, extras, _kept_action(upd), src, tgt, stamp, None))]
     else:
         # Shuffled joins see only rows whose keys are all non-NULL.  NULL-keyed
@@ -153,8 +158,8 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
         keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in tkeys])
         t_keyed, t_null = target.where(keyed), target.where(~keyed)
         s_keyed, s_null = s.where(keyed), staged.where(~keyed)
-        t_only = t_null.alias("target").select(*_projection(
-            tschema, scols, extras, F.lit(TARGET_ONLY), no_src, tgt, stamp, None))
+        t_only = t_null.alias("target").select(*_projection(  # no source row: the extra columns stay
+            tschema, scols, {}, F.lit(TARGET_ONLY), no_src, tgt, stamp, None))
         if choice.name == "full_outer":
             j = t_keyed.withColumn("__tp", F.lit(True)).alias("target").join(s_keyed.alias("source"), on,
                                                                              "full_outer")
@@ -167,13 +172,16 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
                 .unionByName(t_only).unionByName(ins_null)
         # split: as broadcast, with shuffled joins (ids need the insert set alone)
         kept = t_keyed.alias("target").join(s_keyed.alias("source"), on, "left")
-        inserts = staged.alias("source").join(t_keyed.select(*tkeys).alias("target"), on, "left_anti")
+        inserts = s_keyed.drop("__sp").alias("source").join(t_keyed.select(*tkeys).alias("target"), on, "left_anti")
+        inserts = inserts.unionByName(s_null)
         parts = [kept.select(*_projection(tschema, scols, extras, _kept_action(upd), src, tgt, stamp, None)),
                  t_only]
     new_id = None
     if has_id:
         id_name = resolve_name(tschema, "ID")
         base = id_base if id_base is not None else max_id(target, id_name)
+        if keep_inserts is not None:
+            inserts = keep_inserts(inserts)
         inserts = assign_ids(inserts, base, tkeys, id_col="__new_id",
                              expected_rows=staged_rows)
         new_id = F.col("source.__new_id")
@@ -228,36 +236,3 @@ def observe_counts(merged: DataFrame, name: str | None = None) -> tuple[DataFram
         F.count_if(a == TARGET_ONLY).alias("target_only_cnt"),
     )
     return observed, obs
-
-
-def merge_into_table(staged: DataFrame, table: str, keys: Sequence[str], check_columns: Sequence[str] = (),
-                     extra_columns: Sequence[ExtraColumn] = (), *, stamp: Stamp) -> None:
-    """D1/D2 as a row-level ``MERGE INTO`` on a table format that supports it (v2 catalogs).
-
-    Same SET/INSERT lists, change predicate and housekeeping as
-    ``merge_upsert``, but the table is updated in place, so an incremental
-    load rewrites only the files holding matched rows.  ``ID`` is left to the
-    table's identity column.  The session catalog's parquet tables refuse
-    row-level operations; use ``merge_upsert`` + a snapshot sink there.
-    """
-    tname = table.split(".")[-1]
-    target_cols = [f.name for f in staged.sparkSession.table(table).schema.fields]
-    tmap = {c.lower(): c for c in target_cols}
-    src_cols = [c for c in staged.columns]
-    on = reduce(lambda a, b: a & b, [F.col(f"{tname}.{tmap[target_name(k).lower()]}") ==
-                                     F.col(f"source.{target_name(k)}") for k in keys])
-    checks = [tmap[target_name(c).lower()] for c in check_columns]
-    cond = None
-    if checks:
-        cond = reduce(lambda a, b: a | b, [~F.col(f"{tname}.{c}").eqNullSafe(F.col(f"source.{c}")) for c in checks])
-    extras = {tmap[k.lower()]: v for k, v in extra_column_exprs(extra_columns).items()}
-    values = {tmap[c.lower()]: F.col(f"source.{c}") for c in src_cols if c.lower() in tmap}
-    values.update(extras)
-    hk = {"MSTR_LOAD_ID": F.lit(stamp.load_id), "UPDATE_DTTM": ntz(stamp.run_ts)}
-    update = dict(values, **{tmap[k.lower()]: v for k, v in hk.items() if k.lower() in tmap})
-    ins_hk = dict(hk, INSERT_DTTM=ntz(stamp.run_ts), LST_MOD_USER=F.lit(stamp.user), ACTIVE_FLAG=F.lit(1))
-    insert = dict(values, **{tmap[k.lower()]: v for k, v in ins_hk.items() if k.lower() in tmap})
-    (staged.alias("source").mergeInto(table, on)
-        .whenMatched(cond).update(update)
-        .whenNotMatched().insert(insert)
-        .merge())

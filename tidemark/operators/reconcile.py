@@ -1,9 +1,9 @@
 """Source against target, both directions.
 
 Each side is windowed on its own search column (the target's may carry the
-``S_`` prefix) and keys compare with plain ``=``.  The anti joins dedupe the
-probe side's keys first, so a hot key reaches the join as one row per map
-task (partial aggregation) and the build side holds each key once.
+``S_`` prefix) and keys compare with plain ``=``.  The anti joins leave the
+probe side's keys as they are (repeats cannot fan out), so both inputs are
+plain exchanges and adaptive execution can split a hot key.
 
 ``reconcile`` computes both counts in one job without any anti join: each
 side is reduced to (key, rows, min date) by a partial aggregate, the two
@@ -51,7 +51,7 @@ def _key(df: DataFrame, name: str, collation: str | None):
 
 def _anti(left: DataFrame, lkeys: list[str], right: DataFrame, rkeys: list[str],
           collation: str | None = None) -> DataFrame:
-    probe = right.select(*[_key(right, r, collation).alias(f"__k{i}") for i, r in enumerate(rkeys)]).distinct()
+    probe = right.select(*[_key(right, r, collation).alias(f"__k{i}") for i, r in enumerate(rkeys)])
     cond = [_key(left, lk, collation) == probe[f"__k{i}"] for i, lk in enumerate(lkeys)]
     return left.join(probe, cond, "left_anti")
 

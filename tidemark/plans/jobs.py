@@ -8,9 +8,11 @@ writes the history records.
 from __future__ import annotations
 
 import datetime as dt
+import sys
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,7 +21,7 @@ from pyspark.sql import types as T
 
 from tidemark.constants import ACTION_COL, INSERT, MISSING_MESSAGE, NO_EARLIEST_OVERRIDE, UPDATE
 from tidemark.functions.period import Period, month_span, resolve_check_period, resolve_load_period
-from tidemark.functions.predicates import keys_equal
+from tidemark.functions.predicates import changed, keys_equal
 from tidemark.operators.filters import period_filter, residual_filter
 from tidemark.operators.merge import Stamp, merge_upsert
 from tidemark.operators.quality import duplicate_keys
@@ -28,9 +30,11 @@ from tidemark.operators.shape import cast_partition_column, exclude_columns, ren
 from tidemark.operators.surrogate import max_id
 from tidemark.plans.strategy import plan_merge
 from tidemark.sources.history import HistoryRecord, append_history, format_ts, last_max_id
-from tidemark.sources.readers import read_source, stage
-from tidemark.sources.target import (create_target, partition_column_name, partition_value, prune_to_window,
-                                     publish_partitions, publish_snapshot, write_snapshot)
+from tidemark.session import drop_path
+from tidemark.sources.readers import read_source, stage_extract
+from tidemark.sources.target import (ANY_VERSION, MAX_ID_PROPERTY, create_target, partition_column_name, partition_value,
+                                     prune_to_window, publish_partitions, publish_snapshot, recreate_target, set_property,
+                                     table_properties, table_version, target_schema, write_snapshot)
 from tidemark.spec import JobSpec, SpecError, has_column, resolve_name, validate_spec
 
 
@@ -76,35 +80,59 @@ def build_extract(source: DataFrame, spec: JobSpec, period: Period | None, apply
     return rename_reserved(df)
 
 
+def matched_rows(target: DataFrame, staged: DataFrame, spec: JobSpec, extra: Sequence[str] = ()) -> DataFrame:
+    """The target's keys (and ``extra`` columns) that staged rows match, and whether the match is a change.
+
+    For a small delta: the staged keys and check columns are broadcast, and the
+    target is read in as many columns, unshuffled.  The result has a row for
+    each matched target row, so it is about as small as the delta.
+    """
+    tkeys = [resolve_name(target.schema, target_name(k)) for k in spec.keys]
+    checks = [resolve_name(target.schema, target_name(c)) for c in spec.check_columns]
+    strings = {f.name for f in target.schema.fields if isinstance(f.dataType, T.StringType)}
+    narrow = list(dict.fromkeys(tkeys + checks))
+    probe = staged.select(*[F.col(resolve_name(staged.schema, c)).alias(c) for c in narrow])
+    return (target.select(*dict.fromkeys(narrow + list(extra))).alias("target")
+            .join(F.broadcast(probe).alias("source"), keys_equal(tkeys, collation=spec.collation, strings=strings))
+            .select(*[F.col(f"target.{c}") for c in dict.fromkeys(tkeys + list(extra))],
+                    changed(checks, collation=spec.collation, strings=strings).alias("__changed")))
+
+
 def scope_to_partitions(target: DataFrame, staged: DataFrame, spec: JobSpec, source_schema: T.StructType, *,
-                        matched_too: bool = True, broadcast: bool = False) -> tuple[DataFrame, list]:
+                        matched_too: bool = True, matched: DataFrame | None = None) -> tuple[DataFrame, list]:
     """The target partitions a load can change, as a partition-pruned slice.
 
     A partition changes only if a staged row belongs to it (insert, or the
     new home of an updated row) or it holds a target row whose key a staged
-    row matches (update; the row may move out).  The second set comes from a
-    semi join of the target's key and partition columns with the staged keys
-    (broadcast when the caller has checked the delta is small; run_load passes
-    its merge-plan decision), so no target row is shuffled.
-    ``matched_too=False`` skips it when rows never change partition.  The
-    values are one per partition, so few; the slice filters on the partition
-    column, so the scan lists and reads only those directories.
+    row matches (update; the row may move out).  The second set comes from
+    ``matched`` (``matched_rows`` with the partition column, for a small delta)
+    or else from a semi join of the target's key and partition columns with
+    the staged keys.  ``matched_too=False`` skips it when rows never change
+    partition.  The values are one per partition, so few; the slice filters on
+    the partition column, so the scan lists and reads only those directories.
     """
     col = target_name(resolve_name(source_schema, spec.partition_column))
     pname = resolve_name(target.schema, partition_column_name(col, spec.partition_granularity))
     parts = staged.select(partition_value(F.col(col), spec.partition_granularity).alias("p"))
-    if matched_too:
+    if matched_too and matched is not None:
+        parts = parts.unionByName(matched.select(F.col(pname).alias("p")))
+    elif matched_too:
         tkeys = [resolve_name(target.schema, target_name(k)) for k in spec.keys]
         strings = {f.name for f in target.schema.fields if isinstance(f.dataType, T.StringType)}
-        probe = staged.select(*tkeys)
-        probe = F.broadcast(probe) if broadcast else probe
         hit = (target.select(*tkeys, pname).alias("target")
-               .join(probe.alias("source"), keys_equal(tkeys, collation=spec.collation, strings=strings),
+               .join(staged.select(*tkeys).alias("source"), keys_equal(tkeys, collation=spec.collation, strings=strings),
                      "left_semi")
                .select(F.col(pname).alias("p")))
         parts = parts.unionByName(hit)
     scope = [r[0] for r in parts.distinct().collect()]
-    return target.where(F.col(pname).isin([v for v in scope if v is not None])), scope
+    inside = F.col(pname).isin([v for v in scope if v is not None])
+    if None in scope:
+        inside = inside | F.col(pname).isNull()
+    return target.where(inside), scope
+
+
+def _failure(e: Exception) -> str:
+    return f"{type(e).__name__}: {e}"
 
 
 def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = None,
@@ -113,89 +141,125 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
              target_table: str | None = None, output_path: str | None = None,
              history_table: str | None = None, history_path: str | None = None, plan: str = "auto",
              staging: str = "table", apply_window: bool = True,
-             broadcast_max_bytes: int | None = None, raise_errors: bool = True) -> LoadResult:
+             broadcast_max_bytes: int | None = None, raise_errors: bool = True, batch: str | None = None) -> LoadResult:
     """H1: C -> A1 -> B -> A2 -> E5 -> D1/D2 -> B5/G1 -> A5 -> E3 -> A6.
 
-    The FINISHED history row is written on failure too (with the error),
-    then the error is raised again unless ``raise_errors`` is false.
+    The START row is written before anything is read.  The FINISHED row is
+    written on every failure too (with the whole error), then the error is
+    raised again unless ``raise_errors`` is false.
+
+    Staged rows with a NULL in their key match nothing and insert, however
+    many there are; other keys may occur once.  A load without staged rows, or
+    (for a delta small enough to broadcast) without changes, publishes
+    nothing.  A target that another load published into meanwhile is refused
+    with ``ConcurrentLoadError``.  The staged extract is dropped at the end.
     """
     now = now or dt.datetime.now()
     user = user or spark.sparkContext.sparkUser()
     target_table = target_table or (spec.target.name if target_df is None and output_path is None else None)
-    source = source_df if source_df is not None else read_source(spark, spec.source)
-    validate_spec(spec, source.schema)
-    period = resolve_load_period(spec, start, end, now=now, source=source, session_zone=_session_zone(spark))
+    zone = _session_zone(spark)
+    period = Period(start, end, None, None)
     base = dict(load_id=load_id, job=spec.name, source_table=spec.source.label,
-                target_table=target_table or output_path or spec.target.label,
-                period_start=format_ts(period.start), period_end=format_ts(period.end),
-                eff_start=period.eff_start, eff_end=period.eff_end)
-    records = [HistoryRecord(status="START", event_dttm=now, **base)]
+                target_table=target_table or output_path or spec.target.label, batch=batch)
+
+    def record(status: str, **more) -> DataFrame:
+        bounds = dict(period_start=format_ts(period.start), period_end=format_ts(period.end), eff_start=period.eff_start,
+                      eff_end=period.eff_end)
+        return append_history(spark, [HistoryRecord(status=status, event_dttm=now, **base, **bounds, **more)],
+                              path=history_path, table=history_table)
+
+    error, exc, id_base, staged = None, None, None, None
+    try:
+        if start is not None and end is not None:  # else it takes a look at the source
+            period = resolve_load_period(spec, start, end, now=now, session_zone=zone)
+    except Exception as e:
+        error, exc = _failure(e), e
+    hist = record("START")
     spark.sparkContext.setJobDescription(f"load {spec.name} #{load_id}")
     staged_cnt = ins = upd = 0
-    chosen, snapshot, error, exc, id_base = "", None, None, None, None
+    chosen, snapshot = "", None
     try:
-        extract = build_extract(source, spec, period, apply_window)
-        staged, staged_cnt = stage(extract, staging)
+        if exc is not None:
+            raise exc
+        source = source_df if source_df is not None else read_source(spark, spec.source)
+        validate_spec(spec, source.schema)
+        period = resolve_load_period(spec, start, end, now=now, source=source, session_zone=zone)
+        staged = stage_extract(build_extract(source, spec, period, apply_window), staging)
+        rows, staged_cnt = staged.df, staged.rows
         tkeys = [target_name(k) for k in spec.keys]
-        dups = duplicate_keys(staged, tkeys, spec.collation)
-        if not dups.isEmpty():
-            raise DuplicateKeyError(f"{spec.name}: staged extract repeats key(s) {tkeys}, "
-                                    f"e.g. {dups.first().asDict()}")
+        keyed = reduce(lambda a, b: a & b, [F.col(resolve_name(rows.schema, k)).isNotNull() for k in tkeys])
+        dups = duplicate_keys(rows.where(keyed), tkeys, spec.collation).take(1)
+        if dups:
+            raise DuplicateKeyError(f"{spec.name}: staged extract repeats key(s) {tkeys}, e.g. {dups[0].asDict()}")
+        version = ANY_VERSION
         if target_df is not None:
             target = target_df
+        elif target_table:
+            target = (recreate_target if spec.recreate else create_target)(spark, spec, source.schema, target_table)
+            version = table_version(spark, target_table)
         else:
-            target = create_target(spark, spec, source.schema, target_table)
-        pname, scope = None, None
+            target = spark.createDataFrame([], target_schema(spec, source.schema))
+        publishes = bool(target_table) and target_df is None
+        pname, scope, matched = None, None, None
         if spec.partition_column:
             pname = partition_column_name(target_name(resolve_name(source.schema, spec.partition_column)),
                                           spec.partition_granularity)
+        partitioned = bool(pname) and has_column(target.schema, pname)
         has_ids = any(f.name.upper() == "ID" for f in target.schema.fields)
         if has_ids:
-            # Largest id so far: recorded by the last successful load, else one
-            # aggregate over the target's ID column.
-            id_base = last_max_id(spark, history_table, spec.name)
-            if id_base is None:
-                id_base = max_id(target, resolve_name(target.schema, "ID"))
-        chosen = plan_merge(spark, staged, plan, staged_rows=staged_cnt, needs_ids=has_ids,
+            # No id is given twice: beyond what any load recorded, in the history or with
+            # the table, and beyond what the table holds (rows put in by hand, a restored copy).
+            marks = [last_max_id(spark, history_table, target_table), max_id(target, resolve_name(target.schema, "ID"))]
+            if publishes:
+                marks.append(int(table_properties(spark, target_table).get(MAX_ID_PROPERTY, 0)))
+            id_base = max(m for m in marks if m is not None)
+        chosen = plan_merge(spark, rows, plan, staged_rows=staged_cnt, needs_ids=has_ids, staged_bytes=staged.bytes,
                             broadcast_max_bytes=broadcast_max_bytes).name
-        if pname and target_table and target_df is None and has_column(target.schema, pname):
-            # Partitioned target: merge and re-point only the partitions the
-            # load can change (no NULL partition values; those republish all).
-            sliced, scope = scope_to_partitions(target, staged, spec, source.schema,
-                                                matched_too=not spec.scoped_by_partition,
-                                                broadcast=chosen == "broadcast")
-            if None in scope:
-                scope = None
+        unchanged = staged_cnt == 0
+        if publishes and chosen == "broadcast" and not unchanged:
+            held = stage_extract(matched_rows(target, rows, spec, [resolve_name(target.schema, pname)] if partitioned else []))
+            matched = held.df
+            hits = [resolve_name(target.schema, k) for k in tkeys]
+            fresh = staged_cnt - matched.select(*hits).distinct().count()
+            unchanged = fresh == 0 and matched.where("__changed").isEmpty()
+        if not (unchanged and publishes):
+            if publishes and partitioned:
+                # Merge and re-point only the partitions that the load can change.
+                target, scope = scope_to_partitions(target, rows, spec, source.schema,
+                                                    matched_too=not spec.scoped_by_partition, matched=matched)
+            if partitioned:
+                target = target.drop(resolve_name(target.schema, pname))
+            merged = merge_upsert(target, rows, spec.keys, spec.check_columns, spec.extra_columns,
+                                  stamp=Stamp(load_id, now, user), plan=chosen, staged_rows=staged_cnt, id_base=id_base,
+                                  collation=spec.collation, matched=matched,
+                                  broadcast_max_bytes=broadcast_max_bytes if chosen != "broadcast" else sys.maxsize,
+                                  keep_inserts=(lambda df: stage_extract(df).df) if chosen == "split" else None)
+            # E3 counts, taken in the stage that writes (once per row, even on re-runs).
+            obs = Observation(f"merge-counts-{uuid.uuid4().hex[:12]}")
+            counts = (obs, [F.count_if(F.col(ACTION_COL) == INSERT).alias("insert_cnt"),
+                            F.count_if(F.col(ACTION_COL) == UPDATE).alias("update_cnt")])
+            part = target_name(spec.partition_column) if spec.partition_column else None
+            gran = spec.partition_granularity
+            if publishes and scope is not None:
+                snapshot = publish_partitions(spark, target_table, merged, part, gran, scope, counts, [ACTION_COL], version)
+            elif publishes:
+                snapshot = publish_snapshot(spark, target_table, merged, part, gran, counts, [ACTION_COL], version)
+            elif output_path:
+                snapshot = write_snapshot(merged, output_path, part, gran, observe=counts, drop=[ACTION_COL])
             else:
-                target = sliced
-        if pname and has_column(target.schema, pname):
-            target = target.drop(resolve_name(target.schema, pname))
-        stamp = Stamp(load_id, now, user)
-        merged = merge_upsert(target, staged, spec.keys, spec.check_columns, spec.extra_columns,
-                              stamp=stamp, plan=chosen, staged_rows=staged_cnt, id_base=id_base,
-                              collation=spec.collation)
-        # E3 counts, taken in the stage that writes (once per row, even on re-runs).
-        obs = Observation(f"merge-counts-{uuid.uuid4().hex[:12]}")
-        counts = (obs, [F.count_if(F.col(ACTION_COL) == INSERT).alias("insert_cnt"),
-                        F.count_if(F.col(ACTION_COL) == UPDATE).alias("update_cnt")])
-        part = target_name(spec.partition_column) if spec.partition_column else None
-        gran = spec.partition_granularity
-        if target_table and target_df is None and scope is not None:
-            snapshot = publish_partitions(spark, target_table, merged, part, gran, scope, counts, [ACTION_COL])
-        elif target_table and target_df is None:
-            snapshot = publish_snapshot(spark, target_table, merged, part, gran, counts, [ACTION_COL])
-        elif output_path:
-            snapshot = write_snapshot(merged, output_path, part, gran, observe=counts, drop=[ACTION_COL])
-        else:
-            merged.observe(counts[0], *counts[1]).drop(ACTION_COL).write.format("noop").mode("overwrite").save()
-        m = obs.get
-        ins, upd = int(m["insert_cnt"]), int(m["update_cnt"])
+                merged.observe(counts[0], *counts[1]).drop(ACTION_COL).write.format("noop").mode("overwrite").save()
+            m = obs.get
+            ins, upd = int(m["insert_cnt"]), int(m["update_cnt"])
+            if publishes and id_base is not None:
+                set_property(spark, target_table, MAX_ID_PROPERTY, str(id_base + ins))
     except Exception as e:  # recorded, then raised again
-        error, exc = f"{type(e).__name__}: {str(e).splitlines()[0][:500]}", e
+        error, exc = _failure(e), e
+    finally:
+        if staged is not None and staged.path:
+            drop_path(spark, staged.path)
     new_max = id_base + ins if (id_base is not None and error is None) else None
-    records.append(HistoryRecord(status="FINISHED", event_dttm=now, staged_cnt=staged_cnt, insert_cnt=ins,
-                                 update_cnt=upd, delete_cnt=0, error=error, max_id=new_max, **base))
-    hist = append_history(spark, records, path=history_path, table=history_table)
+    hist = hist.unionByName(record("FINISHED", staged_cnt=staged_cnt, insert_cnt=ins, update_cnt=upd, delete_cnt=0,
+                                   error=error, max_id=new_max))
     spark.sparkContext.setJobDescription(None)
     if exc is not None and raise_errors:
         raise exc
@@ -213,19 +277,24 @@ def run_check(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = No
     History carries ``src_miss`` / ``trg_miss`` in the insert / update slots.
     """
     now = now or dt.datetime.now()
-    source = source_df if source_df is not None else read_source(spark, spec.source)
-    target = target_df if target_df is not None else read_source(spark, spec.target)
-    validate_spec(spec, source.schema)
-    period = resolve_check_period(spec, start, end, now=now, earliest=earliest, source=source,
-                                  session_zone=_session_zone(spark))
-    base = dict(load_id=load_id, job=f"CHECK_{spec.name}", source_table=spec.source.label,
-                target_table=spec.target.label, period_start=format_ts(period.start),
-                period_end=format_ts(period.end), eff_start=period.eff_start, eff_end=period.eff_end)
-    records = [HistoryRecord(status="START", event_dttm=now, **base)]
+    zone = _session_zone(spark)
+    period = Period(start, end, None, None)
+    base = dict(load_id=load_id, job=f"CHECK_{spec.name}", source_table=spec.source.label, target_table=spec.target.label)
+
+    def bounds() -> dict:
+        return dict(period_start=format_ts(period.start), period_end=format_ts(period.end), eff_start=period.eff_start,
+                    eff_end=period.eff_end)
+
+    hist = append_history(spark, [HistoryRecord(status="START", event_dttm=now, **base, **bounds())],
+                          path=history_path, table=history_table)
     spark.sparkContext.setJobDescription(f"check {spec.name} #{load_id}")
     src_miss = trg_miss = 0
     min_miss, message, error, exc = None, "", None, None
     try:
+        source = source_df if source_df is not None else read_source(spark, spec.source)
+        target = target_df if target_df is not None else read_source(spark, spec.target)
+        validate_spec(spec, source.schema)
+        period = resolve_check_period(spec, start, end, now=now, earliest=earliest, source=source, session_zone=zone)
         if apply_residual:
             source = residual_filter(source, spec.search_condition)
         col = spec.search_column.name if spec.search_column else None
@@ -234,15 +303,15 @@ def run_check(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = No
         r = reconcile(source, target, spec.keys, col, period if col else None, spec.collation).first()
         src_miss, trg_miss, min_miss = int(r["src_miss"]), int(r["trg_miss"]), r["min_miss_dttm"]
         if trg_miss > 0:
-            parts = (format_ts(min_miss), base["period_start"], base["period_end"])
+            parts = (format_ts(min_miss), format_ts(period.start), format_ts(period.end))
             # Text joined with a NULL date is NULL (no search column: no dates).
             message = None if None in parts else MISSING_MESSAGE.format(
                 job=base["job"], dttm=parts[0], start=parts[1], end=parts[2])
     except Exception as e:
-        error, exc = f"{type(e).__name__}: {str(e).splitlines()[0][:500]}", e
-    records.append(HistoryRecord(status="FINISHED", event_dttm=now, insert_cnt=src_miss, update_cnt=trg_miss,
-                                 delete_cnt=0, error=error, message=message, **base))
-    hist = append_history(spark, records, path=history_path, table=history_table)
+        error, exc = _failure(e), e
+    hist = hist.unionByName(append_history(
+        spark, [HistoryRecord(status="FINISHED", event_dttm=now, insert_cnt=src_miss, update_cnt=trg_miss, delete_cnt=0,
+                              error=error, message=message, **base, **bounds())], path=history_path, table=history_table))
     spark.sparkContext.setJobDescription(None)
     if exc is not None and raise_errors:
         raise exc
@@ -265,7 +334,7 @@ def run_batch(spark: SparkSession, specs: Sequence[JobSpec], job: Callable[[JobS
 
     ``job`` runs one spec (e.g. a partial of ``run_load``).  With
     ``max_workers > 1`` jobs are submitted from a small thread pool and Spark
-    runs them concurrently.
+    runs them concurrently, but for jobs on one target, which run in turn.
     """
     def one(spec: JobSpec):
         try:
@@ -273,13 +342,18 @@ def run_batch(spark: SparkSession, specs: Sequence[JobSpec], job: Callable[[JobS
             status = "FINISHED" if r.error is None else "ERROR"
             return (spec.name, status, r.staged_cnt, r.insert_cnt, r.update_cnt, r.error)
         except Exception as e:
-            return (spec.name, "ERROR", None, None, None, f"{type(e).__name__}: {str(e).splitlines()[0][:500]}")
+            return (spec.name, "ERROR", None, None, None, _failure(e))
+
+    by_target: dict[str, list[int]] = {}
+    for i, spec in enumerate(specs):
+        by_target.setdefault(spec.target.label.lower(), []).append(i)
+
+    def in_turn(places: list[int]) -> list[tuple[int, tuple]]:
+        return [(i, one(specs[i])) for i in places]
 
-    if max_workers > 1:
-        with ThreadPoolExecutor(max_workers) as pool:
-            rows = list(pool.map(one, specs))
-    else:
-        rows = [one(s) for s in specs]
+    with ThreadPoolExecutor(max(1, max_workers)) as pool:
+        done = dict(r for part in pool.map(in_turn, by_target.values()) for r in part)
+    rows = [done[i] for i in range(len(specs))]
     return spark.createDataFrame(rows, BATCH_SCHEMA)
 
 
@@ -334,7 +408,7 @@ def readiness_report(spark: SparkSession, specs: Sequence[JobSpec],
         except Exception as e:
             frames.append(spark.createDataFrame(
                 [(spec.name, spec.source.label, None, False, None, None, None, None, False, 0,
-                  f"{type(e).__name__}: {str(e).splitlines()[0][:500]}")],
+                  _failure(e))],
                 READINESS_SCHEMA))
     out = frames[0]
     for f in frames[1:]:

@@ -1,9 +1,9 @@
 """Physical choices that depend on a checked size.
 
-The staged side of a merge is broadcast only when its row count (known: it
-was counted when staged) times a width bound from its schema fits under
-``tidemark.merge.broadcastMaxBytes`` (default 64 MiB).  Beyond that the
-merge shuffles.  ``spark.sql.autoBroadcastJoinThreshold`` still applies to
+The staged side of a merge is broadcast only when its bytes, measured while it
+was staged, fit under ``tidemark.merge.broadcastMaxBytes`` (default 64 MiB);
+for an extract that wasn't measured, rows times a width from its schema stand
+in.  Beyond that the merge shuffles, also if a broadcast was asked for.  ``spark.sql.autoBroadcastJoinThreshold`` still applies to
 Spark's own choices; AQE may re-plan a shuffled join at run time.
 """
 
@@ -50,15 +50,15 @@ def broadcast_limit(spark: SparkSession, override: int | None = None) -> int:
 
 
 def plan_merge(spark: SparkSession, staged: DataFrame, plan: str = "auto", *, staged_rows: int | None = None,
-               needs_ids: bool = False, broadcast_max_bytes: int | None = None) -> MergePlan:
+               needs_ids: bool = False, broadcast_max_bytes: int | None = None, staged_bytes: int | None = None) -> MergePlan:
     if plan not in ("auto", "broadcast", "full_outer", "split"):
         raise ValueError(f"unknown merge plan {plan!r}")
     if plan == "full_outer" and needs_ids:
         plan = "split"  # ids need the insert set on its own
-    if plan != "auto":
+    if plan not in ("auto", "broadcast"):
         return MergePlan(plan, "requested", staged_rows)
     rows = staged_rows if staged_rows is not None else staged.count()
-    est = rows * row_width(staged.schema)
+    est = staged_bytes if staged_bytes is not None else rows * row_width(staged.schema)
     limit = broadcast_limit(spark, broadcast_max_bytes)
     if est <= limit:
         return MergePlan("broadcast", f"staged ~{est} B <= {limit} B", rows, est)

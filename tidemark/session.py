@@ -1,8 +1,10 @@
 """Session and shared-folder helpers.
 
-Everything durable that a job writes (staged extracts, target snapshots,
-history) goes under the folder the cluster names in ``spark.checkpoint.dir``.
-Only when the session has none (local tests) do we make one ourselves.
+Staged extracts and stream checkpoints go under the folder the cluster names
+in ``spark.checkpoint.dir``; a local session without one gets a folder of its
+own.  Targets are live data and have their own root, ``tidemark.target.dir``
+(by default a folder in the warehouse), so that clearing out scratch files
+never touches them.
 """
 
 from __future__ import annotations
@@ -57,8 +59,9 @@ def shared_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
+    elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     else:
-        # Unset: a local test session.  A cluster always names a shared folder.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -68,3 +71,32 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     base = shared_dir(spark)
     return os.path.join(base, f"{label}-{uuid.uuid4().hex[:12]}") if "://" not in base \
         else f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+TARGET_DIR_CONF = "tidemark.target.dir"
+
+
+def target_path(spark: SparkSession, label: str) -> str:
+    """A new, unused path for a target's data, under the root for targets."""
+    root = spark.conf.get(TARGET_DIR_CONF, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tidemark-targets"
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _filesystem(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder through Hadoop's file system; false if it wasn't there."""
+    fs, p = _filesystem(spark, path)
+    return bool(fs.delete(p, True))
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly in ``path``; none if it doesn't exist."""
+    fs, p = _filesystem(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory()]

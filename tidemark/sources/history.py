@@ -27,6 +27,7 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("error", T.StringType(), True),
     T.StructField("message", T.StringType(), True),
     T.StructField("max_id", T.LongType(), True),
+    T.StructField("batch", T.StringType(), True),
 ])
 
 
@@ -54,6 +55,7 @@ class HistoryRecord:
     error: str | None = None
     message: str | None = ""
     max_id: int | None = None
+    batch: str | None = None  # of a stream: its checkpoint and the batch's number
 
 
 def history_frame(spark: SparkSession, records: list[HistoryRecord]) -> DataFrame:
@@ -79,17 +81,13 @@ def append_history(spark: SparkSession, records: list[HistoryRecord], path: str
     return df
 
 
-def last_max_id(spark: SparkSession, history_table: str | None, job: str) -> int | None:
-    """The largest id recorded by a successful load of ``job`` (None if unknown).
-
-    Ids are dense, so a load records ``id_base + inserts``; the next load of
-    the same target starts there instead of scanning the target's ID column.
-    """
-    if not history_table or not spark.catalog.tableExists(history_table):
+def last_max_id(spark: SparkSession, history_table: str | None, target_table: str | None) -> int | None:
+    """The largest id that any job's successful load into ``target_table`` recorded (None if unknown)."""
+    if not history_table or not target_table or not spark.catalog.tableExists(history_table):
         return None
     h = spark.table(history_table)
     if "max_id" not in h.columns:
         return None
-    row = h.where((F.col("job") == job) & (F.col("status") == "FINISHED") & F.col("error").isNull()) \
+    row = h.where((F.col("target_table") == target_table) & (F.col("status") == "FINISHED") & F.col("error").isNull()) \
            .agg(F.max("max_id").alias("m")).first()
     return None if row is None or row["m"] is None else int(row["m"])

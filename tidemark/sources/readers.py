@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.session import fresh_path
+from tidemark.session import fresh_path, shared_dir
 from tidemark.spec import TableRef
 
 
@@ -45,26 +48,46 @@ def jdbc_source(url: str, table: str, *, partition_column: str | None = None, lo
     return TableRef(format="jdbc", options=opts)
 
 
-def stage(df: DataFrame, how: str = "table") -> tuple[DataFrame, int]:
+@dataclass(frozen=True)
+class Staged:
+    """A materialised extract: its frame, rows, bytes (as held in memory, measured) and folder."""
+    df: DataFrame
+    rows: int
+    bytes: int | None
+    path: str | None
+
+
+def stage_extract(df: DataFrame, how: str = "table") -> Staged:
     """A2: materialise the extract once so the merge and the counts see the same rows.
 
     ``table`` writes parquet to the shared checkpoint folder and reads it back
-    (survives executor loss; Spark knows its size for join planning);
-    ``checkpoint`` uses ``DataFrame.checkpoint``.  Returns the frame and its
-    row count (from the materialised copy).
+    (survives executor loss; Spark knows its size for join planning), and
+    counts rows and the bytes of strings in the write's own pass;
+    ``checkpoint`` uses ``DataFrame.checkpoint``.
     """
     spark = df.sparkSession
     if how == "checkpoint":
-        from tidemark.session import shared_dir
         shared_dir(spark)
-        staged = df.checkpoint(eager=True)
-    elif how == "table":
-        path = fresh_path(spark, "staged")
-        obs = Observation(f"staged-rows-{uuid.uuid4().hex[:12]}")  # unique: jobs may run concurrently
-        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
-        return spark.read.parquet(path), int(obs.get["n"])  # counted in the write's own pass
-    elif how == "none":
-        staged = df
-    else:
+        kept = df.checkpoint(eager=True)
+        return Staged(kept, kept.count(), None, None)
+    if how == "none":
+        return Staged(df, df.count(), None, None)
+    if how != "table":
         raise ValueError(f"unknown staging {how!r}")
-    return staged, staged.count()
+    path = fresh_path(spark, "staged")
+    obs = Observation(f"staged-rows-{uuid.uuid4().hex[:12]}")  # unique: jobs may run concurrently
+    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`")).cast("long")), F.lit(0)) for c in wide]
+    total = reduce(lambda a, b: a + b, lengths, F.lit(0).cast("long"))
+    df.observe(obs, F.count(F.lit(1)).alias("n"), total.alias("b")).write.mode("errorifexists").parquet(path)
+    rows = int(obs.get["n"])
+    nested = sum(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in df.schema.fields)
+    # Nested columns aren't measured: None then, and the plan choice estimates.
+    size = None if nested else rows * 8 * (len(df.columns) + 1) + int(obs.get["b"])
+    return Staged(spark.read.parquet(path), rows, size, path)
+
+
+def stage(df: DataFrame, how: str = "table") -> tuple[DataFrame, int]:
+    """A2: the materialised extract and its row count."""
+    staged = stage_extract(df, how)
+    return staged.df, staged.rows

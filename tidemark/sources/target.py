@@ -2,7 +2,9 @@
 
 A target is never overwritten while it is read.  A load writes a new
 snapshot directory (partitioned on the partition column's month by default)
-and the catalog table is re-pointed at it; readers keep a consistent view.
+under the root for targets, and the catalog table is re-pointed at it; readers
+keep a consistent view.  Each publish gives the table a new version (a table
+property); one that finds another version than it read from is refused.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.shape import target_name
 from tidemark.spec import JobSpec, resolve_name
-from tidemark.session import fresh_path
+from tidemark.session import drop_path, list_folders, target_path
 
 HOUSEKEEPING_FIELDS = [
     T.StructField("ID", T.LongType(), False),
@@ -64,11 +66,15 @@ def create_target(spark: SparkSession, spec: JobSpec, source_schema: T.StructTyp
                   path: str | None = None) -> DataFrame:
     """A3: create the empty target table when it does not exist; return it.
 
-    The table is external, under ``path`` or else the shared folder, so a
-    later snapshot switch never depends on the warehouse directory.
+    The table is external, under ``path`` or else the root for targets.  A
+    table left under its interim name by a replacement that was cut short is
+    put in place first.
     """
+    interim = _interim(table)
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(interim):
+        spark.sql(f"ALTER TABLE {interim} RENAME TO {table}")
     if not spark.catalog.tableExists(table):
-        path = path or fresh_path(spark, table.replace(".", "_") + "-created")
+        path = path or target_path(spark, table.replace(".", "_") + "-created")
         _empty_writer(spark, spec, source_schema, path).saveAsTable(table)
     return spark.table(table)
 
@@ -77,6 +83,7 @@ def recreate_target(spark: SparkSession, spec: JobSpec, source_schema: T.StructT
                     path: str | None = None) -> DataFrame:
     """A4: with ``spec.recreate`` drop and rebuild an existing target; else keep it."""
     if spec.recreate and spark.catalog.tableExists(table):
+        path = path or target_path(spark, table.replace(".", "_") + "-created")
         _empty_writer(spark, spec, source_schema, path).mode("overwrite").saveAsTable(table)
         spark.catalog.refreshTable(table)
         return spark.table(table)
@@ -146,33 +153,77 @@ def _write_partitioned(df: DataFrame, path: str, partition_column: str | None, g
     pobs = None
     if pname:
         pobs = Observation(f"partitions-{uuid.uuid4().hex[:12]}")
-        w = w.observe(pobs, F.collect_set(pname).alias("values"))
+        # A set leaves NULL out, so its rows are counted beside it.
+        w = w.observe(pobs, F.collect_set(pname).alias("values"), F.count_if(F.col(pname).isNull()).alias("nulls"))
     if observe is not None:
         w = w.observe(observe[0], *observe[1])
     if drop:
         w = w.drop(*drop)
     writer = w.write.mode(mode).format("parquet")
     (writer.partitionBy(pname) if pname else writer).save(path)
-    return sorted(pobs.get["values"]) if pobs is not None else None
+    if pobs is None:
+        return None
+    return sorted(pobs.get["values"]) + ([None] if pobs.get["nulls"] else [])
 
 
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+class ConcurrentLoadError(RuntimeError):
+    """Another load has published into the target since this one read it."""
+
+
+VERSION_PROPERTY, MAX_ID_PROPERTY = "tidemark.version", "tidemark.max_id"
+
+
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def table_version(spark: SparkSession, table: str) -> str | None:
+    """The version of the last publish; None for a table that no load has published into."""
+    return table_properties(spark, table).get(VERSION_PROPERTY)
+
+
+def set_property(spark: SparkSession, table: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{value}')")
+
+
+ANY_VERSION = object()
+
+
+def _claim(spark: SparkSession, table: str, expected) -> None:
+    """Refuse if the table isn't at the version that was read; else give it a new one, just before it is switched."""
+    found = table_version(spark, table)
+    if expected is not ANY_VERSION and found != expected:
+        raise ConcurrentLoadError(f"{table} was published into since it was read (version {found}, read at {expected}); "
+                                  "run the load again")
+    set_property(spark, table, VERSION_PROPERTY, uuid.uuid4().hex)
+
+
+def _interim(table: str) -> str:
+    return f"{table}__next"
+
+
 def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_column: str | None = None,
-                     granularity: str = "month", observe: Observe | None = None, drop: Sequence[str] = ()) -> str:
+                     granularity: str = "month", observe: Observe | None = None, drop: Sequence[str] = (),
+                     expected=ANY_VERSION) -> str:
     """Write a new full snapshot of ``table`` and point the catalog at it.
 
     An existing table with the same columns is switched in one catalog call
     per location (the table's, or each partition's), so readers see the old
     or the new data.  A new table, or one whose columns changed, is created
-    afresh.
+    under an interim name and then renamed; ``create_target`` completes a
+    replacement that was cut short.  ``expected``: the version that ``df`` was
+    derived from.
     """
-    path = fresh_path(spark, table.replace(".", "_") + "-snapshot").rstrip("/")
+    path = target_path(spark, table.replace(".", "_") + "-snapshot")
     values = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop)
     pname = partition_column_name(resolve_name(df.schema, partition_column), granularity) if partition_column else None
-    if spark.catalog.tableExists(table):
+    exists = spark.catalog.tableExists(table)
+    if exists:
+        _claim(spark, table, expected)
         current = spark.table(table).schema
         dropped = {d.lower() for d in drop}
         new_names = [f.name.lower() for f in df.schema.fields if f.name.lower() not in dropped] \
@@ -183,53 +234,69 @@ def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_c
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.catalog.refreshTable(table)
             return path
-        if same and pname and [c.lower() for c in parts] == [pname.lower()] \
-                and _repoint_partitions(spark, table, path, pname, values, drop_others=True):
+        if same and pname and [c.lower() for c in parts] == [pname.lower()]:
+            _repoint_partitions(spark, table, path, pname, values, drop_others=True)
             return path
-        spark.sql(f"DROP TABLE {table}")
-    spark.catalog.createTable(table, path=path, source="parquet")
+    name = _interim(table) if exists else table
+    if exists:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
     if pname:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    set_property(spark, name, VERSION_PROPERTY, uuid.uuid4().hex)
+    if exists:
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
     spark.catalog.refreshTable(table)
     return path
 
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _partition_text(value) -> str:
+    """A partition value as directories and SHOW PARTITIONS have it."""
+    return NO_VALUE if value is None else value.isoformat()
+
+
+def _partition_sql(text: str) -> str:
+    return "null" if text in (NO_VALUE, "null") else f"date'{text}'"
+
+
 def _repoint_partitions(spark: SparkSession, table: str, path: str, pname: str, values: list,
-                        drop_others: bool = False, scope: list | None = None) -> bool:
+                        drop_others: bool = False, scope: list | None = None) -> None:
     """Point each listed partition of ``table`` at ``path/pname=value`` (adding new ones).
 
     Partitions that should exist no more -- any not in ``values`` with
     ``drop_others`` (a full snapshot), or those in ``scope`` that were not
     written -- lost all their rows to updates that moved them, and are
-    dropped so their old rows cannot show up twice.  Returns False, changing
-    nothing, when NULL partition values are involved (the caller republishes).
+    dropped so their old rows cannot show up twice.  The NULL partition is one
+    like any other.
     """
-    existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    default = f"{pname}=__HIVE_DEFAULT_PARTITION__"
-    if None in values or (scope is not None and None in scope) or (drop_others and default in existing):
-        return False
-    keep = {f"{pname}={v.isoformat()}" for v in values}
-    gone = (existing - keep) if drop_others else \
-        ({f"{pname}={v.isoformat()}" for v in (scope or [])} & existing) - keep
+    def text(row: str) -> str:
+        value = row.split("=", 1)[1]
+        return NO_VALUE if value in (NO_VALUE, "null") else value
+
+    existing = {text(r[0]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    keep = [_partition_text(v) for v in values]
+    gone = (existing if drop_others else {_partition_text(v) for v in (scope or [])} & existing) - set(keep)
     for g in sorted(gone):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({pname}=date'{g.split('=', 1)[1]}')")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({pname}={_partition_sql(g)})")
     new_parts = []
-    for value in values:
-        v = value.isoformat()
-        spec, location = f"{pname}=date'{v}'", f"{path}/{pname}={v}"
-        if f"{pname}={v}" in existing:
+    for v in keep:
+        spec, location = f"{pname}={_partition_sql(v)}", f"{path}/{pname}={v}"
+        if v in existing:
             spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{location}'")
         else:
             new_parts.append(f"PARTITION ({spec}) LOCATION '{location}'")
     if new_parts:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(new_parts))
     spark.catalog.refreshTable(table)
-    return True
 
 
 def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition_column: str,
                        granularity: str = "month", scope: list | None = None, observe: Observe | None = None,
-                       drop: Sequence[str] = ()) -> str:
+                       drop: Sequence[str] = (), expected=ANY_VERSION) -> str:
     """Write only the partitions in ``scope`` and re-point them in ``table``.
 
     ``df`` must hold every row of the scoped partitions (the merged rows of
@@ -238,14 +305,38 @@ def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition
     one catalog call, so readers see the old or the new partition, never a
     half-written one.  A scoped partition left without rows is dropped.
     """
-    path = fresh_path(spark, table.replace(".", "_") + "-partitions").rstrip("/")
+    path = target_path(spark, table.replace(".", "_") + "-partitions")
     written = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop)
     pname = partition_column_name(resolve_name(df.schema, partition_column), granularity)
-    if not _repoint_partitions(spark, table, path, pname, written, scope=scope):
-        raise ValueError(f"{table}: NULL partition values need a full snapshot")
+    _claim(spark, table, expected)
+    _repoint_partitions(spark, table, path, pname, written, scope=scope)
     return path
 
 
+def remove_superseded(spark: SparkSession, table: str) -> list[str]:
+    """Remove the table's snapshot folders that neither it nor a partition of it points at; returns them.
+
+    Call it when no reader can still be on an older snapshot.
+    """
+    root = target_path(spark, "x").rsplit("/", 1)[0]
+    label = table.replace(".", "_")
+    found = spark.table(table)
+    used = {f.rsplit("/", 1)[0] for f in found.inputFiles()}
+    # With partitions, a file lies one level below its snapshot's folder.
+    used |= {u.rsplit("/", 1)[0] for u in used if "=" in u.rsplit("/", 1)[1]}
+    names = {u.rstrip("/").rsplit("/", 1)[1] for u in used}
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    names |= {r["data_type"].rstrip("/").rsplit("/", 1)[1] for r in rows}
+    gone = []
+    for folder in list_folders(spark, root):
+        name = folder.rstrip("/").rsplit("/", 1)[1]
+        kind = name.removeprefix(label + "-").rsplit("-", 1)[0]
+        if name.startswith(label + "-") and kind in ("created", "snapshot", "partitions") and name not in names:
+            drop_path(spark, folder)
+            gone.append(folder)
+    return gone
+
+
 def write_diffs(report: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Persist a comparison report (parquet, or csv with a header)."""
     w = report.coalesce(1).write.mode("errorifexists")

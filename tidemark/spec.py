@@ -14,19 +14,13 @@ from typing import Any, Mapping
 
 from pyspark.sql.types import StructType
 
+from tidemark.constants import CHECK_GRACE_HOURS
+
 
 class SpecError(ValueError):
     """A job spec that cannot run against its source."""
 
 
-class SearchColumnNotFound(SpecError):
-    pass
-
-
-class SearchColumnInvalidValue(SpecError):
-    pass
-
-
 @dataclass(frozen=True)
 class TableRef:
     """Where a table lives: a catalog name, a path + format, or a JDBC source."""
@@ -78,12 +72,12 @@ class JobSpec:
     # Not in the job files; made explicit so runs are repeatable.
     utc_shift_hours: int | None = None
     utc_zone: str | None = None
-    check_grace_hours: int = 5
+    check_grace_hours: int = CHECK_GRACE_HOURS
     default_start: dt.datetime | None = None
     partition_granularity: str = "month"
-    # True: a row never changes partition, so a load may read and rewrite only
-    # the partitions its delta touches.  None: true when the partition column
-    # is one of the keys.
+    # True: a row never changes partition, so the staged rows' partitions are
+    # all that a load can change.  Only keys that hold the partition column
+    # ensure that; elsewhere it is refused.  None: true for such keys.
     partition_scoped: bool | None = None
     # String keys and check columns compare under this collation (e.g.
     # "UNICODE_CI" for case-insensitive matching); None compares bytes.
@@ -102,9 +96,8 @@ class JobSpec:
     def scoped_by_partition(self) -> bool:
         if not self.partition_column:
             return False
-        if self.partition_scoped is not None:
-            return self.partition_scoped
-        return self.partition_column.lower() in {k.lower() for k in self.keys}
+        in_keys = self.partition_column.lower() in {k.lower() for k in self.keys}
+        return in_keys and self.partition_scoped is not False
 
     @classmethod
     def from_config(cls, cfg: Mapping[str, Any], name: str | None = None) -> "JobSpec":
@@ -121,17 +114,16 @@ class JobSpec:
         for key in ("SOURCE_TABLE_PRIMARY_KEY", "SOURCE_EXCLUDED_COLUMNS", "TARGET_TABLE_EXTRA_KEY_COLUMNS",
                     "TARGET_TABLE_EXTRA_COLUMNS", "UPDATE_MATCH_CHECK_COLUMNS"):
             if key in cfg and not isinstance(cfg[key], list):
-                raise SpecError(f"{key} must be an array.")
+                raise SpecError(f"{key}: a list is expected")
         if "SET_DAY_START" in cfg and not isinstance(cfg["SET_DAY_START"], bool):
-            raise SpecError("SET_DAY_START must be a boolean.")
+            raise SpecError("SET_DAY_START: true or false is expected")
         sc = cfg.get("SOURCE_TABLE_SEARCH_COLUMN")
         search = None
         if sc:
             if not isinstance(sc, Mapping) or "column_name" not in sc or "is_utc" not in sc:
-                raise SearchColumnInvalidValue(
-                    "SOURCE_TABLE_SEARCH_COLUMN must be a dictionary with column_name and is_utc.")
+                raise SpecError("SOURCE_TABLE_SEARCH_COLUMN: an object with the keys column_name and is_utc is expected")
             if not sc["column_name"]:
-                raise SearchColumnInvalidValue("SOURCE_TABLE_SEARCH_COLUMN: column name can't be empty.")
+                raise SpecError("SOURCE_TABLE_SEARCH_COLUMN: column_name is blank")
             search = SearchColumn(sc["column_name"], bool(sc["is_utc"]))
         keys = tuple(k["column_name"] if isinstance(k, Mapping) else k for k in cfg.get("SOURCE_TABLE_PRIMARY_KEY", []))
         extras = tuple(ExtraColumn(e["column_name"], e["data_type"], e["value"])
@@ -151,6 +143,10 @@ class JobSpec:
             partition_column=cfg.get("DATA_PARTITION_COLUMN") or None,
             check_columns=tuple(cfg.get("UPDATE_MATCH_CHECK_COLUMNS", [])),
             recreate=bool(cfg.get("TARGET_TABLE_RECREATE", False)),
+            # Where the load server's clock stands, for columns in UTC; and a start that saves the look for the earliest date.
+            utc_zone=cfg.get("LOAD_TIME_ZONE") or None,
+            utc_shift_hours=cfg.get("UTC_SHIFT_HOURS"),
+            default_start=dt.datetime.fromisoformat(cfg["DEFAULT_PERIOD_START"]) if cfg.get("DEFAULT_PERIOD_START") else None,
         )
 
 
@@ -176,17 +172,20 @@ def validate_spec(spec: JobSpec, source_schema: StructType) -> None:
         resolve_name(source_schema, k)
     if spec.search_column is not None:
         if not spec.search_column.name:
-            raise SearchColumnInvalidValue("search column name can't be empty.")
+            raise SpecError("the search column has a blank name")
         if not has_column(source_schema, spec.search_column.name):
-            raise SearchColumnNotFound(f'search column "{spec.search_column.name}" is an invalid column.')
+            raise SpecError(f"search column {spec.search_column.name!r} is not in the source")
     for group, cols in (("extra key", spec.extra_key_columns), ("check", spec.check_columns),
                         ("excluded", spec.excluded_columns)):
         for c in cols:
             if not has_column(source_schema, c):
-                raise SpecError(f'{group} column "{c}" is an invalid column.')
+                raise SpecError(f"{group} column {c!r} is not in the source")
     excluded = {c.lower() for c in spec.excluded_columns}
     for k in spec.keys:
         if k.lower() in excluded:
-            raise SpecError(f'key column "{k}" is excluded.')
-    if spec.partition_granularity not in ("year", "quarter", "month", "week", "day", "hour"):
+            raise SpecError(f"key column {k!r} is excluded")
+    if spec.partition_granularity not in ("year", "quarter", "month", "week", "day"):
         raise SpecError(f"unknown partition granularity {spec.partition_granularity!r}")
+    if spec.partition_scoped and not spec.scoped_by_partition:
+        raise SpecError(f"{spec.name}: partition_scoped needs the partition column among the keys; "
+                        "otherwise an updated row can leave its partition")

@@ -3,9 +3,11 @@
 Loads are meant to be called again and again, each time for the rows that
 arrived since the last call.  Here the source is a stream of new files and
 each micro-batch is one load (``run_load`` with the batch as its extract) via
-``foreachBatch``.  The stream's checkpoint, under the shared folder,
-remembers which files were loaded.  A batch that is replayed after a failure
-is skipped when the history already holds its FINISHED row without error.
+``foreachBatch``.  The stream's checkpoint remembers which files were loaded;
+by default it lies in the shared folder under the names of job and target, so
+each scheduled run goes on where the last one stopped.  A batch is known by its
+checkpoint and number; one that is replayed after a failure is skipped when the
+history already holds its FINISHED row without error.
 ``trigger(availableNow=True)`` gives one scheduled call that drains what is
 new; ``processingTime`` keeps it running at a fixed interval.
 """
@@ -20,17 +22,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.jobs import run_load
-from tidemark.session import fresh_path
+from tidemark.session import shared_dir
 from tidemark.spec import JobSpec
 
 
-def already_loaded(spark: SparkSession, history_table: str, job: str, load_id: int) -> bool:
+def stream_checkpoint(spark: SparkSession, job: str, target_table: str) -> str:
+    """The folder that all runs of this job's stream into this target share."""
+    return f"{shared_dir(spark).rstrip('/')}/streams/{job}-{target_table}"
+
+
+def already_loaded(spark: SparkSession, history_table: str, job: str, load_id: int, batch: str | None = None) -> bool:
     if not spark.catalog.tableExists(history_table):
         return False
     spark.catalog.refreshTable(history_table)
     done = spark.table(history_table).where(
         (F.col("job") == job) & (F.col("load_id") == load_id) & (F.col("status") == "FINISHED")
         & F.col("error").isNull())
+    if batch is not None and "batch" in done.columns:
+        done = done.where(F.col("batch") == batch)
     return not done.isEmpty()
 
 
@@ -40,16 +49,17 @@ def start_incremental_load(spark: SparkSession, spec: JobSpec, source_stream: Da
                            clock: Callable[[], dt.datetime] = dt.datetime.now,
                            plan: str = "auto") -> StreamingQuery:
     """Start the stream; each micro-batch is merged into ``target_table``."""
-    checkpoint = checkpoint or fresh_path(spark, f"{spec.name}-stream")
+    checkpoint = checkpoint or stream_checkpoint(spark, spec.name, target_table)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         load_id = load_id_base + batch_id
-        if history_table and already_loaded(spark, history_table, spec.name, load_id):
+        key = f"{checkpoint}#{batch_id}"
+        if history_table and already_loaded(spark, history_table, spec.name, load_id, key):
             return
         now = clock()
         # The batch is the delta: no window filter, bounds recorded as the run time.
         run_load(batch.sparkSession, spec, now, now, load_id=load_id, now=now, user=user, source_df=batch,
-                 target_table=target_table, history_table=history_table, apply_window=False, plan=plan)
+                 target_table=target_table, history_table=history_table, apply_window=False, plan=plan, batch=key)
         # The stream runs in a cloned session; the caller's session caches
         # relations of its own, so point it at the new snapshot as well.
         for t in (target_table, history_table):
