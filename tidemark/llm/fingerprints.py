@@ -139,8 +139,10 @@ def fingerprint_edits(docs: DataFrame, *, rarest: float = RAREST, commonest: flo
 
     both = F.concat(F.transform("own", lambda t: F.struct(F.lit(0).alias("which"), t.alias("term"))),
                     F.transform("new", lambda t: F.struct(F.lit(1).alias("which"), t.alias("term"))))
-    terms = (rows.select("bucket", "nth", "copy", "id", "n_chars", "sha", all_terms(F.col("own")).alias("own"),
-                         all_terms(F.col("new")).alias("new"), F.explode_outer(both).alias("t"))
+    # Whole-text values come before the explode: beside it they would be worked out again for every term.
+    rows = rows.select("bucket", "nth", "copy", "id", "n_chars", "sha", all_terms(F.col("own")).alias("own"),
+                       all_terms(F.col("new")).alias("new"), both.alias("both"))
+    terms = (rows.select("bucket", "nth", "copy", "id", "n_chars", "sha", "own", "new", F.explode_outer("both").alias("t"))
              .select("bucket", "nth", "copy", "id", "n_chars", "sha", "own", "new", "t.which", F.col("t.term").alias("term")))
     flagged = terms.join(known.withColumn("in_band", F.lit(True)).hint(hint), "term", "left")
     pick = lambda i: F.sort_array(F.collect_list(F.when(F.col("in_band") & (F.col("which") == i), F.col("term"))))
