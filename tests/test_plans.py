@@ -51,7 +51,7 @@ def test_ids_single_partition_only_over_bucket_sizes(spark):
 
 def test_scoped_load_reads_only_touched_partitions(spark):
     import uuid
-    from tidemark.plans.jobs import scope_to_partitions
+    from tidemark.plans.jobs import matched_rows, scope_to_partitions
     from tidemark.sources.target import publish_snapshot
     from tidemark.spec import TableRef
     table = f"tm_scope_{uuid.uuid4().hex[:8]}"
@@ -59,7 +59,10 @@ def test_scoped_load_reads_only_touched_partitions(spark):
     spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate",
                           keys=("o_orderkey", "o_orderdate"), partition_scoped=True)
     staged = period_filter(fx.source_s(spark, SF_SMALL), "o_orderdate", W)
-    sliced, scope = scope_to_partitions(spark.table(table), staged, spec, staged.schema, broadcast=True)
+    target = spark.table(table)
+    matched = matched_rows(target, staged, spec, ["o_orderdate_month"])
+    assert "SortMergeJoin" not in plan_of(matched)  # the target isn't shuffled
+    sliced, scope = scope_to_partitions(target, staged, spec, staged.schema, matched=matched)
     assert 0 < len(scope) <= 12
     scan = [ln for ln in plan_of(sliced).splitlines() if ln.startswith("PartitionFilters")][0]
     assert "o_orderdate_month" in scan and ("IN (" in scan or "In(" in scan or "INSET" in scan.upper())
