@@ -155,12 +155,17 @@ def _across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "node", "c", "n", "alone", F.posexplode(F.slice("values", F.lit(1), F.col("take"))).alias("at", "value"))
     rows = staged(rows.select("value", "node", "c", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left")), "full-prefixes")
     mixed = staged(rows.groupBy("value").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("value"), "mixed-values")
-    rows = rows.join(mixed, "value")
+    # Each node's mixed values in their order go along, so that a pair is made once, at the first value it has in common.
+    order = F.sort_array(F.collect_list(F.struct((-F.col("left")).alias("at"), "value")))
+    rows = staged(rows.join(mixed, "value").groupBy("node", "c", "n").agg(order.alias("order"))
+                  .select("node", "c", "n", F.col("order.value").alias("all"), F.explode("order").alias("o"))
+                  .select("node", "c", "n", "all", F.col("o.value").alias("value"), (-F.col("o.at")).alias("left")), "mixed-prefixes")
     x, y = rows.alias("x"), rows.alias("y")
     need = (F.col("x.n") + F.col("y.n")) * percent  # 100 + percent times the values that have to be common
     return (x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c"))
-                   & (F.col("x.left") * (100 + percent) >= need) & (F.col("y.left") * (100 + percent) >= need))
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+                   & (F.col("x.left") * (100 + percent) >= need) & (F.col("y.left") * (100 + percent) >= need)
+                   & (F.get(F.array_intersect("x.all", "y.all"), F.lit(0)) == F.col("x.value")))
+            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
 
 
 def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
