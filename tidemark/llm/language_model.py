@@ -42,6 +42,11 @@ FLUSH_WORDS, FLUSH_GRAMS, CHUNK_BYTES = 200_000, 2_000_000, 1 << 20
 SMOOTH = 0.1
 
 
+def as_objects(texts: list[str]) -> pd.Series:
+    """A column of plain strings: the inferred string type can come in several Arrow chunks, which Spark refuses."""
+    return pd.Series(texts, dtype=object)
+
+
 def marked(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All texts in one array, each after ORDER marks and before one; and where each text (its marks before included) begins."""
     head, tail = bytes([MARK]) * ORDER, bytes([MARK])
@@ -87,7 +92,7 @@ def training_counts(docs: DataFrame, text_col: str) -> DataFrame:
             return pd.DataFrame({"word": pd.Series([None] * len(codes), dtype=object), "code": codes, "n": n})
 
         def word_rows() -> pd.DataFrame:
-            out = pd.DataFrame({"word": [w.decode() for w in words], "code": np.zeros(len(words), dtype=np.int64),
+            out = pd.DataFrame({"word": as_objects([w.decode() for w in words]), "code": np.zeros(len(words), dtype=np.int64),
                                 "n": np.fromiter(words.values(), dtype=np.int64, count=len(words))})
             words.clear()
             return out
@@ -103,7 +108,8 @@ def training_counts(docs: DataFrame, text_col: str) -> DataFrame:
                 words[b""] += len(part)
                 if len(words) > FLUSH_WORDS:
                     yield word_rows()
-        yield word_rows()
+        if words:
+            yield word_rows()
         if held:
             yield gram_rows()
 
@@ -245,10 +251,10 @@ def score_documents(docs: DataFrame, *, folds: int = FOLDS, id_col: str = "doc_i
             n_tokens.append(sum(found.values()))
         ids, gone, hashes = (own[c].to_numpy() for c in ("id", "no_id", "text_hash"))
         # The row of the document itself goes with a word that no text has, of its own, so that it deals out evenly.
-        yield pd.DataFrame({"id": ids, "no_id": gone, "text_hash": hashes, "word": [f" {h}" for h in hashes], "times": 0,
+        yield pd.DataFrame({"id": ids, "no_id": gone, "text_hash": hashes, "word": as_objects([f" {h}" for h in hashes]), "times": 0,
                             "part": parts, "known": known, "n_tokens": n_tokens, "score": ready.score(raws), "copies": 1})
         row = np.array(row, dtype=np.int64)
-        yield pd.DataFrame({"id": ids[row], "no_id": gone[row], "text_hash": hashes[row], "word": [w.decode() for w in word],
+        yield pd.DataFrame({"id": ids[row], "no_id": gone[row], "text_hash": hashes[row], "word": as_objects([w.decode() for w in word]),
                             "times": np.array(times, dtype=np.int64), "part": 0.0, "known": 0, "n_tokens": 0, "score": -np.inf,
                             "copies": 0})
 
