@@ -89,12 +89,11 @@ def test_kernel_table_is_the_landmark_expansion():
     assert X.along(probe, weights).sum() == pytest.approx(by_kernel, rel=1e-4)
 
 
-def test_models_on_odd_rows(spark, odd, empty, tables):
-    _, labels = tables
+def test_models_on_odd_rows(spark, odd, empty):
     some = spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 1, 1), (7, 0, 1), (8, 1, 0), (8, 1, 0), (9, 0, 1)],
                                  "doc_id long, quality int, toxic int")
     for score in (Q.score_quality, X.score_toxicity):
-        for known in (some, some.limit(0), labels):
+        for known in (some, some.limit(0)):
             got = score(odd, known).collect()
             assert len(got) == odd.count() and all(0 <= r["score"] <= 1 for r in got)
             assert len({r["score"] for r in got if r["doc_id"] == 8}) == 1
