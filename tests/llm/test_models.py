@@ -154,6 +154,22 @@ def test_language_model_against_a_plain_one(spark, monkeypatch, docs):
         assert got == pytest.approx(plain_scores(texts + [b"", "unseen 漢字".encode()], held + [True, True], L.ORDER, share), rel=1e-5)
 
 
+def test_language_model_keeps_every_context(spark, monkeypatch, docs):
+    """A context of few occurrences predicts too, however large the corpus; grams sent along or joined give the same."""
+    rows = docs.orderBy("doc_id").limit(80).select("doc_id", "text").collect()
+    rows += [(1_000_000 + i, t) for i, t in enumerate(["unseen 漢字 qzxj", "", "zebra zebra"])]
+    filler = next(i for i in range(2_000_000, 2_000_100) if zlib.crc32(str(i).encode()) % 10)
+    rows.append((filler, "a" * 600_000))  # CONTEXT_SHARE of all symbols is more than three
+    texts = [(r[1] or "").encode().lower() for r in rows]
+    held = [zlib.crc32(str(r[0]).encode()) % 10 == 0 for r in rows]
+    want = plain_scores(texts, held, L.ORDER, 0)
+    frame = spark.createDataFrame([tuple(r) for r in rows], "doc_id long, text string")
+    for share in (2e-7, 1e-4, 1.0):
+        monkeypatch.setattr(L, "GRAM_SHARE", share, raising=False)
+        got = {r["doc_id"]: r["score"] for r in L.score_documents(frame).collect()}
+        assert [got[r[0]] for r in rows] == pytest.approx(want, rel=1e-6)
+
+
 def test_language_model_query(spark, tables):
     docs, _ = tables
     got = L.score_documents(docs).toPandas().set_index("doc_id")

@@ -7,12 +7,13 @@ there are distinct symbols), and the next shorter context predicts it with the
 symbols already ruled out excluded.  Below order 0 the bytes never seen are
 equally likely.  Byte 0xFF, which UTF-8 never has, begins and ends a text.
 
-The trie is fixed after training, so the probability of each symbol in each
-context, escapes and exclusions multiplied in, is computed once and laid out
-in a table; extending a context by an older byte is a second table.  Scoring a
-text is then ``ORDER`` + 1 vectorised look-ups for each byte.  Contexts with
-less than ``CONTEXT_SHARE`` of all symbols are left to their suffixes, which
-bounds the tables by 1 / CONTEXT_SHARE contexts an order for any corpus.
+The model is fixed after training, so the probability of each symbol in each
+context, escapes and exclusions multiplied in, is worked out once, order by
+order, by joins of each context with its suffix: a Spark table of (gram, log10
+p) for every gram of ``ORDER`` + 1 bytes in any text, seen in training or not.
+No context is left out.  Grams with more than ``GRAM_SHARE`` of all symbols (at
+most 1 / GRAM_SHARE grams) go to the tasks, the others are joined, counted
+within each document first.
 
 The base score is a smoothed unigram model of words.  Its counts grow with the
 corpus: counts of words with more than ``WORD_SHARE`` of all tokens (at most
@@ -27,14 +28,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import held_out, staged, table, text_of
 
 ORDER = 5
+#: Least share of a context in a trie in memory (``build``); the table of all grams has no such bound.
 CONTEXT_SHARE = 5e-6
 WORD_SHARE = 2e-6
+GRAM_SHARE = 2e-7
+#: What stands in the word column for a byte gram, and for the row of a document: no word has white space.
+GRAM, DOCUMENT = " ", "\t"
 MARK = 0xFF
 FOLDS = 10
 #: Distinct words, and gram counts, that a task gathers before it hands them on, and bytes that are looked up at once.
@@ -67,8 +72,8 @@ def chunks(raws: list[bytes]) -> Iterator[list[bytes]]:
         yield part
 
 
-def grams(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The codes of ORDER + 1 bytes in a row that end within the texts, distinct, and their counts."""
+def positions(raws: list[bytes]) -> np.ndarray:
+    """The codes of ORDER + 1 bytes in a row that end within the texts: one for each byte and each end, in order."""
     data, begins = marked(raws)
     code = np.zeros(max(0, len(data) - ORDER), dtype=np.int64)
     for i in range(ORDER + 1):
@@ -76,33 +81,46 @@ def grams(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside = np.ones(len(code), dtype=bool)
     for b in begins[1:-1]:
         inside[b - ORDER:b] = False  # ends among the marks before the next text
-    return np.unique(code[inside], return_counts=True)
+    return code[inside]
+
+
+def grams(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes of ``positions`` and their counts."""
+    return np.unique(positions(raws), return_counts=True)
+
 
+def training_counts(docs: DataFrame, text_col: str, trains: Column) -> DataFrame:
+    """(word, code, n, met), written out: counts of words ('' counts the ends) and of byte grams (word is null).
 
-def training_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """(word, code, n), written out: counts of words ('' counts the ends) and of byte grams (word is null)."""
+    ``n`` counts the rows where ``trains``; ``met`` those that do not train too, of which only grams are counted.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: Counter = Counter()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def gram_rows() -> pd.DataFrame:
-            codes, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate([n for _, n in held]), minlength=len(codes)).astype(np.int64)
+            codes, at = np.unique(np.concatenate([c for c, _, _ in held]), return_inverse=True)
+            n, met = (np.bincount(at, weights=np.concatenate([h[k] for h in held]), minlength=len(codes)).astype(np.int64) for k in (1, 2))
             held.clear()
-            return pd.DataFrame({"word": pd.Series([None] * len(codes), dtype=object), "code": codes, "n": n})
+            return pd.DataFrame({"word": pd.Series([None] * len(codes), dtype=object), "code": codes, "n": n, "met": met})
 
         def word_rows() -> pd.DataFrame:
             out = pd.DataFrame({"word": as_objects([w.decode() for w in words]), "code": np.zeros(len(words), dtype=np.int64),
                                 "n": np.fromiter(words.values(), dtype=np.int64, count=len(words))})
+            out["met"] = out["n"]
             words.clear()
             return out
 
         for b in batches:
             raws = [t.encode("utf-8", "replace").lower() for t in b["text"]]
-            for part in chunks(raws):
-                held.append(grams(part))
-                if sum(len(c) for c, _ in held) > FLUSH_GRAMS:
+            learn, only_met = ([r for r, t in zip(raws, b["trains"]) if t == wanted] for wanted in (True, False))
+            for part, trained in ((p, t) for some, t in ((learn, 1), (only_met, 0)) for p in chunks(some)):
+                codes, met = grams(part)
+                held.append((codes, met * trained, met))
+                if sum(len(h[0]) for h in held) > FLUSH_GRAMS:
                     yield gram_rows()
+                if not trained:
+                    continue
                 for r in part:
                     words.update(r.split())
                 words[b""] += len(part)
@@ -113,8 +131,8 @@ def training_counts(docs: DataFrame, text_col: str) -> DataFrame:
         if held:
             yield gram_rows()
 
-    found = docs.select(text_of(text_col).alias("text")).mapInPandas(run, "word string, code long, n long")
-    return staged(found.groupBy("word", "code").agg(F.sum("n").alias("n")), "training-counts")
+    found = docs.select(text_of(text_col).alias("text"), trains.alias("trains")).mapInPandas(run, "word string, code long, n long, met long")
+    return staged(found.groupBy("word", "code").agg(F.sum("n").alias("n"), F.sum("met").alias("met")), "training-counts")
 
 
 @dataclass(frozen=True)
@@ -146,7 +164,7 @@ class Trie:
 
 
 def build(entries: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
-    """The tables from, for each order from 0 up, the codes (context and symbol, in bytes) and their counts."""
+    """The tables in memory, which tests hold against a plain count, from, for each order from 0 up, the codes (context and symbol, in bytes) and their counts."""
     seen = np.unique(entries[0][0] & 0xFF) if len(entries[0][0]) else np.zeros(0, dtype=np.int64)
     width = len(seen) + 1
     symbol = np.full(256, width - 1, dtype=np.int64)
@@ -184,21 +202,61 @@ def build(entries: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
     return Trie(symbol, longer, log10p)
 
 
-def fit_trie(counts: DataFrame, share: float = CONTEXT_SHARE) -> Trie:
-    """The trie of the contexts that hold at least ``share`` of all symbols; counts of every training text go in."""
-    codes = counts.where("word is null").select("code", "n")
-    total = codes.agg(F.sum("n")).first()[0] or 0
-    entries = []
-    for j in range(ORDER + 1):
-        one = codes.groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * (j + 1)) - 1)).alias("code")).agg(F.sum("n").alias("n"))
-        if j:  # order 0 stays whole: 256 rows
-            frequent = one.groupBy(F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("t")) \
-                .where(F.col("t") >= max(1.0, share * total)).select("context")
-            one = one.join(F.broadcast(frequent), F.shiftright("code", 8) == F.col("context")).select("code", "n")
-        got = one.toPandas()
-        order = np.argsort(got["code"].to_numpy())
-        entries.append((got["code"].to_numpy()[order], got["n"].to_numpy(dtype=float)[order]))
-    return build(entries)
+def gram_probabilities(counts: DataFrame) -> DataFrame:
+    """(code, met, log10p), written out, of every gram in ``counts``; a gram with n = 0 is predicted from its longest known context.
+
+    For each order from 0 up, ``below`` has of each context and symbol (code):
+    the symbol's count, the context's total and kinds, and ``rest``, the
+    probability of the symbol after an escape from this context.  A code finds
+    its suffix there by a join; at most 256 rows share a context.
+    """
+    codes = counts.where("word is null").select("code", "n", "met")
+
+    def of_order(j: int) -> DataFrame:
+        if j == ORDER:
+            return codes
+        return codes.groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * (j + 1)) - 1)).alias("code")).agg(F.sum("n").alias("n"))
+
+    total, kinds = of_order(0).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
+    rows = of_order(0).select("code", "n", F.lit(total).cast("long").alias("total"), F.lit(kinds).cast("long").alias("kinds"),
+                              F.lit(1.0 / max(1, 256 - kinds)).alias("rest"))
+    context = Window.partitionBy(F.shiftright("code", 8))
+    for j in range(1, ORDER + 1):
+        below = rows.select(F.col("code").alias("suffix"), *[F.col(c).alias(f"{c}_below") for c in ("n", "total", "kinds", "rest")])
+        known = F.when(F.col("n") > 0, 1)
+        rows = (of_order(j).join(below, F.col("code").bitwiseAND(F.lit((1 << 8 * j) - 1)) == F.col("suffix"))
+                .withColumns({"total": F.sum("n").over(context), "kinds": F.count(known).over(context),
+                              "out": F.coalesce(F.sum(known * F.col("n_below")).over(context), F.lit(0))})
+                # What the next shorter context has, without the symbols ruled out.
+                .withColumns({"new": F.col("kinds_below") - F.col("kinds"), "all": F.col("total_below") - F.col("out") + F.col("kinds_below") - F.col("kinds")})
+                .withColumn("rest", F.when(F.col("n_below") > 0, F.col("n_below") / F.greatest("all", F.lit(1)))
+                            .otherwise(F.when(F.col("all") > 0, F.col("new") / F.greatest("all", F.lit(1))).otherwise(1.0) * F.col("rest_below"))))
+        rows = rows.select("code", "n", "total", "kinds", "rest", *(["met"] if j == ORDER else []))
+    space = F.greatest(F.col("total") + F.col("kinds"), F.lit(1))
+    p = F.when(F.col("n") > 0, F.col("n") / space).otherwise(F.when(F.col("total") > 0, F.col("kinds") / space).otherwise(1.0) * F.col("rest"))
+    return staged(rows.select("code", "met", F.log10(p).alias("log10p")), "gram-probabilities")
+
+
+@dataclass(frozen=True)
+class Common:
+    """Grams that go to the tasks: sorted codes and their log10 probabilities."""
+    codes: np.ndarray
+    log10p: np.ndarray
+
+    def score(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """log10 probability of each text's grams known here; and text, code and number of the others."""
+        sizes = np.fromiter((len(r) + 1 for r in raws), dtype=np.int64, count=len(raws))
+        of = np.repeat(np.arange(len(raws)), sizes)
+        codes, at = np.unique(positions(raws), return_inverse=True)
+        if len(self.codes):
+            place = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+            have = self.codes[place] == codes
+            part = np.where(have, self.log10p[place], 0.0)
+        else:
+            have, part = np.zeros(len(codes), dtype=bool), np.zeros(len(codes))
+        other = ~have[at]
+        pairs, times = np.unique(of[other] * len(codes) + at[other], return_counts=True)
+        return np.bincount(of, weights=part[at], minlength=len(raws)), pairs // len(codes), codes[pairs % len(codes)], times
 
 
 def score_documents(docs: DataFrame, *, folds: int = FOLDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,12 +270,17 @@ def score_documents(docs: DataFrame, *, folds: int = FOLDS, id_col: str = "doc_i
     table gives no rows.  Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
-    counts = training_counts(docs.where(~held_out(id_col, folds)), text_col)
-    trie = fit_trie(counts)
+    counts = training_counts(docs, text_col, ~held_out(id_col, folds))
+    grams_p = gram_probabilities(counts)
+    often = GRAM_SHARE * (grams_p.agg(F.sum("met")).first()[0] or 0)
+    sent = grams_p.where(F.col("met") > often).select("code", F.col("log10p").cast("double")).toArrow()
+    codes, log10p = (sent[c].to_numpy() for c in ("code", "log10p"))
+    order = np.argsort(codes)
+    ready = Common(codes[order], log10p[order])
     words = counts.where("word is not null").select("word", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     common = {r["word"].encode(): r["n"] for r in words.where(F.col("n") > WORD_SHARE * total).collect()}
-    model = spark.sparkContext.broadcast((trie, common))
+    model = spark.sparkContext.broadcast((ready, common))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ready, often = model.value
@@ -230,7 +293,7 @@ def score_documents(docs: DataFrame, *, folds: int = FOLDS, id_col: str = "doc_i
                 done += len(raws)
                 yield from rows_of(own, raws, ready, get)
 
-    def rows_of(own: pd.DataFrame, raws: list[bytes], ready: Trie, get) -> Iterator[pd.DataFrame]:
+    def rows_of(own: pd.DataFrame, raws: list[bytes], ready: Common, get) -> Iterator[pd.DataFrame]:
         row, word, times = [], [], []
         parts, known, n_tokens = [], [], []
         for i, r in enumerate(raws):
@@ -250,30 +313,36 @@ def score_documents(docs: DataFrame, *, folds: int = FOLDS, id_col: str = "doc_i
             known.append(have)
             n_tokens.append(sum(found.values()))
         ids, gone, hashes = (own[c].to_numpy() for c in ("id", "no_id", "text_hash"))
-        # The row of the document itself goes with a word that no text has, of its own, so that it deals out evenly.
-        yield pd.DataFrame({"id": ids, "no_id": gone, "text_hash": hashes, "word": as_objects([f" {h}" for h in hashes]), "times": 0,
-                            "part": parts, "known": known, "n_tokens": n_tokens, "score": ready.score(raws), "copies": 1})
+        score, gram_row, gram, gram_times = ready.score(raws)
+        # The row of the document itself goes with a key that no text has, of its own, so that it deals out evenly.
+        yield pd.DataFrame({"id": ids, "no_id": gone, "text_hash": hashes, "word": as_objects([DOCUMENT] * len(ids)), "code": hashes, "times": 0,
+                            "part": parts, "known": known, "n_tokens": n_tokens, "score": score, "copies": 1})
         row = np.array(row, dtype=np.int64)
-        yield pd.DataFrame({"id": ids[row], "no_id": gone[row], "text_hash": hashes[row], "word": as_objects([w.decode() for w in word]),
-                            "times": np.array(times, dtype=np.int64), "part": 0.0, "known": 0, "n_tokens": 0, "score": -np.inf,
-                            "copies": 0})
+        for at, keys, code, n in ((row, [w.decode() for w in word], 0, np.array(times, dtype=np.int64)),
+                                  (gram_row, [GRAM] * len(gram), gram, gram_times)):
+            yield pd.DataFrame({"id": ids[at], "no_id": gone[at], "text_hash": hashes[at], "word": as_objects(keys), "code": code,
+                                "times": n, "part": 0.0, "known": 0, "n_tokens": 0, "score": 0.0, "copies": 0})
 
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNull().alias("no_id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
                         text_of(text_col).alias("text"))
-    rows = texts.mapInPandas(run, "id long, no_id boolean, text_hash long, word string, times long, part double, known long, n_tokens long, "
+    rows = texts.mapInPandas(run, "id long, no_id boolean, text_hash long, word string, code long, times long, part double, known long, n_tokens long, "
                                   "score double, copies long")
-    rare = words.where(F.col("n") <= WORD_SHARE * total).hint("shuffle_hash")
-    met = rows.join(rare, "word", "left")
+    rare = words.where(F.col("n") <= WORD_SHARE * total).select("word", F.lit(0).cast("long").alias("code"), "n", F.lit(0.0).alias("log10p")) \
+        .unionAll(grams_p.where(F.col("met") <= often).select(F.lit(GRAM).alias("word"), "code", F.lit(0).cast("long").alias("n"), "log10p")) \
+        .hint("shuffle_hash")
+    met = rows.join(rare, ["word", "code"], "left")
+    is_gram = F.col("word") == GRAM
     summed = met.groupBy("id", "no_id", "text_hash").agg(
-        F.sum("part").alias("part"), F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("rare"),
+        F.sum("part").alias("part"), F.sum(F.when(~is_gram, F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + SMOOTH))).alias("rare"),
         F.sum(F.col("known") + F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"),
-        F.max("n_tokens").alias("n_tokens"), F.max("score").alias("score"), F.sum("copies").alias("copies"))
+        F.max("n_tokens").alias("n_tokens"), F.sum("copies").alias("copies"),
+        F.sum(F.when(is_gram, F.col("times") * F.col("log10p")).otherwise(F.col("score"))).alias("score"))
     base = (F.col("part") + F.col("rare")) / F.col("copies") - F.col("n_tokens") * F.log10(F.lit(total + SMOOTH * (distinct + 1)))
     summed = summed.withColumn("id", F.when(~F.col("no_id"), F.col("id")))
     return (summed.withColumn("_again", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
             .select(F.col("id").alias(id_col), held_out("id", folds).alias("held_out"), "n_tokens",
                     (F.col("known") / F.col("copies")).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-                    base.alias("base_score"), "score"))
+                    base.alias("base_score"), (F.col("score") / F.col("copies")).alias("score")))
 
 
 def op10_partial_matching_scores(spark, sf_dir: str) -> DataFrame:
