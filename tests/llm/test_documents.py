@@ -69,6 +69,19 @@ def test_near_duplicates_match_all_pairs(spark, docs, width):
         assert (r["component_id"], r["n_shingles"], r["kept"]) == (want[r["doc_id"]], sizes[r["doc_id"]], want[r["doc_id"]] == r["doc_id"])
 
 
+@pytest.mark.parametrize("common", [25, 24, 22])
+def test_near_duplicates_with_a_low_estimate(spark, common):
+    """Exactly at the threshold, with few common values in the sketch of the union."""
+    words = sorted((f"w{i}" for i in range(2000)), key=lambda w: near_duplicates.shingles(w, 1)[0])
+    own = near_duplicates.K - common  # the least hashes are in one of the texts only
+    own, shared = words[:own], words[own:5 * own]
+    texts = [" ".join(own[::2] + shared), " ".join(own[1::2] + shared)]
+    a, b = (set(t.split()) for t in texts)
+    assert len(a & b) * 100 == len(a | b) * 80
+    got = near_duplicates.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), width=1)
+    assert {r["component_id"] for r in got.collect()} == {0}
+
+
 def test_near_duplicates_in_groups(spark):
     """Families of copies that are alike only by chains, among short texts of common words."""
     rng = np.random.default_rng(5)

@@ -9,8 +9,9 @@
    alone generate all overlaps, and the long lists of common values are not
    read.  For sets no larger than a sketch this is exact; beyond, it fails for
    a pair right at the threshold with a probability of about 1e-6.
-3. Candidates pass if the similarity estimated from the sketch of their union
-   is near the threshold, and are confirmed on their full sets.
+3. Candidates of the first round pass if the similarity estimated from the
+   sketch of their union is near the threshold; all are confirmed on their full
+   sets.
 4. In a first round each list gives only pairs with its hub, the class most of
    whose values are shared; the links found merge most groups of near copies.
    The second round takes the classes that still share a list across
@@ -19,7 +20,8 @@
    which has to suffice for the partner's size, and likewise for the partner:
    so classes alike to a hub but with too many values of their own drop out,
    and a large group of copies never yields the pairs within it, while no link
-   that could join two components is left out.
+   that could join two components is left out.  The estimate has no say here, so
+   a pair that it turned down in the first round gets a second chance.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ K = 48
 #: Values that the sketches of two sets share if their similarity is 0.8 or more (5 standard deviations below the mean).
 OVERLAP = 24
 #: Standard deviations that an estimate may fall below the threshold.
-SLACK = 4.5
+SLACK = 5.25  # less than OVERLAP common values of K turn a pair down: 8e-7 at a similarity of 0.8 (binomial)
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -109,16 +111,17 @@ def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     common = F.array_intersect(union, F.array_intersect("s_a", "s_b"))
     share = F.size(common) / F.size(union)
     least = F.when(whole, percent / 100 - 1e-9).otherwise(percent / 100 - SLACK * math.sqrt(0.16 / K))
-    return both.where(share >= least).select("a", "b", "n_a", "n_b")
+    return both.where(share >= least).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are alike enough, written out."""
-    pairs = staged(_promising(pairs, classes, percent), "promising")
+    pairs = staged(pairs, "candidates")
     side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
+    total = F.size("set_a") + F.size("set_b")
     return staged(pairs.join(side("b"), "b").join(side("a"), "a")
-                  .where(shared * 100 >= (F.col("n_a") + F.col("n_b") - shared) * percent).select("a", "b"), "confirmed")
+                  .where(shared * 100 >= (total - shared) * percent).select("a", "b"), "confirmed")
 
 
 def _overlap(n: Column, percent: int) -> Column:
@@ -179,14 +182,14 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id_col
     sets = staged(_full_sets(docs, wanted, width, id_col, text_col).dropDuplicates(["node"]), "sets")
     stars = (met.where((F.col("node") != F.col("a")) & _similar_sizes(F.col("n"), F.col("na"), percent))
              .select("a", F.col("node").alias("b")).distinct())
-    first = _confirmed(stars, classes, sets, percent)
+    first = _confirmed(_promising(stars, classes, percent), sets, percent)
     merged = staged(components(first), "first-components")
 
     placed = staged(posts.join(hubs.select("value"), "value").join(merged, "node", "left")
                     .select("value", "node", F.coalesce("component", "node").alias("c")), "placed")
     mixed = staged(placed.groupBy("value").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("value"), "mixed-lists")
     still = staged(placed.join(mixed, "value").select("node", "c").distinct(), "still-apart")
-    second = _confirmed(_across(still, sets, percent), classes, sets, percent)
+    second = _confirmed(_across(still, sets, percent), sets, percent)
     return first.unionByName(second)
 
 
