@@ -118,6 +118,16 @@ def test_bit_parallel_distance(p, t):
     assert (got[0] if got else len(p)) == plain_distance(p, t)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.permutations("abcdefghijklmno"), st.permutations("abcdefghijklmno"), st.integers(0, 14), st.integers(0, 14), st.text("xyz", max_size=40))
+def test_repeated_pieces_at_the_end_of_a_text(p, q, i, j, before):
+    p, q = "".join(p), "".join(q)
+    item = p + q + p
+    text = before + p[:i] + "0" + p[i + 1:] + q[:j] + "1" + q[j + 1:] + p  # the last p hits the first piece and the third
+    got = D.Block([(1, item)], D.ERRORS, D.LEAST).find(text)
+    assert [d for _, _, _, d in got] == [plain_distance(item, text)]
+
+
 def test_leaks_with_edits(spark):
     item = "Which of the following rivers flows through the largest number of countries on its way to the sea, and why?"
     edits = item.replace("largest", "laargest").replace("countries", "contries")

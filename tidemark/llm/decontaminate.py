@@ -129,7 +129,8 @@ class Block:
                 hi = min(len(folded), end - size + 1 - at + len(item) + k)
                 spans = stretches.setdefault(i, [])
                 if spans and lo <= spans[-1][1] <= hi:
-                    spans[-1][1] = hi
+                    # Clipped at the text's end, a later hit of a repeated piece can begin before the stretch.
+                    spans[-1][:] = min(spans[-1][0], lo), hi
                 elif not spans or not (spans[-1][0] <= lo and hi <= spans[-1][1]):
                     spans.append([lo, hi])
         out, places = [], None
