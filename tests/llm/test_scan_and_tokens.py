@@ -31,6 +31,15 @@ def test_base_kinds_match_the_plain_patterns(text):
     assert got == plain_base(text)
 
 
+def test_userinfo_of_any_length():
+    for user, password in (("u", "github_pat_" + "A1b2" * 21), ("u" * 200, "p" * 5000), ("me", "abc")):
+        text = f"see https://{user}:{password}@host/x"
+        assert ("userinfo", 9, text.index("@") + 1) in S.find(text, S.RULES)
+    assert ("prefixed", 2, 95) in S.find("= github_pat_" + "A" * 22 + "_" + "b" * 59 + " ", S.RULES)
+    for text in ("http://a/b:ccc@d", "://a:cc@d", "://a b:ccc@d", "://" + "a" * 100_000, "://a:" + "b" * 100_000):
+        assert "userinfo" not in {k for k, _, _ in S.find(text, S.RULES)}
+
+
 def test_secret_query_matches_plain_scan(spark, docs):
     got = {r["doc_id"]: r for r in S.op1_blob_ledger_secrets(spark, SF).collect()}
     for r in docs.collect():

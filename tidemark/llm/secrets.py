@@ -48,8 +48,8 @@ BASE = (
 RULES = BASE + (
     Rule("pem", 1, r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
     Rule("jwt", 1, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
-    Rule("userinfo", 1, r"://[^\s/:@\"']{1,64}:[^\s/:@\"']{3,64}@"),
-    Rule("prefixed", 1, r"(?<![A-Za-z0-9_])(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})"),
+    Rule("userinfo", 2, r"://[^\s/:@\"']++:[^\s/:@\"']{3,}+@"),
+    Rule("prefixed", 2, r"(?<![A-Za-z0-9_])(?:gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})"),
 )
 #: Text that has to occur for a rule to match, to pass over most texts quickly.
 NEEDS = {"access": "AKIA", "pem": "-----BEGIN ", "jwt": "eyJ", "userinfo": "://"}
