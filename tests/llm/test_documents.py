@@ -272,6 +272,19 @@ def test_movement_stays_within_what_changed(spark):
     assert set(at(24, weights={5: 0.0})) == set(range(24)) - {5}
 
 
+def test_weight_shift_within_a_rack_is_flat(spark):
+    """Rows only leave the leaf that lost weight or come to the one that gained it; they are not confined to the rack."""
+    ids = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    at = lambda **w: np.array([r["shard"] for r in shards.place(ids, 24, **w).orderBy("doc_id").collect()])
+    a, b = at(), at(weights={5: 0.5, 6: 1.5})
+    moved = a != b
+    assert ((a == 5) | (b == 6))[moved].all()
+    assert abs((b == 5).mean() - 0.5 / 24) < 0.01 and abs((b == 6).mean() - 1.5 / 24) < 0.01
+    rack = shards.SHARDS_PER_RACK
+    assert (a // rack != b // rack)[moved & (a == 5)].any() and (a // rack != b // rack)[moved & (b == 6)].any()
+    assert abs((a // rack == 1).mean() - (b // rack == 1).mean()) < 0.01
+
+
 def test_shard_odd_rows(odd, empty, spark):
     got = shards.shard_documents(odd, 24).collect()
     assert len(got) == odd.count()

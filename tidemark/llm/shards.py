@@ -11,6 +11,13 @@ with the least draw at each level.
 A leaf that is added, or whose weight rises, can only win documents; no other
 leaf's draw changes.  Hence rows move only into the subtrees whose weight
 rose, and a new shard takes rows into itself alone, at any shard count.
+
+So this is weighted rendezvous hashing over the leaves: the least draw of all
+leaves decides, and the tree only names the region and rack.  Weight that is
+shifted within a rack is not confined to it: rows that the lighter leaf loses go
+to their next least draw anywhere, and the heavier leaf wins rows from
+everywhere.  Inner nodes with draws of their own would confine the shift, but a
+new shard would then bring its region rows that go down to its old shards.
 """
 
 from __future__ import annotations
