@@ -1,0 +1,228 @@
+"""Claims, folders and clean-up of targets; loads that must lose nothing."""
+
+import os
+import subprocess
+import sys
+import threading
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.plans.jobs import run_load
+from tidemark.session import create_exclusive, fresh_path, list_folders, path_exists, shared_dir, target_root
+from tidemark.sources import target as tg
+from tidemark.spec import JobSpec, SpecError, TableRef
+from tidemark.streaming import start_incremental_load
+from tests.test_load_limits import NOW, ROWS, _name, _spec
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def load(spark, table, rows, n, **spec):
+    return run_load(spark, _spec(table, **spec), load_id=n, now=NOW, user="u", source_df=spark.createDataFrame(rows, ROWS))
+
+
+def test_removing_one_tables_folders_leaves_its_namesake(spark):
+    spark.sql("create database if not exists dwh")
+    tail = uuid.uuid4().hex[:8]
+    dotted, flat = f"dwh.orders_{tail}", f"dwh_orders_{tail}"
+    for n, table in enumerate((dotted, flat)):
+        load(spark, table, [(1, None, "a")], 2 * n)
+        load(spark, table, [(1, None, "b")], 2 * n + 1)
+    assert tg.table_token(spark, dotted) != tg.table_token(spark, flat)
+    gone = tg.remove_superseded(spark, dotted)
+    assert gone and all(tg.table_token(spark, dotted) in g for g in gone)
+    spark.catalog.refreshTable(flat)
+    assert [r.v for r in spark.table(flat).collect()] == ["b"] == [r.v for r in spark.table(dotted).collect()]
+    assert tg.remove_superseded(spark, flat)
+
+
+def test_folders_that_are_being_written_stay(spark):
+    table = _name("wr")
+    load(spark, table, [(1, None, "a")], 1)
+    token = tg.table_token(spark, table)
+    with tg._written(spark, table, token, "snapshot") as path:
+        spark.range(3).write.parquet(path)
+        assert path not in tg.remove_superseded(spark, table) and path_exists(spark, path)
+    # A load that died leaves its mark; the folder goes only on request.
+    create_exclusive(spark, tg._mark(path))
+    assert not any(path in g for g in tg.remove_superseded(spark, table))
+    assert any(g.endswith(path.rsplit("/", 1)[1]) for g in tg.remove_superseded(spark, table, abandoned=True))
+    assert spark.table(table).count() == 1
+
+
+def test_partitions_keep_their_folders(spark):
+    import datetime as dt
+    table = _name("pf")
+    schema = "k long, d timestamp_ntz, v string"
+    spec = JobSpec(name="PF", source=TableRef(path="/none"), target=TableRef(name=table), keys=("k",), check_columns=("v",),
+                   partition_column="d")
+    for n, rows in enumerate(([(1, 1, "a"), (2, 2, "a"), (3, 3, "a")], [(2, 2, "b")], [(3, 3, "b")])):
+        run_load(spark, spec, load_id=n, now=NOW, user="u", source_df=spark.createDataFrame(
+            [(k, dt.datetime(2024, m, 1), v) for k, m, v in rows], schema))
+    assert len(tg.locations(spark, table)) == 4  # the table and three partitions
+    tg.remove_superseded(spark, table)
+    spark.catalog.refreshTable(table)
+    assert sorted((r.k, r.v) for r in spark.table(table).collect()) == [(1, "a"), (2, "b"), (3, "b")]
+
+
+def test_new_keys_are_seen_beside_keys_equal_under_the_collation(spark):
+    table = _name("co")
+    schema = "k string, v string"
+    spec = JobSpec(name="CO", source=TableRef(path="/none"), target=TableRef(name=table), keys=("k",), check_columns=("v",))
+    run_load(spark, spec, load_id=1, now=NOW, user="u", source_df=spark.createDataFrame([("A", "x"), ("a", "x")], schema))
+    both = spec.with_(collation="UNICODE_CI")
+    res = run_load(spark, both, load_id=2, now=NOW, user="u", source_df=spark.createDataFrame([("a", "x"), ("b", "y")], schema))
+    assert (res.insert_cnt, res.update_cnt) == (1, 0)
+    assert sorted(r.k for r in spark.table(table).collect()) == ["A", "a", "b"]
+
+
+def test_a_spec_rebuilds_its_target_once(spark):
+    table = _name("on")
+    load(spark, table, [(0, None, "old")], 1)
+    for n in (1, 2):
+        load(spark, table, [(n, None, "a")], n + 1, recreate=True)
+    assert sorted(r.k for r in spark.table(table).collect()) == [1, 2]
+    spec = _spec(table, recreate=True)
+    tg.recreate_target(spark, spec, spark.createDataFrame([], ROWS).schema, table)
+    assert spark.table(table).count() == 0
+    folder = fresh_path(spark, "rebuild-stream")
+    spark.createDataFrame([(1, None, "a")], ROWS).write.parquet(folder)
+    with pytest.raises(SpecError):
+        start_incremental_load(spark, spec, spark.readStream.schema(ROWS).parquet(folder), target_table=table)
+
+
+@pytest.mark.parametrize("plan", ["broadcast", "split"])
+def test_a_load_leaves_nothing_staged(spark, plan):
+    table = _name("st")
+    before = {f for f in list_folders(spark, shared_dir(spark)) if "/staged-" in f}
+    for n, rows in enumerate(([(1, None, "a"), (2, None, "b")], [(2, None, "c"), (3, None, "d")])):
+        run_load(spark, _spec(table), load_id=n, now=NOW, user="u", source_df=spark.createDataFrame(rows, ROWS), plan=plan)
+    assert spark.table(table).count() == 3
+    assert {f for f in list_folders(spark, shared_dir(spark)) if "/staged-" in f} == before
+
+
+def test_one_of_two_loads_wins(spark):
+    """Both have read the same version; whoever claims it publishes, the other is refused."""
+    table = _name("cl")
+    load(spark, table, [(1, None, "a")], 0)
+    frame = spark.table(table).drop("nothing")
+    for turn in range(10):
+        version, got = tg.table_version(spark, table), []
+        gate = threading.Barrier(2)
+
+        def publish(mine: str) -> None:
+            df = spark.createDataFrame([tuple({**spark.table(table).first().asDict(), "v": mine}.values())], frame.schema)
+            gate.wait()
+            try:
+                tg.publish_snapshot(spark, table, df, expected=version)
+                got.append((mine, None))
+            except tg.ConcurrentLoadError as e:
+                got.append((mine, e))
+
+        both = [threading.Thread(target=publish, args=(f"{turn}-{i}",)) for i in range(2)]
+        for t in both:
+            t.start()
+        for t in both:
+            t.join()
+        won = [m for m, e in got if e is None]
+        assert len(got) == 2 and len(won) == 1
+        spark.catalog.refreshTable(table)
+        assert [r.v for r in spark.table(table).collect()] == won
+
+
+def test_a_claim_left_behind_is_released(spark):
+    table = _name("rl")
+    load(spark, table, [(1, None, "a")], 0)
+    version = tg.table_version(spark, table)
+    create_exclusive(spark, tg._claim_path(spark, tg.table_token(spark, table), version), "dead")
+    with pytest.raises(tg.ConcurrentLoadError, match="release_claim"):
+        load(spark, table, [(1, None, "b")], 1)
+    assert tg.release_claim(spark, table) and not tg.release_claim(spark, table)
+    assert tg.table_version(spark, table) != version
+    load(spark, table, [(1, None, "b")], 2)
+    assert [r.v for r in spark.table(table).collect()] == ["b"]
+
+
+RACER = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from tidemark.session import build_session, create_exclusive, path_exists
+spark = build_session("local[1]")
+open(f"{sys.argv[2]}/ready-{sys.argv[3]}", "w").close()
+while not all(path_exists(spark, f"{sys.argv[2]}/ready-{i}") for i in "01"):
+    pass
+print("WON", *[n for n in range(100) if create_exclusive(spark, f"{sys.argv[2]}/claims/{n}", sys.argv[3])])
+spark.stop()
+"""
+
+
+def test_of_two_processes_one_creates_each_claim(tmp_path):
+    both = [subprocess.Popen([sys.executable, "-c", RACER, ROOT, str(tmp_path), str(i)], stdout=subprocess.PIPE, text=True,
+                             cwd=tmp_path) for i in range(2)]
+    out = [p.communicate(timeout=180)[0] for p in both]
+    won = [set(next(line for line in o.splitlines() if line.startswith("WON")).split()[1:]) for o in out]
+    assert not won[0] & won[1] and len(won[0] | won[1]) == 100
+
+
+STREAM = """
+import datetime as dt, sys
+sys.path.insert(0, sys.argv[1])
+from tidemark.session import build_session
+from tidemark.sources.readers import read_source
+from tidemark.spec import JobSpec, TableRef
+from tidemark.streaming import start_incremental_load
+spark = build_session("local[2]", shuffle_partitions=2, **{"spark.checkpoint.dir": sys.argv[2] + "/ckpt",
+                      "spark.sql.warehouse.dir": sys.argv[2] + "/wh"})
+rows = "k long, v string"
+spec = JobSpec(name="APPS", source=TableRef(path="/none"), target=TableRef(name="t"), keys=("k",), check_columns=("v",))
+q = start_incremental_load(spark, spec, spark.readStream.schema(rows).parquet(sys.argv[2] + "/in"), target_table="t", user="u")
+q.awaitTermination()
+print("ROWS", *sorted(r.k for r in spark.table("t").collect()) if spark.catalog.tableExists("t") else ["none"])
+spark.stop()
+"""
+
+
+def test_streams_go_on_in_the_next_application(spark, tmp_path):
+    """Each application has a catalog of its own here, so its table holds just what its run loaded."""
+    got = []
+    for n in range(3):
+        if n < 2:
+            spark.createDataFrame([(n, "v")], "k long, v string").write.mode("append").parquet(f"{tmp_path}/in")
+        out = subprocess.run([sys.executable, "-c", STREAM, ROOT, str(tmp_path)], capture_output=True, text=True, timeout=240, cwd=tmp_path)
+        got += [line for line in out.stdout.splitlines() if line.startswith("ROWS")] or [out.stderr[-2000:]]
+    assert got == ["ROWS 0", "ROWS 1", "ROWS none"]
+
+
+class _Conf(dict):
+    contains = dict.__contains__
+
+
+class _Cluster:
+    """As much of a session as the root for targets asks for."""
+    def __init__(self, master: str, **conf: str):
+        self.master, self.set = master, conf
+        self.conf, self.sparkContext = self, self
+
+    def get(self, key, default="file:/somewhere/spark-warehouse"):
+        return self.set.get(key, default)
+
+    def getConf(self):
+        return _Conf(self.set)
+
+
+def test_targets_never_lie_in_a_machines_own_folder():
+    with pytest.raises(RuntimeError, match="tidemark.target.dir"):
+        target_root(_Cluster("spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        target_root(_Cluster("local-cluster[2,1,1024]"))
+    assert target_root(_Cluster("local[4]")).startswith("file:/somewhere")
+    assert target_root(_Cluster("yarn", **{"spark.sql.warehouse.dir": "hdfs:/wh/"})) == "hdfs:/wh/tidemark-targets"
+    assert target_root(_Cluster("yarn", **{"tidemark.target.dir": "hdfs:/targets/"})) == "hdfs:/targets"
+
+
+def test_inserted_rows_are_counted_once(spark):
+    table = _name("in")
+    res = load(spark, table, [(None, None, "a"), (None, None, "a"), (1, None, "b")], 1)
+    assert res.insert_cnt == 3 and spark.table(table).agg(F.count_distinct("ID")).first()[0] == 3

@@ -31,9 +31,9 @@ from tidemark.operators.surrogate import max_id
 from tidemark.plans.strategy import plan_merge
 from tidemark.sources.history import HistoryRecord, append_history, format_ts, last_max_id
 from tidemark.session import drop_path
-from tidemark.sources.readers import read_source, stage_extract
-from tidemark.sources.target import (ANY_VERSION, MAX_ID_PROPERTY, create_target, partition_column_name, partition_value,
-                                     prune_to_window, publish_partitions, publish_snapshot, recreate_target, set_property,
+from tidemark.sources.readers import Staged, read_source, stage_extract
+from tidemark.sources.target import (ANY_VERSION, MAX_ID_PROPERTY, deploy_target, partition_column_name, partition_value,
+                                     prune_to_window, publish_partitions, publish_snapshot, set_property,
                                      table_properties, table_version, target_schema, write_snapshot)
 from tidemark.spec import JobSpec, SpecError, has_column, resolve_name, validate_spec
 
@@ -98,6 +98,15 @@ def matched_rows(target: DataFrame, staged: DataFrame, spec: JobSpec, extra: Seq
                     changed(checks, collation=spec.collation, strings=strings).alias("__changed")))
 
 
+def unmatched_rows(target: DataFrame, staged: DataFrame, matched: DataFrame, spec: JobSpec) -> DataFrame:
+    """The keys of the staged rows that match none of the ``matched`` target keys (as the collation compares them)."""
+    tkeys = [resolve_name(target.schema, target_name(k)) for k in spec.keys]
+    strings = {f.name for f in target.schema.fields if isinstance(f.dataType, T.StringType)}
+    probe = staged.select(*[F.col(resolve_name(staged.schema, k)).alias(k) for k in tkeys])
+    return probe.alias("source").join(F.broadcast(matched.select(*tkeys).distinct()).alias("target"),
+                                      keys_equal(tkeys, collation=spec.collation, strings=strings), "left_anti")
+
+
 def scope_to_partitions(target: DataFrame, staged: DataFrame, spec: JobSpec, source_schema: T.StructType, *,
                         matched_too: bool = True, matched: DataFrame | None = None) -> tuple[DataFrame, list]:
     """The target partitions a load can change, as a partition-pruned slice.
@@ -152,7 +161,7 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
     many there are; other keys may occur once.  A load without staged rows, or
     (for a delta small enough to broadcast) without changes, publishes
     nothing.  A target that another load published into meanwhile is refused
-    with ``ConcurrentLoadError``.  The staged extract is dropped at the end.
+    with ``ConcurrentLoadError``.  Everything staged is dropped at the end.
     """
     now = now or dt.datetime.now()
     user = user or spark.sparkContext.sparkUser()
@@ -168,7 +177,15 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
         return append_history(spark, [HistoryRecord(status=status, event_dttm=now, **base, **bounds, **more)],
                               path=history_path, table=history_table)
 
-    error, exc, id_base, staged = None, None, None, None
+    error, exc, id_base = None, None, None
+    scratch: list[str] = []
+
+    def kept(staged: Staged) -> DataFrame:
+        """The staged rows, whose folder goes when the load ends."""
+        if staged.path:
+            scratch.append(staged.path)
+        return staged.df
+
     try:
         if start is not None and end is not None:  # else it takes a look at the source
             period = resolve_load_period(spec, start, end, now=now, session_zone=zone)
@@ -185,7 +202,7 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
         validate_spec(spec, source.schema)
         period = resolve_load_period(spec, start, end, now=now, source=source, session_zone=zone)
         staged = stage_extract(build_extract(source, spec, period, apply_window), staging)
-        rows, staged_cnt = staged.df, staged.rows
+        rows, staged_cnt = kept(staged), staged.rows
         tkeys = [target_name(k) for k in spec.keys]
         keyed = reduce(lambda a, b: a & b, [F.col(resolve_name(rows.schema, k)).isNotNull() for k in tkeys])
         dups = duplicate_keys(rows.where(keyed), tkeys, spec.collation).take(1)
@@ -195,8 +212,10 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
         if target_df is not None:
             target = target_df
         elif target_table:
-            target = (recreate_target if spec.recreate else create_target)(spark, spec, source.schema, target_table)
-            version = table_version(spark, target_table)
+            deploy_target(spark, spec, source.schema, target_table)
+            version = table_version(spark, target_table)  # before the table is resolved: what is read is no older
+            spark.catalog.refreshTable(target_table)
+            target = spark.table(target_table)
         else:
             target = spark.createDataFrame([], target_schema(spec, source.schema))
         publishes = bool(target_table) and target_df is None
@@ -217,11 +236,8 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
                             broadcast_max_bytes=broadcast_max_bytes).name
         unchanged = staged_cnt == 0
         if publishes and chosen == "broadcast" and not unchanged:
-            held = stage_extract(matched_rows(target, rows, spec, [resolve_name(target.schema, pname)] if partitioned else []))
-            matched = held.df
-            hits = [resolve_name(target.schema, k) for k in tkeys]
-            fresh = staged_cnt - matched.select(*hits).distinct().count()
-            unchanged = fresh == 0 and matched.where("__changed").isEmpty()
+            matched = kept(stage_extract(matched_rows(target, rows, spec, [resolve_name(target.schema, pname)] if partitioned else [])))
+            unchanged = matched.where("__changed").isEmpty() and unmatched_rows(target, rows, matched, spec).isEmpty()
         if not (unchanged and publishes):
             if publishes and partitioned:
                 # Merge and re-point only the partitions that the load can change.
@@ -233,7 +249,7 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
                                   stamp=Stamp(load_id, now, user), plan=chosen, staged_rows=staged_cnt, id_base=id_base,
                                   collation=spec.collation, matched=matched,
                                   broadcast_max_bytes=broadcast_max_bytes if chosen != "broadcast" else sys.maxsize,
-                                  keep_inserts=(lambda df: stage_extract(df).df) if chosen == "split" else None)
+                                  keep_inserts=lambda df: kept(stage_extract(df)))
             # E3 counts, taken in the stage that writes (once per row, even on re-runs).
             obs = Observation(f"merge-counts-{uuid.uuid4().hex[:12]}")
             counts = (obs, [F.count_if(F.col(ACTION_COL) == INSERT).alias("insert_cnt"),
@@ -255,8 +271,8 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
     except Exception as e:  # recorded, then raised again
         error, exc = _failure(e), e
     finally:
-        if staged is not None and staged.path:
-            drop_path(spark, staged.path)
+        for path in scratch:
+            drop_path(spark, path)
     new_max = id_base + ins if (id_base is not None and error is None) else None
     hist = hist.unionByName(record("FINISHED", staged_cnt=staged_cnt, insert_cnt=ins, update_cnt=upd, delete_cnt=0,
                                    error=error, max_id=new_max))

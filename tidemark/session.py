@@ -13,6 +13,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -76,10 +77,25 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 TARGET_DIR_CONF = "tidemark.target.dir"
 
 
+def target_root(spark: SparkSession) -> str:
+    """The folder of all targets: ``tidemark.target.dir``, or else one in the warehouse.
+
+    On a cluster one of the two has to be set: the warehouse's own default is a
+    folder of each machine, where a table's files would be scattered.
+    """
+    root = spark.conf.get(TARGET_DIR_CONF, None)
+    if not root:
+        conf, master = spark.sparkContext.getConf(), spark.sparkContext.master
+        alone = master.startswith("local") and not master.startswith("local-cluster")
+        if not alone and not conf.contains("spark.sql.warehouse.dir"):
+            raise RuntimeError(f"{TARGET_DIR_CONF} or spark.sql.warehouse.dir has to name a folder that the driver and all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tidemark-targets"
+    return root.rstrip("/")
+
+
 def target_path(spark: SparkSession, label: str) -> str:
     """A new, unused path for a target's data, under the root for targets."""
-    root = spark.conf.get(TARGET_DIR_CONF, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tidemark-targets"
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{target_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -100,3 +116,32 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory()]
+
+
+def create_exclusive(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Create a file; false if there is one already.  Of several callers, on any machine, one gets true.
+
+    On a local or mounted file system the operating system decides, elsewhere
+    the file system's own create without overwriting (atomic on HDFS).
+    """
+    fs, p = _filesystem(spark, path)
+    fs.mkdirs(p.getParent())
+    if fs.getUri().getScheme() == "file":
+        if not spark._jvm.java.io.File(p.toUri().getPath()).createNewFile():
+            return False
+        out = fs.create(p, True)  # its own file by now
+    else:
+        try:
+            out = fs.create(p, False)
+        except Py4JJavaError:
+            if fs.exists(p):
+                return False
+            raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _filesystem(spark, path)
+    return bool(fs.exists(p))

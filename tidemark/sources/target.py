@@ -3,13 +3,18 @@
 A target is never overwritten while it is read.  A load writes a new
 snapshot directory (partitioned on the partition column's month by default)
 under the root for targets, and the catalog table is re-pointed at it; readers
-keep a consistent view.  Each publish gives the table a new version (a table
-property); one that finds another version than it read from is refused.
+keep a consistent view.  Each publish holds a claim (a file created exclusively)
+on the version that it read from and gives the table a new one; a publish that
+finds another version, or the claim held, is refused.  A table's folders carry
+its token, a property that no other table has.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,7 +23,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.shape import target_name
 from tidemark.spec import JobSpec, resolve_name
-from tidemark.session import drop_path, list_folders, target_path
+from tidemark.session import create_exclusive, drop_path, list_folders, path_exists, target_path, target_root
 
 HOUSEKEEPING_FIELDS = [
     T.StructField("ID", T.LongType(), False),
@@ -74,22 +79,44 @@ def create_target(spark: SparkSession, spec: JobSpec, source_schema: T.StructTyp
     if not spark.catalog.tableExists(table) and spark.catalog.tableExists(interim):
         spark.sql(f"ALTER TABLE {interim} RENAME TO {table}")
     if not spark.catalog.tableExists(table):
-        path = path or target_path(spark, table.replace(".", "_") + "-created")
-        _empty_writer(spark, spec, source_schema, path).saveAsTable(table)
+        token = uuid.uuid4().hex[:12]
+        _empty_writer(spark, spec, source_schema, path or _folder(spark, table, token, "created")).saveAsTable(table)
+        set_property(spark, table, TOKEN_PROPERTY, token)
     return spark.table(table)
 
 
 def recreate_target(spark: SparkSession, spec: JobSpec, source_schema: T.StructType, table: str,
                     path: str | None = None) -> DataFrame:
-    """A4: with ``spec.recreate`` drop and rebuild an existing target; else keep it."""
+    """A4: with ``spec.recreate`` drop and rebuild an existing target; else keep it.
+
+    An act of deployment: it empties the table each time it is called.
+    """
     if spec.recreate and spark.catalog.tableExists(table):
-        path = path or target_path(spark, table.replace(".", "_") + "-created")
-        _empty_writer(spark, spec, source_schema, path).mode("overwrite").saveAsTable(table)
+        token = table_token(spark, table)
+        with claimed(spark, table, ANY_VERSION):
+            path = path or _folder(spark, table, token, "created")
+            _empty_writer(spark, spec, source_schema, path).mode("overwrite").saveAsTable(table)
+            set_property(spark, table, TOKEN_PROPERTY, token)
         spark.catalog.refreshTable(table)
         return spark.table(table)
     return create_target(spark, spec, source_schema, table, path)
 
 
+def deploy_target(spark: SparkSession, spec: JobSpec, source_schema: T.StructType, table: str) -> DataFrame:
+    """The target as a load needs it: created if missing, rebuilt once if the spec asks for it.
+
+    The table remembers which spec it was rebuilt for, so later loads of the
+    same spec keep its rows; ``recreate_target`` rebuilds it at any time.
+    """
+    if not spec.recreate:
+        return create_target(spark, spec, source_schema, table)
+    made_for = hashlib.sha256(repr(spec).encode()).hexdigest()
+    if not spark.catalog.tableExists(table) or table_properties(spark, table).get(RECREATED_PROPERTY) != made_for:
+        recreate_target(spark, spec, source_schema, table)
+        set_property(spark, table, RECREATED_PROPERTY, made_for)
+    return spark.table(table)
+
+
 def partition_value(col: Column, granularity: str = "month") -> Column:
     """A5: the partition a row belongs to (truncated timestamp, as a date)."""
     return F.date_trunc(granularity, col.cast("timestamp_ntz")).cast("date")
@@ -175,6 +202,8 @@ class ConcurrentLoadError(RuntimeError):
 
 
 VERSION_PROPERTY, MAX_ID_PROPERTY = "tidemark.version", "tidemark.max_id"
+# (Spark hides the values of properties that are called tokens.)
+TOKEN_PROPERTY, RECREATED_PROPERTY = "tidemark.folders", "tidemark.recreated_for"
 
 
 def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
@@ -193,13 +222,81 @@ def set_property(spark: SparkSession, table: str, key: str, value: str) -> None:
 ANY_VERSION = object()
 
 
-def _claim(spark: SparkSession, table: str, expected) -> None:
-    """Refuse if the table isn't at the version that was read; else give it a new one, just before it is switched."""
-    found = table_version(spark, table)
+def table_token(spark: SparkSession, table: str) -> str:
+    """What the table's folders and claims are named after, whatever the table is called; given once."""
+    token = table_properties(spark, table).get(TOKEN_PROPERTY)
+    if token is None:
+        token = uuid.uuid4().hex[:12]
+        set_property(spark, table, TOKEN_PROPERTY, token)
+    return token
+
+
+def _folder(spark: SparkSession, table: str, token: str, kind: str) -> str:
+    return target_path(spark, f"{table.replace('.', '_')}-{token}-{kind}")
+
+
+def _claim_path(spark: SparkSession, token: str, version: str | None) -> str:
+    return f"{target_root(spark)}/_claims/{token}-{version or 'unpublished'}"
+
+
+@contextmanager
+def claimed(spark: SparkSession, table: str, expected) -> Iterator[None]:
+    """Hold the version of ``table`` that was read, alone among all drivers, while it is switched.
+
+    The claim is a file named after the table's token and version, which only
+    one can create.  The table gets its new version when the switch is over,
+    also when it failed half-way, and before the claim is given up: so whoever
+    read the table before or during the switch is refused.
+    """
+    token, found = table_token(spark, table), table_version(spark, table)
+
+    def refuse(why: str) -> ConcurrentLoadError:
+        return ConcurrentLoadError(f"{table} {why}; run the load again")
+
     if expected is not ANY_VERSION and found != expected:
-        raise ConcurrentLoadError(f"{table} was published into since it was read (version {found}, read at {expected}); "
-                                  "run the load again")
+        raise refuse(f"was published into since it was read (version {found}, read at {expected})")
+    claim = _claim_path(spark, token, found)
+    if not create_exclusive(spark, claim, spark.sparkContext.applicationId):
+        raise refuse("is being published into by another load (if that one is dead, release_claim frees the table)")
+    try:
+        if table_version(spark, table) != found:  # the holder before this one has just finished
+            raise refuse(f"was published into since it was read (version {found})")
+        try:
+            yield
+        finally:
+            set_property(spark, table, VERSION_PROPERTY, uuid.uuid4().hex)
+    finally:
+        drop_path(spark, claim)
+
+
+def release_claim(spark: SparkSession, table: str) -> bool:
+    """Give up the claim that a dead load left on ``table``; false if there was none.
+
+    The table gets a new version, so that a load that is not dead after all
+    cannot publish on the old one.
+    """
+    claim = _claim_path(spark, table_token(spark, table), table_version(spark, table))
+    if not path_exists(spark, claim):
+        return False
     set_property(spark, table, VERSION_PROPERTY, uuid.uuid4().hex)
+    return drop_path(spark, claim)
+
+
+@contextmanager
+def _written(spark: SparkSession, table: str, token: str, kind: str) -> Iterator[str]:
+    """A new folder for the table's data, marked as being written until the table points at it."""
+    path = _folder(spark, table, token, kind)
+    mark = _mark(path)
+    create_exclusive(spark, mark)
+    try:
+        yield path
+    finally:
+        drop_path(spark, mark)
+
+
+def _mark(folder: str) -> str:
+    root, name = folder.rstrip("/").rsplit("/", 1)
+    return f"{root}/_writing/{name}"
 
 
 def _interim(table: str) -> str:
@@ -218,37 +315,46 @@ def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_c
     replacement that was cut short.  ``expected``: the version that ``df`` was
     derived from.
     """
-    path = target_path(spark, table.replace(".", "_") + "-snapshot")
-    values = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop)
-    pname = partition_column_name(resolve_name(df.schema, partition_column), granularity) if partition_column else None
     exists = spark.catalog.tableExists(table)
-    if exists:
-        _claim(spark, table, expected)
-        current = spark.table(table).schema
-        dropped = {d.lower() for d in drop}
-        new_names = [f.name.lower() for f in df.schema.fields if f.name.lower() not in dropped] \
-            + ([pname.lower()] if pname else [])
-        same = sorted(f.name.lower() for f in current.fields) == sorted(new_names)
-        parts = _partition_columns(spark, table)
-        if same and not pname and not parts:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(table)
+    token = table_token(spark, table) if exists else uuid.uuid4().hex[:12]
+    with _written(spark, table, token, "snapshot") as path:
+        values = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop)
+        pname = partition_column_name(resolve_name(df.schema, partition_column), granularity) if partition_column else None
+        if not exists:
+            _create_at(spark, table, path, pname, token)
             return path
-        if same and pname and [c.lower() for c in parts] == [pname.lower()]:
-            _repoint_partitions(spark, table, path, pname, values, drop_others=True)
-            return path
-    name = _interim(table) if exists else table
-    if exists:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        with claimed(spark, table, expected):
+            current = spark.table(table).schema
+            dropped = {d.lower() for d in drop}
+            new_names = [f.name.lower() for f in df.schema.fields if f.name.lower() not in dropped] \
+                + ([pname.lower()] if pname else [])
+            same = sorted(f.name.lower() for f in current.fields) == sorted(new_names)
+            parts = _partition_columns(spark, table)
+            if same and not pname and not parts:
+                spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+                spark.catalog.refreshTable(table)
+            elif same and pname and [c.lower() for c in parts] == [pname.lower()]:
+                _repoint_partitions(spark, table, path, pname, values, drop_others=True)
+            else:
+                name, kept = _interim(table), table_properties(spark, table)
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+                _create_at(spark, name, path, pname, token)
+                for key in (MAX_ID_PROPERTY, RECREATED_PROPERTY):
+                    if key in kept:
+                        set_property(spark, name, key, kept[key])
+                spark.sql(f"DROP TABLE {table}")
+                spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
+                spark.catalog.refreshTable(table)
+    return path
+
+
+def _create_at(spark: SparkSession, name: str, path: str, pname: str | None, token: str) -> None:
     spark.catalog.createTable(name, path=path, source="parquet")
     if pname:
         spark.sql(f"MSCK REPAIR TABLE {name}")
+    set_property(spark, name, TOKEN_PROPERTY, token)
     set_property(spark, name, VERSION_PROPERTY, uuid.uuid4().hex)
-    if exists:
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
-    spark.catalog.refreshTable(table)
-    return path
+    spark.catalog.refreshTable(name)
 
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -305,35 +411,48 @@ def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition
     one catalog call, so readers see the old or the new partition, never a
     half-written one.  A scoped partition left without rows is dropped.
     """
-    path = target_path(spark, table.replace(".", "_") + "-partitions")
-    written = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop)
-    pname = partition_column_name(resolve_name(df.schema, partition_column), granularity)
-    _claim(spark, table, expected)
-    _repoint_partitions(spark, table, path, pname, written, scope=scope)
+    with _written(spark, table, table_token(spark, table), "partitions") as path:
+        written = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop)
+        pname = partition_column_name(resolve_name(df.schema, partition_column), granularity)
+        with claimed(spark, table, expected):
+            _repoint_partitions(spark, table, path, pname, written, scope=scope)
     return path
 
 
-def remove_superseded(spark: SparkSession, table: str) -> list[str]:
-    """Remove the table's snapshot folders that neither it nor a partition of it points at; returns them.
+def locations(spark: SparkSession, table: str) -> set[str]:
+    """Where the table and its partitions lie, as the catalog has it (an entry a partition, no file is listed)."""
+    state = spark._jsparkSession.sessionState()
+    ident = state.sqlParser().parseTableIdentifier(table)
+    entries = [state.catalog().getTableMetadata(ident)]
+    if _partition_columns(spark, table):
+        found = state.catalog().listPartitions(ident, spark._jvm.scala.Option.empty()).iterator()
+        while found.hasNext():
+            entries.append(found.next())
+    uris = [e.storage().locationUri() for e in entries]
+    return {u.get().toString().rstrip("/") for u in uris if u.isDefined()}
 
-    Call it when no reader can still be on an older snapshot.
+
+def remove_superseded(spark: SparkSession, table: str, abandoned: bool = False) -> list[str]:
+    """Remove the table's own folders that neither it nor a partition of it points at; returns them.
+
+    Only folders that carry the table's token are its own.  Call it when no
+    reader can still be on an older snapshot.  Folders that a load is still
+    writing stay; with ``abandoned`` they go too (for loads that died).
     """
-    root = target_path(spark, "x").rsplit("/", 1)[0]
-    label = table.replace(".", "_")
-    found = spark.table(table)
-    used = {f.rsplit("/", 1)[0] for f in found.inputFiles()}
-    # With partitions, a file lies one level below its snapshot's folder.
-    used |= {u.rsplit("/", 1)[0] for u in used if "=" in u.rsplit("/", 1)[1]}
-    names = {u.rstrip("/").rsplit("/", 1)[1] for u in used}
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
-    names |= {r["data_type"].rstrip("/").rsplit("/", 1)[1] for r in rows}
+    token = table_token(spark, table)
+    # A partition lies one level below its snapshot's folder.
+    used = {part for place in locations(spark, table) for part in place.rsplit("/", 2)[1:]}
     gone = []
-    for folder in list_folders(spark, root):
+    for folder in list_folders(spark, target_root(spark)):
         name = folder.rstrip("/").rsplit("/", 1)[1]
-        kind = name.removeprefix(label + "-").rsplit("-", 1)[0]
-        if name.startswith(label + "-") and kind in ("created", "snapshot", "partitions") and name not in names:
-            drop_path(spark, folder)
-            gone.append(folder)
+        if f"-{token}-" not in name or name in used:
+            continue
+        if path_exists(spark, _mark(folder)):
+            if not abandoned:
+                continue
+            drop_path(spark, _mark(folder))
+        drop_path(spark, folder)
+        gone.append(folder)
     return gone
 
 

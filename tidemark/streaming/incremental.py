@@ -23,12 +23,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.jobs import run_load
 from tidemark.session import shared_dir
-from tidemark.spec import JobSpec
+from tidemark.spec import JobSpec, SpecError
 
 
 def stream_checkpoint(spark: SparkSession, job: str, target_table: str) -> str:
-    """The folder that all runs of this job's stream into this target share."""
-    return f"{shared_dir(spark).rstrip('/')}/streams/{job}-{target_table}"
+    """The folder that all runs of this job's stream into this target share, in this application and in later ones.
+
+    It lies in the folder that ``spark.checkpoint.dir`` names, not in the one
+    that Spark makes below it for each application.
+    """
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or shared_dir(spark)
+    return f"{root.rstrip('/')}/streams/{job}-{target_table}"
 
 
 def already_loaded(spark: SparkSession, history_table: str, job: str, load_id: int, batch: str | None = None) -> bool:
@@ -48,7 +53,9 @@ def start_incremental_load(spark: SparkSession, spec: JobSpec, source_stream: Da
                            interval: str | None = None, load_id_base: int = 0, user: str | None = None,
                            clock: Callable[[], dt.datetime] = dt.datetime.now,
                            plan: str = "auto") -> StreamingQuery:
-    """Start the stream; each micro-batch is merged into ``target_table``."""
+    """Start the stream; each micro-batch is merged into ``target_table``, which a stream never rebuilds."""
+    if spec.recreate:
+        raise SpecError(f"{spec.name}: a stream adds to its target; rebuild it beforehand with recreate_target")
     checkpoint = checkpoint or stream_checkpoint(spark, spec.name, target_table)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
