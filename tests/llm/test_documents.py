@@ -98,6 +98,41 @@ def test_near_duplicates_in_groups(spark):
     assert got == want and len(set(want.values())) < 60
 
 
+def test_near_duplicates_in_a_family_of_every_similarity(spark):
+    """Hundreds of copies of one text, edited a little or a lot: most are linked, the others are alike but not enough."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in rng.integers(0, 400, 90)]
+    rows = []
+    for copy in range(400):
+        words = list(base)
+        for at in rng.choice(90, int(rng.integers(0, 24)), replace=False):
+            words[at] = f"x{int(rng.integers(0, 60))}"
+        rows.append((copy, " ".join(words)))
+    want, _ = plain_components(rows, 2)
+    assert 20 < len(set(want.values())) < 380
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()}
+    assert got == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(-2**63, 2**63 - 1), max_size=60), st.sets(st.integers(-2**63, 2**63 - 1), max_size=60),
+       st.sets(st.integers(-2**63, 2**63 - 1), max_size=60))
+def test_bitmaps_never_differ_in_more_bits_than_values(a, b, both):
+    a, b = a | both, b | both
+    bits = [near_duplicates.parity(np.array(sorted(s), dtype=np.int64)) for s in (a, b)]
+    assert sum(int(x).bit_count() for x in (bits[0] ^ bits[1]).view(np.uint64)) <= len(a ^ b)
+
+
+def test_near_duplicates_without_ids(spark):
+    """Texts without ids are told apart by their hashes when they are read again."""
+    rows = [(None, " ".join(f"t{i}w{j}" for j in range(60)) + tail) for i in range(40) for tail in ("", " end")] + [(5, "t0w0 t0w1")]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()
+    assert len(got) == 81 and {r["component_id"] for r in got} == {None, 5} and all(r["kept"] for r in got)
+    left = near_duplicates.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=2)
+    assert left.count() == 81
+
+
 def test_near_duplicates_odd_rows(odd, empty):
     got = near_duplicates.near_duplicates(odd, width=2).collect()
     assert len(got) == odd.count()

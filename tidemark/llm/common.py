@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import fresh_path
+from tidemark.session import drop_path, fresh_path
 
 # A word is a run of characters other than the six ASCII white-space ones.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,6 +27,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*frames: DataFrame) -> None:
+    """Remove the folders of staged frames that nothing will read again (their successors are written)."""
+    for df in frames:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            drop_path(df.sparkSession, folder)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, a null one as empty."""
     return F.coalesce(F.col(column), F.lit(""))

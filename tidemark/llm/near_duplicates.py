@@ -14,14 +14,17 @@
    sets.
 4. In a first round each list gives only pairs with its hub, the class most of
    whose values are shared; the links found merge most groups of near copies.
-   The second round takes the classes that still share a list across
-   components, and joins them on the rarest values of their full sets.  A value
-   at place i in the order of a set of n leaves n - i values that can be common,
-   which has to suffice for the partner's size, and likewise for the partner:
-   so classes alike to a hub but with too many values of their own drop out,
-   and a large group of copies never yields the pairs within it, while no link
-   that could join two components is left out.  The estimate has no say here, so
-   a pair that it turned down in the first round gets a second chance.
+   The second round takes the lists of three or more that still hold several
+   components (a list of two is its hub and the other), and pairs their classes
+   across components, each pair once: at the first value of
+   its lists that the two have in common.  A pair is made only if the values
+   left in both orders suffice for the overlap, and if the classes' parity
+   bitmaps allow it: of two sets, every bit that differs stands for a value that
+   only one of them has, so too many such bits rule out a link for certain.
+
+Sets are read a second time only for the classes of pairs that are left, to
+confirm them.  Intermediate tables are removed as soon as their successors are
+written.
 """
 
 from __future__ import annotations
@@ -36,14 +39,24 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import join_counted, staged, table, text_of
+from tidemark.llm.common import join_counted, release, staged, table, text_of
 from tidemark.llm.components import components
 
 K = 48
 #: Values that the sketches of two sets share if their similarity is 0.8 or more (5 standard deviations below the mean).
 OVERLAP = 24
 #: Standard deviations that an estimate may fall below the threshold.
-SLACK = 5.25  # less than OVERLAP common values of K turn a pair down: 8e-7 at a similarity of 0.8 (binomial)
+SLACK = 8.0  # less than 17 common values of K turn a pair down: below 1e-11 at a similarity of 0.8 (binomial)
+
+
+#: Longs of a set's parity bitmap.
+BITMAP = 16
+
+
+def parity(values: np.ndarray) -> np.ndarray:
+    """The bitmap of a set: each bit says whether an odd number of values fall on it."""
+    odd = np.bincount((values & (64 * BITMAP - 1)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -67,33 +80,40 @@ def shingles(text: str, width: int) -> np.ndarray:
     return np.unique(out.view(np.int64))
 
 
+def _pieces(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
+    """The same rows, fewer at a time, since a set takes as much room as its text."""
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.iloc[at:at + rows].reset_index(drop=True)
+
+
 def _sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_hash, n, digest, sketch) for each row."""
+    """(id, text_hash, n, digest, sketch, bits, row) for each row; row numbers the rows, once they are written."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _pieces(batches):
             sets = [shingles(t, width) for t in b["text"]]
             yield pd.DataFrame({
                 "id": b["id"], "text_hash": b["text_hash"], "n": [len(s) for s in sets],
                 "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
-                "sketch": [s[:K] for s in sets]})
+                "sketch": [s[:K] for s in sets], "bits": [parity(s) for s in sets]})
 
     rows = docs.select(F.col(id_col).cast("string").alias("id"), text_of(text_col).alias("text"),
                        F.xxhash64(text_of(text_col)).alias("text_hash"))
-    found = rows.mapInPandas(run, "id string, text_hash long, n long, digest binary, sketch array<long>")
-    return found.withColumn("id", F.col("id").cast("long"))
+    found = rows.mapInPandas(run, "id string, text_hash long, n long, digest binary, sketch array<long>, bits array<long>")
+    return found.withColumn("id", F.col("id").cast("long")).withColumn("row", F.monotonically_increasing_id())
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """(node, set) of the wanted classes, from the text of their first documents."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _pieces(batches):
             sets = [shingles(t, width) for t in b["text"]]
             same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, b["digest"])]
             yield pd.DataFrame({"node": b["node"][same], "set": [s for s, ok in zip(sets, same) if ok]})
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    key = wanted.select("node", "digest", F.col("first_id"))
-    rows = join_counted(texts, key, texts["id"].eqNullSafe(key["first_id"])).select("node", "digest", "text")
+    same = texts["id"].eqNullSafe(wanted["first_id"]) & (F.xxhash64(texts["text"]) == wanted["first_hash"])
+    rows = join_counted(texts, wanted, same).select("node", "digest", "text")
     return rows.mapInPandas(run, "node long, set array<long>")
 
 
@@ -101,27 +121,41 @@ def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
 
 
+def _few_differ(x: str, y: str, percent: int) -> Column:
+    """False only for pairs whose bitmaps differ in more bits than sets alike enough can have values of their own."""
+    differ = sum((F.bit_count(F.get(f"{x}.bits", F.lit(i)).bitwiseXOR(F.get(f"{y}.bits", F.lit(i)))) for i in range(BITMAP)), F.lit(0))
+    return differ * (100 + percent) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - percent)
+
+
 def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose estimate from the sketch of the union is near the threshold."""
-    side = lambda x: classes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    union = F.sort_array(F.array_union("s_a", "s_b"))
-    whole = (F.col("n_a") <= K) & (F.col("n_b") <= K)
+    """The pairs (a, b) whose estimate from the sketch of the union is near the threshold, and whose bitmaps allow a link."""
+    side = classes.select("node", "n", "sketch", "bits")
+    x, y = side.alias("x"), side.alias("y")
+    both = pairs.join(x, F.col("a") == F.col("x.node")).join(y, (F.col("b") == F.col("y.node")) & _few_differ("x", "y", percent))
+    union = F.sort_array(F.array_union("x.sketch", "y.sketch"))
+    whole = (F.col("x.n") <= K) & (F.col("y.n") <= K)
     union = F.when(whole, union).otherwise(F.slice(union, 1, K))
-    common = F.array_intersect(union, F.array_intersect("s_a", "s_b"))
+    common = F.array_intersect(union, F.array_intersect("x.sketch", "y.sketch"))
     share = F.size(common) / F.size(union)
     least = F.when(whole, percent / 100 - 1e-9).otherwise(percent / 100 - SLACK * math.sqrt(0.16 / K))
     return both.where(share >= least).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are alike enough, written out."""
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are alike enough, written out; only these classes' texts are read again."""
     pairs = staged(pairs, "candidates")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = staged(classes.select("node", "digest", "first_id", "first_hash").join(nodes, "node"), "wanted")
+    sets = staged(_full_sets(docs, wanted, width, id_col, text_col), "sets")
+    if sets.count() > wanted.count():  # rows repeated whole
+        sets = staged(sets.dropDuplicates(["node"]), "sets")
     side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
     total = F.size("set_a") + F.size("set_b")
-    return staged(pairs.join(side("b"), "b").join(side("a"), "a")
-                  .where(shared * 100 >= (total - shared) * percent).select("a", "b"), "confirmed")
+    links = staged(pairs.join(side("b"), "b").join(side("a"), "a")
+                   .where(shared * 100 >= (total - shared) * percent).select("a", "b"), "confirmed")
+    release(pairs, wanted, sets)
+    return links
 
 
 def _overlap(n: Column, percent: int) -> Column:
@@ -130,66 +164,64 @@ def _overlap(n: Column, percent: int) -> Column:
     return F.when(n * 100 < K * percent, exact).otherwise(F.least(exact, F.lit(OVERLAP)))
 
 
-def _ranked(posts: DataFrame, keys: list[str]) -> DataFrame:
-    """The ``keys`` of ``posts`` (node, ..., value), once a node, and values: those that other nodes have too, rarest first."""
-    often = staged(posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "value-counts")
-    return (posts.join(often, "value").groupBy(*keys)
-            .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))
-            .withColumn("values", F.col("values.value")))
-
-
 def _lists(classes: DataFrame, percent: int) -> DataFrame:
-    """(value, node, n, shared): the classes in each inverted list of the values in their prefixes."""
+    """(value, node, n, at, shared): the classes in each inverted list of the values in their prefixes.
+
+    A class orders its retained values from the rarest to the commonest; ``at``
+    is the place in that order among its ``shared`` values that others retain too.
+    """
     posts = classes.select("node", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
-    kept = _ranked(posts, ["node", "n", "size"])  # at most K values a node
+    often = staged(posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "value-counts")
+    kept = (posts.join(often, "value").groupBy("node", "n", "size")
+            .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values")))  # at most K values a node
     alone = F.col("size") - F.size("values")
     take = (F.col("size") - _overlap(F.col("n"), percent) + 1 - alone).cast("int")
-    return kept.withColumn("take", take).where("take > 0").select(
-        "node", "n", F.size("values").alias("shared"), F.explode(F.slice("values", F.lit(1), F.col("take"))).alias("value"))
-
-
-def _across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of the nodes in ``placed`` (node, c) in different components that their full sets allow."""
-    posts = sets.join(placed, "node").select("node", "c", F.size("set").alias("n"), F.explode("set").alias("value"))
-    kept = _ranked(posts, ["node", "c", "n"])
-    alone = F.col("n") - F.size("values")
-    take = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone).cast("int")
-    rows = kept.withColumn("alone", alone).withColumn("take", take).where("take > 0").select(
-        "node", "c", "n", "alone", F.posexplode(F.slice("values", F.lit(1), F.col("take"))).alias("at", "value"))
-    rows = staged(rows.select("value", "node", "c", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left")), "full-prefixes")
-    mixed = staged(rows.groupBy("value").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("value"), "mixed-values")
-    # Each node's mixed values in their order go along, so that a pair is made once, at the first value it has in common.
-    order = F.sort_array(F.collect_list(F.struct((-F.col("left")).alias("at"), "value")))
-    rows = staged(rows.join(mixed, "value").groupBy("node", "c", "n").agg(order.alias("order"))
-                  .select("node", "c", "n", F.col("order.value").alias("all"), F.explode("order").alias("o"))
-                  .select("node", "c", "n", "all", F.col("o.value").alias("value"), (-F.col("o.at")).alias("left")), "mixed-prefixes")
+    rows = kept.withColumn("take", take).where("take > 0").select(
+        "node", "n", F.size("values").alias("shared"), F.posexplode(F.slice("values.value", F.lit(1), F.col("take"))).alias("at", "value"))
+    out = staged(rows, "lists")
+    release(often)
+    return out
+
+
+def _mixed(placed: DataFrame, label: str) -> DataFrame:
+    """(value): the lists that hold several components."""
+    return staged(placed.groupBy("value").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("value"), label)
+
+
+def _across(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) across the components c of ``placed`` (value, node, c, at, shared) that the bounds allow."""
+    mixed = _mixed(placed, "mixed-lists")
+    rows = placed.join(mixed, "value")
+    # A node's mixed values in their order go along, so that a pair is made once, at the first value it has in common.
+    order = F.sort_array(F.collect_list(F.struct("at", "value")))
+    whole = rows.groupBy("node", "c", "shared").agg(order.alias("order")).join(classes.select("node", "n", "bits"), "node")
+    rows = staged(whole.select("node", "c", "n", "bits", F.col("order.value").alias("all"), "shared", F.explode("order").alias("o"))
+                  .select("node", "c", "n", "bits", "all", F.col("o.value").alias("value"), (F.col("shared") - F.col("o.at")).alias("left")),
+                  "mixed-prefixes")
     x, y = rows.alias("x"), rows.alias("y")
-    need = (F.col("x.n") + F.col("y.n")) * percent  # 100 + percent times the values that have to be common
+    need = F.greatest(_overlap(F.col("x.n"), percent), _overlap(F.col("y.n"), percent))
     return (x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.c") != F.col("y.c"))
-                   & (F.col("x.left") * (100 + percent) >= need) & (F.col("y.left") * (100 + percent) >= need)
-                   & (F.get(F.array_intersect("x.all", "y.all"), F.lit(0)) == F.col("x.value")))
+                   & _similar_sizes(F.col("x.n"), F.col("y.n"), percent) & (F.col("x.left") >= need) & (F.col("y.left") >= need)
+                   & _few_differ("x", "y", percent) & (F.get(F.array_intersect("x.all", "y.all"), F.lit(0)) == F.col("x.value")))
             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
 
 
 def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Confirmed links between classes that connect every component."""
-    posts = staged(_lists(classes, percent), "lists")
+    confirmed = lambda pairs: _confirmed(pairs, docs, classes, width, percent, id_col, text_col)
+    posts = _lists(classes, percent)
     hubs = staged(posts.groupBy("value").agg(F.max(F.struct("shared", "node", "n")).alias("hub"), F.count(F.lit(1)).alias("m"))
-                  .where("m > 1").select("value", F.col("hub.node").alias("a"), F.col("hub.n").alias("na")), "hubs")
-    met = posts.join(hubs, "value")
-    nodes = met.select("node").distinct()
-    wanted = staged(classes.select("node", "digest", "first_id").join(nodes, "node"), "wanted")
-    sets = staged(_full_sets(docs, wanted, width, id_col, text_col).dropDuplicates(["node"]), "sets")
-    stars = (met.where((F.col("node") != F.col("a")) & _similar_sizes(F.col("n"), F.col("na"), percent))
-             .select("a", F.col("node").alias("b")).distinct())
-    first = _confirmed(_promising(stars, classes, percent), sets, percent)
+                  .where("m > 1").select("value", "m", F.col("hub.node").alias("a"), F.col("hub.n").alias("na")), "hubs")
+    stars = staged(posts.join(hubs, "value").where((F.col("node") != F.col("a")) & _similar_sizes(F.col("n"), F.col("na"), percent))
+                   .select("a", F.col("node").alias("b")).distinct(), "stars")
+    first = confirmed(_promising(stars, classes, percent))
+    release(stars)
     merged = staged(components(first), "first-components")
-
-    placed = staged(posts.join(hubs.select("value"), "value").join(merged, "node", "left")
-                    .select("value", "node", F.coalesce("component", "node").alias("c")), "placed")
-    mixed = staged(placed.groupBy("value").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("value"), "mixed-lists")
-    still = staged(placed.join(mixed, "value").select("node", "c").distinct(), "still-apart")
-    second = _confirmed(_across(still, sets, percent), sets, percent)
+    placed = staged(posts.join(hubs.where("m > 2").select("value"), "value").join(merged, "node", "left")
+                    .select("value", "node", "at", "shared", F.coalesce("component", "node").alias("c")), "placed")
+    release(posts, hubs)
+    second = confirmed(_across(placed, classes, percent))
+    release(placed)
     return first.unionByName(second)
 
 
@@ -210,11 +242,14 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
     digests, shingles by 64-bit hashes.
     """
     rows = staged(_sketches(docs, width, id_col, text_col), "sketches")
-    classes = (rows.where("n > 0").groupBy("digest")
-               .agg(F.min("id").alias("first_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-                    F.count(F.lit(1)).alias("copies"))
-               .withColumn("node", F.monotonically_increasing_id()))
-    classes = staged(classes, "classes")
+    # The class's least row stands for it; its sketch stays where it is, unless there are too many to send the rows' numbers.
+    least = (rows.where("n > 0").groupBy("digest")
+             .agg(F.min(F.struct(F.col("id").isNull(), "id", "text_hash", "row")).alias("first"), F.count(F.lit(1)).alias("copies"))
+             .select("first.row", "copies"))
+    least = staged(least.withColumnRenamed("row", "node"), "class-rows")
+    classes = staged(join_counted(rows, least, rows["row"] == least["node"]).select(
+        "node", "digest", "n", "sketch", "bits", "copies", F.col("id").alias("first_id"), F.col("text_hash").alias("first_hash")), "classes")
+    release(least)
     links = _links(docs, classes, width, percent, id_col, text_col)
     merged = staged(components(links), "components")
     grouped = merged.join(classes.select("node", "digest", "first_id"), "node")
@@ -223,6 +258,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
     alone = classes.where("copies > 1").join(merged, "node", "left_anti").select("digest", F.col("first_id").alias("component_id"))
     # Classes that aren't here hold a single document without links.
     known = staged(linked.unionByName(alone).withColumn("known", F.lit(True)), "known-components")
+    release(classes, links, merged, least)
     out = rows.select("id", "text_hash", "n", "digest").join(known, "digest", "left") \
         .withColumn("component_id", F.when(F.col("known"), F.col("component_id")).otherwise(F.col("id")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
