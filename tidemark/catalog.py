@@ -21,8 +21,8 @@ from tidemark.constants import ACTION_COL
 from tidemark.functions.period import Period, ntz, resolve_check_period, resolve_load_period
 from tidemark.functions.predicates import changed
 from tidemark.functions.udf import register_sql_function
-from tidemark.operators.compare import (FINDING_SCHEMA, TablePair, compare_tables, empty_table_check,
-                                       findings_frame, key_diffs, type_diffs)
+from tidemark.operators.compare import (FINDING_SCHEMA, TablePair, compare_tables, compare_values, empty_table_check,
+                                       findings_frame, key_findings, type_findings)
 from tidemark.operators.filters import period_filter, window_filter
 from tidemark.operators.merge import Stamp, action_counts, change_counts, merge_upsert
 from tidemark.operators.quality import constraint_keys, constraint_violations, duplicate_keys, profile_table, row_count
@@ -504,51 +504,86 @@ def q_assign_ids_shuffled(spark, sf):
 
 def _altered_pair(spark: SparkSession, sf: str):
     s = fx.source_s(spark, sf).withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(10,2)"))
-    t = (fx.target_t(spark, sf).withColumn("o_custkey", F.col("o_custkey").cast("string"))
+    t = (fx.target_t(spark, sf)
+         .withColumn("o_custkey", F.expr("case when o_orderkey % 9 = 0 then concat('C', o_custkey) else cast(o_custkey as string) end"))
          .withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,4)")).drop("o_orderpriority"))
     return s, t
 
 
-def _with_counts(findings: DataFrame, s: DataFrame, t: DataFrame) -> DataFrame:
-    """The findings beside the row counts of both tables (one row, so the join multiplies nothing)."""
-    counts = s.agg(F.count(F.lit(1)).alias("src_rows")).crossJoin(t.agg(F.count(F.lit(1)).alias("tgt_rows")))
-    return findings.crossJoin(F.broadcast(counts))
-
-
-def _saved(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    name = _unique_table(label)
-    df.write.format("parquet").option("path", fresh_path(spark, label)).saveAsTable(name)
-    return spark.table(name)
-
-
-COUNTS_SQL = "(select count(*) from S) as src_rows, (select count(*) from T) as tgt_rows"
-
-
 @query("type_diffs", f"""
-with {S_SQL}, {T_SQL}
-select v.*, {COUNTS_SQL} from (values
-  ('orders', 'type_mismatch', 'o_custkey', 'src=bigint tgt=string'),
-  ('orders', 'missing_in_target', 'o_orderpriority', 'target has no column o_orderpriority')
-) v(pair, kind, column_name, detail)""")
+with {S_SQL}, {T_SQL},
+T2 as (select case when o_orderkey % 9 = 0 then concat('C', o_custkey) else cast(o_custkey as varchar) end as o_custkey from T)
+select 'orders' as pair, 'type_mismatch' as kind, 'o_custkey' as column_name, 'src=bigint tgt=string' as detail,
+       (select count(o_custkey) from S) as src_values,
+       (select count(*) from S where o_custkey is not null and try_cast(o_custkey as varchar) is null) as src_unfit,
+       count(o_custkey) as tgt_values,
+       count(*) filter (where o_custkey is not null and try_cast(o_custkey as bigint) is null) as tgt_unfit
+from T2
+union all
+select 'orders', 'missing_in_target', 'o_orderpriority', 'target has no column o_orderpriority',
+       count(o_orderpriority), count(o_orderpriority), null, null from S""")
 def q_type_diffs(spark, sf):
-    s, t = _altered_pair(spark, sf)
-    s, t = _saved(spark, s, "types_s"), _saved(spark, t, "types_t")
-    return _with_counts(findings_frame(spark, type_diffs("orders", s.schema, t.schema)), s, t)
+    """the columns whose types differ, and how many values of either side would not survive the cast."""
+    return type_findings("orders", *_altered_pair(spark, sf))
+
+
+KEY_NULLS = "count(*) filter (where {0} is null or {1} is null)"
 
 
 @query("key_diffs", f"""
-with {S_SQL}, {T_SQL}
-select v.*, {COUNTS_SQL} from (values
-  ('orders_narrow', 'key_mismatch', cast(null as varchar),
-   'keys of the source: o_orderkey, o_custkey; of the target: o_orderkey')
-) v(pair, kind, column_name, detail)""")
+with {S_SQL}, {T_SQL},
+lines as (select l_orderkey, l_linenumber, count(*) as n from lineitem group by all),
+late as (select l_orderkey, l_linenumber, count(*) as n from lineitem where l_shipdate >= timestamp '1998-01-01 00:00:00' group by all),
+f(pair, kind, detail, n) as (
+  select 'orders_narrow', 'key_mismatch', 'keys of the source: o_orderkey, o_custkey; of the target: o_orderkey', null
+  union all select 'orders_narrow', 'source_key_missing', 'keys o_orderkey, o_custkey', count(*) from (
+    select o_orderkey, o_custkey from S except select o_orderkey, o_custkey from T)
+  union all select 'orders_status', 'source_key_null', 'keys o_orderkey, o_orderstatus', {KEY_NULLS.format("o_orderkey", "o_orderstatus")} from S
+  union all select 'orders_status', 'target_key_null', 'keys o_orderkey, o_orderstatus', {KEY_NULLS.format("o_orderkey", "o_orderstatus")} from T
+  union all select 'orders_status', 'source_key_missing', 'keys o_orderkey, o_orderstatus', count(*) from (
+    select o_orderkey, o_orderstatus from S where o_orderstatus is not null except select o_orderkey, o_orderstatus from T)
+  union all select 'lines', 'source_key_repeats', 'keys l_orderkey, l_linenumber', count(*) filter (where n > 1) from lines
+  union all select 'lines', 'target_key_repeats', 'keys l_orderkey, l_linenumber', count(*) filter (where n > 1) from late
+  union all select 'lines', 'source_key_missing', 'keys l_orderkey, l_linenumber', count(*) from (
+    select l_orderkey, l_linenumber from lines except select l_orderkey, l_linenumber from late))
+select pair, kind, cast(null as varchar) as column_name, detail, cast(n as bigint) as n from f where n is null or n > 0""")
 def q_key_diffs(spark, sf):
-    """Keys as job specs give them for two catalog tables."""
-    s, t = _saved(spark, fx.source_s(spark, sf), "keys_s"), _saved(spark, fx.target_t(spark, sf), "keys_t")
-    wide = fx.orders_spec(keys=("o_orderkey", "o_custkey"))
-    found = key_diffs("orders_same", wide.keys, [k.upper() for k in constraint_keys(wide)["unique_index"]])
-    found += key_diffs("orders_narrow", wide.keys, constraint_keys(fx.orders_spec())["primary_key"])
-    return _with_counts(findings_frame(spark, found), s, t)
+    """declared keys against each other, and against the rows: NULLs, repeats, keys that the target lacks."""
+    s, t, lines = fx.source_s(spark, sf), fx.target_t(spark, sf), fx.read_table(spark, sf, "lineitem")
+    late = lines.where("l_shipdate >= timestamp_ntz'1998-01-01 00:00:00'")
+    line_keys = ("l_orderkey", "l_linenumber")
+    return (key_findings("orders_narrow", s, t, ("o_orderkey", "o_custkey"), constraint_keys(fx.orders_spec())["primary_key"])
+            .unionByName(key_findings("orders_status", s, t, ("o_orderkey", "o_orderstatus"), ("O_ORDERKEY", "O_ORDERSTATUS")))
+            .unionByName(key_findings("lines", lines, late, line_keys, line_keys)))
+
+
+@query("compare_values", f"""
+with {S_SQL}, {T_SQL},
+m as (select s.o_custkey as sc, t.o_custkey as tc, s.o_orderstatus as ss, t.o_orderstatus as ts, s.o_totalprice as sp, t.o_totalprice as tp,
+             s.o_orderdate as sd, t.o_orderdate as td, s.o_orderpriority as so, t.o_orderpriority as tpr
+      from S s join T t on s.o_orderkey = t.o_orderkey),
+f(pair, kind, column_name, detail, n) as (
+  select 'orders', 'source_key_missing', null, 'keys o_orderkey', (select count(*) from S where o_orderkey not in (select o_orderkey from T))
+  union all select 'orders', 'value_diff', 'o_custkey', 'matched rows that differ', count(*) filter (where sc is distinct from tc) from m
+  union all select 'orders', 'value_diff', 'o_orderstatus', 'matched rows that differ', count(*) filter (where ss is distinct from ts) from m
+  union all select 'orders', 'value_diff', 'o_totalprice', 'matched rows that differ', count(*) filter (where sp is distinct from tp) from m
+  union all select 'orders', 'value_diff', 'o_orderdate', 'matched rows that differ', count(*) filter (where sd is distinct from td) from m
+  union all select 'orders', 'value_diff', 'o_orderpriority', 'matched rows that differ', count(*) filter (where so is distinct from tpr) from m
+  union all select 'altered', 'type_mismatch', 'o_custkey', 'src=bigint tgt=string', count(*) filter (where false) from S
+  union all select 'altered', 'missing_in_target', 'o_orderpriority', 'target has no column o_orderpriority', count(o_orderpriority) from S
+  union all select 'altered', 'source_key_missing', null, 'keys o_orderkey', (select count(*) from S where o_orderkey not in (select o_orderkey from T))
+  union all select 'altered', 'value_diff', 'o_orderstatus', 'matched rows that differ', count(*) filter (where ss is distinct from ts) from m
+  union all select 'altered', 'value_diff', 'o_totalprice', 'matched rows that differ',
+    count(*) filter (where cast(cast(sp as decimal(10,2)) as decimal(12,4)) is distinct from cast(tp as decimal(12,4))) from m)
+select pair, kind, cast(column_name as varchar) as column_name, detail, cast(n as bigint) as n from f
+where n > 0 or kind in ('type_mismatch', 'missing_in_target')""")
+def q_compare_values(spark, sf):
+    """F4 by value, two pairs side by side."""
+    s, t = fx.source_s(spark, sf), fx.target_t(spark, sf)
+    s2, t2 = _altered_pair(spark, sf)
+    key = ["o_orderkey"]
+    return compare_values(spark, [TablePair("orders", lambda: s, lambda: t, key, key),
+                                  TablePair("altered", lambda: s2, lambda: t2, key, key)])
 
 
 @query("empty_tables", """
