@@ -169,9 +169,24 @@ def training_order(mixed: DataFrame) -> DataFrame:
 
 
 def op2_curriculum_mix(spark, sf_dir: str) -> DataFrame:
+    """Range-sorted by the position of the first copy; the positions of all copies follow the contract's columns."""
     mixed = mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken",
-                        F.size("copies").alias("times"), F.try_element_at("copies", F.lit(1))["position"].alias("first_at"))
+    at = lambda n: F.try_element_at("copies", F.lit(n))["position"]
+    out = mixed.select("doc_id", "size", "source_size", "target", "taken", F.size("copies").alias("times"),
+                       at(1).alias("first_at"), at(2).alias("second_at"), at(3).alias("third_at"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return out.repartitionByRange(n, "first_at").sortWithinPartitions("first_at")
+
+
+def _position_sql(y: str) -> str:
+    """The training position at the share ``y`` of a source's demand, by the source's weight."""
+    return f"""case
+            when weight = 1 then case when {y} < 1 then case when {y} > 0 then least({y} * 2 / (sqrt(greatest(2.25 - {y} * 2, 0)) + 1.5), 1.0) else 0.0 end else 1.0 end
+            when weight = 2 then case when {y} * 2 < 2 then case when {y} > 0 then least({y} * 2 * 2 / (sqrt(4.0) + 2.0), 1.0) else 0.0 end else 1.0 end
+            else case when {y} * 3 < 1.25 then case when {y} > 0 then least({y} * 3 * 2 / (sqrt(4.0 + {y} * 3 * 4.0) + 2.0), 0.5) else 0.0 end
+                      when {y} * 3 < 3.0 then 0.5 + case when {y} * 3 > 1.25 then least(({y} * 3 - 1.25) * 2 / (sqrt(9.0 + ({y} * 3 - 1.25) * 4.0) + 3.0), 0.5) else 0.0 end
+                      else 1.0 end
+       end"""
 
 
 OP2_SQL = r"""
@@ -194,15 +209,8 @@ p as (select d.*, t.source_size, t.target, t.weight, cast(round(t.target) as big
       from d join t on d.source is not distinct from t.source),
 q as (select *, case when source_size > 0 then quota // source_size else 0 end as full_epochs from p),
 r as (select *, greatest(0, least(size, quota - full_epochs * source_size - start)) as last from q),
-f as (select *, start / target as y,
+f as (select *, start / target as y1, (source_size + start) / target as y2, (2 * source_size + start) / target as y3,
              case when size = 0 then 0 else full_epochs + case when last > 0 then 1 else 0 end end as times from r)
 select doc_id, size, source_size, target, cast(full_epochs * size + last as bigint) as taken, cast(times as int) as times,
-       case when times = 0 then null
-            when weight = 1 then case when y < 1 then case when y > 0 then least(y * 2 / (sqrt(greatest(2.25 - y * 2, 0)) + 1.5), 1.0) else 0.0 end else 1.0 end
-            when weight = 2 then case when y * 2 < 2 then case when y > 0 then least(y * 2 * 2 / (sqrt(4.0) + 2.0), 1.0) else 0.0 end else 1.0 end
-            else case when y * 3 < 1.25 then case when y > 0 then least(y * 3 * 2 / (sqrt(4.0 + y * 3 * 4.0) + 2.0), 0.5) else 0.0 end
-                      when y * 3 < 3.0 then 0.5 + case when y * 3 > 1.25 then least((y * 3 - 1.25) * 2 / (sqrt(9.0 + (y * 3 - 1.25) * 4.0) + 3.0), 0.5) else 0.0 end
-                      else 1.0 end
-       end as first_at
-from f
-"""
+""" + ",\n".join(f"       case when times >= {n} then {_position_sql(f'y{n}')} end as {name}"
+                 for n, name in enumerate(("first_at", "second_at", "third_at"), 1)) + "\nfrom f\n"
