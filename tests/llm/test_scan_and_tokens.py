@@ -174,3 +174,20 @@ def test_leak_odd_rows(odd, empty, spark):
     assert D.find_leaks(odd, items).count() == 0 and D.find_leaks(empty, items).count() == 0
     assert D.find_leaks(odd, items.limit(0)).count() == 0
     assert D.without_leaks(odd, items).count() == odd.count()
+
+
+def test_short_items_match_whole_words_only(spark):
+    docs = spark.createDataFrame([(1, "the party was fun"), (2, "modern ART, they say"), (3, "ar t"), (4, "art"), (5, "start"),
+                                  (6, "yesterday: y-e-s!"), (7, "oh yes"), (8, "partyart art")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "art"), (2, "Yes!")], "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["start"], r["end"]) for r in D.find_leaks(docs, items).collect())
+    assert got == [(2, 1, 7, 10), (3, 1, 0, 4), (4, 1, 0, 3), (6, 2, 11, 16), (7, 2, 3, 6), (8, 1, 9, 12)]
+    assert sorted(r["doc_id"] for r in D.without_leaks(docs, items).collect()) == [1, 5]
+
+
+def test_samples_hold_one_text_an_id(spark):
+    from tidemark.llm.common import training_sample
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(i, "other") for i in range(2, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 40)], "doc_id long, toxic int")
+    got = training_sample(docs, labels, "toxic", rows=100).collect()
+    assert len(got) == len({r["_id"] for r in got}) and all(r["_label"] == 1 for r in got)

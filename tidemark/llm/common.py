@@ -66,7 +66,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, *, rows: int
 
     The sample is the ids whose hash lies below ``rows`` / (number of labelled
     ids), or all of them if there are fewer; the texts come by one scan of the
-    documents, joined with the sampled ids, whose number ``rows`` bounds.
+    documents, joined with the sampled ids, whose number ``rows`` bounds.  Of an
+    id that stands in several rows one text counts, that of least hash.
     """
     known = one_label(labels, label, id_col).where(~held_out("_id", folds))
     n = known.count()
@@ -75,7 +76,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, *, rows: int
         known = known.where(draw < rows / n)
     known = staged(known, "labelled-sample")
     texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
-    return texts.join(F.broadcast(known), "_id")
+    found = texts.join(F.broadcast(known), "_id")
+    return found.groupBy("_id", "_label").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text")) \
+        .select("_id", "_text", "_label")
 
 
 #: Rows of a join side that may be broadcast; the side is counted first.

@@ -108,7 +108,7 @@ class Block:
             k = int(len(folded) * errors) if len(folded) >= least else 0
             for at, piece in pieces(folded, k):
                 by_piece.setdefault(piece, []).append((len(self.items), at))
-            self.items.append((key, folded, k, None))
+            self.items.append((key, folded, k, len(folded) < least))
         self.automaton = ahocorasick.Automaton()
         for piece, where in by_piece.items():
             self.automaton.add_word(piece, (len(piece), where))
@@ -135,7 +135,12 @@ class Block:
                     spans.append([lo, hi])
         out, places = [], None
         for i in sorted(stretches):
-            key, item, k, _ = self.items[i]
+            key, item, k, short = self.items[i]
+            if short:  # exact, and whole words only: "art" is not in "the party"
+                place = self._as_words(text, folded, item, stretches[i])
+                if place:
+                    out.append((key, *place, 0))
+                continue
             if i not in self.masks:
                 self.masks[i] = masks(item)
             best = None
@@ -157,6 +162,21 @@ class Block:
         return out
 
 
+    @staticmethod
+    def _as_words(text: str, folded: str, item: str, stretches: list[list[int]]) -> tuple[int, int] | None:
+        """The first place in the text where a short item stands as whole words, whatever is between them."""
+        places = fold_with_offsets(text)[1]
+        alone = lambda i: not (0 <= i < len(text)) or not text[i].isalnum()
+        for lo, hi in stretches:
+            at = folded.find(item, lo, hi)
+            while at >= 0:
+                start, end = places[at], places[at + len(item) - 1] + 1
+                if alone(start - 1) and alone(end):
+                    return start, end
+                at = folded.find(item, at + 1, hi)
+        return None
+
+
 def blocks(items: DataFrame, id_col: str, text_col: str, chars: int = BLOCK_CHARS) -> Iterator[list[tuple[object, str]]]:
     """The items in blocks of about ``chars`` characters, fetched one partition at a time."""
     block, size = [], 0
@@ -176,7 +196,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, errors: float = ERRORS, lea
 
     start..end are code points of the document, end exclusive.  Folding lets a
     match differ from the item in case, punctuation and spacing at no cost.
-    Items shorter than ``least`` once folded match only without edits; items
+    Items shorter than ``least`` once folded match only without edits and as
+    whole words; items
     that fold to nothing (null and empty ones too) match nothing.  Null and
     empty texts hold nothing.  Null ids stay as they are.  Repeated documents
     get rows each; items repeated as whole rows are searched for once each.
