@@ -4,12 +4,15 @@ import os
 import subprocess
 import sys
 import threading
+import time
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.jobs import run_load
+from tidemark.operators.quality import constraint_violations
+from tidemark.operators.surrogate import assign_ids_by_place, with_places
+from tidemark.plans.jobs import run_batch, run_load
 from tidemark.session import create_exclusive, fresh_path, list_folders, path_exists, shared_dir, target_root
 from tidemark.sources import target as tg
 from tidemark.spec import JobSpec, SpecError, TableRef
@@ -222,7 +225,51 @@ def test_targets_never_lie_in_a_machines_own_folder():
     assert target_root(_Cluster("yarn", **{"tidemark.target.dir": "hdfs:/targets/"})) == "hdfs:/targets"
 
 
-def test_inserted_rows_are_counted_once(spark):
+@pytest.mark.parametrize("plan", ["broadcast", "split"])
+def test_equal_rows_get_dense_ids_without_meeting(spark, plan):
+    """A third of all rows are equal throughout: they are numbered where they were written."""
     table = _name("in")
-    res = load(spark, table, [(None, None, "a"), (None, None, "a"), (1, None, "b")], 1)
-    assert res.insert_cnt == 3 and spark.table(table).agg(F.count_distinct("ID")).first()[0] == 3
+    rows = [(None, None, "same")] * 1000 + [(i, None, "b") for i in range(2000)]
+    res = run_load(spark, _spec(table), load_id=1, now=NOW, user="u", plan=plan,
+                   source_df=spark.createDataFrame(rows, ROWS).repartition(8))
+    assert res.insert_cnt == 3000
+    assert sorted(r["ID"] for r in spark.table(table).select("ID").collect()) == list(range(1, 3001))
+    run_load(spark, _spec(table), load_id=2, now=NOW, user="u", plan=plan,
+             source_df=spark.createDataFrame([(None, None, "same")] * 10 + [(1, None, "c")], ROWS))
+    assert sorted(r["ID"] for r in spark.table(table).select("ID").collect()) == list(range(1, 3011))
+
+
+def test_ids_by_place_shuffle_no_row(spark):
+    from tests.conftest import explain_text
+    df = with_places(spark.range(1000).repartition(5).select(F.lit("x").alias("v")))
+    path = fresh_path(spark, "places")
+    df.write.parquet(path)
+    out = assign_ids_by_place(spark.read.parquet(path), 100)
+    plan = explain_text(out)
+    assert sorted(r["ID"] for r in out.collect()) == list(range(101, 1101)) and out.columns == ["v", "ID"]
+    assert plan.count("SinglePartition") == 1 and "SortMergeJoin" not in plan
+    assert assign_ids_by_place(spark.read.parquet(path).limit(0), 0).count() == 0
+
+
+def test_a_stuck_spec_is_cancelled_and_the_others_finish(spark):
+    slow = F.udf(lambda v: __import__("time").sleep(120) or v, "string")
+    src = spark.createDataFrame([(1, None, "a")], ROWS)
+
+    def job(spec):
+        df = src.withColumn("v", slow("v")) if spec.name == "STUCK" else src
+        return run_load(spark, spec, load_id=1, now=NOW, user="u", source_df=df)
+
+    specs = [_spec(_name("b")).with_(name=n, target=TableRef(name=_name("b"))) for n in ("ONE", "STUCK", "TWO")]
+    started = time.time()
+    got = {r["job"]: r for r in run_batch(spark, specs, job, max_workers=3, time_limit=20.0, pool="loads").collect()}
+    assert time.time() - started < 100
+    assert {n: r["status"] for n, r in got.items()} == {"ONE": "FINISHED", "STUCK": "TIMEOUT", "TWO": "FINISHED"}
+    assert "cancelled" in got["STUCK"]["error"]
+    assert spark.table(specs[2].target.name).count() == 1
+
+
+def test_constraints_follow_the_collation(spark):
+    df = spark.createDataFrame([("a", 1), ("A", 1), ("b", 2)], "k string, v long")
+    spec = JobSpec(name="C", source=TableRef(path="/none"), target=TableRef(name="t"), keys=("k",))
+    assert constraint_violations(df, spec).count() == 0
+    assert constraint_violations(df, spec.with_(collation="UNICODE_CI")).count() == 2  # both key lists

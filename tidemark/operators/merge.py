@@ -24,12 +24,11 @@ Plans (chosen by ``plan_merge`` from a checked size of the staged side):
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import dataclass
 from functools import reduce
 from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -37,7 +36,7 @@ from tidemark.constants import ACTION_COL, ACTIVE, INSERT, TARGET_ONLY, UNCHANGE
 from tidemark.functions.period import ntz
 from tidemark.functions.predicates import changed, keys_equal
 from tidemark.operators.shape import extra_column_exprs, target_name
-from tidemark.operators.surrogate import assign_ids, max_id
+from tidemark.operators.surrogate import assign_ids, assign_ids_by_place, max_id, with_places
 from tidemark.plans.strategy import plan_merge
 from tidemark.spec import ExtraColumn, SpecError, resolve_name
 
@@ -181,9 +180,9 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
         id_name = resolve_name(tschema, "ID")
         base = id_base if id_base is not None else max_id(target, id_name)
         if keep_inserts is not None:
-            inserts = keep_inserts(inserts)
-        inserts = assign_ids(inserts, base, tkeys, id_col="__new_id",
-                             expected_rows=staged_rows)
+            inserts = assign_ids_by_place(keep_inserts(with_places(inserts)), base, id_col="__new_id")
+        else:
+            inserts = assign_ids(inserts, base, tkeys, id_col="__new_id", expected_rows=staged_rows)
         new_id = F.col("source.__new_id")
     ins_out = inserts.alias("source").select(*_projection(
         tschema, scols, extras, F.lit(INSERT), src, no_src, stamp, new_id))
@@ -199,11 +198,6 @@ def _kept_action(upd: Column) -> Column:
              .when(upd, F.lit(UPDATE)).otherwise(F.lit(UNCHANGED)))
 
 
-def business_view(merged: DataFrame) -> DataFrame:
-    """The merged rows without the action column (what gets written)."""
-    return merged.drop(ACTION_COL)
-
-
 def change_counts(merged: DataFrame) -> DataFrame:
     """One row of counts by action (deletes are always 0)."""
     a = F.col(ACTION_COL)
@@ -219,20 +213,3 @@ def change_counts(merged: DataFrame) -> DataFrame:
 def action_counts(merged: DataFrame) -> DataFrame:
     """Rows per action, one row each."""
     return merged.groupBy(F.col(ACTION_COL).alias("action")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def observe_counts(merged: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
-    """E3 inside the write's own pass: no second job over the merged rows.
-
-    Observation names are unique per call: loads may run concurrently (H3).
-    """
-    obs = Observation(name or f"merge-counts-{uuid.uuid4().hex[:12]}")
-    a = F.col(ACTION_COL)
-    observed = merged.observe(
-        obs,
-        F.count_if(a == INSERT).alias("insert_cnt"),
-        F.count_if(a == UPDATE).alias("update_cnt"),
-        F.count_if(a == UNCHANGED).alias("unchanged_cnt"),
-        F.count_if(a == TARGET_ONLY).alias("target_only_cnt"),
-    )
-    return observed, obs

@@ -45,10 +45,6 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], collation: str | None = N
     return df.groupBy(*grp).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def has_duplicates(df: DataFrame, keys: Sequence[str], collation: str | None = None) -> bool:
-    return not duplicate_keys(df, keys, collation).isEmpty()
-
-
 def constraint_keys(spec: JobSpec) -> dict[str, list[str]]:
     """Target key lists, in target names: the primary key and the unique index.
 
@@ -73,11 +69,12 @@ def constraint_violations(df: DataFrame, spec: JobSpec) -> DataFrame:
     """E5 on a target: duplicates under the primary key and under the unique index.
 
     One row per duplicated key value: ``constraint``, the key columns (NULL
-    where a column is not part of that constraint) and ``n``.
+    where a column is not part of that constraint) and ``n``.  String keys
+    compare under the spec's collation, as the load compares them.
     """
     frames = []
     for name, cols in constraint_keys(spec).items():
-        d = duplicate_keys(df, cols)
+        d = duplicate_keys(df, cols, spec.collation)
         frames.append(d.select(F.lit(name).alias("constraint"), *d.columns))
     out = frames[0]
     for f in frames[1:]:

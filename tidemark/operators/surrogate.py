@@ -1,6 +1,12 @@
 """Growing surrogate ``ID`` for inserted rows (G1).
 
-Rows are spread over ``n`` hash buckets of their own content.  Each bucket's
+A load stages its insert set with the place at which each row was written
+(``with_places``: task and row in the task).  ``assign_ids_by_place`` counts the
+rows of each task, turns the counts into running offsets (one row a task), and
+adds them to the places: no row is shuffled or sorted, and rows that are equal
+throughout are numbered like any others, however many they are.
+
+``assign_ids`` numbers a frame that is not staged.  Rows are spread over ``n`` hash buckets of their own content.  Each bucket's
 size is counted (a partial aggregate: only ``n`` rows reach the next stage),
 the ``n`` counts are turned into running offsets (the only unpartitioned
 window, over ``n`` rows, broadcast back), and rows are numbered inside their
@@ -48,6 +54,27 @@ def assign_ids(df: DataFrame, base: int | Column, order_by: Sequence[str], *, id
                     .drop("__b", "__off", "__rn", "__h"))
 
 
+#: monotonically_increasing_id holds the task above these bits and the row below.
+TASK_SHIFT = 33
+
+
+def with_places(df: DataFrame, at_col: str = "__at") -> DataFrame:
+    """``df`` with the place of each row, to be written with it: a task that runs again writes the same places or others, but once."""
+    return df.withColumn(at_col, F.monotonically_increasing_id())
+
+
+def assign_ids_by_place(staged: DataFrame, base: int | Column, *, id_col: str = "ID", at_col: str = "__at") -> DataFrame:
+    """Replace ``at_col`` by ``id_col`` = base + 1 .. base + count, in the order of the places."""
+    task = F.shiftright(at_col, TASK_SHIFT)
+    sizes = staged.groupBy(task.alias("__task")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__task", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))  # a row a task
+    base_col = base if isinstance(base, Column) else F.lit(base)
+    row = F.col(at_col) - F.shiftleft(F.shiftright(at_col, TASK_SHIFT), TASK_SHIFT)
+    return (staged.withColumn("__task", task).join(F.broadcast(offsets), "__task")
+            .withColumn(id_col, (base_col + F.col("__off") + row + 1).cast("long")).drop("__task", "__off", at_col))
+
+
 def max_id(target: DataFrame, id_col: str = "ID") -> int:
     """Largest id in the target (0 when empty): one scalar aggregate."""
     v = target.agg(F.max(id_col).alias("m")).first()["m"]

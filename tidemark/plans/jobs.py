@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -345,20 +346,47 @@ BATCH_SCHEMA = T.StructType([
 
 
 def run_batch(spark: SparkSession, specs: Sequence[JobSpec], job: Callable[[JobSpec], LoadResult],
-              max_workers: int = 1) -> DataFrame:
+              max_workers: int = 1, *, time_limit: float | None = None, grace: float = 10.0, pool: str | None = None) -> DataFrame:
     """H3: run independent jobs; one failing spec does not stop the others.
 
     ``job`` runs one spec (e.g. a partial of ``run_load``).  With
     ``max_workers > 1`` jobs are submitted from a small thread pool and Spark
     runs them concurrently, but for jobs on one target, which run in turn.
+    Every spec's Spark jobs carry a tag of their own and, if given, run in the
+    scheduler pool ``pool``.  A spec that takes longer than ``time_limit``
+    seconds has its Spark jobs cancelled and is reported as TIMEOUT; it may still
+    write its history record, but after each ``grace`` seconds whatever it runs is
+    cancelled again.  What it had not published stays unpublished.
     """
+    sc = spark.sparkContext
+
     def one(spec: JobSpec):
+        tag, over, done = f"batch-{uuid.uuid4().hex[:12]}", threading.Event(), threading.Event()
+
+        def watch() -> None:
+            if not done.wait(time_limit):
+                over.set()
+                sc.cancelJobsWithTag(tag)
+                while not done.wait(grace):
+                    sc.cancelJobsWithTag(tag)
+
+        watcher = threading.Thread(target=watch, daemon=True)
+        sc.addJobTag(tag)
+        if pool:
+            sc.setLocalProperty("spark.scheduler.pool", pool)
+        if time_limit is not None:
+            watcher.start()
         try:
             r = job(spec)
-            status = "FINISHED" if r.error is None else "ERROR"
+            status = "FINISHED" if r.error is None else "TIMEOUT" if over.is_set() else "ERROR"
             return (spec.name, status, r.staged_cnt, r.insert_cnt, r.update_cnt, r.error)
         except Exception as e:
-            return (spec.name, "ERROR", None, None, None, _failure(e))
+            return (spec.name, "TIMEOUT" if over.is_set() else "ERROR", None, None, None, _failure(e))
+        finally:
+            done.set()
+            sc.removeJobTag(tag)
+            if pool:
+                sc.setLocalProperty("spark.scheduler.pool", None)
 
     by_target: dict[str, list[int]] = {}
     for i, spec in enumerate(specs):
@@ -367,8 +395,8 @@ def run_batch(spark: SparkSession, specs: Sequence[JobSpec], job: Callable[[JobS
     def in_turn(places: list[int]) -> list[tuple[int, tuple]]:
         return [(i, one(specs[i])) for i in places]
 
-    with ThreadPoolExecutor(max(1, max_workers)) as pool:
-        done = dict(r for part in pool.map(in_turn, by_target.values()) for r in part)
+    with ThreadPoolExecutor(max(1, max_workers)) as threads:
+        done = dict(r for part in threads.map(in_turn, by_target.values()) for r in part)
     rows = [done[i] for i in range(len(specs))]
     return spark.createDataFrame(rows, BATCH_SCHEMA)
 
