@@ -1,6 +1,8 @@
 """Quality, toxicity and language model."""
 
+import itertools
 import math
+import pickle
 import zlib
 from collections import Counter, defaultdict
 
@@ -73,9 +75,21 @@ def test_toxicity_tolerates_gaps(spark):
     judge = lambda t: machine.probability(np.array([machine.decision(t)]))[0]
     clean = " ".join(words[:30])
     assert judge(clean) < 0.5
-    for bad in ("blockhead", "b l o c k h e a d", "blo-ckhe.ad", "nincomxpoop", "dunderrpate"):
+    for bad in ("blockhead", "b l o c k h e a d", "blo-ckhe.ad", "nincomxpoop", "dunderrpate", "blxockxhead", "duxndexrpaxte", "blocckkhead"):
         assert judge(f"{clean} {bad} {clean}") >= 0.5, bad
 
+    def found(letters):
+        """The share of insults found with so many letters put in anywhere within them."""
+        got = []
+        for _ in range(60):
+            bad = list(str(rng.choice(insults)))
+            for _ in range(letters):
+                bad.insert(int(rng.integers(1, len(bad))), str(rng.choice(list("bcdfghjmpqvwxyz"))))
+            got.append(judge(f"{clean} {''.join(bad)} {clean}") >= 0.5)
+        return np.mean(got)
+
+    assert found(0) == 1 and found(1) > 0.9 and found(2) > 0.7
+
 
 def test_kernel_table_is_the_landmark_expansion():
     strings = [X.symbols(t) for t in ("stupid", "idiot fool", "plain")]
@@ -89,6 +103,71 @@ def test_kernel_table_is_the_landmark_expansion():
     assert X.along(probe, weights).sum() == pytest.approx(by_kernel, rel=1e-4)
 
 
+def plain_kernel(a, b):
+    """Common subsequences of ORDER symbols, each pair of occurrences weighted by DECAY to the lengths that they span."""
+    def occurrences(s):
+        out = defaultdict(float)
+        for at in itertools.combinations(range(len(s)), X.ORDER):
+            span = at[-1] - at[0] + 1
+            if span <= X.SPAN and X.BREAK not in [s[i] for i in at]:
+                out[tuple(int(s[i]) for i in at)] += X.DECAY**span
+        return out
+
+    x, y = occurrences(a), occurrences(b)
+    return sum(v * y[k] for k, v in x.items())
+
+
+def test_features_give_the_plain_subsequence_kernel():
+    texts = ["idiot", "ixdxixoxt", "an idiot", "you moron. fool", "aaaaaaa", "a. b c d", "", "abc"]
+    for a, b in itertools.product([X.symbols(t) for t in texts], repeat=2):
+        fa, fb = X.phi(a), X.phi(b)
+        assert sum(v * fb.get(c, 0.0) for c, v in fa.items()) == pytest.approx(plain_kernel(a, b), abs=1e-12)
+    assert plain_kernel(X.symbols("idiot"), X.symbols("ixdxixoxt")) > 0  # a letter between every two
+
+
+def test_decision_is_the_sum_over_landmarks():
+    """The highest window of f(x) = sum of beta times the plain kernel with the normalised landmarks."""
+    marks = [X.symbols(t) for t in ("idiot", "moron", "plain")]
+    codes, feats = X._matrix(marks)
+    beta = np.array([1.5, 0.7, -0.4])
+    machine = X.Machine(codes, (beta @ feats).astype(np.float32), 1.0, 0.0)
+    for text in ("such an idiot", "a mo-ron, plainly", "ixdxixoxt", "plain", "nothing here"):
+        s = X.symbols(text)
+        best = []
+        for at in range(len(s)):
+            # subsequences that start at the window's first symbols: those of the piece less those of the piece from there on
+            piece, rest = s[at:at + X.STARTS + X.SPAN - 1], s[at + X.STARTS:at + X.STARTS + X.SPAN - 1]
+            best.append(sum(b * (plain_kernel(piece, m) - plain_kernel(rest, m)) / math.sqrt(plain_kernel(m, m)) for b, m in zip(beta, marks)))
+        assert machine.decision(text) == pytest.approx(max(best), abs=1e-4)
+
+
+def test_linear_machine_is_at_its_minimum():
+    """The gradient of the plain objective is zero, and no nearby weights do better."""
+    rng = np.random.default_rng(4)
+    z = rng.normal(size=(300, 6))
+    y = (z[:, 0] + 0.5 * z[:, 1] + 0.3 * rng.normal(size=300) > 0.4).astype(int)
+    w, b = X._linear_svm(z, y)
+
+    def cost(v):
+        sign, bad = np.where(y > 0, 1.0, -1.0), (y > 0).sum()
+        weight = np.where(y > 0, 0.5 / bad, 0.5 / (len(y) - bad)) * len(y) * 10.0
+        return (v[:-1] @ v[:-1] + 1e-6 * v[-1]**2) / 2 + (weight * np.maximum(0, 1 - sign * (z @ v[:-1] + v[-1]))**2).sum() / 2
+
+    at = np.append(w, b)
+    for i in range(len(at)):
+        step = np.zeros(len(at))
+        step[i] = 1e-4
+        assert abs(cost(at + step) - cost(at - step)) / 2e-4 < 1e-3 * cost(at)
+    assert all(cost(at) <= cost(at + d) for d in rng.normal(size=(200, len(at))) * 0.05)
+
+
+def test_training_ships_no_table(spark, tables):
+    """What a fitted machine sends along is small: the table is spread in the worker."""
+    machine = X.Machine(np.arange(3000), np.ones(3000, dtype=np.float32), 1.0, 0.0)
+    machine.decision("some text")
+    assert len(pickle.dumps(machine)) < 100_000
+
+
 def test_models_on_odd_rows(spark, odd, empty):
     some = spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 1, 1), (7, 0, 1), (8, 1, 0), (8, 1, 0), (9, 0, 1)],
                                  "doc_id long, quality int, toxic int")

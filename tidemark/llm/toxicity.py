@@ -13,13 +13,16 @@ clean documents best, and others drawn at random.  An instance is a window of
 a sentence; a labelled sentence is judged by its highest window, which the
 training finds in rounds (multiple-instance learning).  The machine is linear
 in the Nyström features K_mm^(-1/2) k(x, landmarks), hence
-f(x) = sum_l beta_l K(x, l): one table over all ``ALPHABET ** ORDER``
-subsequences, 21 MB whatever the corpus, holds sum_l beta_l phi(l), and a text
-is scored by adding up table entries along it, vectorised.
+f(x) = sum_l beta_l K(x, l): a weight for each subsequence of a landmark, a few
+thousand in all, is sum_l beta_l phi(l).  They travel as sorted codes with
+weights; a worker spreads them once over a table of all ``ALPHABET ** ORDER``
+subsequences (21 MB, whatever the corpus), and scores a text by adding up table
+entries along it, vectorised.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +35,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import held_out, staged, table, text_of, training_sample
 
-ORDER, SPAN, DECAY, ALPHABET = 4, 5, 0.85, 48
+ORDER, SPAN, DECAY, ALPHABET = 4, 7, 0.6, 48  # a letter between every two of four makes a span of seven
 #: Subsequences of a window start at as many symbols in a row; most symbols in a landmark.
 STARTS, LANDMARK = 4, 6
 #: Most labelled rows (about) to fit on; landmarks chosen by class and at random.
@@ -148,12 +151,26 @@ def _matrix(strings: list[np.ndarray]) -> np.ndarray:
     return codes, out / np.where(norm > 0, norm, 1)
 
 
+@functools.lru_cache(maxsize=2)
+def _table(codes: bytes, weights: bytes) -> np.ndarray:
+    out = np.zeros(ALPHABET**ORDER, dtype=np.float32)
+    out[np.frombuffer(codes, dtype=np.int64)] = np.frombuffer(weights, dtype=np.float32)
+    return out
+
+
 @dataclass(frozen=True)
 class Machine:
-    table: np.ndarray
+    """Sorted subsequence codes with their weights, and the map from decisions to probabilities."""
+    codes: np.ndarray
+    weights: np.ndarray
     slope: float
     offset: float
 
+    @property
+    def table(self) -> np.ndarray:
+        """The weights of all subsequences, kept by the process for the machine in use."""
+        return _table(self.codes.astype(np.int64).tobytes(), self.weights.astype(np.float32).tobytes())
+
     def decision(self, text: str) -> float:
         s = symbols(text)
         f = windows(s, self.table)
@@ -163,28 +180,38 @@ class Machine:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * f + self.offset, -30, 30)))
 
 
-def _linear_svm(z: np.ndarray, y: np.ndarray, c: float = 10.0, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Squared-hinge linear machine with balanced classes, by Newton steps on the active rows."""
+def _linear_svm(z: np.ndarray, y: np.ndarray, c: float = 10.0, steps: int = 300, rows: int = 2048) -> tuple[np.ndarray, float]:
+    """Squared-hinge linear machine with balanced classes, by Newton steps on the active rows.
+
+    ``z`` is read ``rows`` at a time, so that a step needs no copy of it.
+    """
     sign = np.where(y > 0, 1.0, -1.0)
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())) * len(y) * c
-    a = np.hstack([z, np.ones((len(z), 1))])
-    w = np.zeros(a.shape[1])
-    ridge = np.eye(a.shape[1])
+    w = np.zeros(z.shape[1] + 1)
+    ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-6
     active = None
-    for _ in range(steps):
-        now = sign * (a @ w) < 1
+    for step in range(steps):
+        now = np.concatenate([sign[at:at + rows] * (z[at:at + rows] @ w[:-1] + w[-1]) < 1 for at in range(0, len(z), rows)])
         if active is not None and (now == active).all():
             break
         active = now
-        aw = a[active] * weight[active][:, None]
-        full = np.linalg.solve(ridge + aw.T @ a[active], aw.T @ sign[active])
-        w = 0.5 * w + 0.5 * full if (_ > 20) else full
+        left, right = ridge.copy(), np.zeros(len(w))
+        for at in range(0, len(z), rows):
+            on = active[at:at + rows]
+            a = np.hstack([z[at:at + rows][on], np.ones((int(on.sum()), 1))]).astype(float)
+            aw = a * weight[at:at + rows][on][:, None]
+            left += aw.T @ a
+            right += aw.T @ sign[at:at + rows][on]
+        full = np.linalg.solve(left, right)
+        w = 0.5 * w + 0.5 * full if step > 20 else full
     return w[:-1], float(w[-1])
 
 
-def _log_odds(p: float) -> float:
-    return float(np.log(p / (1 - p)))
+def _prior(bad: int, good: int) -> Machine:
+    """The machine that gives every text the share of toxic documents."""
+    p = (bad + 0.5) / (bad + good + 1.0)
+    return Machine(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.float32), 0.0, float(np.log(p / (1 - p))))
 
 
 def _platt(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -276,8 +303,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", ro
     sizes = {r["_label"]: r["n"] for r in sample.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
-        prior = (bad + 0.5) / (bad + good + 1.0)
-        return Machine(np.zeros(ALPHABET**ORDER, dtype=np.float32), 0.0, _log_odds(prior))
+        return _prior(bad, good)
     # Runs in enough toxic documents: at most (runs a document) / COMMON_SHARE of them.
     common = _run_counts(sample.where("_label = 1")).where(F.col("n") >= max(2, int(COMMON_SHARE * bad))).toPandas()
     codes_bad, n_bad = common["gram"].to_numpy(), common["n"].to_numpy(dtype=float)
@@ -291,71 +317,76 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", ro
     spread = np.random.default_rng(7).permutation(len(codes_bad))[:RANDOM]
     marks = list(dict.fromkeys([g for g, _ in best] + [int(codes_bad[i]) for i in np.sort(spread)]))
     if not best:
-        return Machine(np.zeros(ALPHABET**ORDER, dtype=np.float32), 0.0, _log_odds((bad + 0.5) / (bad + good + 1.0)))
+        return _prior(bad, good)
     strings = [_string(g) for g in marks]
     codes, feats = _matrix(strings)
     values, vectors = np.linalg.eigh(feats @ feats.T)
     root = vectors @ np.diag(np.where(values > 1e-8, 1 / np.sqrt(np.maximum(values, 1e-8)), 0)) @ vectors.T  # K_mm^(-1/2)
-    lookup = np.full(ALPHABET**ORDER, -1, dtype=np.int64)
-    lookup[codes] = np.arange(len(codes))
 
-    def to_table(beta: np.ndarray) -> np.ndarray:
-        out = np.zeros(ALPHABET**ORDER, dtype=np.float32)
-        out[codes] = beta @ feats
-        return out
+    def machine(beta: np.ndarray, slope: float = 1.0, offset: float = 0.0) -> Machine:
+        return Machine(codes, (beta @ feats).astype(np.float32), slope, offset)
+
+    def kernels(piece: np.ndarray) -> np.ndarray:
+        """The normalised kernel of each landmark with the subsequences that start at a piece's first symbols."""
+        met = phi(piece, STARTS)
+        at = np.searchsorted(codes, np.fromiter(met, dtype=np.int64, count=len(met)))
+        x = np.zeros(len(codes) + 1)
+        known = codes[np.minimum(at, len(codes) - 1)] == np.fromiter(met, dtype=np.int64, count=len(met))
+        x[at[known]] = np.fromiter(met.values(), dtype=float, count=len(met))[known]
+        return feats @ x[:-1]
 
     weight = dict(best)
-    machine_table = to_table(np.array([weight.get(g, 0.0) for g in marks]) / max(1.0, sum(weight.values())))
-    slope, offset = 1.0, 0.0
+    current = machine(np.array([weight.get(g, 0.0) for g in marks]) / max(1.0, sum(weight.values())))
     for turn in range(rounds):
-        current = machine_table
+        now = current
 
         def witness(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 out = []
                 for key, text, y in zip(b["_id"], b["_text"], b["_label"]):
                     s = symbols(text)
-                    f = windows(s, current)
+                    f = windows(s, now.table)
                     picks = {int(f.argmax())} if len(f) else set()
                     if len(f) and not y:  # a clean document's other windows are clean as well
                         half = len(f) // 2
                         picks |= {half, half + int(f[half:].argmax())}
                     for i in picks:
-                        pieces = [s[i:i + STARTS + SPAN - 1]]
-                        if y:  # the same insult with a letter put in
-                            pieces.append(with_letter(s, i)[i:i + STARTS + SPAN - 1])
+                        pieces = [s] + ([with_letter(s, i)] if y else [])  # the same insult with a letter put in
                         for piece in pieces:
-                            x = np.zeros(len(codes))
-                            for c, v in phi(piece, STARTS).items():
-                                if lookup[c] >= 0:
-                                    x[lookup[c]] = v
-                            out.append((key, int(y), i, float(f[i]), (feats @ x).astype(np.float32).tobytes()))
+                            k = kernels(piece[i:i + STARTS + SPAN - 1])
+                            out.append((key, int(y), i, float(f[i]), k.astype(np.float32).tobytes()))
                 yield pd.DataFrame(out, columns=["id", "y", "at", "f", "k"])
 
         got = sample.mapInPandas(witness, "id string, y int, at int, f double, k binary").toPandas()
         if turn:  # labels err: a toxic document whose best window lies among the clean ones has none to learn from
             clean = got["f"][got["y"] == 0]
             got = got[(got["y"] == 0) | (got["f"] > clean.quantile(0.9))]
-        got = got.sort_values(["id", "at"], kind="stable")
-        k = np.frombuffer(b"".join(got["k"]), dtype=np.float32).reshape(len(got), len(marks)).astype(float)
-        w, b = _linear_svm(k @ root, got["y"].to_numpy())
-        machine_table = to_table(root @ w)
-    final = machine_table
+        got = got.sort_values(["id", "at", "k"], kind="stable")
+        y = got["y"].to_numpy()
+        z = np.empty((len(got), len(marks)), dtype=np.float32)  # the sample's bound times 1.3 KB, the driver's largest array
+        for i, k in enumerate(got.pop("k")):
+            z[i] = np.frombuffer(k, dtype=np.float32) @ root
+        del got
+        w, _ = _linear_svm(z, y)
+        del z
+        current = machine(root @ w)
+
+    last = current
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for text, y in zip(b["_text"], b["_label"]):
                 s = symbols(text)
-                f = windows(s, final)
+                f = windows(s, last.table)
                 out.append((int(y), float(f.max()) if len(f) else 0.0))
                 if y and len(f):
-                    out.append((1, float(windows(with_letter(s, int(f.argmax())), final).max())))
+                    out.append((1, float(windows(with_letter(s, int(f.argmax())), last.table).max())))
             yield pd.DataFrame(out, columns=["y", "f"])
 
     got = sample.mapInPandas(judge, "y int, f double").toPandas().sort_values(["f", "y"], kind="stable")
     slope, offset = _platt(got["f"].to_numpy(), got["y"].to_numpy(dtype=float))
-    return Machine(final, slope, offset)
+    return Machine(current.codes, current.weights, slope, offset)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD,
