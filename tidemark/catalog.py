@@ -26,7 +26,7 @@ from tidemark.operators.compare import (FINDING_SCHEMA, TablePair, compare_table
 from tidemark.operators.filters import period_filter, window_filter
 from tidemark.operators.merge import Stamp, action_counts, change_counts, merge_upsert
 from tidemark.operators.quality import constraint_keys, constraint_violations, duplicate_keys, profile_table, row_count
-from tidemark.operators.reconcile import missing_in_source, missing_in_target, reconcile
+from tidemark.operators.reconcile import missing_in_source, missing_in_target, reconcile, reconcile_by_partition
 from tidemark.operators.shape import cast_partition_column, exclude_columns, rename_reserved
 from tidemark.plans.jobs import build_extract, readiness_report, run_batch, run_check, run_load
 from tidemark.session import fresh_path
@@ -466,6 +466,12 @@ def q_reconcile(spark, sf):
     return reconcile(fx.source_s(spark, sf), fx.target_t(spark, sf), ["o_orderkey"], "o_orderdate", W)
 
 
+@query("reconcile_by_partition", RECONCILE_W_SQL)
+def q_reconcile_by_partition(spark, sf):
+    """E4 from digests of the months, then from the keys of the months that differ."""
+    return reconcile_by_partition(fx.source_s(spark, sf), fx.target_t(spark, sf), ["o_orderkey"], "o_orderdate", W)
+
+
 @query("reconcile_all", f"""
 with {S_SQL}, {T_SQL},
 ms as (select count(*) as c from T t where not exists (select 1 from S s where s.o_orderkey = t.o_orderkey)),
