@@ -50,7 +50,7 @@ SLACK = 8.0  # less than 17 common values of K turn a pair down: below 1e-11 at
 
 
 #: Longs of a set's parity bitmap.
-BITMAP = 16
+BITMAP = 8
 
 
 def parity(values: np.ndarray) -> np.ndarray:
@@ -121,15 +121,24 @@ def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
 
 
+#: The bitmap as columns: a join condition over them stays small enough to be compiled.
+BITS = [f"b{i}" for i in range(BITMAP)]
+
+
+def _with_bits(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select(*columns, *[F.get("bits", F.lit(i)).alias(b) for i, b in enumerate(BITS)])
+
+
 def _few_differ(x: str, y: str, percent: int) -> Column:
     """False only for pairs whose bitmaps differ in more bits than sets alike enough can have values of their own."""
-    differ = sum((F.bit_count(F.get(f"{x}.bits", F.lit(i)).bitwiseXOR(F.get(f"{y}.bits", F.lit(i)))) for i in range(BITMAP)), F.lit(0))
+    differ = sum((F.bit_count(F.col(f"{x}.b{i}").bitwiseXOR(F.col(f"{y}.b{i}"))) for i in range(1, BITMAP)),
+                 F.bit_count(F.col(f"{x}.b0").bitwiseXOR(F.col(f"{y}.b0"))))
     return differ * (100 + percent) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - percent)
 
 
 def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose estimate from the sketch of the union is near the threshold, and whose bitmaps allow a link."""
-    side = classes.select("node", "n", "sketch", "bits")
+    side = _with_bits(classes, "node", "n", "sketch")
     x, y = side.alias("x"), side.alias("y")
     both = pairs.join(x, F.col("a") == F.col("x.node")).join(y, (F.col("b") == F.col("y.node")) & _few_differ("x", "y", percent))
     union = F.sort_array(F.array_union("x.sketch", "y.sketch"))
@@ -194,9 +203,9 @@ def _across(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     rows = placed.join(mixed, "value")
     # A node's mixed values in their order go along, so that a pair is made once, at the first value it has in common.
     order = F.sort_array(F.collect_list(F.struct("at", "value")))
-    whole = rows.groupBy("node", "c", "shared").agg(order.alias("order")).join(classes.select("node", "n", "bits"), "node")
-    rows = staged(whole.select("node", "c", "n", "bits", F.col("order.value").alias("all"), "shared", F.explode("order").alias("o"))
-                  .select("node", "c", "n", "bits", "all", F.col("o.value").alias("value"), (F.col("shared") - F.col("o.at")).alias("left")),
+    whole = rows.groupBy("node", "c", "shared").agg(order.alias("order")).join(_with_bits(classes, "node", "n"), "node")
+    rows = staged(whole.select("node", "c", "n", *BITS, F.col("order.value").alias("all"), "shared", F.explode("order").alias("o"))
+                  .select("node", "c", "n", *BITS, "all", F.col("o.value").alias("value"), (F.col("shared") - F.col("o.at")).alias("left")),
                   "mixed-prefixes")
     x, y = rows.alias("x"), rows.alias("y")
     need = F.greatest(_overlap(F.col("x.n"), percent), _overlap(F.col("y.n"), percent))
