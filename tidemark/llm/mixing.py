@@ -175,7 +175,8 @@ def op2_curriculum_mix(spark, sf_dir: str) -> DataFrame:
     out = mixed.select("doc_id", "size", "source_size", "target", "taken", F.size("copies").alias("times"),
                        at(1).alias("first_at"), at(2).alias("second_at"), at(3).alias("third_at"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartitionByRange(n, "first_at").sortWithinPartitions("first_at")
+    # The hash splits ties: documents that the mix passes over have no position.
+    return out.repartitionByRange(n, "first_at", F.xxhash64("doc_id")).sortWithinPartitions("first_at")
 
 
 def _position_sql(y: str) -> str:
