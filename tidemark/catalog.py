@@ -350,6 +350,12 @@ def q_merge_upsert_shuffled(spark, sf):
                         ["o_orderstatus", "o_totalprice"], stamp=STAMP, plan="full_outer")
 
 
+@query("merge_prefiltered", ORACLE_SQL["merge_upsert"])
+def q_merge_prefiltered(spark, sf):
+    return merge_upsert(fx.target_t(spark, sf), _staged(spark, sf), ["o_orderkey"],
+                        ["o_orderstatus", "o_totalprice"], stamp=STAMP, plan="full_outer", prefilter=True)
+
+
 @query("merge_unconditional", f"with {S_SQL}, {T_SQL}, {ST_SQL}, {_merge_sql('T', 'true')} {MERGED_T_SQL}")
 def q_merge_unconditional(spark, sf):
     return merge_upsert(fx.target_t(spark, sf), _staged(spark, sf), ["o_orderkey"], [], stamp=STAMP)
@@ -718,6 +724,17 @@ def q_partitioned_target_load(spark, sf):
     return spark.table(table).select(*BUSINESS, "mstr_load_id", "o_orderdate_month")
 
 
+@query("clustered_target_load", ORACLE_SQL["partition_scoped_load"])
+def q_clustered_target_load(spark, sf):
+    """As partitioned_target_load, with files in ranges of the key and shuffled joins."""
+    table = _unique_table("orders_cl")
+    publish_snapshot(spark, table, fx.target_t(spark, sf, housekeeping=True), "o_orderdate", "month", cluster=["o_orderkey"])
+    spec = fx.orders_spec(target=TableRef(name=table), partition_column="o_orderdate", cluster_keys=True)
+    run_load(spark, spec, fx.W_START, fx.W_END, load_id=fx.RUN_LOAD_ID, now=fx.RUN_TS, user=fx.RUN_USER,
+             source_df=fx.source_s(spark, sf), plan="split")
+    return spark.table(table).select(*BUSINESS, "mstr_load_id", "o_orderdate_month")
+
+
 @query("incremental_stream_load", f"""
 with {S_SQL}, {T_SQL}, {TH_SQL}, ST as (select * from S), {_merge_sql('TH', CHANGED_SQL)}
 select {_merged_business_sql()},

@@ -19,6 +19,12 @@ Plans (chosen by ``plan_merge`` from a checked size of the staged side):
 * ``split`` -- the delta is large and the target has an ``ID``: as broadcast,
   but with shuffled joins and inserts as ``staged LEFT ANTI target keys``;
   NULL keys bypass the joins the same way.
+
+Where the target is many times the delta, the shuffled plans first test its
+keys against a Bloom filter of the staged ones and their least and greatest
+value: target rows that cannot match are kept as they are, and only the others
+are exchanged.  The least and greatest value reach the scan, so a target
+clustered by key (``cluster_keys``) is not even read outside them for the join.
 """
 
 from __future__ import annotations
@@ -30,14 +36,15 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DecimalType, IntegralType, StringType, StructType
 
 from tidemark.constants import ACTION_COL, ACTIVE, INSERT, TARGET_ONLY, UNCHANGED, UPDATE
 from tidemark.functions.period import ntz
 from tidemark.functions.predicates import changed, keys_equal
+from tidemark.operators.bloom import bloom_filter, hashable, n_words, split_by_bloom
 from tidemark.operators.shape import extra_column_exprs, target_name
 from tidemark.operators.surrogate import assign_ids, assign_ids_by_place, max_id, with_places
-from tidemark.plans.strategy import plan_merge
+from tidemark.plans.strategy import plan_merge, prefilter_pays
 from tidemark.spec import ExtraColumn, SpecError, resolve_name
 
 
@@ -101,7 +108,8 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
                  check_columns: Sequence[str] = (), extra_columns: Sequence[ExtraColumn] = (), *,
                  stamp: Stamp | None = None, plan: str = "auto", staged_rows: int | None = None,
                  broadcast_max_bytes: int | None = None, id_base: int | None = None, collation: str | None = None,
-                 matched: DataFrame | None = None, keep_inserts: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                 matched: DataFrame | None = None, keep_inserts: Callable[[DataFrame], DataFrame] | None = None,
+                 prefilter: bool | None = None) -> DataFrame:
     """D1 (check columns given) / D2 (none: every match updates).
 
     Staged keys must be unique (``run_load`` checks them with E5 first): a
@@ -110,7 +118,10 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     string keys and check columns compare under it (e.g. ``UNICODE_CI``).
     ``matched``: the target's keys that staged rows match, if the caller has
     them already.  ``keep_inserts`` materialises the insert set, which the ids
-    read twice.
+    read twice.  ``prefilter``: whether a shuffled plan tests the target's keys
+    against a Bloom filter first (default: if its size is within the broadcast
+    limit and the target is large enough; keys whose equality is not that of
+    their bytes are never tested).
     """
     if not keys:
         raise SpecError("merge needs at least one key column")
@@ -157,6 +168,10 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
         keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in tkeys])
         t_keyed, t_null = target.where(keyed), target.where(~keyed)
         s_keyed, s_null = s.where(keyed), staged.where(~keyed)
+        if prefilter is not False and hashable(tschema, staged.schema, tkeys, collation):
+            rows = choice.staged_rows if choice.staged_rows is not None else staged.count()
+            if prefilter or prefilter_pays(spark, target, staged, rows, broadcast_max_bytes):
+                t_keyed, t_null = possible_matches(target, staged, tkeys, rows)
         t_only = t_null.alias("target").select(*_projection(  # no source row: the extra columns stay
             tschema, scols, {}, F.lit(TARGET_ONLY), no_src, tgt, stamp, None))
         if choice.name == "full_outer":
@@ -192,6 +207,22 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str],
     return out
 
 
+def possible_matches(target: DataFrame, staged: DataFrame, keys: Sequence[str], staged_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The target rows whose key may be among the staged ones, and the other rows (NULL keys among them).
+
+    Both parts scan the target; the first only between the least and the
+    greatest staged value of each number key, which row-group statistics can skip by.
+    """
+    words = n_words(staged_rows)
+    numbers = [k for k in keys if isinstance(staged.schema[k].dataType, (IntegralType, DecimalType))]
+    within = None
+    if numbers:
+        ends = staged.agg(*[f(k) for k in numbers for f in (F.min, F.max)]).first()
+        within = reduce(lambda a, b: a & b, [F.lit(True)] + [
+            F.col(k).between(lo, hi) for k, lo, hi in zip(numbers, ends[::2], ends[1::2]) if lo is not None])
+    return split_by_bloom(target, keys, bloom_filter(staged, keys, words), words, within)
+
+
 def _kept_action(upd: Column) -> Column:
     """Action of a target row after a left join with the staged rows."""
     return (F.when(F.col("source.__sp").isNull(), F.lit(TARGET_ONLY))

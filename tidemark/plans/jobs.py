@@ -23,13 +23,14 @@ from pyspark.sql import types as T
 from tidemark.constants import ACTION_COL, INSERT, MISSING_MESSAGE, NO_EARLIEST_OVERRIDE, UPDATE
 from tidemark.functions.period import Period, month_span, resolve_check_period, resolve_load_period
 from tidemark.functions.predicates import changed, keys_equal
+from tidemark.operators.bloom import hashable
 from tidemark.operators.filters import period_filter, residual_filter
-from tidemark.operators.merge import Stamp, merge_upsert
+from tidemark.operators.merge import Stamp, merge_upsert, possible_matches
 from tidemark.operators.quality import duplicate_keys
 from tidemark.operators.reconcile import reconcile, reconcile_by_partition
 from tidemark.operators.shape import cast_partition_column, exclude_columns, rename_reserved, target_name
 from tidemark.operators.surrogate import max_id
-from tidemark.plans.strategy import plan_merge
+from tidemark.plans.strategy import plan_merge, prefilter_pays
 from tidemark.sources.history import HistoryRecord, append_history, format_ts, last_max_id
 from tidemark.session import drop_path
 from tidemark.sources.readers import Staged, read_source, stage_extract
@@ -129,8 +130,13 @@ def scope_to_partitions(target: DataFrame, staged: DataFrame, spec: JobSpec, sou
     elif matched_too:
         tkeys = [resolve_name(target.schema, target_name(k)) for k in spec.keys]
         strings = {f.name for f in target.schema.fields if isinstance(f.dataType, T.StringType)}
-        hit = (target.select(*tkeys, pname).alias("target")
-               .join(staged.select(*tkeys).alias("source"), keys_equal(tkeys, collation=spec.collation, strings=strings),
+        keyed, probe = target.select(*tkeys, pname), staged.select(*[F.col(k).alias(k) for k in tkeys])
+        if hashable(keyed.schema, probe.schema, tkeys, spec.collation):
+            rows = probe.count()
+            if prefilter_pays(target.sparkSession, keyed, probe, rows):
+                keyed, _ = possible_matches(keyed, probe, tkeys, rows)
+        hit = (keyed.alias("target")
+               .join(probe.alias("source"), keys_equal(tkeys, collation=spec.collation, strings=strings),
                      "left_semi")
                .select(F.col(pname).alias("p")))
         parts = parts.unionByName(hit)
@@ -257,12 +263,13 @@ def run_load(spark: SparkSession, spec: JobSpec, start: dt.datetime | None = Non
                             F.count_if(F.col(ACTION_COL) == UPDATE).alias("update_cnt")])
             part = target_name(spec.partition_column) if spec.partition_column else None
             gran = spec.partition_granularity
+            cluster = tkeys if spec.cluster_keys else []
             if publishes and scope is not None:
-                snapshot = publish_partitions(spark, target_table, merged, part, gran, scope, counts, [ACTION_COL], version)
+                snapshot = publish_partitions(spark, target_table, merged, part, gran, scope, counts, [ACTION_COL], version, cluster)
             elif publishes:
-                snapshot = publish_snapshot(spark, target_table, merged, part, gran, counts, [ACTION_COL], version)
+                snapshot = publish_snapshot(spark, target_table, merged, part, gran, counts, [ACTION_COL], version, cluster)
             elif output_path:
-                snapshot = write_snapshot(merged, output_path, part, gran, observe=counts, drop=[ACTION_COL])
+                snapshot = write_snapshot(merged, output_path, part, gran, observe=counts, drop=[ACTION_COL], cluster=cluster)
             else:
                 merged.observe(counts[0], *counts[1]).drop(ACTION_COL).write.format("noop").mode("overwrite").save()
             m = obs.get

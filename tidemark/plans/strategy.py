@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.operators.bloom import bloom_bytes
+
 BROADCAST_MAX_BYTES_CONF = "tidemark.merge.broadcastMaxBytes"
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 VAR_WIDTH_GUESS = 48  # bytes assumed per string/binary value
@@ -63,3 +65,17 @@ def plan_merge(spark: SparkSession, staged: DataFrame, plan: str = "auto", *, st
     if est <= limit:
         return MergePlan("broadcast", f"staged ~{est} B <= {limit} B", rows, est)
     return MergePlan("split" if needs_ids else "full_outer", f"staged ~{est} B > {limit} B", rows, est)
+
+
+#: A Bloom filter of the staged keys pays where the target has this many times the staged side's bytes:
+#: the target is scanned a second time so that the rest of it is not shuffled.
+PREFILTER_RATIO = 8
+
+
+def prefilter_pays(spark: SparkSession, target: DataFrame, staged: DataFrame, staged_rows: int,
+                   broadcast_max_bytes: int | None = None) -> bool:
+    """Whether the filter is small enough to broadcast and the target large enough for it."""
+    if bloom_bytes(staged_rows) > broadcast_limit(spark, broadcast_max_bytes):
+        return False
+    size = int(str(target._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size >= PREFILTER_RATIO * max(1, staged_rows * row_width(staged.schema))

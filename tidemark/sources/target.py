@@ -152,15 +152,15 @@ Observe = tuple  # (Observation, [aggregate Column, ...]) measured in the write'
 
 def write_snapshot(df: DataFrame, path: str, partition_column: str | None = None,
                    granularity: str = "month", mode: str = "errorifexists",
-                   observe: Observe | None = None, drop: Sequence[str] = ()) -> str:
-    """A5: write ``df`` to ``path``, partitioned on a truncated datetime column."""
-    _write_partitioned(df, path, partition_column, granularity, mode, observe, drop)
+                   observe: Observe | None = None, drop: Sequence[str] = (), cluster: Sequence[str] = ()) -> str:
+    """A5: write ``df`` to ``path``, partitioned on a truncated datetime column, within it clustered by ``cluster``."""
+    _write_partitioned(df, path, partition_column, granularity, mode, observe, drop, cluster)
     return path
 
 
 def _write_partitioned(df: DataFrame, path: str, partition_column: str | None, granularity: str,
                        mode: str = "errorifexists", observe: Observe | None = None,
-                       drop: Sequence[str] = ()) -> list | None:
+                       drop: Sequence[str] = (), cluster: Sequence[str] = ()) -> list | None:
     """Write, and return the partition values written (observed in the same pass).
 
     ``rebalance`` lets AQE even out task sizes by partition value: a month
@@ -176,7 +176,12 @@ def _write_partitioned(df: DataFrame, path: str, partition_column: str | None, g
     if partition_column:
         c = resolve_name(df.schema, partition_column)
         pname = partition_column_name(c, granularity)
-        w = w.withColumn(pname, partition_value(F.col(c), granularity)).hint("rebalance", pname)
+        w = w.withColumn(pname, partition_value(F.col(c), granularity))
+    by = ([pname] if pname else []) + [resolve_name(df.schema, c) for c in cluster]
+    if cluster:
+        w = w.repartitionByRange(*by).sortWithinPartitions(*by)
+    elif pname:
+        w = w.hint("rebalance", pname)
     pobs = None
     if pname:
         pobs = Observation(f"partitions-{uuid.uuid4().hex[:12]}")
@@ -305,7 +310,7 @@ def _interim(table: str) -> str:
 
 def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_column: str | None = None,
                      granularity: str = "month", observe: Observe | None = None, drop: Sequence[str] = (),
-                     expected=ANY_VERSION) -> str:
+                     expected=ANY_VERSION, cluster: Sequence[str] = ()) -> str:
     """Write a new full snapshot of ``table`` and point the catalog at it.
 
     An existing table with the same columns is switched in one catalog call
@@ -318,7 +323,7 @@ def publish_snapshot(spark: SparkSession, table: str, df: DataFrame, partition_c
     exists = spark.catalog.tableExists(table)
     token = table_token(spark, table) if exists else uuid.uuid4().hex[:12]
     with _written(spark, table, token, "snapshot") as path:
-        values = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop)
+        values = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop, cluster=cluster)
         pname = partition_column_name(resolve_name(df.schema, partition_column), granularity) if partition_column else None
         if not exists:
             _create_at(spark, table, path, pname, token)
@@ -402,7 +407,7 @@ def _repoint_partitions(spark: SparkSession, table: str, path: str, pname: str,
 
 def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition_column: str,
                        granularity: str = "month", scope: list | None = None, observe: Observe | None = None,
-                       drop: Sequence[str] = (), expected=ANY_VERSION) -> str:
+                       drop: Sequence[str] = (), expected=ANY_VERSION, cluster: Sequence[str] = ()) -> str:
     """Write only the partitions in ``scope`` and re-point them in ``table``.
 
     ``df`` must hold every row of the scoped partitions (the merged rows of
@@ -412,7 +417,7 @@ def publish_partitions(spark: SparkSession, table: str, df: DataFrame, partition
     half-written one.  A scoped partition left without rows is dropped.
     """
     with _written(spark, table, table_token(spark, table), "partitions") as path:
-        written = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop)
+        written = _write_partitioned(df, path, partition_column, granularity, observe=observe, drop=drop, cluster=cluster)
         pname = partition_column_name(resolve_name(df.schema, partition_column), granularity)
         with claimed(spark, table, expected):
             _repoint_partitions(spark, table, path, pname, written, scope=scope)

@@ -82,6 +82,9 @@ class JobSpec:
     # String keys and check columns compare under this collation (e.g.
     # "UNICODE_CI" for case-insensitive matching); None compares bytes.
     collation: str | None = None
+    # Write the target's files in ranges of the key (within partitions), so
+    # that their statistics show a later load which of them can match.
+    cluster_keys: bool = False
 
     def with_(self, **changes: Any) -> "JobSpec":
         return replace(self, **changes)
