@@ -2,7 +2,7 @@
 
 import hashlib
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -282,6 +282,27 @@ def test_buckets_of_the_id_order(spark, monkeypatch):
         assert got[i] == hashlib.sha256((t[: len(t) - half] + rows[(n + 1) % len(rows)][1][:half]).encode()).hexdigest()
 
 
+@pytest.mark.parametrize("bounds", [5, 1000])
+def test_repeated_ids_and_more_buckets_than_bounds(spark, monkeypatch, bounds):
+    """A third of all rows under one id: split by text, still in order; stretches between bounds are divided."""
+    monkeypatch.setattr(fingerprints, "ROWS_PER_BUCKET", 10)
+    monkeypatch.setattr(fingerprints, "MOST_BOUNDS", bounds)
+    ids = [int(i) for i in np.random.default_rng(4).integers(-10**6, 10**6, 400)] + [77] * 200
+    df = spark.createDataFrame([(i, f"text {n} of words") for n, i in enumerate(ids)], "doc_id long, text string")
+    rows, _ = fingerprints.in_order(df, "doc_id", "text")
+    rows = rows.where("copy = 0").select("id", "h", "bucket", "text").collect()
+    sizes = Counter(r["bucket"] for r in rows)
+    assert sum(sizes.values()) == 600 and max(sizes.values()) <= (150 if bounds == 5 else 40)
+    order = sorted(rows, key=lambda r: (-r["id"], -r["h"]))
+    assert [r["bucket"] for r in order] == sorted(r["bucket"] for r in rows)
+    want = Counter()
+    for n, r in enumerate(order):
+        half = len(r["text"]) // 2
+        text = r["text"][: len(r["text"]) - half] + order[(n + 1) % len(order)]["text"][:half]
+        want[r["id"], hashlib.sha256(text.encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in fingerprints.fingerprint_edits(df).collect()) == want
+
+
 def test_shards_and_slots(spark, docs):
     rows = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     got = shards.op9_hash_tree_shards(spark, SF).collect()

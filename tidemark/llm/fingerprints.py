@@ -27,8 +27,10 @@ RAREST, COMMONEST = 1 / 2000, 1 / 5
 PRIMES = (7, 29, 61, 113, 127, 239, 251, 257, 263, 499, 503, 509, 521, 1009, 1013, 1019, 1021)
 #: Terms of a lexicon that is broadcast; a larger one is joined by a shuffle.
 BROADCAST_TERMS = 2_000_000
-#: Documents in a bucket of the order by id, as long as MOST_BUCKETS allows.
-ROWS_PER_BUCKET, MOST_BUCKETS, CHUNK = 500, 16_384, 128
+#: Documents in a bucket of the order by id, as long as MOST_BUCKETS allows (up to 131 million documents; beyond, the
+#: buckets grow, slowly enough for the sort that orders one, which spills).  MOST_BOUNDS ids part the buckets, in
+#: chunks for a quick search; stretches between them are divided evenly.
+ROWS_PER_BUCKET, MOST_BUCKETS, MOST_BOUNDS, CHUNK = 500, 262_144, 16_384, 128
 
 
 def term_hashes(text: Column) -> Column:
@@ -66,16 +68,34 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(pairs) == 0, F.lit(1.0)).otherwise(same / F.greatest(F.size(pairs), F.lit(1)))
 
 
-def _bucket(key: Column, bounds: Sequence[int], beyond: Column) -> Column:
-    """How many of the falling ``bounds`` are above the key, by chunks; null keys go ``beyond``."""
+def _bucket(key: Column, h: Column, bounds: Sequence[int], ends: tuple[int, int], split: int, beyond: Column) -> Column:
+    """The bucket of a row in falling order of (key, h); null keys go ``beyond``.
+
+    Each stretch between two of the falling ``bounds`` makes ``split`` buckets
+    of equal width.  A key that stands several times among the bounds is that
+    much more frequent, and its rows are split by hash.
+    """
     chunks = [list(bounds[i:i + CHUNK]) for i in range(0, len(bounds), CHUNK)]
     if not chunks:
         return F.when(key.isNotNull(), F.lit(0)).otherwise(beyond)
     lasts = F.array(*[F.lit(c[-1]) for c in chunks])
-    above = lambda xs: F.size(F.filter(xs, lambda b: b > key))
-    full = above(lasts)
-    inner = F.coalesce(F.get(F.array(*[F.array(*[F.lit(b) for b in c]) for c in chunks]), full), F.array().cast("array<bigint>"))
-    return F.when(key.isNotNull(), full * CHUNK + above(inner)).otherwise(beyond)
+    all_chunks = F.array(*[F.array(*[F.lit(b) for b in c]) for c in chunks])
+
+    def count(test) -> Column:
+        full = F.size(F.filter(lasts, test))
+        return full * CHUNK + F.size(F.filter(F.coalesce(F.get(all_chunks, full), F.array().cast("array<bigint>")), test))
+
+    above = count(lambda b: b > key)
+    equal = count(lambda b: b >= key) - above
+    inner = F.lit(0)
+    if split > 1:
+        edges = F.array(*[F.lit(e).cast("double") for e in (ends[1], *bounds, ends[0])])
+        upper, lower = F.get(edges, above), F.get(edges, above + 1)
+        part = (upper - key.cast("double")) / F.greatest(upper - lower, F.lit(1.0))
+        inner = F.greatest(F.lit(0), F.least(F.lit(split - 1), F.floor(part * split)))
+    by_hash = split + F.floor((0.5 - h / 2.0 ** 64) * (2 * equal - 1) * split)
+    place = F.when(equal == 0, inner).when(equal == 1, F.lit(split - 1)).otherwise(by_hash)
+    return F.when(key.isNotNull(), above.cast("long") * 2 * split + place).otherwise(beyond)
 
 
 def in_order(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Window]:
@@ -84,17 +104,22 @@ def in_order(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Wi
     Each bucket ends with a copy of the first row of the next one (the last
     bucket's is the first row of all), marked ``copy``: so each row finds its
     successor within its bucket, and buckets are the only exchange of texts.
+    Rows of one id are split by text; only rows equal in both stay together.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     n = docs.count()
     want = min(MOST_BUCKETS, max(1, n // ROWS_PER_BUCKET))
+    cuts = min(want, MOST_BOUNDS)
     bounds: list[int] = []
-    if want > 1:
-        cuts = [i / want for i in range(1, want)]
-        got = rows.agg(F.percentile_approx("id", cuts, max(10_000, 4 * want)).alias("b")).first()["b"]
-        bounds = sorted(set(got or []), reverse=True)
-    beyond = len(bounds) + 1 + F.pmod("h", F.lit(want))
-    rows = rows.withColumn("bucket", _bucket(F.col("id"), bounds, beyond).cast("long"))
+    ends = (0, 0)
+    if cuts > 1:
+        found = rows.agg(F.percentile_approx("id", [i / cuts for i in range(1, cuts)], max(10_000, 4 * cuts)).alias("b"),
+                         F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+        if found["b"]:
+            bounds, ends = sorted(found["b"], reverse=True), (found["lo"], found["hi"])
+    split = -(-want // cuts)
+    beyond = (2 * len(bounds) + 2) * split + F.pmod("h", F.lit(want))
+    rows = rows.withColumn("bucket", _bucket(F.col("id"), F.col("h"), bounds, ends, split, beyond).cast("long"))
     firsts = rows.groupBy("bucket").agg(F.max(F.struct("id", "h")).alias("first"))  # one row a bucket
     ring = Window.orderBy("bucket")
     last = F.max("bucket").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -137,17 +162,24 @@ def fingerprint_edits(docs: DataFrame, *, rarest: float = RAREST, commonest: flo
     def all_terms(terms: Column) -> Column:
         return F.when(F.size(terms) > 0, F.lower(F.lpad(F.hex(F.shiftrightunsigned(F.xxhash64(F.sort_array(terms)), 32)), 8, "0"))).otherwise("")
 
-    both = F.concat(F.transform("own", lambda t: F.struct(F.lit(0).alias("which"), t.alias("term"))),
-                    F.transform("new", lambda t: F.struct(F.lit(1).alias("which"), t.alias("term"))))
-    # Whole-text values come before the explode: beside it they would be worked out again for every term.
-    rows = rows.select("bucket", "nth", "copy", "id", "n_chars", "sha", all_terms(F.col("own")).alias("own"),
-                       all_terms(F.col("new")).alias("new"), both.alias("both"))
-    terms = (rows.select("bucket", "nth", "copy", "id", "n_chars", "sha", "own", "new", F.explode_outer("both").alias("t"))
-             .select("bucket", "nth", "copy", "id", "n_chars", "sha", "own", "new", "t.which", F.col("t.term").alias("term")))
-    flagged = terms.join(known.withColumn("in_band", F.lit(True)).hint(hint), "term", "left")
-    pick = lambda i: F.sort_array(F.collect_list(F.when(F.col("in_band") & (F.col("which") == i), F.col("term"))))
-    kept = flagged.groupBy("bucket", "nth", "copy", "id", "n_chars", "sha", "own", "new").agg(
-        pick(0).alias("own_terms"), pick(1).alias("new_terms"))
+    # The columns of the whole text travel on one row a document, apart from those of its terms, which stay narrow.
+    whole = F.struct("copy", "id", "n_chars", "sha", all_terms(F.col("own")).alias("own"), all_terms(F.col("new")).alias("new"))
+    rows = rows.select("bucket", "nth", "own", "new", whole.alias("whole"))
+    nothing = F.lit(None).cast(rows.schema["whole"].dataType)
+
+    def listed(terms: str, which: int) -> Column:
+        return F.transform(terms, lambda t: F.struct(F.lit(which).alias("which"), t.alias("term"), nothing.alias("whole")))
+
+    document = F.struct(F.lit(-1).alias("which"), F.xxhash64("bucket", "nth").alias("term"), F.col("whole"))
+    terms = (rows.select("bucket", "nth", F.concat(F.array(document), listed("own", 0), listed("new", 1)).alias("listed"))
+             .select("bucket", "nth", F.explode("listed").alias("t"))
+             .select("bucket", "nth", "t.which", "t.term", "t.whole"))
+    flagged = (terms.join(known.withColumn("in_band", F.lit(True)).hint(hint), "term", "left")
+               .where(F.col("in_band") | (F.col("which") == -1)))
+    pick = lambda i: F.sort_array(F.collect_list(F.when(F.col("which") == i, F.col("term"))))
+    kept = (flagged.groupBy("bucket", "nth")
+            .agg(F.first("whole", ignorenulls=True).alias("whole"), pick(0).alias("own_terms"), pick(1).alias("new_terms"))
+            .select("bucket", "nth", "whole.*", "own_terms", "new_terms"))
     made = kept.select("bucket", "nth", "copy", "id", "n_chars", "sha", values(F.col("own_terms"), F.col("own")).alias("f"),
                        values(F.col("new_terms"), F.col("new")).alias("e"))
     following = F.lead("f").over(Window.partitionBy("bucket").orderBy("nth"))
