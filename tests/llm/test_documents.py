@@ -115,6 +115,36 @@ def test_near_duplicates_in_a_family_of_every_similarity(spark):
     assert got == want
 
 
+def test_few_pairs_are_left_of_a_family(spark, monkeypatch):
+    """The more a copy is edited, the later it stands; hubs are the originals, so few pairs are left for the last round."""
+    rng = np.random.default_rng(13)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for copy in range(300):
+        words = list(base)
+        for at in rng.choice(90, copy * 12 // 300, replace=False):
+            words[at] = f"x{int(rng.integers(0, 40))}"
+        rows.append((copy, " ".join(words)))
+    made, across = [], near_duplicates._across
+    monkeypatch.setattr(near_duplicates, "_across", lambda *a: made.append(staged(across(*a), "made")) or made[0])
+    want, _ = plain_components(rows, 2)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()}
+    assert got == want
+    assert made[0].count() < 1500
+
+
+def test_wide_bitmaps_turn_down_pairs_just_below_the_threshold(spark):
+    rng = np.random.default_rng(3)
+    common = rng.integers(-2**62, 2**62, 850)
+    a, near, far = (np.sort(np.concatenate([common, rng.integers(-2**62, 2**62, n)])) for n in (100, 100, 175))
+    sets = spark.createDataFrame([(i, x.tolist(), near_duplicates.parity(x, near_duplicates.WIDE).tolist()) for i, x in enumerate((a, near, far))],
+                                 "node long, set array<long>, wide array<long>")
+    pairs = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long")
+    assert [len(np.intersect1d(a, x)) * 100 >= len(np.union1d(a, x)) * 80 for x in (near, far)] == [True, False]
+    assert [tuple(r) for r in near_duplicates._close(pairs, sets, 80).collect()] == [(0, 1)]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.sets(st.integers(-2**63, 2**63 - 1), max_size=60), st.sets(st.integers(-2**63, 2**63 - 1), max_size=60),
        st.sets(st.integers(-2**63, 2**63 - 1), max_size=60))

@@ -12,10 +12,15 @@
 3. Candidates of the first round pass if the similarity estimated from the
    sketch of their union is near the threshold; all are confirmed on their full
    sets.
-4. In a first round each list gives only pairs with its hub, the class most of
-   whose values are shared; the links found merge most groups of near copies.
+4. In a first round each list gives only pairs with its hub, the class whose
+   values are the commonest, as those of a group's original are; the links found
+   merge most groups of near copies.
    The second round takes the lists of three or more that still hold several
-   components (a list of two is its hub and the other), and pairs their classes
+   components (a list of two is its hub and the other).  Each draws a hub of its
+   own from its largest component and pairs it with the classes of the others,
+   so that a class left over meets as many members of a large group as it has
+   lists, at a cost in proportion to the lists.
+   The last round pairs the classes of lists that are still mixed
    across components, each pair once: at the first value of
    its lists that the two have in common.  A pair is made only if the values
    left in both orders suffice for the overlap, and if the classes' parity
@@ -23,8 +28,9 @@
    only one of them has, so too many such bits rule out a link for certain.
 
 Sets are read a second time only for the classes of pairs that are left, to
-confirm them.  Intermediate tables are removed as soon as their successors are
-written.
+confirm them: wider bitmaps of theirs go to every pair, whole sets to the pairs
+that these leave.  Intermediate tables are removed as soon as their successors
+are written.
 """
 
 from __future__ import annotations
@@ -49,13 +55,13 @@ OVERLAP = 24
 SLACK = 8.0  # less than 17 common values of K turn a pair down: below 1e-11 at a similarity of 0.8 (binomial)
 
 
-#: Longs of a set's parity bitmap.
-BITMAP = 8
+#: Longs of a set's parity bitmap, and of the wider one of sets that are read again.
+BITMAP, WIDE = 8, 64
 
 
-def parity(values: np.ndarray) -> np.ndarray:
+def parity(values: np.ndarray, longs: int = BITMAP) -> np.ndarray:
     """The bitmap of a set: each bit says whether an odd number of values fall on it."""
-    odd = np.bincount((values & (64 * BITMAP - 1)).astype(np.int64), minlength=64 * BITMAP) & 1
+    odd = np.bincount((values & (64 * longs - 1)).astype(np.int64), minlength=64 * longs) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
@@ -104,17 +110,18 @@ def _sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFr
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, set) of the wanted classes, from the text of their first documents."""
+    """(node, set, wide) of the wanted classes, from the text of their first documents; wide is the set's wider bitmap."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in _pieces(batches):
             sets = [shingles(t, width) for t in b["text"]]
             same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == d for s, d in zip(sets, b["digest"])]
-            yield pd.DataFrame({"node": b["node"][same], "set": [s for s, ok in zip(sets, same) if ok]})
+            sets = [s for s, ok in zip(sets, same) if ok]
+            yield pd.DataFrame({"node": b["node"][same], "set": sets, "wide": [parity(s, WIDE) for s in sets]})
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     same = texts["id"].eqNullSafe(wanted["first_id"]) & (F.xxhash64(texts["text"]) == wanted["first_hash"])
     rows = join_counted(texts, wanted, same).select("node", "digest", "text")
-    return rows.mapInPandas(run, "node long, set array<long>")
+    return rows.mapInPandas(run, "node long, set array<long>, wide array<long>")
 
 
 def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -150,6 +157,15 @@ def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.where(share >= least).select("a", "b")
 
 
+def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose wider bitmaps allow a link."""
+    side = lambda x: sets.select(F.col("node").alias(x), F.size("set").alias(f"n_{x}"), F.col("wide").alias(f"wide_{x}"))
+    bits = F.zip_with("wide_a", "wide_b", lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("int"))
+    differ = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+    return (pairs.join(side("b"), "b").join(side("a"), "a")
+            .where(differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b"))
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are alike enough, written out; only these classes' texts are read again."""
     pairs = staged(pairs, "candidates")
@@ -158,12 +174,18 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int
     sets = staged(_full_sets(docs, wanted, width, id_col, text_col), "sets")
     if sets.count() > wanted.count():  # rows repeated whole
         sets = staged(sets.dropDuplicates(["node"]), "sets")
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
+    close = staged(_close(pairs, sets, percent), "close-pairs")
+    ends = {x: staged(close.select(F.col(x).alias("node")).distinct(), f"ends-{x}") for x in "ab"}
+
+    def side(x: str) -> DataFrame:
+        found = join_counted(sets, ends[x], sets["node"] == ends[x]["node"], "left_semi")
+        return found.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
+
     shared = F.size(F.array_intersect("set_a", "set_b"))
     total = F.size("set_a") + F.size("set_b")
-    links = staged(pairs.join(side("b"), "b").join(side("a"), "a")
+    links = staged(close.join(side("b"), "b").join(side("a"), "a")
                    .where(shared * 100 >= (total - shared) * percent).select("a", "b"), "confirmed")
-    release(pairs, wanted, sets)
+    release(pairs, wanted, sets, close, *ends.values())
     return links
 
 
@@ -174,19 +196,21 @@ def _overlap(n: Column, percent: int) -> Column:
 
 
 def _lists(classes: DataFrame, percent: int) -> DataFrame:
-    """(value, node, n, at, shared): the classes in each inverted list of the values in their prefixes.
+    """(value, node, n, at, shared, weight): the classes in each inverted list of the values in their prefixes.
 
     A class orders its retained values from the rarest to the commonest; ``at``
-    is the place in that order among its ``shared`` values that others retain too.
+    is the place in that order among its ``shared`` values that others retain too;
+    ``weight`` adds up how common these are.
     """
     posts = classes.select("node", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     often = staged(posts.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "value-counts")
     kept = (posts.join(often, "value").groupBy("node", "n", "size")
-            .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values")))  # at most K values a node
+            .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"),  # at most K values a node
+                 F.sum((F.log2("df") * 16).cast("long")).alias("weight")))
     alone = F.col("size") - F.size("values")
     take = (F.col("size") - _overlap(F.col("n"), percent) + 1 - alone).cast("int")
     rows = kept.withColumn("take", take).where("take > 0").select(
-        "node", "n", F.size("values").alias("shared"), F.posexplode(F.slice("values.value", F.lit(1), F.col("take"))).alias("at", "value"))
+        "node", "n", F.size("values").alias("shared"), "weight", F.posexplode(F.slice("values.value", F.lit(1), F.col("take"))).alias("at", "value"))
     out = staged(rows, "lists")
     release(often)
     return out
@@ -197,6 +221,17 @@ def _mixed(placed: DataFrame, label: str) -> DataFrame:
     return staged(placed.groupBy("value").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("value"), label)
 
 
+def _drawn(placed: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of the lists of ``placed`` with a hub each, drawn from its largest component (``members``), across components."""
+    hubs = staged(placed.groupBy("value").agg(F.max(F.struct("members", F.xxhash64("value", "c").alias("of_c"), "c",
+                                                             F.xxhash64("value", "node").alias("of_node"), "node", "n")).alias("hub"))
+                  .select("value", F.col("hub.c").alias("ca"), F.col("hub.node").alias("a"), F.col("hub.n").alias("na")), "drawn-hubs")
+    pairs = staged(placed.join(hubs, "value").where((F.col("c") != F.col("ca")) & _similar_sizes(F.col("n"), F.col("na"), percent))
+                   .select("a", F.col("node").alias("b")).distinct(), "drawn-pairs")
+    release(hubs)
+    return pairs
+
+
 def _across(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) across the components c of ``placed`` (value, node, c, at, shared) that the bounds allow."""
     mixed = _mixed(placed, "mixed-lists")
@@ -219,19 +254,31 @@ def _links(docs: DataFrame, classes: DataFrame, width: int, percent: int, id_col
     """Confirmed links between classes that connect every component."""
     confirmed = lambda pairs: _confirmed(pairs, docs, classes, width, percent, id_col, text_col)
     posts = _lists(classes, percent)
-    hubs = staged(posts.groupBy("value").agg(F.max(F.struct("shared", "node", "n")).alias("hub"), F.count(F.lit(1)).alias("m"))
+    hubs = staged(posts.groupBy("value").agg(F.max(F.struct("weight", "node", "n")).alias("hub"), F.count(F.lit(1)).alias("m"))
                   .where("m > 1").select("value", "m", F.col("hub.node").alias("a"), F.col("hub.n").alias("na")), "hubs")
     stars = staged(posts.join(hubs, "value").where((F.col("node") != F.col("a")) & _similar_sizes(F.col("n"), F.col("na"), percent))
                    .select("a", F.col("node").alias("b")).distinct(), "stars")
-    first = confirmed(_promising(stars, classes, percent))
+    links = confirmed(_promising(stars, classes, percent))
     release(stars)
-    merged = staged(components(first), "first-components")
-    placed = staged(posts.join(hubs.where("m > 2").select("value"), "value").join(merged, "node", "left")
+    merged = staged(components(links), "first-components")
+    members = staged(merged.groupBy("component").agg(F.count(F.lit(1)).alias("members")), "members")
+    placed = staged(posts.join(hubs.where("m > 2").select("value"), "value").join(merged.join(members, "component"), "node", "left")
+                    .select("value", "node", "n", "at", "shared", F.coalesce("component", "node").alias("c"),
+                            F.coalesce("members", F.lit(1)).alias("members")), "placed")
+    release(posts, hubs, merged, members)
+    mixed = _mixed(placed, "mixed-lists")
+    rows = staged(placed.join(mixed, "value"), "mixed-placed")
+    release(placed, mixed)
+    drawn = _drawn(rows, percent)
+    links = links.unionByName(confirmed(_promising(drawn, classes, percent)))
+    release(drawn)
+    merged = staged(components(links), "second-components")
+    placed = staged(rows.drop("c", "members", "n").join(merged, "node", "left")
                     .select("value", "node", "at", "shared", F.coalesce("component", "node").alias("c")), "placed")
-    release(posts, hubs)
-    second = confirmed(_across(placed, classes, percent))
+    release(rows, merged)
+    last = confirmed(_across(placed, classes, percent))
     release(placed)
-    return first.unionByName(second)
+    return links.unionByName(last)
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_col: str = "doc_id",
