@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tidemark.llm import language_model as L
@@ -233,6 +234,29 @@ def test_language_model_against_a_plain_one(spark, monkeypatch, docs):
         assert got == pytest.approx(plain_scores(texts + [b"", "unseen 漢字".encode()], held + [True, True], L.ORDER, share), rel=1e-5)
 
 
+def test_language_model_hands_on_few_rows_at_once(spark, monkeypatch, docs):
+    monkeypatch.setattr(L, "SEND_ROWS", 500, raising=False)
+    monkeypatch.setattr(L, "FLUSH_GRAMS", 3000)
+    runs, real = [], type(docs).mapInPandas
+    monkeypatch.setattr(type(docs), "mapInPandas", lambda self, run, schema, **k: runs.append(run) or real(self, run, schema, **k))
+    L.training_counts(docs.limit(1), "text", L.held_out("doc_id", 10))
+    texts = [r["text"] or "" for r in docs.limit(60).collect()]
+    batches = [pd.DataFrame({"text": texts[i:i + 20], "trains": [j % 3 > 0 for j in range(20)]}) for i in (0, 20, 40)]
+    frames = [f for f in runs[0](iter(batches)) if f["word"].isna().all()]
+    assert len(frames) > 2 and max(map(len, frames)) <= 500
+    n, met = Counter(), Counter()
+    for f in frames:
+        for code, a, b in zip(f["code"], f["n"], f["met"]):
+            n[code] += a
+            met[code] += b
+    plain = [Counter(), Counter()]
+    for i, t in enumerate(texts):
+        for code in L.positions([t.encode("utf-8", "replace").lower()]).tolist():
+            plain[1][code] += 1
+            plain[0][code] += i % 20 % 3 > 0
+    assert [+n, met] == [+plain[0], plain[1]]
+
+
 def test_language_model_keeps_every_context(spark, monkeypatch, docs):
     """A context of few occurrences predicts too, however large the corpus; grams sent along or joined give the same."""
     rows = docs.orderBy("doc_id").limit(80).select("doc_id", "text").collect()

@@ -43,7 +43,9 @@ GRAM, DOCUMENT = " ", "\t"
 MARK = 0xFF
 FOLDS = 10
 #: Distinct words, and gram counts, that a task gathers before it hands them on, and bytes that are looked up at once.
-FLUSH_WORDS, FLUSH_GRAMS, CHUNK_BYTES = 200_000, 2_000_000, 1 << 20
+FLUSH_WORDS, FLUSH_GRAMS, CHUNK_BYTES = 200_000, 1_000_000, 1 << 20
+#: Rows handed on at once: a larger frame is held by the task as columns, as Arrow's buffers and as a batch in the JVM.
+SEND_ROWS = 100_000
 SMOOTH = 0.1
 
 
@@ -98,11 +100,17 @@ def training_counts(docs: DataFrame, text_col: str, trains: Column) -> DataFrame
         words: Counter = Counter()
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def gram_rows() -> pd.DataFrame:
-            codes, at = np.unique(np.concatenate([c for c, _, _ in held]), return_inverse=True)
-            n, met = (np.bincount(at, weights=np.concatenate([h[k] for h in held]), minlength=len(codes)).astype(np.int64) for k in (1, 2))
+        def gram_rows() -> Iterator[pd.DataFrame]:
+            codes = np.concatenate([c for c, _, _ in held])
+            order = np.argsort(codes, kind="stable")
+            codes = codes[order]
+            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            n, met = (np.add.reduceat(np.concatenate([h[k] for h in held])[order], first, dtype=np.int64) for k in (1, 2))
             held.clear()
-            return pd.DataFrame({"word": pd.Series([None] * len(codes), dtype=object), "code": codes, "n": n, "met": met})
+            codes = codes[first]
+            for at in range(0, len(codes), SEND_ROWS):
+                part = slice(at, at + SEND_ROWS)
+                yield pd.DataFrame({"word": pd.Series([None] * len(codes[part]), dtype=object), "code": codes[part], "n": n[part], "met": met[part]})
 
         def word_rows() -> pd.DataFrame:
             out = pd.DataFrame({"word": as_objects([w.decode() for w in words]), "code": np.zeros(len(words), dtype=np.int64),
@@ -116,9 +124,10 @@ def training_counts(docs: DataFrame, text_col: str, trains: Column) -> DataFrame
             learn, only_met = ([r for r, t in zip(raws, b["trains"]) if t == wanted] for wanted in (True, False))
             for part, trained in ((p, t) for some, t in ((learn, 1), (only_met, 0)) for p in chunks(some)):
                 codes, met = grams(part)
+                met = met.astype(np.int32)  # a part is a chunk, or one text
                 held.append((codes, met * trained, met))
                 if sum(len(h[0]) for h in held) > FLUSH_GRAMS:
-                    yield gram_rows()
+                    yield from gram_rows()
                 if not trained:
                     continue
                 for r in part:
@@ -129,7 +138,7 @@ def training_counts(docs: DataFrame, text_col: str, trains: Column) -> DataFrame
         if words:
             yield word_rows()
         if held:
-            yield gram_rows()
+            yield from gram_rows()
 
     found = docs.select(text_of(text_col).alias("text"), trains.alias("trains")).mapInPandas(run, "word string, code long, n long, met long")
     return staged(found.groupBy("word", "code").agg(F.sum("n").alias("n"), F.sum("met").alias("met")), "training-counts")
@@ -318,10 +327,13 @@ def score_documents(docs: DataFrame, *, folds: int = FOLDS, id_col: str = "doc_i
         yield pd.DataFrame({"id": ids, "no_id": gone, "text_hash": hashes, "word": as_objects([DOCUMENT] * len(ids)), "code": hashes, "times": 0,
                             "part": parts, "known": known, "n_tokens": n_tokens, "score": score, "copies": 1})
         row = np.array(row, dtype=np.int64)
-        for at, keys, code, n in ((row, [w.decode() for w in word], 0, np.array(times, dtype=np.int64)),
+        for at, keys, code, n in ((row, [w.decode() for w in word], np.zeros(len(row), dtype=np.int64), np.array(times, dtype=np.int64)),
                                   (gram_row, [GRAM] * len(gram), gram, gram_times)):
-            yield pd.DataFrame({"id": ids[at], "no_id": gone[at], "text_hash": hashes[at], "word": as_objects(keys), "code": code,
-                                "times": n, "part": 0.0, "known": 0, "n_tokens": 0, "score": 0.0, "copies": 0})
+            for begin in range(0, len(at), SEND_ROWS):
+                part = slice(begin, begin + SEND_ROWS)
+                rows = at[part]
+                yield pd.DataFrame({"id": ids[rows], "no_id": gone[rows], "text_hash": hashes[rows], "word": as_objects(keys[part]), "code": code[part],
+                                    "times": n[part], "part": 0.0, "known": 0, "n_tokens": 0, "score": 0.0, "copies": 0})
 
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNull().alias("no_id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
                         text_of(text_col).alias("text"))
