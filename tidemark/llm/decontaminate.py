@@ -100,31 +100,40 @@ class Block:
     def __init__(self, items: list[tuple[object, str]], errors: float, least: int):
         import ahocorasick
 
-        self.items, by_piece = [], {}
+        self.items, by_piece, by_word = [], {}, {}
         for key, text in items:
             folded = fold(text or "")
             if not folded:
                 continue
-            k = int(len(folded) * errors) if len(folded) >= least else 0
+            if len(folded) < least:
+                by_word.setdefault(folded.replace(" ", ""), []).append(key)
+                continue
+            k = int(len(folded) * errors)
             for at, piece in pieces(folded, k):
                 by_piece.setdefault(piece, []).append((len(self.items), at))
-            self.items.append((key, folded, k, len(folded) < least))
+            self.items.append((key, folded, k))
         self.automaton = ahocorasick.Automaton()
         for piece, where in by_piece.items():
             self.automaton.add_word(piece, (len(piece), where))
         if by_piece:
             self.automaton.make_automaton()
+        self.words = ahocorasick.Automaton() if by_word else None
+        for word, keys in by_word.items():
+            self.words.add_word(word, (len(word), keys))
+        if by_word:
+            self.words.make_automaton()
         self.masks: dict[int, dict[str, int]] = {}
 
     def find(self, text: str) -> list[tuple[object, int, int, int]]:
         """(item, start, end, distance) of the best match of each item that the text holds; places in the text."""
+        out = self._as_words(text) if self.words else []
         if not self.items:
-            return []
+            return out
         folded = fold(text)
         stretches: dict[int, list[list[int]]] = {}
         for end, (size, where) in self.automaton.iter(folded):
             for i, at in where:
-                _, item, k, _ = self.items[i]
+                _, item, k = self.items[i]
                 lo = max(0, end - size + 1 - at - k)
                 hi = min(len(folded), end - size + 1 - at + len(item) + k)
                 spans = stretches.setdefault(i, [])
@@ -133,14 +142,9 @@ class Block:
                     spans[-1][:] = min(spans[-1][0], lo), hi
                 elif not spans or not (spans[-1][0] <= lo and hi <= spans[-1][1]):
                     spans.append([lo, hi])
-        out, places = [], None
+        places = None
         for i in sorted(stretches):
-            key, item, k, short = self.items[i]
-            if short:  # exact, and whole words only: "art" is not in "the party"
-                place = self._as_words(text, folded, item, stretches[i])
-                if place:
-                    out.append((key, *place, 0))
-                continue
+            key, item, k = self.items[i]
             if i not in self.masks:
                 self.masks[i] = masks(item)
             best = None
@@ -161,20 +165,18 @@ class Block:
             out.append((key, places[start], places[end - 1] + 1, distance))
         return out
 
-
-    @staticmethod
-    def _as_words(text: str, folded: str, item: str, stretches: list[list[int]]) -> tuple[int, int] | None:
-        """The first place in the text where a short item stands as whole words, whatever is between them."""
-        places = fold_with_offsets(text)[1]
+    def _as_words(self, text: str) -> list[tuple[object, int, int, int]]:
+        """The first place in the text of each short item that stands as whole words, whatever is between its
+        letters: "art" is in "ar t", but not in "the party"."""
+        folded, at = fold_with_offsets(text)
+        kept = [(c, i) for c, i in zip(folded, at) if c != " "]
         alone = lambda i: not (0 <= i < len(text)) or not text[i].isalnum()
-        for lo, hi in stretches:
-            at = folded.find(item, lo, hi)
-            while at >= 0:
-                start, end = places[at], places[at + len(item) - 1] + 1
-                if alone(start - 1) and alone(end):
-                    return start, end
-                at = folded.find(item, at + 1, hi)
-        return None
+        first: dict[int, tuple[list, int, int]] = {}
+        for last, (size, keys) in self.words.iter("".join(c for c, _ in kept)):
+            start, end = kept[last - size + 1][1], kept[last][1] + 1
+            if alone(start - 1) and alone(end):
+                first.setdefault(id(keys), (keys, start, end))
+        return [(key, start, end, 0) for keys, start, end in first.values() for key in keys]
 
 
 def blocks(items: DataFrame, id_col: str, text_col: str, chars: int = BLOCK_CHARS) -> Iterator[list[tuple[object, str]]]:
